@@ -41,62 +41,73 @@ RULES = (
 )
 
 
+#: Up to so many repeated windows of a text are looked up one by one; more are found by a sort.
+FEW = 16
+
+
 def _repeated(words: str, grams: str) -> Column:
-    """Positions of `words` that lie in a 3-word window which `grams` holds twice or more.
+    """Positions of `words` that lie in a 3-word window found twice or more. `grams`: the windows' hashes, by start.
 
-    Only a text with an equal pair of windows pays for the sort that finds which; sorting (window, start) pairs puts equal
-    windows side by side, so neighbours tell, without comparing all pairs.
+    A text without equal hashes is done at once. Otherwise the windows whose hash recurs are sorted as (hash, start), which
+    puts equal windows side by side; neighbours count when their words are the same too.
     """
     m = F.size(grams)
-    pairs = F.sort_array(F.transform(grams, lambda t, i: F.struct(t.alias("t"), i.alias("i"))))
+    same = lambda i, j: (
+        (F.get(words, i) == F.get(words, j)) & (F.get(words, i + 1) == F.get(words, j + 1)) & (F.get(words, i + 2) == F.get(words, j + 2))
+    )
+    ordered = F.sort_array(grams)
+    again = F.array_distinct(
+        F.array_compact(F.zip_with(F.slice(ordered, 1, m - 1), F.slice(ordered, 2, m - 1), lambda a, b: F.when(a == b, a)))
+    )
+    pairs = F.transform(grams, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+    pairs = F.when(F.size("__again") <= FEW, F.filter(pairs, lambda x: F.array_contains("__again", x["h"]))).otherwise(pairs)
+    pairs, k = F.sort_array(pairs), F.size("__pairs")
     starts = F.flatten(
         F.zip_with(
-            F.slice(pairs, 1, m - 1),
-            F.slice(pairs, 2, m - 1),
-            lambda a, b: F.when(a["t"] == b["t"], F.array(a["i"], b["i"])).otherwise(F.array().cast("array<int>")),
+            F.slice("__pairs", 1, k - 1),
+            F.slice("__pairs", 2, k - 1),
+            lambda a, b: F.when((a["h"] == b["h"]) & same(a["i"], b["i"]), F.array(a["i"], b["i"])).otherwise(F.array().cast("array<int>")),
         )
     )
     covered = F.size(F.array_distinct(F.flatten(F.transform(starts, lambda i: F.array(i, i + 1, i + 2)))))
-    return F.when(m < 2, 0).when(F.size(F.array_distinct(grams)) == m, 0).otherwise(covered).cast("long")
+    unique = (m < 2) | (F.size(F.array_distinct(grams)) == m)
+    return (
+        ("__again", F.when(unique, F.array().cast("array<bigint>")).otherwise(again)),
+        ("__pairs", F.when(F.size("__again") > 0, pairs).otherwise(F.array().cast("array<struct<h:bigint,i:int>>"))),
+        ("n_repeat_words", F.when(F.size("__again") > 0, covered).otherwise(0).cast("long")),
+    )
 
 
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """Adds the counts and ratios that the rules speak of. A null text counts as empty; ratios of an empty text are 0."""
     per = lambda x, n: F.when(F.col(n) > 0, F.col(x) / F.col(n)).otherwise(F.lit(0.0))
-    stop = "(?i)(?<![^\\x20\\x09-\\x0D])(?:" + "|".join(STOP_WORDS) + ")(?![^\\x20\\x09-\\x0D])"
     t = text_of(text)
     lines = F.filter(F.split(t, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
-    letters = F.regexp_replace(t, "[^A-Za-zÀ-ÖØ-öø-ÿ]+", "")
+    hashes = F.transform(
+        F.slice("__words", 1, F.greatest(F.size("__words") - 2, F.lit(0))),
+        lambda w, i: F.xxhash64(w, F.get("__words", i + 1), F.get("__words", i + 2)),
+    )
+    out = docs.withColumn("__words", F.array_remove(F.split(t, f"{SPACE}+"), "")).withColumn("n_words", F.size("__words").cast("long"))
+    out = out.withColumn("__grams", F.when(F.col("n_words") < 3, F.array().cast("array<bigint>")).otherwise(hashes))
+    for name, column in _repeated("__words", "__grams"):
+        out = out.withColumn(name, column)
     return (
-        docs.withColumn("__words", F.array_remove(F.split(t, f"{SPACE}+"), ""))
-        .withColumn("n_words", F.size("__words").cast("long"))
-        .withColumn(
-            "__grams",
-            F.when(F.col("n_words") < 3, F.array().cast("array<string>")).otherwise(
-                F.transform(
-                    F.slice("__words", 1, F.greatest(F.size("__words") - 2, F.lit(0))),
-                    lambda w, i: F.concat_ws(" ", w, F.get("__words", i + 1), F.get("__words", i + 2)),
-                )
-            ),
-        )
-        .withColumn("n_repeat_words", _repeated("__words", "__grams"))
-        .withColumn("word_chars", F.length(F.translate(t, " \t\n\x0b\x0c\r", "")).cast("long"))
-        .withColumn("n_symbols", (F.length(t) - F.length(F.translate(t, SYMBOLS, ""))).cast("long"))
+        out.withColumn("word_chars", (F.length(t) - F.regexp_count(t, F.lit(SPACE))).cast("long"))
+        .withColumn("n_symbols", F.regexp_count(t, F.lit(f"[{SYMBOLS}]")).cast("long"))
         .withColumn("__lines", lines)
         .withColumn("n_lines", F.size("__lines").cast("long"))
         .withColumn("n_dup_lines", (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long"))
-        .withColumn("__stop", F.regexp_count(t, F.lit(stop)))
-        .withColumn("__bangs", F.length(t) - F.length(F.translate(t, "!", "")))
-        .withColumn("__letters", F.length(letters))
-        .withColumn("__upper", F.length(F.translate(letters, "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ", "")))
+        .withColumn("__stop", F.size(F.filter("__words", lambda w: F.lower(w).isin(STOP_WORDS))))
+        .withColumn("__bangs", F.regexp_count(t, F.lit("!")))
+        .withColumn("__upper", F.regexp_count(t, F.lit("[A-ZÀ-ÖØ-Þ]")))
         .withColumn("mean_word_chars", per("word_chars", "n_words"))
         .withColumn("symbol_ratio", per("n_symbols", "n_words"))
-        .withColumn("upper_ratio", per("__upper", "__letters"))
+        .withColumn("upper_ratio", per("__upper", "word_chars"))
         .withColumn("exclamation_ratio", per("__bangs", "n_words"))
         .withColumn("stop_ratio", per("__stop", "n_words"))
         .withColumn("dup_line_ratio", per("n_dup_lines", "n_lines"))
         .withColumn("repeat_ratio", per("n_repeat_words", "n_words"))
-        .drop("__words", "__grams", "__lines", "__stop", "__bangs", "__letters", "__upper")
+        .drop("__words", "__grams", "__again", "__pairs", "__lines", "__stop", "__bangs", "__upper")
     )
 
 
@@ -140,10 +151,12 @@ WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
 ), w AS (
   SELECT r, doc_id, t, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM d
+), u AS (
+  SELECT r, unnest(range(1, len(ws) + 1)) AS i, unnest(ws) AS a FROM w
 ), g AS (
-  SELECT r, unnest(range(1, len(ws) - 1)) AS i, ws FROM w WHERE len(ws) >= 3
+  SELECT r, i, a, lead(a, 1) OVER (PARTITION BY r ORDER BY i) AS b, lead(a, 2) OVER (PARTITION BY r ORDER BY i) AS c FROM u
 ), h AS (
-  SELECT r, i, count(*) OVER (PARTITION BY r, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) AS n FROM g
+  SELECT r, i, count(*) OVER (PARTITION BY r, a, b, c) AS n FROM g WHERE c IS NOT NULL
 ), c AS (
   SELECT r, count(DISTINCT p) AS n_repeat_words FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM h WHERE n > 1) GROUP BY r
 ), m AS (
@@ -151,13 +164,12 @@ WITH d AS (
     CAST(length(translate(t, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '')) AS BIGINT) AS word_chars,
     CAST(length(t) - length(translate(t, '{SYMBOLS}', '')) AS BIGINT) AS n_symbols,
     list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls,
-    regexp_replace(t, '[^A-Za-zÀ-ÖØ-öø-ÿ]+', '', 'g') AS letters,
+    length(t) - length(regexp_replace(t, '[A-ZÀ-ÖØ-Þ]+', '', 'g')) AS upper,
     len(list_filter(ws, lambda x: list_contains([{_STOP}], lower(x)))) AS n_stop,
     length(t) - length(replace(t, '!', '')) AS bangs
   FROM w LEFT JOIN c USING (r)
 ), k AS (
   SELECT *, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
-    length(regexp_replace(letters, '[a-zß-öø-ÿ]+', '', 'g')) AS upper,
     (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed
   FROM m
 )
@@ -165,7 +177,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT base_failed
   AND CAST(word_chars AS DOUBLE) / greatest(n_words, 1) BETWEEN 2.0 AND 12.0
   AND CAST(n_symbols AS DOUBLE) / greatest(n_words, 1) <= 0.10
-  AND CAST(upper AS DOUBLE) / greatest(length(letters), 1) <= 0.40
+  AND CAST(upper AS DOUBLE) / greatest(word_chars, 1) <= 0.40
   AND CAST(bangs AS DOUBLE) / greatest(n_words, 1) <= 0.30
   AND CAST(n_stop AS DOUBLE) / greatest(n_words, 1) >= 0.02
   AND CAST(n_dup_lines AS DOUBLE) / greatest(len(ls), 1) <= 0.50
