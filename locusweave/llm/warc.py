@@ -96,6 +96,8 @@ def parse(data: bytes, start: int, final: bool) -> tuple[dict, bytes, int] | Non
     fields = {k.strip().lower().decode("latin-1"): v.strip().decode("utf-8", "replace") for k, sep, v in (x.partition(b":") for x in head[1:]) if sep}
     if not fields.get("content-length", "").isdigit():
         raise Damaged("no length")
+    if not fields.get("warc-type") or not fields.get("warc-record-id"):
+        raise Damaged("no type or id")
     stop = end + 4 + int(fields["content-length"])
     if len(data) < stop + 4:
         if final:
