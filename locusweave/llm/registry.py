@@ -1,16 +1,18 @@
 """The queries of this subpackage and their SQL, for __spark_entry__.py."""
 
-from . import mixing, packing, quality_rules, secrets, warc
+from . import mixing, neighbours, packing, quality_rules, secrets, warc
 
 QUERIES = {
     "op1_secrets": secrets.op1_secrets,
     "op3_mixing": mixing.op3_mixing,
+    "op5_neighbours": neighbours.op5_neighbours,
     "op6_warc": warc.op6_warc,
     "op7_packing": packing.op7_packing,
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
 ORACLES = {
     "op3_mixing": mixing.SQL,
+    "op5_neighbours": neighbours.SQL,
     "op6_warc": warc.SQL,
     "op10_quality_rules": quality_rules.SQL,
 }
