@@ -1,9 +1,10 @@
 """The queries of this subpackage and their SQL, for __spark_entry__.py."""
 
-from . import html_text, mixing, neighbours, packing, quality_rules, secrets, warc
+from . import html_text, jaccard_join, mixing, neighbours, packing, quality_rules, secrets, warc
 
 QUERIES = {
     "op1_secrets": secrets.op1_secrets,
+    "op2_jaccard_join": jaccard_join.op2_jaccard_join,
     "op3_mixing": mixing.op3_mixing,
     "op4_html_text": html_text.op4_html_text,
     "op5_neighbours": neighbours.op5_neighbours,
