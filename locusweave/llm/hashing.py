@@ -109,3 +109,28 @@ def shingle_sets(texts: list[str | None], words: int) -> Iterator[np.ndarray]:
                 else:
                     yield np.zeros(0, np.uint64)
                 at += n
+
+
+_UPPER = np.zeros(256, np.int64)
+_UPPER[65:91] = 1
+_DIGIT = np.zeros(256, np.int64)
+_DIGIT[48:58] = 1
+_PUNCT = np.array([33 <= b < 127 and not chr(b).isalnum() for b in range(256)], np.int64)
+SHAPES = 2048
+
+
+def word_shapes(texts: list[bytes]) -> np.ndarray:
+    """A number under SHAPES for each word of the texts, in the order of word_hashes: its length, case, digits, punctuation and last character."""
+    data = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
+    space = _SPACE[data]
+    edge = np.flatnonzero(space[1:] != space[:-1]) + 1
+    if not len(data) or (space[0] and not len(edge)):
+        return np.zeros(0, np.int64)
+    starts, ends = (edge[0::2], edge[1::2]) if space[0] else (np.concatenate([[0], edge[1::2]]), edge[0::2])
+    totals = [np.concatenate([[0], np.cumsum(t[data])]) for t in (_UPPER, _DIGIT, _PUNCT)]
+    upper, digit, punct = (t[ends] - t[starts] for t in totals)
+    length = ends - starts
+    case = np.where(upper == 0, 0, np.where((upper == 1) & (length > 1), 1, np.where(2 * upper >= length - punct, 3, 2)))
+    last = data[ends - 1]
+    last = np.where(_PUNCT[last] == 1, last % 29 + 1, 0)
+    return ((np.minimum(1, length // 8) * 4 + case) * 2 + (digit > 0)) * 128 + np.minimum(3, punct) * 32 + last

@@ -1,6 +1,6 @@
 """The queries of this subpackage and their SQL, for __spark_entry__.py."""
 
-from . import html_text, jaccard_join, mixing, neighbours, packing, quality_rules, secrets, warc
+from . import html_text, jaccard_join, mixing, neighbours, packing, quality_classifier, quality_rules, secrets, warc
 
 QUERIES = {
     "op1_secrets": secrets.op1_secrets,
@@ -10,6 +10,7 @@ QUERIES = {
     "op5_neighbours": neighbours.op5_neighbours,
     "op6_warc": warc.op6_warc,
     "op7_packing": packing.op7_packing,
+    "op8_quality": quality_classifier.op8_quality,
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
 ORACLES = {
