@@ -40,7 +40,7 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: in
         .withColumn("__budget", share * F.sum("source_size").over(everything))
         .withColumn("__level", (F.col("__budget") - F.coalesce(F.sum("__cap").over(earlier), F.lit(0.0))) / F.sum("weight").over(rest))
         .withColumn("__free", F.when(F.col("__ratio") > F.col("__level"), F.col("__level")))
-        .withColumn("__level", F.min("__free").over(everything))
+        .withColumn("__level", F.max("__free").over(everything))
         .withColumn("target", F.least(F.col("__cap"), F.coalesce(F.col("__level") * F.col("weight"), F.col("__cap"))))
         .select("__key", "source_size", "target")
     )
@@ -105,7 +105,7 @@ WITH d AS (
     / sum(weight) OVER (ORDER BY ratio, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lev
   FROM c
 ), t AS (
-  SELECT source, source_size, least(cap, coalesce(min(CASE WHEN ratio > lev THEN lev END) OVER () * weight, cap)) AS target FROM l
+  SELECT source, source_size, least(cap, coalesce(max(CASE WHEN ratio > lev THEN lev END) OVER () * weight, cap)) AS target FROM l
 ), p AS (
   SELECT d.doc_id, size, source_size, target,
     coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY k, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
