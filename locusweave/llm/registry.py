@@ -1,6 +1,6 @@
 """The queries of this subpackage and their SQL, for __spark_entry__.py."""
 
-from . import html_text, jaccard_join, mixing, neighbours, packing, quality_classifier, quality_rules, secrets, warc
+from . import html_text, jaccard_join, language_model, mixing, neighbours, packing, quality_classifier, quality_rules, secrets, warc
 
 QUERIES = {
     "op1_secrets": secrets.op1_secrets,
@@ -11,6 +11,7 @@ QUERIES = {
     "op6_warc": warc.op6_warc,
     "op7_packing": packing.op7_packing,
     "op8_quality": quality_classifier.op8_quality,
+    "op9_language_model": language_model.op9_language_model,
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
 ORACLES = {
