@@ -35,9 +35,9 @@ def interval_union(df: DataFrame, keys: Sequence[str], stretch: int = STRETCH) -
 
     begun = rows.groupBy(*at).agg(F.max("__begin").alias("__max"))
     begun = begun.select(*at, F.max("__max").over(along).alias("__begun"))
-    rows = rows.join(begun, at).withColumn(
-        "__island", F.greatest(F.col("__begun"), F.max("__begin").over(within.rowsBetween(W.unboundedPreceding, 0)))
-    )
+    # by range: intervals with the same start are of one island, whichever of them begins it
+    until = W.partitionBy(*at).orderBy("start").rangeBetween(W.unboundedPreceding, 0)
+    rows = rows.join(begun, at).withColumn("__island", F.greatest(F.col("__begun"), F.max("__begin").over(until)))
     merged = rows.groupBy(*keys, "__island").agg(
         F.min("start").alias("start"), F.max("stop").alias("stop"), F.min_by("strand", F.struct("start", "stop", "strand")).alias("strand")
     )

@@ -1,9 +1,8 @@
 """Schemas and the fixed names of directions and categories."""
 
-from pyspark.sql import types as T
 
-GENES = T.StructType.fromDDL("genome_id string, chrom string, gene_name string, feature string, start bigint, stop bigint, strand string, length bigint")
-TES = T.StructType.fromDDL("genome_id string, chrom string, start bigint, stop bigint, strand string, te_order string, superfamily string, length bigint")
+GENES = "genome_id string, chrom string, gene_name string, feature string, start bigint, stop bigint, strand string, length bigint"
+TES = "genome_id string, chrom string, start bigint, stop bigint, strand string, te_order string, superfamily string, length bigint"
 
 LEFT, INTRA, RIGHT = "Left", "Intra", "Right"
 UPSTREAM, DOWNSTREAM = "Upstream", "Downstream"
