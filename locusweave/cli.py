@@ -33,8 +33,10 @@ def parser() -> argparse.ArgumentParser:
 
 def exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    # partitions are moved into place when a write is over, so a folder with one holds a finished table
+    p = jvm.org.apache.hadoop.fs.Path(f"{path}/genome_id=*")
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
+    return found is not None and len(found) > 0
 
 
 def main(argv: list[str] | None = None) -> None:
