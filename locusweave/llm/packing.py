@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import base64
-import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -17,8 +16,6 @@ from .common import exclusive_prefix, materialise, table
 
 WINDOW = 2048
 END_ID = 1
-#: Segments whose ids a worker remembers.
-REMEMBERED = 200_000
 #: Length combinations that a plan uses at most; what they leave goes to the residual packing.
 MOST_COMBINATIONS = 40_000
 BUCKETS = 256
@@ -27,11 +24,11 @@ BUCKETS = 256
 class Tokens:
     """Ids of whole texts, as little-endian unsigned 32-bit bytes, equal to those of tokenizers with byte_bpe_50k.json.
 
-    A single space between two characters that are no white space always starts a new pre-token of this vocabulary, so a
-    text without runs of white space at spaces is a list of segments that are encoded one by one and remembered.
+    The same vocabulary as ranks gives the same ids in a quarter of the time. The end mark's own text is its one special id,
+    as it is for tokenizers by default.
     """
 
-    RUN = re.compile(r"\s |  | \s|^ | $")
+    SPECIAL = "<|endoftext|>"
 
     def __init__(self, ranks: str | None = None):
         import public_tokenizers
@@ -39,29 +36,11 @@ class Tokens:
 
         with open(ranks or public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as lines:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        self.encoding = tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={"<|endoftext|>": len(table)})
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, text: str) -> bytes:
-        return np.asarray(self.encoding.encode(text, allowed_special="all"), "<u4").tobytes()
+        self.encoding = tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={self.SPECIAL: len(table)})
 
     def __call__(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if self.RUN.search(text):
-            return self._encode(text)
-        first, *rest = text.split(" ")
-        out, known = [self._encode(first)], self.known
-        for word in rest:
-            ids = known.get(word)
-            if ids is None:
-                ids = self._encode(" " + word)
-                if len(word) < 64:
-                    if len(known) >= REMEMBERED:
-                        known.clear()
-                    known[word] = ids
-            out.append(ids)
-        return b"".join(out)
+        special = {self.SPECIAL} if self.SPECIAL in text else set()
+        return self.encoding.encode_to_numpy(text, allowed_special=special, disallowed_special=()).astype("<u4").tobytes()
 
 
 def bits_of(n: int) -> list[int]:
