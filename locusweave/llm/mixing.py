@@ -55,8 +55,10 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: int = M
     in part. virtual_finish is that of the first copy; `taken` adds the words of all copies.
 
     Null sources are a source of their own, standing last. Null doc_ids and repeated rows are rows like any other: ties in
-    the order lie between rows with the same doc_id and fall by size, so that reruns agree. An empty table stays empty.
+    the order lie between rows with the same doc_id and fall by size, so that reruns agree. An empty table stays empty. Columns
+    of the input that bear the name of a result are replaced.
     """
+    docs = docs.drop("source_size", "target", "taken", "virtual_finish")
     keyed = (
         docs.withColumn("__key", F.when(F.col("source").isNull(), "null").otherwise(F.concat(F.lit("="), "source")))
         .withColumn("__shuffle", shuffle_key(seed=seed))

@@ -40,14 +40,14 @@ IDENTIFIERS = (
     "0123456789 abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ _ID= _KEY= _TOKEN= _SECRET= "
 )
 CONTEXT = 256
-NOVELTY = 0.6
+NOVELTY = 0.9
 
 
 def marginal_bytes(around: bytes, found: bytes) -> int:
     """Bytes that `found` adds to what its surroundings compress to, identifiers being known to the compressor."""
     import zstandard as zstd
 
-    primed = zstd.ZstdCompressor(level=3, dict_data=zstd.ZstdCompressionDict(IDENTIFIERS.encode() + around, dict_type=zstd.DICT_TYPE_RAWCONTENT), write_content_size=False)
+    primed = zstd.ZstdCompressor(level=12, dict_data=zstd.ZstdCompressionDict(IDENTIFIERS.encode() + around, dict_type=zstd.DICT_TYPE_RAWCONTENT), write_content_size=False)
     return len(primed.compress(found)) - len(primed.compress(b""))
 
 
