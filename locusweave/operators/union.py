@@ -12,32 +12,36 @@ from locusweave.schema import O_REVISION, S_REVISION, TOTAL
 
 #: Base pairs of a stretch that one task sorts.
 STRETCH = 1 << 22
+#: Rows of a key that one task may sort.
+MOST = 5_000_000
 
 
-def interval_union(df: DataFrame, keys: Sequence[str], stretch: int = STRETCH) -> DataFrame:
+def interval_union(df: DataFrame, keys: Sequence[str], stretch: int | None = None, most: int = MOST) -> DataFrame:
     """Merges closed intervals [start, stop] that share a base, per `keys`; adjacent ones stay apart.
 
-    A whole chromosome never meets in one task: rows are sorted within stretches of the coordinate, and what reaches from
-    earlier stretches into a later one comes from a table with one row per stretch. `strand` is the first interval's.
-    Rows with a null key or coordinate are left out.
+    `strand` is the first interval's. Rows with a null key or coordinate are left out. Where no key has over `most` rows, which
+    one count tells, a key's rows are sorted in one task and shuffled once. Otherwise, or if `stretch` is given, no task sees a
+    whole key: rows are sorted within stretches of the coordinate, and what reaches from earlier stretches into a later one
+    comes from a table with one row per stretch.
     """
-    at = [*keys, "__stretch"]
-    rows = df.dropna(subset=[*keys, "start", "stop"]).withColumn("__stretch", F.expr(f"start div {stretch}"))
-    along = W.partitionBy(*keys).orderBy("__stretch").rowsBetween(W.unboundedPreceding, -1)
-    within = W.partitionBy(*at).orderBy("start", "stop")
-
-    reach = rows.groupBy(*at).agg(F.max("stop").alias("__max"))
-    reach = reach.select(*at, F.max("__max").over(along).alias("__reach"))
-    rows = rows.join(reach, at).withColumn(
-        "__before", F.greatest(F.col("__reach"), F.max("stop").over(within.rowsBetween(W.unboundedPreceding, -1)))
-    )
-    rows = rows.withColumn("__begin", F.when(F.col("__before").isNull() | (F.col("start") > F.col("__before")), F.col("start")))
-
-    begun = rows.groupBy(*at).agg(F.max("__begin").alias("__max"))
-    begun = begun.select(*at, F.max("__max").over(along).alias("__begun"))
+    rows = df.dropna(subset=[*keys, "start", "stop"])
+    if stretch is None:
+        largest = rows.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+        stretch = STRETCH if (largest or 0) > most else None
+    at = list(keys) if stretch is None else [*keys, "__stretch"]
+    within = W.partitionBy(*at).orderBy("start", "stop").rowsBetween(W.unboundedPreceding, -1)
     # by range: intervals with the same start are of one island, whichever of them begins it
     until = W.partitionBy(*at).orderBy("start").rangeBetween(W.unboundedPreceding, 0)
-    rows = rows.join(begun, at).withColumn("__island", F.greatest(F.col("__begun"), F.max("__begin").over(until)))
+    before, island = F.max("stop").over(within), F.max("__begin").over(until)
+    begin = F.when(F.col("__before").isNull() | (F.col("start") > F.col("__before")), F.col("start"))
+    if stretch is None:
+        rows = rows.withColumn("__before", before).withColumn("__begin", begin).withColumn("__island", island)
+    else:
+        along = W.partitionBy(*keys).orderBy("__stretch").rowsBetween(W.unboundedPreceding, -1)
+        carried = lambda df, c: df.groupBy(*at).agg(F.max(c).alias("__max")).select(*at, F.max("__max").over(along).alias("__carried"))
+        rows = rows.withColumn("__stretch", F.expr(f"start div {stretch}"))
+        rows = rows.join(carried(rows, "stop"), at).withColumn("__before", F.greatest("__carried", before)).drop("__carried").withColumn("__begin", begin)
+        rows = rows.join(carried(rows, "__begin"), at).withColumn("__island", F.greatest("__carried", island)).drop("__carried")
     merged = rows.groupBy(*keys, "__island").agg(
         F.min("start").alias("start"), F.max("stop").alias("stop"), F.min_by("strand", F.struct("start", "stop", "strand")).alias("strand")
     )
