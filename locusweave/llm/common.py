@@ -15,7 +15,12 @@ SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows that a Python worker holds at once; with whole texts in them, Spark's default of 10 000 is too many.
+BATCH = "2000"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -14,7 +14,7 @@ _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 #: Bytes of text that are worked on at once.
-SLAB = 1 << 21
+SLAB = 1 << 19
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
