@@ -6,7 +6,7 @@ at most (1 - t) / (1 + t) * (m + n). The join goes from coarse regions to fine o
 1. Rings around the empty set, whose distance D is the set's size: ring bounds grow by 1 / t, so a partner lies in the same
    ring or the next, and each set is a boundary member of the next one.
 2. In a ring the hash space is cut into more slices than D can touch. Linked sets agree in a whole slice; what agrees in a
-   slice shares a cell. Passages that many documents share do not make cells, as a slice holds a spread of a whole text.
+   slice shares a cell. Slices that hold little but common shingles make no cells, as enough others agree (see Slicer).
 3. Cells that overlap form regions. A region over a bound is divided by pivots into Voronoi regions: with d the least of a
    set's distances to the pivots (and to an outside that lies at a constant distance from all), the set goes to each pivot
    not further than d + 2 * (1 - t), which by the triangle inequality holds all its partners. This recurs while it divides.
@@ -32,7 +32,10 @@ WORDS = 3
 NUM, DEN = 90, 100
 #: Sets of a tile's side; regions over SPLIT sets are divided by so many pivots.
 SIDE, SPLIT, PIVOTS, LEVELS = 512, 4096, 16, 4
-OUTSIDE = 0.6
+#: Distance to the nearest pivot up to which a set goes to it although the outside is nearer.
+FAR = 0.8
+#: Shingles of so many different sets of a sample of about SAMPLE texts are common; slices beyond those D can touch, as a share of these.
+COMMON, SAMPLE, SPARE = 3, 4096, 0.5
 #: Rows up to which a table of two longs is broadcast (about 100 MB as a hash relation).
 SMALL = 1_000_000
 
@@ -46,14 +49,17 @@ def rings(num: int, den: int, most: int) -> list[int]:
 
 
 class Slicer:
-    def __init__(self, num: int = NUM, den: int = DEN):
+    def __init__(self, num: int = NUM, den: int = DEN, common: np.ndarray | None = None):
+        """`common` are sorted shingles that many sets hold: they decide which cells are kept, never whether a link is found."""
         self.num, self.den, self.bounds = num, den, rings(num, den, 1 << 10)
+        self.common = common if common is not None and len(common) else np.zeros(1, np.uint64)
 
     def cells(self, hashes: np.ndarray) -> np.ndarray:
-        """The cells of a set (its sorted hashes): one for each slice of its own ring and of the next.
+        """The cells of a set (its sorted hashes): one for each slice kept of its own ring and of the next.
 
-        With `spare` more slices than D can touch and one, linked sets agree in more than `spare` slices; so a set with at
-        most that many empty slices needs no cells for those.
+        With `spare` more slices than D can touch and one, linked sets agree in more than `spare` slices. Each set leaves out
+        its `spare` slices of least rank, and the rank is a matter of a slice's content alone; so of the slices in which two
+        linked sets agree both keep the one of highest rank. Slices with few shingles, common ones not counted, rank least.
         """
         n = len(hashes)
         while self.bounds[-3] <= n:
@@ -62,17 +68,18 @@ class Slicer:
         out = []
         with np.errstate(over="ignore"):
             sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix64(hashes ^ np.uint64(0x5851F42D4C957F2D)))])
+            at = np.minimum(np.searchsorted(self.common, hashes), len(self.common) - 1)
+            own = np.concatenate([np.zeros(1, np.int64), np.cumsum(self.common[at] != hashes)])
             for r in (ring, ring + 1):
                 differ = 2 * (self.den - self.num) * (self.bounds[r + 1] - 1) // (self.den + self.num)
                 if differ == 0:
                     continue  # linked sets of this ring are equal
-                spare = 2 if self.bounds[r] >= 60 else 1 if self.bounds[r] >= 30 else 0
+                spare = 1 + int(differ * SPARE)
                 k = differ + 1 + spare
                 slice_ = (hashes >> np.uint64(32)) * np.uint64(k) >> np.uint64(32)
                 edge = np.searchsorted(slice_, np.arange(k + 1, dtype=np.uint64))
                 value = mix64((sums[edge[1:]] - sums[edge[:-1]]) * np.uint64(BASE) + mix64(np.arange(k, dtype=np.uint64) + np.uint64(r << 32 | 1 << 60)))
-                full = np.diff(edge) > 0
-                out.append(value[full] if k - np.count_nonzero(full) <= spare else value)
+                out.append(value[np.lexsort((value, np.diff(own[edge])))[spare:]])
         return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
@@ -82,9 +89,27 @@ def set_key(hashes: np.ndarray) -> int:
         return int(mix64(np.array([np.sum(mix64(hashes ^ np.uint64(0x2545F4914F6CDD1D))) + np.uint64(len(hashes))], np.uint64)).view(np.int64)[0])
 
 
-def _describe(words: int, num: int, den: int):
+def _shingles(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slicer = Slicer(num, den)
+        for batch in batches:
+            for s in shingle_sets(batch.column("text").to_pylist(), words):
+                if len(s):
+                    yield pa.RecordBatch.from_arrays([pa.array(s.view(np.int64)), pa.array(np.full(len(s), set_key(s)), pa.int64())], ["shingle", "key"])
+
+    return run
+
+
+def common_shingles(docs: DataFrame, words: int) -> np.ndarray:
+    """Shingles, sorted, that at least COMMON different sets of a sample of texts hold; the sample is of bounded size."""
+    some = docs.where(F.pmod(F.xxhash64("text"), F.lit(max(1, docs.count() // SAMPLE))) == 0).select("text")
+    pairs = some.mapInArrow(_shingles(words), "shingle long, key long").distinct()
+    got = pairs.groupBy("shingle").count().where(F.col("count") >= COMMON).select("shingle").toArrow()
+    return np.sort(got.column("shingle").to_numpy().view(np.uint64))
+
+
+def _describe(words: int, num: int, den: int, common: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slicer = Slicer(num, den, common)
         for batch in batches:
             sizes, keys, cells = [], [], []
             for s in shingle_sets(batch.column("text").to_pylist(), words):
@@ -187,7 +212,7 @@ def _nearest_pivots(words: int, num: int, den: int):
             for region, node, mine, pivots in zip(batch.column("region").to_pylist(), batch.column("node").to_pylist(), shingle_sets(batch.column("text").to_pylist(), words), batch.column("pivots").to_pylist(), strict=False):
                 if known[0] != region:
                     known = (region, list(shingle_sets(pivots, words)))
-                far = [OUTSIDE]
+                far = [max(0.0, FAR - 2 * (1 - num / den))]
                 for p in known[1]:
                     both = len(np.intersect1d(mine, p, assume_unique=True))
                     far.append(1 - both / max(1, len(mine) + len(p) - both))
@@ -237,7 +262,7 @@ def near_components(docs: DataFrame, words: int = WORDS, num: int = NUM, den: in
     through its exact copies only; its component_id is null if none has an id. An empty table gives an empty result.
     """
     docs = docs.select("doc_id", "text")
-    sets = materialise(docs.mapInArrow(_describe(words, num, den), "doc_id long, n_shingles long, key long, cells array<long>"), "sets")
+    sets = materialise(docs.mapInArrow(_describe(words, num, den, common_shingles(docs, words)), "doc_id long, n_shingles long, key long, cells array<long>"), "sets")
     cells = sets.select("key", F.explode("cells").alias("cell"))
     shared = materialise(cells.groupBy("cell").agg(F.min("key").alias("pivot"), F.max("key").alias("other")).where("pivot < other"), "cells")
     ends = shared.select(F.col("other").alias("a"), F.col("pivot").alias("b"))

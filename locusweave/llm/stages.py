@@ -12,8 +12,8 @@ from . import jaccard_join, mixing, packing, quality_classifier, secrets
 from .common import materialise, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-#: Near duplicates in the pipeline: as operator 2 has them.
-NEAR_WORDS, NEAR_NUM, NEAR_DEN = jaccard_join.WORDS, jaccard_join.NUM, jaccard_join.DEN
+#: Near duplicates in the pipeline: shingles of five words, Jaccard similarity of 0.8.
+NEAR_WORDS, NEAR_NUM, NEAR_DEN = 5, 80, 100
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

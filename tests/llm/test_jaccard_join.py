@@ -103,3 +103,44 @@ def test_stage_keeps_one_of_each_group(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     kept = sorted((r["doc_id"] for r in stages.keep_one_of_near(spark, docs, "").collect()), key=str)
     assert kept == sorted([None, *{c for _, _, c in brute(corpus(4, 80))}], key=str)
+
+
+def test_stage_drops_what_five_words_at_four_fifths_link(spark):
+    words = [f"w{i}" for i in range(200)]
+    changed = ["x" if i in (30, 70) else w for i, w in enumerate(words[:100])]  # 86 / 106 by five words, 92 / 104 by three
+    longer = words[:90] + [f"y{i}" for i in range(20)] + words[90:]  # 192 / 220
+    other = ["z" if i % 10 == 5 else w for i, w in enumerate(words[:100])]  # far below
+    rows = [(i, " ".join(t), "en", "s", 1) for i, t in enumerate([words[:100], changed, other, words[100:] + words[:100], longer[::-1], words[::-1]])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r["doc_id"] for r in stages.keep_one_of_near(spark, docs, "").collect()) == [0, 2, 3, 4]
+    rows = [(i, t, "en", "s", len(t)) for i, t in corpus(4, 80)]
+    kept = stages.keep_one_of_near(spark, spark.createDataFrame(rows, docs.schema), "").collect()
+    assert sorted(r["doc_id"] for r in kept) == sorted({c for _, _, c in brute(corpus(4, 80), 5, 80, 100)})
+
+
+@pytest.mark.parametrize("num", [80, 90])
+def test_linked_sets_share_a_cell_whatever_is_common(num):
+    rng = np.random.default_rng(num)
+    for _ in range(300):
+        n = int(rng.integers(2, 400))
+        pool = np.unique(rng.integers(1, 1 << 63, 2 * n + 2).astype(np.uint64))
+        slicer = jaccard_join.Slicer(num, 100, np.sort(rng.choice(pool, int(len(pool) * rng.random()), replace=False)))
+        rng.shuffle(pool)
+        a = np.sort(pool[:n])
+        b = np.sort(np.concatenate([pool[int(rng.integers(0, 1 + n * (100 - num) // 100)) : n], pool[n : n + int(rng.integers(0, 1 + n * (100 - num) // 200))]]))
+        both = len(np.intersect1d(a, b))
+        if len(b) and 100 * both >= num * (len(a) + len(b) - both) and not np.array_equal(a, b):
+            assert np.intersect1d(slicer.cells(a), slicer.cells(b)).size
+
+
+def test_common_passages_do_not_join_texts(spark):
+    rng = random.Random(8)
+    shared = [[f"c{k}_{i}" for i in range(12)] for k in range(6)]
+    texts = [" ".join(sum([[f"t{d}_{p}_{i}" for i in range(14)] + rng.choice(shared) for p in range(4)], [])) for d in range(300)]
+    sets = list(shingle_sets(texts, 5))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    common = jaccard_join.common_shingles(docs, 5)
+    assert len(common) >= 48
+    slicer = jaccard_join.Slicer(80, 100, common)
+    _, n = np.unique(np.concatenate([np.unique(slicer.cells(s)) for s in sets]), return_counts=True)
+    assert (n > 1).sum() < 5
