@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections.abc import Iterator
 
@@ -23,7 +24,12 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 NEEDLES = ("password", "passwd", "secret", "token", "api_key", "apikey")
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-SENSITIVE = re.compile(r"(?ai:pass(?:word|wd|phrase)?|secret|token|api|key|auth|bearer|credential|private|signature|salt)[^\n]{0,24}$")
+_WORDS = r"(?ai:pass(?:word|wd|phrase)?|secret|token|api|key|auth|bearer|credential|private|signature|salt)"
+#: A sensitive word on the same line, or on the line above a candidate that begins its own.
+SENSITIVE = re.compile(_WORDS + r"[^\n]{0,24}$")
+ABOVE = re.compile(_WORDS + r"[^\n]{0,48}\n[\x20\t\"'>#*|+-]{0,24}$")
+#: What stands between the segments of a dotted key, or the lines of a wrapped one.
+GOES_ON = re.compile(r"(?:\.[A-Za-z0-9+/_=-]{0,15}){0,8}\.|[\"'\\]{0,2}\r?\n[\x20\t\"'>#*|+-]{0,24}")
 #: What identifiers and settings around a secret commonly consist of; it primes the compressor.
 IDENTIFIERS = (
     "access account address admin alpha api app application arg array async auth authorization base64 bearer begin bool bucket build "
@@ -40,7 +46,9 @@ IDENTIFIERS = (
     "0123456789 abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ _ID= _KEY= _TOKEN= _SECRET= "
 )
 CONTEXT = 256
+#: Bytes a character that a short random string takes; a long one is entropy-coded and takes what its alphabet must (see needed).
 NOVELTY = 0.9
+ENTROPY, PER_SYMBOL = 0.97, 0.45
 
 
 def marginal_bytes(around: bytes, found: bytes) -> int:
@@ -51,6 +59,22 @@ def marginal_bytes(around: bytes, found: bytes) -> int:
     return len(primed.compress(found)) - len(primed.compress(b""))
 
 
+def alphabet(word: str) -> int:
+    """Characters of the smallest usual alphabet that the string is drawn from: hex, base32, one case, both, with symbols."""
+    seen = set(word.rstrip("="))
+    lower, upper, digits = ({c for c in seen if f(c)} for f in (str.islower, str.isupper, str.isdigit))
+    letters = sum(0 if not x else 6 if x <= set("abcdefABCDEF") else 26 for x in (lower, upper))
+    few = digits <= set("234567") and letters == 26
+    return letters + (0 if not digits else 6 if few else 10) + len(seen - lower - upper - digits)
+
+
+def needed(word: str, novelty: float = NOVELTY) -> float:
+    """Bytes that a random string as long and of the same alphabet adds at least: stored as it is while short, then coded with
+    the alphabet's entropy a character and a table."""
+    n = alphabet(word)
+    return min(novelty * len(word), ENTROPY * len(word) * math.log2(max(2, n)) / 8 + PER_SYMBOL * n)
+
+
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     low = text.lower()
     found = [(m.start(), m.end(), "assign") for m in ASSIGN.finditer(text) if len(m[2]) >= 6] if any(x in low for x in NEEDLES) else []
@@ -61,16 +85,23 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 def novel_spans(text: str, base: list[tuple[int, int, str]], novelty: float = NOVELTY) -> tuple[list[tuple[int, int, str]], float]:
     """Strings in a sensitive context that hardly compress, outside the base spans; and the largest novelty of any candidate, base ones included."""
-    out, most = [], 0.0
+    out, most, last = [], 0.0, -1  # last: where the latest candidate in a sensitive context ends
     for m in CANDIDATE.finditer(text):
         word = m[0]
         inside = any(s < m.end() and m.start() < e for s, e, _ in base)
-        if not inside and not (any(c.isdigit() for c in word) and any(c.isalpha() for c in word) and SENSITIVE.search(text, max(0, m.start() - 48), m.start())):
+        near = (
+            last >= 0 and m.start() - last <= 160 and GOES_ON.fullmatch(text, last, m.start())
+            or SENSITIVE.search(text, max(0, m.start() - 48), m.start())
+            or ABOVE.search(text, max(0, m.start() - 96), m.start())
+        )
+        if near:
+            last = m.end()
+        if not inside and not (near and any(c.isdigit() for c in word) and any(c.isalpha() for c in word)):
             continue
         around = text[max(0, m.start() - CONTEXT) : m.start()] + text[m.end() : m.end() + CONTEXT]
-        share = marginal_bytes(around.encode("utf-8", "replace"), word.encode()) / len(word)
-        most = max(most, share)
-        if not inside and share >= novelty:
+        adds = marginal_bytes(around.encode("utf-8", "replace"), word.encode())
+        most = max(most, adds / len(word))
+        if not inside and adds >= needed(word, novelty):
             out.append((m.start(), m.end(), "novel"))
     return out, most
 

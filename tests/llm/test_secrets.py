@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import string
 
 from locusweave.llm import secrets, stages
 
@@ -58,3 +60,24 @@ def test_redaction_removes_every_span(spark):
     docs = spark.createDataFrame([(1, f"a {KEY} b", "en", None, 44), (2, None, None, "s", None)], "doc_id long, text string, lang string, source string, n_chars long")
     got = {r["doc_id"]: r for r in stages.hide_secrets(spark, docs, "").collect()}
     assert got[1]["text"] == "a [SECRET] b" and got[1]["n_chars"] == len("a [SECRET] b") and got[2]["text"] is None
+
+
+def test_long_random_strings_are_found_in_every_alphabet():
+    rng = random.Random(7)
+    for chars in ("0123456789ABCDEF", string.ascii_uppercase + "234567", string.ascii_lowercase + string.digits, string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/"):
+        for n in (24, 48, 64, 88, 128, 200, 344, 512, 1000):
+            key = "A4" + "".join(rng.choice(chars) for _ in range(n - 2))
+            got = [f"auth header: Bearer {key}"[s:e] for s, e, _ in secrets.scan(f"auth header: Bearer {key}")[1]]
+            assert got == [key], (chars, n)
+    assert secrets.scan("auth header: Bearer " + "credential_access_token_for_region_" * 12 + "2")[1] == []
+
+
+def test_context_reaches_the_line_above_and_earlier_segments():
+    rng = random.Random(9)
+    line = lambda n=64: "Q7" + "".join(rng.choice(string.ascii_letters + string.digits + "+/") for _ in range(n - 2))
+    body = [line() for _ in range(12)]
+    found = lambda t: [t[s:e] for s, e, _ in secrets.scan(t)[1]]
+    assert found("-----BEGIN PRIVATE KEY-----\n" + "\n".join(body) + "\n-----END PRIVATE KEY-----\nthe end\n") == body
+    assert found("credentials:\r\n  - " + body[0]) == [body[0]]
+    assert found("Authorization: Bearer " + ".".join(body[:3])) == body[:3]
+    assert found("the keys are kept elsewhere\nand the build id is " + body[0] + " here") == []
