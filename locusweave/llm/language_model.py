@@ -22,8 +22,8 @@ VOCABULARY, CLASSES = 1024, 32
 PER_CLASS = VOCABULARY // CLASSES
 END, OTHER = 0, 1
 HIDDEN = 24
-#: Training: lanes that run side by side, steps that gradients go back, one of so many documents per round, rounds.
-LANES, STEPS, ONE_OF, ROUNDS, RATE, CLIP = 32, 24, 16, 2, 6e-3, 1.0
+#: Training: least lanes that run side by side, steps that gradients go back, one of so many documents in the first round.
+LANES, STEPS, ONE_OF, RATE, CLIP = 32, 24, 16, 6e-3, 1.0
 #: Scoring: lanes, and steps whose softmax is taken at once.
 WIDE, WINDOW = 256, 64
 #: Rows of a batch that are worked on at once, which bounds a worker's memory.
@@ -207,9 +207,10 @@ def log_probability(w: Weights, h: np.ndarray, place: np.ndarray, grads: Weights
 
 
 def train(w: Weights, docs: list[np.ndarray], place: np.ndarray, moments: tuple[Weights, Weights, int]) -> tuple[Weights, tuple[Weights, Weights, int], int]:
-    """Adam with backpropagation truncated at STEPS steps: the documents, each with its end, form LANES streams, states run on."""
+    """Adam with backpropagation truncated at STEPS steps: the documents, each with its end, form streams of
+    64 * STEPS words, LANES of them at least and WIDE at most; states run on."""
     stream = np.concatenate([np.append(d, END) for d in docs]) if docs else np.zeros(0, np.int64)
-    lanes = max(1, min(LANES, len(stream) // STEPS))
+    lanes = max(1, min(LANES, len(stream) // STEPS), min(WIDE, len(stream) // (64 * STEPS)))
     length = len(stream) // lanes
     if length < 2:
         return w, moments, 0
@@ -274,11 +275,12 @@ def _average(t: pa.Table) -> pa.Table:
 
 
 def fit(docs: DataFrame, head: Head) -> Weights:
-    """Every task trains on its own documents of the round's share, which grows with the corpus; their weights are averaged
-    by trained tokens, FAN_IN models at a time, until the driver gets a few."""
+    """Every task trains on its own documents: first on a share of them, then, from the average, on all others, so that each is
+    used once. Weights are averaged by trained tokens, FAN_IN models at a time, until the driver gets a few."""
     data = pack_weights(start(head.unigram))
-    for k in range(ROUNDS):
-        share = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(ONE_OF)) == k).select("text")
+    first = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(ONE_OF)) == 0
+    for part in (first, ~first):
+        share = docs.where(part).select("text")
         models = materialise(share.mapInArrow(_train(head, data), "tokens long, weights binary"), "models")
         while (n := models.count()) > FAN_IN:
             models = materialise(models.groupBy(F.floor(F.rand(SEED) * math.ceil(n / FAN_IN)).alias("k")).applyInArrow(_average, "tokens long, weights binary"), "models")

@@ -117,3 +117,12 @@ def test_training_lowers_the_loss():
     w, _, seen = lm.train(w, docs, place, (zeros(), zeros(), 0))
     assert seen > 7000 and lm.score_ids(w, docs[:10], place).sum() > before + 100
     assert all(np.array_equal(a, b) for a, b in zip(lm.unpack_weights(lm.pack_weights(w)).values(), w.values(), strict=True))
+
+
+def test_every_training_document_reaches_the_network(spark, monkeypatch):
+    rounds = []
+    real = lm._average
+    monkeypatch.setattr(lm, "_average", lambda t: rounds.append(sum(t.column("tokens").to_pylist())) or real(t))
+    docs = spark.createDataFrame([(i, "a b c " * 40) for i in range(400)], "doc_id long, text string").repartition(2)
+    lm.fit(docs, lm.Head(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int16), 1, 1, 1, np.full(lm.VOCABULARY, 1 / lm.VOCABULARY)))
+    assert len(rounds) == 2 and 400 * 121 * 0.98 <= sum(rounds) <= 400 * 121
