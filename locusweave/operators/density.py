@@ -2,23 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from locusweave.operators.rangejoin import overlap_join
-from locusweave.operators.regions import regions
+from locusweave.operators.regions import region_structs
 from locusweave.schema import DOWNSTREAM, INTRA, LEFT, ORDER, RIGHT, SUPERFAMILY, UPSTREAM
 
-CELL = ["chrom", "gene_name", "direction", "window"]
+BOTH = (ORDER, SUPERFAMILY)
 
 
-def categories(te_order: str = "te_order", superfamily: str = "superfamily") -> Column:
-    return F.array(
-        F.struct(F.lit(ORDER).alias("te_category"), F.col(te_order).alias("te_name")),
-        F.struct(F.lit(SUPERFAMILY).alias("te_category"), F.col(superfamily).alias("te_name")),
-    )
+def categories(kinds: Sequence[str] = BOTH) -> Column:
+    columns = {ORDER: "te_order", SUPERFAMILY: "superfamily"}
+    return F.array(*(F.struct(F.lit(k).alias("te_category"), F.col(columns[k]).alias("te_name")) for k in kinds))
 
 
 def overlaps(cells: DataFrame, revised: DataFrame) -> DataFrame:
@@ -27,32 +26,52 @@ def overlaps(cells: DataFrame, revised: DataFrame) -> DataFrame:
     return overlap_join(cells, right, ["chrom"], ("r_start", "r_stop"), ("te_start", "te_stop"))
 
 
-def sparse_density(genes: DataFrame, revised: DataFrame, windows: Iterable[int], directions=(LEFT, INTRA, RIGHT)) -> DataFrame:
-    """Cells with at least one base of overlap: the form to store."""
-    cells = regions(genes.select("chrom", "gene_name", "start", "stop", "strand", "length"), windows, directions)
-    met = overlaps(cells, revised).withColumn("c", F.explode(categories()))
-    summed = met.groupBy(*CELL, "strand", "divisor", "c.te_category", "c.te_name").agg(F.sum("overlap_bp").alias("overlap_bp"))
-    return summed.withColumn("density", F.col("overlap_bp").cast("double") / F.col("divisor"))
+def names_by_chromosome(rows: DataFrame, kinds: Sequence[str] = BOTH) -> DataFrame:
+    """The category names that occur on each chromosome. Rows that a union drops for a null give none."""
+    kept = rows.dropna(subset=["chrom", "start", "stop", "te_order", "superfamily"]).select("chrom", "te_order", "superfamily").distinct()
+    return kept.select("chrom", F.explode(categories(kinds)).alias("c")).select("chrom", "c.te_category", "c.te_name").distinct()
+
+
+GENE = ["chrom", "gene_name", "strand", "start", "stop", "length"]
 
 
-def names_by_chromosome(revised: DataFrame) -> DataFrame:
-    return revised.select("chrom", F.explode(categories()).alias("c")).select("chrom", "c.te_category", "c.te_name").distinct()
+def _cells(genes: DataFrame, revised: DataFrame, windows: Iterable[int], directions: Iterable[str], kinds: Sequence[str], names: DataFrame | None) -> DataFrame:
+    """Rows per gene and name with one sum per cell, spread to a row per cell after the one shuffle of the aggregate.
+
+    The windows of a gene are nested, so a gene meets an interval once, within its widest region, and every cell's shared
+    bases follow from the two pairs of ends. With `names`, a row of no bases per gene and name goes into the same sum.
+    """
+    cells = region_structs(windows, directions)
+    low = reduce(F.least, (c["r_start"] for c in cells))
+    high = reduce(F.greatest, (c["r_stop"] for c in cells))
+    genes = genes.select(*GENE).dropna(subset=["chrom", "start", "stop"])
+    met = overlaps(genes.withColumn("r_start", low).withColumn("r_stop", high), revised)
+    met = met.select(*GENE, "te_start", "te_stop", F.explode(categories(kinds)).alias("c")).select(*GENE, "te_start", "te_stop", "c.te_category", "c.te_name")
+    if names is not None:
+        none = F.lit(None).cast("bigint")
+        met = met.unionByName(genes.join(names, "chrom").select(*GENE, none.alias("te_start"), none.alias("te_stop"), "te_category", "te_name"))
+    shared = lambda c: F.least(c["r_stop"], F.col("te_stop")) - F.greatest(c["r_start"], F.col("te_start")) + 1
+    # least and greatest skip nulls, hence the test
+    sums = [F.sum(F.when(F.col("te_start").isNotNull(), F.greatest(shared(c), F.lit(0))).otherwise(0)).alias(f"__{k}") for k, c in enumerate(cells)]
+    summed = met.groupBy(*GENE, "te_category", "te_name").agg(*sums)
+    spread = F.array(*(F.struct(c["direction"].alias("direction"), c["window"].alias("window"), c["divisor"].alias("divisor"), F.col(f"__{k}").alias("overlap_bp")) for k, c in enumerate(cells)))
+    rows = summed.select(*GENE, "te_category", "te_name", F.explode(spread).alias("cell"))
+    rows = rows.select("chrom", "gene_name", "cell.direction", "cell.window", "strand", "cell.divisor", "te_category", "te_name", "cell.overlap_bp")
+    return rows.withColumn("density", F.col("overlap_bp").cast("double") / F.col("divisor"))
+
+
+def sparse_density(genes: DataFrame, revised: DataFrame, windows: Iterable[int], directions=(LEFT, INTRA, RIGHT), kinds: Sequence[str] = BOTH) -> DataFrame:
+    """Cells with at least one base of overlap: the form to store."""
+    return _cells(genes, revised, windows, directions, kinds, None).where("overlap_bp > 0")
 
 
-def dense_density(genes: DataFrame, revised: DataFrame, windows: Iterable[int], directions=(LEFT, INTRA, RIGHT), names: DataFrame | None = None) -> DataFrame:
+def dense_density(genes: DataFrame, revised: DataFrame, windows: Iterable[int], directions=(LEFT, INTRA, RIGHT), names: DataFrame | None = None, kinds: Sequence[str] = BOTH) -> DataFrame:
     """The full cube: every gene, direction and window for every name of its chromosome, 0 where nothing overlaps.
 
-    Zero rows are added to the overlaps before the sum, so that cells and overlaps meet in the one shuffle of the aggregate.
-    The names of a chromosome are few, as they are category labels.
+    `names` (chrom, te_category, te_name) are those of `revised`, taken from it if not given; a category label is one of a few
+    per chromosome. Given from the unmerged elements, they save a second revision.
     """
-    names = names_by_chromosome(revised) if names is None else names
-    cells = regions(genes.select("chrom", "gene_name", "start", "stop", "strand", "length"), windows, directions)
-    kept = [*CELL, "strand", "divisor", "te_category", "te_name", "overlap_bp"]
-    zeros = cells.join(names, "chrom").withColumn("overlap_bp", F.lit(0).cast("bigint")).select(kept)
-    met = overlaps(cells, revised).withColumn("c", F.explode(categories())).select("*", "c.te_category", "c.te_name")
-    met = met.join(names, ["chrom", "te_category", "te_name"], "left_semi").select(kept)
-    summed = zeros.unionByName(met).groupBy(*kept[:-1]).agg(F.sum("overlap_bp").alias("overlap_bp"))
-    return summed.withColumn("density", F.col("overlap_bp").cast("double") / F.col("divisor"))
+    return _cells(genes, revised, windows, directions, kinds, names_by_chromosome(revised, kinds) if names is None else names)
 
 
 def stranded(cube: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -10,6 +11,9 @@ from pyspark.sql import functions as F
 from locusweave.schema import INTRA, LEFT, RIGHT
 
 
+log = logging.getLogger(__name__)
+
+
 def left_start(start: Column, window: Column) -> Column:
     return F.greatest(start - 1 - window, F.lit(0))
 
@@ -19,22 +23,30 @@ def left_divisor(start: Column, window: Column) -> Column:
     return F.nullif(F.when(start - 1 - window <= 0, start).otherwise(window + 1), F.lit(0))
 
 
-def regions(genes: DataFrame, windows: Iterable[int], directions: Iterable[str] = (LEFT, INTRA, RIGHT)) -> DataFrame:
-    """One row per gene, direction and window (null inside the gene): r_start, r_stop, divisor.
+def region_structs(windows: Iterable[int], directions: Iterable[str] = (LEFT, INTRA, RIGHT)) -> list[dict[str, Column]]:
+    """The regions of a gene as columns over start, stop and length: direction, window (null inside the gene), r_start, r_stop, divisor.
 
-    Negative windows are skipped. Genes without a coordinate are left out.
+    Negative windows are skipped, and logged.
     """
-    windows, directions = sorted({int(w) for w in windows if int(w) >= 0}), set(directions)
+    given, directions = {int(w) for w in windows}, set(directions)
+    if any(w < 0 for w in given):
+        log.error("windows %s are negative and skipped", sorted(w for w in given if w < 0))
     start, stop, none = F.col("start"), F.col("stop"), F.lit(None).cast("bigint")
-    kinds = []
-    row = lambda d, w, a, b, n: F.struct(F.lit(d).alias("direction"), w.alias("window"), a.alias("r_start"), b.alias("r_stop"), n.cast("bigint").alias("divisor"))
-    for w in windows:
+    row = lambda d, w, a, b, n: {"direction": F.lit(d), "window": w, "r_start": a, "r_stop": b, "divisor": n.cast("bigint")}
+    out = []
+    for w in sorted(w for w in given if w >= 0):
         width = F.lit(w).cast("bigint")
         if LEFT in directions:
-            kinds.append(row(LEFT, width, left_start(start, width), start - 1, left_divisor(start, width)))
+            out.append(row(LEFT, width, left_start(start, width), start - 1, left_divisor(start, width)))
         if RIGHT in directions:
-            kinds.append(row(RIGHT, width, stop + 1, stop + 1 + width, width + 1))
+            out.append(row(RIGHT, width, stop + 1, stop + 1 + width, width + 1))
     if INTRA in directions:
-        kinds.append(row(INTRA, none, start, stop, F.nullif(F.col("length"), F.lit(0))))
+        out.append(row(INTRA, none, start, stop, F.nullif(F.col("length"), F.lit(0))))
+    return out
+
+
+def regions(genes: DataFrame, windows: Iterable[int], directions: Iterable[str] = (LEFT, INTRA, RIGHT)) -> DataFrame:
+    """One row per gene and region. Genes without a coordinate are left out."""
+    kinds = [F.struct(*(c.alias(n) for n, c in r.items())) for r in region_structs(windows, directions)]
     kept = genes.dropna(subset=["chrom", "start", "stop"])
     return kept.withColumn("r", F.explode(F.array(*kinds))).select(*genes.columns, "r.*")

@@ -30,8 +30,8 @@ def interval_union(df: DataFrame, keys: Sequence[str], stretch: int | None = Non
         stretch = STRETCH if (largest or 0) > most else None
     at = list(keys) if stretch is None else [*keys, "__stretch"]
     within = W.partitionBy(*at).orderBy("start", "stop").rowsBetween(W.unboundedPreceding, -1)
-    # by range: intervals with the same start are of one island, whichever of them begins it
-    until = W.partitionBy(*at).orderBy("start").rangeBetween(W.unboundedPreceding, 0)
+    # of rows with the same start only the first can begin an island, and both windows use one sort
+    until = W.partitionBy(*at).orderBy("start", "stop").rowsBetween(W.unboundedPreceding, 0)
     before, island = F.max("stop").over(within), F.max("__begin").over(until)
     begin = F.when(F.col("__before").isNull() | (F.col("start") > F.col("__before")), F.col("start"))
     if stretch is None:
@@ -64,8 +64,15 @@ def total_rows(tes: DataFrame, genome: Sequence[str] = ()) -> DataFrame:
     return _revised(tes, genome, F.lit(TOTAL), F.lit(TOTAL))
 
 
+def revision_rows(tes: DataFrame, genome: Sequence[str] = ()) -> DataFrame:
+    """Each element three times, relabelled for the union per superfamily, per order and over all; one scan and no union."""
+    label = lambda order, family: F.struct(order.alias("te_order"), family.alias("superfamily"))
+    labels = F.array(label(F.lit(S_REVISION), F.col("superfamily")), label(F.col("te_order"), F.lit(O_REVISION)), label(F.lit(TOTAL), F.lit(TOTAL)))
+    rows = tes.where(F.col("chrom").isNotNull()).select(*genome, "chrom", "start", "stop", "strand", F.explode(labels).alias("l"))
+    return rows.select(*genome, "chrom", "start", "stop", "strand", "l.te_order", "l.superfamily")
+
+
 def revise(tes: DataFrame, genome: Sequence[str] = ()) -> DataFrame:
     """Islands per superfamily, per order and over all, as one table. The relabelled rows keep the three unions apart, so
     that one pass makes them all."""
-    rows = superfamily_rows(tes, genome).unionByName(order_rows(tes, genome)).unionByName(total_rows(tes, genome))
-    return interval_union(rows, [*genome, "chrom", "te_order", "superfamily"])
+    return interval_union(revision_rows(tes, genome), [*genome, "chrom", "te_order", "superfamily"])

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from locusweave.schema import TOTAL
+
 WINDOWS = (500, 1000, 5000, 10000)
 
 
@@ -51,10 +53,10 @@ TES_SQL = """tes AS (
       CASE l_returnflag WHEN 'A' THEN 'LTR' WHEN 'N' THEN 'TIR' ELSE 'Helitron' END AS te_order, l_linestatus
     FROM lineitem)
 )"""
-REVISED_SQL = """keyed AS (
+REVISED_SQL = f"""keyed AS (
   SELECT chrom, start, stop, strand, 'S_Revision' AS te_order, superfamily FROM tes
   UNION SELECT chrom, start, stop, strand, te_order, 'O_Revision' FROM tes
-  UNION SELECT chrom, start, stop, strand, 'Total_TE_Density', 'Total_TE_Density' FROM tes
+  UNION SELECT chrom, start, stop, strand, '{TOTAL}', '{TOTAL}' FROM tes
 ), reach AS (
   SELECT *, max(stop) OVER (PARTITION BY chrom, te_order, superfamily ORDER BY start, stop, strand ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM keyed
 ), flagged AS (

@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from locusweave.functions import checks, names
 from locusweave.operators import density, query, stats
 from locusweave.operators.regions import regions
-from locusweave.operators.union import interval_union, order_rows, revise, superfamily_rows, total_rows
+from locusweave.operators.union import interval_union, order_rows, revise, revision_rows, superfamily_rows, total_rows
 from locusweave.plans.genome import WINDOWS, genes, raw_genes, sql, table, tes
-from locusweave.schema import INTRA, LEFT, ORDER, RIGHT, SUPERFAMILY
+from locusweave.schema import INTRA, LEFT, ORDER, RIGHT, SUPERFAMILY, TOTAL
 from locusweave.sources import annotations, sinks
 
+_KEYS = ["chrom", "te_order", "superfamily"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -33,17 +35,20 @@ def _revised(spark, d) -> DataFrame:
     return revise(tes(spark, d))
 
 
-def _cube(spark, d, directions=(LEFT, INTRA, RIGHT), windows=WINDOWS, rows=None) -> DataFrame:
-    return density.dense_density(genes(spark, d), _revised(spark, d) if rows is None else rows, windows, directions)
+BOTH = (ORDER, SUPERFAMILY)
+#: What a question may need of the revision: all three unions, or one of them.
+PARTS = {"all": revision_rows, "orders": order_rows, "total": total_rows}
 
 
-def _stranded(spark, d, directions=(LEFT, INTRA, RIGHT), windows=WINDOWS, rows=None) -> DataFrame:
-    return density.stranded(_cube(spark, d, directions, windows, rows))
+def _cube(spark, d, directions=(LEFT, INTRA, RIGHT), windows=WINDOWS, part="all", kinds=BOTH) -> DataFrame:
+    """The cube over one part of the revision. The names of a chromosome are those of the elements before they are merged, so
+    that the revision stands in the plan once."""
+    rows = PARTS[part](tes(spark, d))
+    return density.dense_density(genes(spark, d), interval_union(rows, _KEYS), windows, directions, density.names_by_chromosome(rows, kinds), kinds)
 
 
-def _orders(spark, d) -> DataFrame:
-    """Revised rows of real orders only: what a question about orders needs."""
-    return interval_union(order_rows(tes(spark, d)), ["chrom", "te_order", "superfamily"])
+def _stranded(spark, d, directions=(LEFT, INTRA, RIGHT), windows=WINDOWS, part="all", kinds=BOTH) -> DataFrame:
+    return density.stranded(_cube(spark, d, directions, windows, part, kinds))
 
 
 # ---- sources and cleaning -----------------------------------------------------------------------------------------
@@ -223,8 +228,6 @@ def chrom_set_diff(spark, d):
 
 # ---- revision -----------------------------------------------------------------------------------------------------
 
-_KEYS = ["chrom", "te_order", "superfamily"]
-
 
 @query_of(sql("SELECT * FROM revised WHERE te_order = 'S_Revision'", "revised"))
 def interval_union_superfamily(spark, d):
@@ -236,7 +239,7 @@ def interval_union_order(spark, d):
     return interval_union(order_rows(tes(spark, d)), _KEYS)
 
 
-@query_of(sql("SELECT * FROM revised WHERE te_order = 'Total_TE_Density'", "revised"))
+@query_of(sql(f"SELECT * FROM revised WHERE te_order = '{TOTAL}'", "revised"))
 def interval_union_total(spark, d):
     return interval_union(total_rows(tes(spark, d)), _KEYS)
 
@@ -288,18 +291,17 @@ _CELLS = ["chrom", "gene_name", "direction", "window", "te_name", "overlap_bp",
 
 @query_of(sql(f"SELECT {_CELL} FROM cube WHERE te_category = 'Order'", "cube"))
 def density_order(spark, d):
-    return _cube(spark, d).where(F.col("te_category") == ORDER).select(_CELLS)
+    return _cube(spark, d, kinds=(ORDER,)).select(_CELLS)
 
 
 @query_of(sql(f"SELECT {_CELL} FROM cube WHERE te_category = 'Superfamily'", "cube"))
 def density_superfamily(spark, d):
-    return _cube(spark, d).where(F.col("te_category") == SUPERFAMILY).select(_CELLS)
+    return _cube(spark, d, kinds=(SUPERFAMILY,)).select(_CELLS)
 
 
-@query_of(sql(f"SELECT {_CELL} FROM cube WHERE te_category = 'Order' AND te_name = 'Total_TE_Density'", "cube"))
+@query_of(sql(f"SELECT {_CELL} FROM cube WHERE te_category = 'Order' AND te_name = '{TOTAL}'", "cube"))
 def density_total(spark, d):
-    rows = interval_union(total_rows(tes(spark, d)), _KEYS)
-    return _cube(spark, d, rows=rows).where(F.col("te_category") == ORDER).select(_CELLS)
+    return _cube(spark, d, part="total", kinds=(ORDER,)).select(_CELLS)
 
 
 @query_of(sql('SELECT chrom, gene_name, direction, "window", te_category, te_name, overlap_bp, divisor, density FROM cube WHERE overlap_bp > 0', "cube"))
@@ -314,7 +316,7 @@ def stranded_density(spark, d):
 
 @query_of(sql("SELECT chrom, gene_name, density FROM stranded WHERE te_category = 'Order' AND te_name = 'LTR' AND direction = 'Upstream' AND \"window\" = 1000", "cube"))
 def density_slice(spark, d):
-    cube = density.stranded(_cube(spark, d, (LEFT, RIGHT), (1000,), _orders(spark, d)))
+    cube = _stranded(spark, d, (LEFT, RIGHT), (1000,), "orders", (ORDER,))
     return query.density_slice(cube, ORDER, "LTR", "Upstream", 1000, WINDOWS).select("chrom", "gene_name", "density")
 
 
@@ -335,7 +337,7 @@ FROM genes g LEFT JOIN stranded s ON s.chrom = g.chrom AND s.gene_name = g.gene_
 )
 def gene_te_columns(spark, d):
     wanted = [(ORDER, "LTR", "Upstream", 500), (ORDER, "TIR", "Downstream", 5000), (ORDER, "Helitron", "Intra", None), (ORDER, "Absent", "Intra", None)]
-    cube = density.stranded(_cube(spark, d, windows=(500, 5000), rows=_orders(spark, d)))
+    cube = _stranded(spark, d, windows=(500, 5000), part="orders", kinds=(ORDER,))
     return query.append_columns(genes(spark, d).select("chrom", "gene_name"), cube, wanted)
 
 
@@ -379,7 +381,7 @@ _UPDOWN = """means AS (
 
 @query_of(sql("SELECT chrom, te_name, round(up, 6) AS up, round(down, 6) AS down, round((up + down) / 2, 6) AS mid, round((up - (up + down) / 2) ** 2 / ((up + down) / 2) + (down - (up + down) / 2) ** 2 / ((up + down) / 2), 6) AS chi_square FROM means", "cube", _UPDOWN))
 def updown_midpoint_chisq(spark, d):
-    cube = density.without_revisions(_stranded(spark, d, (LEFT, RIGHT), (1000,))).where(F.col("te_category") == ORDER)
+    cube = density.without_revisions(_stranded(spark, d, (LEFT, RIGHT), (1000,), kinds=(ORDER,)))
     side = lambda x: F.avg(F.when(F.col("direction") == x, F.col("density")))
     m = cube.groupBy("chrom", "te_name").agg(side("Upstream").alias("up"), side("Downstream").alias("down")).withColumn("mid", (F.col("up") + F.col("down")) / 2)
     chi = stats.chi_square([F.col("up"), F.col("down")], F.nullif(F.col("mid"), F.lit(0.0)))
@@ -403,23 +405,27 @@ LEFT JOIN (SELECT te_name, {_bin_sql("density")} AS bin FROM slice) c ON c.te_na
     )
 )
 def density_bins(spark, d):
-    cube = density.without_revisions(_stranded(spark, d, (LEFT, RIGHT), (1000,))).where((F.col("te_category") == ORDER) & (F.col("direction") == "Upstream"))
+    cube = density.without_revisions(_stranded(spark, d, (LEFT, RIGHT), (1000,), kinds=(ORDER,))).where(F.col("direction") == "Upstream")
     return stats.count_bins(cube.select("te_name", "density"), F.col("density"), ("te_name",))
 
 
 @query_of(sql("SELECT te_name, round(avg(CASE WHEN density >= 0.5 THEN 1.0 ELSE 0.0 END), 9) AS share FROM stranded WHERE te_category = 'Order' AND direction = 'Upstream' AND \"window\" = 1000 GROUP BY te_name", "cube"))
 def share_over_half(spark, d):
-    cube = _stranded(spark, d, (LEFT, RIGHT), (1000,)).where((F.col("te_category") == ORDER) & (F.col("direction") == "Upstream"))
+    cube = _stranded(spark, d, (LEFT, RIGHT), (1000,), kinds=(ORDER,)).where(F.col("direction") == "Upstream")
     return stats.share_at_least(cube, "density", 0.5, ("te_name",)).withColumn("share", F.round("share", 9))
 
 
-_TOTAL_UP = """total_up AS (SELECT gene_name, density FROM stranded WHERE te_category = 'Order' AND te_name = 'Total_TE_Density' AND direction = 'Upstream' AND "window" = 5000)"""
+_TOTAL_UP = f"""total_up AS (SELECT gene_name, density FROM stranded WHERE te_category = 'Order' AND te_name = '{TOTAL}' AND direction = 'Upstream' AND "window" = 5000)"""
+
+
+def _total_up(spark, d) -> DataFrame:
+    cube = _stranded(spark, d, (LEFT, RIGHT), (5000,), "total", (ORDER,))
+    return cube.where(F.col("direction") == "Upstream").select("gene_name", "density")
 
 
 @query_of(sql("SELECT gene_name, density FROM total_up WHERE density >= (SELECT quantile_cont(density, 0.99) FROM total_up)", "cube", _TOTAL_UP))
 def outlier_genes_p99(spark, d):
-    rows = interval_union(total_rows(tes(spark, d)), _KEYS)
-    cube = density.stranded(_cube(spark, d, (LEFT, RIGHT), (5000,), rows)).where((F.col("te_category") == ORDER) & (F.col("direction") == "Upstream"))
+    cube = _total_up(spark, d)
     return query.outliers(cube.select("gene_name", "density"), "density").select("gene_name", "density")
 
 
@@ -432,8 +438,7 @@ def outlier_genes_p99(spark, d):
 )
 def outlier_counterparts(spark, d):
     """As many ordinary genes as there are outliers, drawn in hash order: the sample is the operator."""
-    rows = interval_union(total_rows(tes(spark, d)), _KEYS)
-    cube = density.stranded(_cube(spark, d, (LEFT, RIGHT), (5000,), rows)).where((F.col("te_category") == ORDER) & (F.col("direction") == "Upstream")).select("gene_name", "density")
+    cube = _total_up(spark, d)
     edges = cube.agg(F.percentile("density", F.lit(0.01)).alias("low"), F.percentile("density", F.lit(0.99)).alias("high"))
     marked = cube.crossJoin(F.broadcast(edges))
     n = marked.where("density >= high").count()
@@ -442,16 +447,18 @@ def outlier_counterparts(spark, d):
 
 _DIFF = """pairs AS (
   SELECT 'gene_' || p_partkey AS gene_a, 'gene_' || (p_partkey + 5) AS gene_b FROM part WHERE p_partkey % 2 = 1
+), compared AS MATERIALIZED (
+  SELECT gene_name, te_category, te_name, direction, "window", density FROM stranded
+  WHERE te_category = 'Order' AND direction <> 'Intra' AND "window" IN (1000, 5000) AND NOT contains(te_name, 'Revision')
 ), diffs AS (
   SELECT gene_a, gene_b, a.te_category, a.te_name, a.direction, a."window", a.density - b.density AS difference
-  FROM pairs JOIN stranded a ON a.gene_name = gene_a JOIN stranded b ON b.gene_name = gene_b AND a.te_category = b.te_category AND a.te_name = b.te_name AND a.direction = b.direction AND a."window" IS NOT DISTINCT FROM b."window"
-  WHERE a.te_category = 'Order' AND a.direction <> 'Intra' AND a."window" IN (1000, 5000) AND NOT contains(a.te_name, 'Revision')
+  FROM pairs JOIN compared a ON a.gene_name = gene_a JOIN compared b ON b.gene_name = gene_b AND a.te_name = b.te_name AND a.direction = b.direction AND a."window" = b."window"
 )"""
 
 
 def _differences(spark, d) -> DataFrame:
     pairs = table(spark, d, "part").where("p_partkey % 2 = 1").selectExpr("concat('gene_', p_partkey) AS gene_a", "concat('gene_', p_partkey + 5) AS gene_b")
-    cube = density.without_revisions(_stranded(spark, d, (LEFT, RIGHT), (1000, 5000))).where(F.col("te_category") == ORDER)
+    cube = density.without_revisions(_stranded(spark, d, (LEFT, RIGHT), (1000, 5000), kinds=(ORDER,)))
     return query.paired_differences(pairs, cube, cube)
 
 
@@ -502,8 +509,7 @@ def _expression(spark, d) -> DataFrame:
     )
 )
 def expression_by_density_bin(spark, d):
-    rows = interval_union(total_rows(tes(spark, d)), _KEYS)
-    cube = density.stranded(_cube(spark, d, (LEFT, RIGHT), (5000,), rows)).where((F.col("te_category") == ORDER) & (F.col("direction") == "Upstream"))
+    cube = _total_up(spark, d)
     tpm = F.col("cents") / F.col("n") / F.lit(1e7)
     joined = cube.select("gene_name", "density").join(_expression(spark, d), "gene_name").where(tpm >= 0.1).withColumn("bin", stats.density_bin(F.col("density")))
     return joined.where("bin IS NOT NULL").groupBy("bin").agg(F.count("*").alias("n"), F.round(F.avg(F.log10(tpm + 1)), 6).alias("mean_log"))
@@ -511,15 +517,14 @@ def expression_by_density_bin(spark, d):
 
 @query_of(sql(f"SELECT within_boundary, bin, CAST(count(*) AS BIGINT) AS n FROM (SELECT within_boundary, {_bin_sql('density')} AS bin FROM flagged_genes JOIN total_up USING (gene_name)) WHERE bin IS NOT NULL GROUP BY ALL", "cube", _TOTAL_UP, _BOUNDS, _FLAGGED))
 def centromere_density_bins(spark, d):
-    rows = interval_union(total_rows(tes(spark, d)), _KEYS)
-    cube = density.stranded(_cube(spark, d, (LEFT, RIGHT), (5000,), rows)).where((F.col("te_category") == ORDER) & (F.col("direction") == "Upstream"))
+    cube = _total_up(spark, d)
     joined = _flagged(spark, d).select("gene_name", "within_boundary").join(cube.select("gene_name", "density"), "gene_name")
     return joined.withColumn("bin", stats.density_bin(F.col("density"))).where("bin IS NOT NULL").groupBy("within_boundary", "bin").agg(F.count("*").alias("n"))
 
 
 @query_of(sql("""SELECT chrom, gene_name, max(density) FILTER (WHERE direction = 'Upstream') AS upstream, max(density) FILTER (WHERE direction = 'Downstream') AS downstream FROM stranded WHERE te_category = 'Order' AND te_name = 'TIR' AND "window" = 1000 GROUP BY ALL""", "cube"))
 def paired_columns(spark, d):
-    return sinks.paired_columns(density.stranded(_cube(spark, d, (LEFT, RIGHT), (1000,), _orders(spark, d))), ORDER, "TIR", 1000)
+    return sinks.paired_columns(_stranded(spark, d, (LEFT, RIGHT), (1000,), "orders", (ORDER,)), ORDER, "TIR", 1000)
 
 
 # ---- descriptive statistics ---------------------------------------------------------------------------------------

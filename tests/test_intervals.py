@@ -76,7 +76,7 @@ def test_union_touching_nested_and_adjacent(spark):
     pick = lambda o: [r["length"] for r in sorted((r for r in revised if r["te_order"] == o), key=lambda r: r["start"])]
     assert pick("LTR") == [608, 792]
     assert pick("TIR") == [201, 10]
-    assert pick("Total_TE_Density") == [5, 608, 792, 201, 10]
+    assert pick("All_Elements") == [5, 608, 792, 201, 10]
 
 
 @pytest.mark.parametrize("stretch", [7, 50, 1 << 20, None])
@@ -115,7 +115,7 @@ def test_densities_lie_between_0_and_1(spark):
     real = cube.where(~F.col("te_name").contains("Revision"))
     assert real.where("density < 0 OR density > 1").isEmpty()
     sums = real.where("te_category = 'Order'").groupBy("gene_name", "direction", "window").agg(
-        F.sum(F.when(F.col("te_name") != "Total_TE_Density", F.col("overlap_bp"))).alias("parts"), F.max(F.when(F.col("te_name") == "Total_TE_Density", F.col("overlap_bp"))).alias("all")
+        F.sum(F.when(F.col("te_name") != "All_Elements", F.col("overlap_bp"))).alias("parts"), F.max(F.when(F.col("te_name") == "All_Elements", F.col("overlap_bp"))).alias("all")
     )
     assert sums.where("parts < `all`").isEmpty()
 
