@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import argparse
+import hashlib
 import logging
+from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +23,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("tes_input_file")
     p.add_argument("genome_id")
     p.add_argument("--config_file", "-c", help="INI file with first_window_size, window_delta and last_window_size")
-    p.add_argument("--output_dir", "-o", default="../TE_Data")
+    p.add_argument("--output_dir", "-o", default="densities")
     p.add_argument("--num_threads", "-n", type=int, help="local cores, where no master is set")
     p.add_argument("--revise_anno", action="store_true", help="revise again even if a revised annotation is there")
     p.add_argument("--reset_h5", "--recompute", dest="recompute", action="store_true", help="compute the density again even if it is there")
@@ -39,7 +41,18 @@ def exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
-def main(argv: list[str] | None = None) -> None:
+def run_key(spark: SparkSession, inputs: Sequence[str], settings: Sequence[object] = ()) -> str:
+    """A short digest of the input files (paths, sizes, times of change) and the settings that a stored table depends on."""
+    files = []
+    for path in inputs:
+        for r in annotations.list_files(spark, path).collect():
+            files.append((r["path"], r["length"], str(r["modificationTime"])))
+    return hashlib.sha256(repr((sorted(files), [str(s) for s in settings])).encode()).hexdigest()[:16]
+
+
+def main(argv: list[str] | None = None) -> str:
+    """Returns the folder of the density table. Tables of other inputs, windows or modes have folders of their own, so that a
+    stored table is only used again for what it was made from."""
     args = parser().parse_args(argv)
     logging.basicConfig(level=logging.DEBUG if args.verbose else logging.INFO)
     builder = SparkSession.builder.appName("locusweave")
@@ -50,13 +63,16 @@ def main(argv: list[str] | None = None) -> None:
     genes, tes = annotations.read_genes(spark, args.genes_input_file), annotations.read_tes(spark, args.tes_input_file)
     checks.validate(genes, tes)
     genome = F.lit(args.genome_id)
-    revised_path, density_path = (f"{args.output_dir}/{args.genome_id}/{k}" for k in ("revised", "density"))
+    base, mode = f"{args.output_dir}/{args.genome_id}", "sparse" if args.sparse else "dense"
+    revised_path = f"{base}/revised/{run_key(spark, [args.tes_input_file])}"
+    density_path = f"{base}/density/{run_key(spark, [args.genes_input_file, args.tes_input_file], [*windows, mode])}"
     if args.revise_anno or not exists(spark, revised_path):
         sinks.write_cache(revise(tes).withColumn("genome_id", genome), revised_path)
     if args.recompute or args.revise_anno or not exists(spark, density_path):
         make = sparse_density if args.sparse else dense_density
-        sinks.write_density(make(genes, spark.read.parquet(revised_path), windows).withColumn("genome_id", genome), density_path)
+        sinks.write_density(make(genes, annotations.read_revised(spark, revised_path), windows).withColumn("genome_id", genome), density_path)
     logging.info("density table: %s", density_path)
+    return density_path
 
 
 if __name__ == "__main__":

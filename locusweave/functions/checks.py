@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import logging
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+log = logging.getLogger(__name__)
+
 
 def bad_strands(rows: DataFrame) -> DataFrame:
     return rows.where(~F.coalesce(F.col("strand").isin("+", "-", "."), F.lit(False)))
@@ -51,6 +55,29 @@ def same_content(a: DataFrame, b: DataFrame) -> bool:
     return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
+def same_axes(a: DataFrame, b: DataFrame, axes: Sequence[str] = ("te_category", "te_name", "direction", "window")) -> None:
+    """Two cubes can be compared or joined: TypeError if their columns differ, ValueError if an axis has other values."""
+    if sorted(a.dtypes) != sorted(b.dtypes):
+        raise TypeError(f"columns {a.dtypes} and {b.dtypes}")
+    for axis in axes:
+        x, y = a.select(axis).distinct(), b.select(axis).distinct()
+        require(x.exceptAll(y).unionByName(y.exceptAll(x)), f"values of {axis} that only one table has")
+
+
+def missing(names: DataFrame, rows: DataFrame, name: str = "gene_name") -> DataFrame:
+    """Names that no row bears."""
+    return names.select(name).distinct().join(rows, name, "left_anti")
+
+
+def known_only(names: DataFrame, rows: DataFrame, name: str = "gene_name") -> DataFrame:
+    """The names that some row bears; how many others there were is logged, with the first of them."""
+    odd = missing(names, rows, name)
+    first = [r[0] for r in odd.take(5)]
+    if first:
+        log.error("%d names are unknown and skipped, such as %s", odd.count(), first)
+    return names.join(rows, name, "left_semi")
+
+
 def require(offending: DataFrame, what: str) -> None:
     rows = offending.take(5)
     if rows:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from locusweave.functions import checks
 from locusweave.schema import DOWNSTREAM, INTRA, ORDER, SUPERFAMILY, UPSTREAM
 
 
@@ -30,6 +31,44 @@ def density_slice(cube: DataFrame, te_category: str, te_name: str, direction: st
     return cube.where((F.col("te_category") == te_category) & (F.col("te_name") == te_name) & (F.col("direction") == direction) & same)
 
 
+def require_name(cube: DataFrame, te_category: str, te_name: str) -> None:
+    """ValueError if no row of the cube bears the name."""
+    if cube.where((F.col("te_category") == te_category) & (F.col("te_name") == te_name)).isEmpty():
+        raise ValueError(f"the cube has no {te_category} {te_name!r}")
+
+
+def gene(rows: DataFrame, name: str) -> DataFrame:
+    """The rows of one gene; KeyError if there are none."""
+    found = rows.where(F.col("gene_name") == name)
+    if found.isEmpty():
+        raise KeyError(name)
+    return found
+
+
+def require_genes(rows: DataFrame, names: DataFrame) -> None:
+    """KeyError if a wanted gene_name is in no row."""
+    lost = [r[0] for r in checks.missing(names, rows).take(5)]
+    if lost:
+        raise KeyError(lost)
+
+
+def reindex(rows: DataFrame, keys: DataFrame, by: str = "gene_name") -> DataFrame:
+    """A row for every key, with nulls where there was none; rows of other keys go. `keys` may carry a position to sort by."""
+    return keys.join(rows, by, "left")
+
+
+def dimension(cube: DataFrame, axis: str) -> DataFrame:
+    """The distinct values of an axis and their places by order, from 0; axes are windows, names or directions: few."""
+    values = cube.select(axis).distinct().where(F.col(axis).isNotNull())
+    return values.withColumn("place", F.row_number().over(W.orderBy(axis)) - 1)
+
+
+def register_views(genes: DataFrame, tes: DataFrame, cube: DataFrame) -> None:
+    """The tables by name, for questions in SQL."""
+    for name, rows in (("genes", genes), ("tes", tes), ("density", cube)):
+        rows.createOrReplaceTempView(name)
+
+
 def gene_index(genes: DataFrame) -> DataFrame:
     """Position of each gene among those of its chromosome, by (start, gene_name), from 0."""
     order = W.partitionBy("chrom").orderBy("start", "gene_name")
@@ -43,7 +82,8 @@ def column_name(te_name: str, direction: str, window: int | None) -> str:
 def append_columns(genes: DataFrame, cube: DataFrame, wanted: Sequence[tuple[str, str, str, int | None]]) -> DataFrame:
     """Adds one column per (category, name, direction, window) to the gene table, 0 where the chromosome lacks the name.
 
-    One conditional aggregate makes them all, instead of a join per column.
+    One conditional aggregate makes them all, instead of a join per column. Names are not looked up beforehand: a column of a
+    name that occurs nowhere is 0 throughout (require_name tells).
     """
     picks = []
     for category, name, direction, window in wanted:
@@ -68,8 +108,15 @@ def top_bottom(cube: DataFrame, window: int, n: int = 5) -> DataFrame:
     return most.unionByName(least)
 
 
-def paired_differences(pairs: DataFrame, cube_a: DataFrame, cube_b: DataFrame) -> DataFrame:
-    """density of gene_a minus that of gene_b for each pair (gene_a, gene_b), per name, window and direction."""
+def paired_differences(pairs: DataFrame, cube_a: DataFrame, cube_b: DataFrame, check: bool = False) -> DataFrame:
+    """density of gene_a minus that of gene_b for each pair (gene_a, gene_b), per name, window and direction.
+
+    With `check`, cubes of other names, windows or directions are an error, as are pairs whose gene is in no cube.
+    """
+    if check:
+        checks.same_axes(cube_a, cube_b)
+        for cube, side in ((cube_a, "gene_a"), (cube_b, "gene_b")):
+            require_genes(cube, pairs.select(F.col(side).alias("gene_name")))
     key = ["te_category", "te_name", "direction", "window"]
     a = cube_a.select(F.col("gene_name").alias("gene_a"), *key, F.col("density").alias("density_a"))
     b = cube_b.select(F.col("gene_name").alias("gene_b"), *(F.col(k).alias(f"b_{k}") for k in key), F.col("density").alias("density_b"))

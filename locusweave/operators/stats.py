@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import math
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 #: Edges of the ten density bins, as adding up steps of 0.1 gives them.
 EDGES = tuple(k * 0.1 for k in range(11))
@@ -46,6 +48,12 @@ def chi_square_p(statistic: float) -> float:
     return math.erfc(math.sqrt(statistic / 2))
 
 
+@F.pandas_udf(DoubleType())
+def chi_square_p_column(statistic: pd.Series) -> pd.Series:
+    """chi_square_p of a column; no built-in function gives the error function. Null stays null."""
+    return statistic.map(chi_square_p, na_action="ignore")
+
+
 def row_mean(columns: list[str]) -> Column:
     """Mean over columns that are not null; null if all are."""
     total = sum((F.coalesce(F.col(c), F.lit(0.0)) for c in columns[1:]), F.coalesce(F.col(columns[0]), F.lit(0.0)))
@@ -54,9 +62,9 @@ def row_mean(columns: list[str]) -> Column:
 
 
 def lengths_by(rows: DataFrame, by: str) -> DataFrame:
-    """Count, sum, mean and median of lengths per group; rows without a group are left out."""
+    """Count, sum (also in billions of bases), mean and median of lengths per group; rows without a group are left out."""
     return rows.where(F.col(by).isNotNull()).groupBy(by).agg(
-        F.count("*").alias("n"), F.sum("length").alias("total"), F.avg("length").alias("mean"), F.median("length").alias("median")
+        F.count("*").alias("n"), F.sum("length").alias("total"), (F.sum("length") / F.lit(1e9)).alias("total_gb"), F.avg("length").alias("mean"), F.median("length").alias("median")
     )
 
 

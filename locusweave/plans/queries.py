@@ -501,18 +501,56 @@ def _expression(spark, d) -> DataFrame:
     return table(spark, d, "orders").groupBy(F.concat(F.lit("gene_"), "o_custkey").alias("gene_name")).agg(cents.cast("double").alias("cents"), F.count("*").alias("n"))
 
 
-@query_of(
-    sql(
+def _expression_sql(test: str) -> str:
+    return sql(
         f"""SELECT bin, CAST(count(*) AS BIGINT) AS n, round(avg(log10(cents / n / 1e7 + 1)), 6) AS mean_log FROM (
-  SELECT {_bin_sql("density")} AS bin, cents, n FROM total_up JOIN expression USING (gene_name) WHERE cents / n / 1e7 >= 0.1) WHERE bin IS NOT NULL GROUP BY bin""",
+  SELECT {_bin_sql("density")} AS bin, cents, n FROM total_up JOIN expression USING (gene_name) WHERE cents / n / 1e7 {test}) WHERE bin IS NOT NULL GROUP BY bin""",
         "cube", _TOTAL_UP, _EXPRESSION,
     )
-)
+
+
+_TPM = "cents / n / 1e7D"
+
+
+def _expression_by_bin(spark, d, wanted) -> DataFrame:
+    joined = _total_up(spark, d).join(_expression(spark, d), "gene_name").where(f"{_TPM} {wanted}").withColumn("bin", stats.density_bin(F.col("density")))
+    return joined.where("bin IS NOT NULL").groupBy("bin").agg(F.count("*").alias("n"), F.round(F.avg(F.log10(F.expr(_TPM) + 1)), 6).alias("mean_log"))
+
+
+@query_of(_expression_sql(">= 0.1"))
 def expression_by_density_bin(spark, d):
-    cube = _total_up(spark, d)
-    tpm = F.col("cents") / F.col("n") / F.lit(1e7)
-    joined = cube.select("gene_name", "density").join(_expression(spark, d), "gene_name").where(tpm >= 0.1).withColumn("bin", stats.density_bin(F.col("density")))
-    return joined.where("bin IS NOT NULL").groupBy("bin").agg(F.count("*").alias("n"), F.round(F.avg(F.log10(tpm + 1)), 6).alias("mean_log"))
+    return _expression_by_bin(spark, d, ">= 0.1D")
+
+
+@query_of(_expression_sql("< 1.3"))
+def low_expression_by_density_bin(spark, d):
+    """Genes below a threshold of expression (1.3 here, as none of the test tables' genes lies near 0)."""
+    return _expression_by_bin(spark, d, "< 1.3D")
+
+
+@query_of(
+    sql(
+        """SELECT within_boundary, CAST(count(*) AS BIGINT) AS genes, round(avg(CASE WHEN density >= 0.5 THEN 1.0 ELSE 0.0 END), 9) AS share, round(avg(log10(cents / n / 1e7 + 1)), 6) AS mean_log
+FROM flagged_genes JOIN total_up USING (gene_name) JOIN expression USING (gene_name) GROUP BY within_boundary""",
+        "cube", _TOTAL_UP, _BOUNDS, _FLAGGED, _EXPRESSION,
+    )
+)
+def centromere_expression(spark, d):
+    rows = _flagged(spark, d).select("gene_name", "within_boundary").join(_total_up(spark, d), "gene_name").join(_expression(spark, d), "gene_name")
+    share = F.round(F.avg(F.when(F.col("density") >= 0.5, 1.0).otherwise(0.0)), 9)
+    return rows.groupBy("within_boundary").agg(F.count("*").alias("genes"), share.alias("share"), F.round(F.avg(F.log10(F.expr(_TPM) + 1)), 6).alias("mean_log"))
+
+
+@query_of(
+    sql(
+        """SELECT g.gene_name, g.chrom, s.density FROM (SELECT DISTINCT 'gene_' || o_custkey AS gene_name FROM orders) k JOIN genes g USING (gene_name)
+LEFT JOIN (SELECT gene_name, density FROM total_up WHERE density > 0.2) s USING (gene_name)""",
+        "cube", _TOTAL_UP,
+    )
+)
+def reindexed_density(spark, d):
+    keys = table(spark, d, "orders").selectExpr("concat('gene_', o_custkey) AS gene_name").distinct().join(genes(spark, d).select("gene_name", "chrom"), "gene_name")
+    return query.reindex(_total_up(spark, d).where("density > 0.2"), keys)
 
 
 @query_of(sql(f"SELECT within_boundary, bin, CAST(count(*) AS BIGINT) AS n FROM (SELECT within_boundary, {_bin_sql('density')} AS bin FROM flagged_genes JOIN total_up USING (gene_name)) WHERE bin IS NOT NULL GROUP BY ALL", "cube", _TOTAL_UP, _BOUNDS, _FLAGGED))

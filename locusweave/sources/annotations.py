@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from locusweave.functions import checks
+from locusweave.schema import DENSITY, GENES, REVISED, TES
 
 #: What the text readers take for a missing value.
 MISSING = ("", "NA", "NULL", "NaN", "nan", "null", "N/A", "n/a", "#N/A")
@@ -141,6 +142,17 @@ def one_library(matrix: DataFrame, library: str) -> DataFrame:
     return matrix.select("gene_name", F.log10(F.col(f"`{library}`") + 1).alias("expression"))
 
 
+def read_fpkm(spark: SparkSession, path: str, library: str, gene: str = "Gene", sep: str = ",") -> DataFrame:
+    """gene_name and log10(x + 1) of one library of a table with many columns; only these two are read."""
+    raw = spark.read.csv(path, sep=sep, header=True)
+    return raw.select(F.col(f"`{gene}`").alias("gene_name"), F.log10(F.col(f"`{library}`").try_cast("double") + 1).alias("expression"))
+
+
+def prefix_chromosomes(rows: DataFrame, prefix: str) -> DataFrame:
+    """Chromosome names with a text before them, as where scaffolds are only numbered."""
+    return rows.withColumn("chrom", F.concat(F.lit(prefix), "chrom"))
+
+
 def read_names(spark: SparkSession, path: str) -> DataFrame:
     """One gene name a line."""
     return spark.read.text(path).select(F.trim("value").alias("gene_name")).where("gene_name <> ''")
@@ -155,26 +167,73 @@ def windows_from_ini(path: str) -> range:
     return range(first, last + 1, delta)
 
 
+#: Lines of a file whose headers one task numbers.
+RUN_OF_LINES = 1 << 20
+
+
 def rename_sequences(lines: DataFrame, listed: Sequence[str], prefix: str = "Auxiliary_") -> DataFrame:
     """FASTA headers (line, value): a listed id keeps its name; the others are numbered by order in the file.
 
-    Only the other headers are numbered, so one task sees as many rows as there are contigs.
+    Headers are numbered within runs of lines, and what stands before a run comes from a table with one row per run.
     """
     from pyspark.sql import Window as W
 
     name = F.get(F.split(F.substring("value", 2, 1 << 30), r"\s+"), F.lit(0))
     heads = lines.where(F.col("value").startswith(">")).withColumn("id", name)
     known_ids = heads.where(F.col("id").isin(*listed)).select("line", F.col("id").alias("name"))
-    others = heads.where(~F.col("id").isin(*listed)).select("line", F.concat(F.lit(prefix), F.row_number().over(W.partitionBy(F.lit(0)).orderBy("line"))).alias("name"))
-    return lines.join(known_ids.unionByName(others), "line", "left").select("line", F.coalesce(F.concat(F.lit(">"), "name"), "value").alias("value"))
+    others = heads.where(~F.col("id").isin(*listed)).select("line", F.floor(F.col("line") / RUN_OF_LINES).alias("run"))
+    before = F.coalesce(F.sum("n").over(W.orderBy("run").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    runs = others.groupBy("run").agg(F.count("*").alias("n")).select("run", before.alias("before"))
+    nth = F.row_number().over(W.partitionBy("run").orderBy("line")) + F.col("before")
+    numbered = others.join(runs, "run").select("line", F.concat(F.lit(prefix), nth).alias("name"))
+    return lines.join(known_ids.unionByName(numbered), "line", "left").select("line", F.coalesce(F.concat(F.lit(">"), "name"), "value").alias("value"))
+
+
+def list_files(spark: SparkSession, folder: str, suffix: str = "") -> DataFrame:
+    """path, length and modificationTime of the files under a folder (or of one file) whose names end in `suffix`, subfolders
+    included, by path. Contents are not read."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    reader = reader.option("pathGlobFilter", f"*{suffix}") if suffix else reader
+    return reader.load(folder).select("path", "length", "modificationTime").orderBy("path")
+
+
+def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A table of ours, by its schema: partition values such as 01 stay text."""
+    return spark.read.schema(schema).parquet(path)
+
+
+def read_revised(spark: SparkSession, path: str) -> DataFrame:
+    return _stored(spark, path, REVISED)
+
+
+def read_cached_genes(spark: SparkSession, path: str, chrom: str | None = None) -> DataFrame:
+    """Genes as written by sinks.write_cache, of one chromosome if one is named; they must be of one genome."""
+    return _cached(_stored(spark, path, GENES), chrom)
+
+
+def read_cached_tes(spark: SparkSession, path: str, chrom: str | None = None) -> DataFrame:
+    return _cached(_stored(spark, path, TES), chrom)
+
+
+def _cached(rows: DataFrame, chrom: str | None) -> DataFrame:
+    rows = rows if chrom is None else rows.where(F.col("chrom") == chrom)
+    checks.single_genome(rows)
+    return rows
 
 
 def read_density(spark: SparkSession, path: str, genome_id: str | None = None) -> DataFrame:
     """The density table as written by sinks.write_density; genome and chromosome are partitions and prune."""
-    rows = spark.read.parquet(path)
+    rows = _stored(spark, path, DENSITY)
     return rows if genome_id is None else rows.where(F.col("genome_id") == genome_id)
 
 
+def read_density_with_genes(spark: SparkSession, path: str, genes: DataFrame) -> DataFrame:
+    """The density table of just the chromosomes that `genes` has; an error if either has one that the other lacks."""
+    rows = read_density(spark, path)
+    checks.require(checks.chromosome_difference(genes, rows), "chromosomes that only the genes or only the densities have")
+    return rows
+
+
 def read_density_files(spark: SparkSession, paths: Sequence[str] | str, pattern: str) -> DataFrame:
     """Density files whose chromosome stands in the file's name, as the pattern's first group; it must agree with the rows."""
     rows = spark.read.parquet(*([paths] if isinstance(paths, str) else paths)).withColumn("__chrom", F.regexp_extract(F.input_file_name(), pattern, 1))

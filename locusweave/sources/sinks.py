@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from locusweave.functions import checks
+
 CODECS = ("snappy", "zstd", "gzip", "lz4", "none")
 
 
@@ -23,6 +27,28 @@ def write_tsv(rows: DataFrame, path: str, header: bool = True) -> None:
     rows.write.mode("overwrite").csv(path, sep="\t", header=header)
 
 
+#: Headers of cleaned tables, which the readers want.
+GENE_HEADER = {"gene_name": "Gene_Name", "chrom": "Chromosome", "feature": "Feature", "start": "Start", "stop": "Stop", "strand": "Strand", "length": "Length"}
+TE_HEADER = {"chrom": "Chromosome", "start": "Start", "stop": "Stop", "strand": "Strand", "te_order": "Order", "superfamily": "SuperFamily", "length": "Length"}
+
+
+def write_cleaned_genes(genes: DataFrame, path: str) -> None:
+    """A gene table that annotations.read_genes reads."""
+    write_tsv(genes.select(*(F.col(c).alias(n) for c, n in GENE_HEADER.items())), path)
+
+
+def write_cleaned_tes(tes: DataFrame, path: str) -> None:
+    """An element table that annotations.read_tes reads."""
+    write_tsv(tes.select(*(F.col(c).alias(n) for c, n in TE_HEADER.items())), path)
+
+
+def append_checked(rows: DataFrame, path: str, axes: Sequence[str] = ("te_category", "te_name", "direction", "window")) -> None:
+    """Adds rows to a stored table whose columns and axis values they must share: TypeError or ValueError otherwise."""
+    there = rows.sparkSession.read.parquet(path)
+    checks.same_axes(there, rows, axes)
+    rows.select(*there.columns).write.mode("append").parquet(path)
+
+
 def gff_rows(tes: DataFrame) -> DataFrame:
     """The nine columns of a GFF; source, score, phase and attributes are constants."""
     return tes.select(
