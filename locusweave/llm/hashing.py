@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,6 +14,7 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+_GAP = re.compile(rb"[\x20\x09-\x0D]")
 #: Bytes of text that are worked on at once.
 SLAB = 1 << 19
 
@@ -41,12 +43,7 @@ def _powers(n: int) -> np.ndarray:
 _POWERS = _powers(1 << 12)
 
 
-def word_hashes(texts: list[bytes], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """The hashes of all words `[^\\x20\\x09-\\x0D]+` of the texts in order, and how many each text has.
-
-    A word's hash sums random values of its bytes times powers of an odd number; as prefix sums wrap around, a word's
-    sum is a difference of two of them, brought to the same power by the inverse.
-    """
+def _word_hashes(texts: list[bytes], lower: bool) -> tuple[np.ndarray, np.ndarray]:
     data = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
     if not len(data):
         return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
@@ -74,6 +71,35 @@ def word_hashes(texts: list[bytes], lower: bool = True) -> tuple[np.ndarray, np.
     return out, counts
 
 
+def pieces(text: bytes) -> list[bytes]:
+    """A long text cut at white space into parts of about SLAB bytes; a word is never cut."""
+    if len(text) <= 2 * SLAB:
+        return [text]
+    out, at = [], 0
+    while at < len(text):
+        m = _GAP.search(text, min(len(text), at + SLAB))
+        end = m.end() if m else len(text)
+        out.append(text[at:end])
+        at = end
+    return out
+
+
+def word_hashes(texts: list[bytes], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all words `[^\\x20\\x09-\\x0D]+` of the texts in order, and how many each text has.
+
+    A word's hash sums random values of its bytes times powers of an odd number; as prefix sums wrap around, a word's
+    sum is a difference of two of them, brought to the same power by the inverse. Long texts are hashed piece by piece.
+    """
+    if sum(map(len, texts)) <= 2 * SLAB:
+        return _word_hashes(texts, lower)
+    found, counts = [], []
+    for text in texts:
+        parts = [_word_hashes([p], lower) for p in pieces(text)]
+        found += [h for h, _ in parts]
+        counts.append(sum(int(n.sum()) for _, n in parts))
+    return np.concatenate(found), np.array(counts, np.int64)
+
+
 def slabs(texts: list[str | None]) -> Iterator[tuple[int, list[bytes]]]:
     """Whole texts in UTF-8, in runs of about SLAB bytes; each with the number of its first text."""
     run, size, first = [], 0, 0
@@ -121,6 +147,8 @@ SHAPES = 2048
 
 def word_shapes(texts: list[bytes]) -> np.ndarray:
     """A number under SHAPES for each word of the texts, in the order of word_hashes: its length, case, digits, punctuation and last character."""
+    if sum(map(len, texts)) > 2 * SLAB and (cut := [p for t in texts for p in pieces(t)]) != texts:
+        return np.concatenate([word_shapes([p]) for p in cut])
     data = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
     space = _SPACE[data]
     edge = np.flatnonzero(space[1:] != space[:-1]) + 1

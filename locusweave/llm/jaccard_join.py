@@ -1,21 +1,22 @@
 """Operator 2: exact Jaccard join of shingle sets in their metric space.
 
-The distance 1 - J is a metric, and so is the size of the symmetric difference D, of which linked sets of sizes m and n have
-at most (1 - t) / (1 + t) * (m + n). The join goes from coarse regions to fine ones, and loses no link on the way:
-
-1. Rings around the empty set, whose distance D is the set's size: ring bounds grow by 1 / t, so a partner lies in the same
-   ring or the next, and each set is a boundary member of the next one.
-2. In a ring the hash space is cut into more slices than D can touch. Linked sets agree in a whole slice; what agrees in a
-   slice shares a cell. Slices that hold little but common shingles make no cells, as enough others agree (see Slicer).
-3. Cells that overlap form regions. A region over a bound is divided by pivots into Voronoi regions: with d the least of a
-   set's distances to the pivots (and to an outside that lies at a constant distance from all), the set goes to each pivot
-   not further than d + 2 * (1 - t), which by the triangle inequality holds all its partners. This recurs while it divides.
+The distance 1 - J is a metric, and so is the size of the symmetric difference D. The join goes from coarse regions to fine
+ones, and loses no link on the way:
+
+1. Pivots, drawn from a bounded sample, create Voronoi regions, with an outside that lies at a constant distance from all. With d
+   the least of a set's distances, the set goes to every region not further than d + 2 * (1 - t): by the triangle inequality
+   one of them holds all its partners. Sets that link with a pivot itself are one component already and meet only others.
+2. Within a region, sets of like size meet in slices of the hash space, of which there are more than the D of linked sets can
+   touch: they agree in a whole slice, hence share a cell. Slices that hold little but common shingles make no cells, as
+   enough others agree (see Slicer). Sets whose cells overlap, directly or through others, form the finer regions.
+3. Finer regions over a bound are divided again by pivots drawn from them and by other slices.
 4. What is left is joined exactly, in tiles of bounded size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -30,53 +31,64 @@ from .hashing import BASE, mix64, shingle_sets
 WORDS = 3
 #: Sets link when DEN * intersection >= NUM * union.
 NUM, DEN = 90, 100
-#: Sets of a tile's side; regions over SPLIT sets are divided by so many pivots.
-SIDE, SPLIT, PIVOTS, LEVELS = 512, 4096, 16, 4
-#: Distance to the nearest pivot up to which a set goes to it although the outside is nearer.
-FAR = 0.8
-#: Shingles of so many different sets of a sample of about SAMPLE texts are common; slices beyond those D can touch, as a share of these.
-COMMON, SAMPLE, SPARE = 3, 4096, 0.5
-#: Rows up to which a table of two longs is broadcast (about 100 MB as a hash relation).
-SMALL = 1_000_000
+#: Sets and shingles of half a tile; regions over SPLIT sets are divided again, LEVELS times in all.
+SIDE, SIDE_SHINGLES, SPLIT, LEVELS = 512, 400_000, 4096, 3
+#: Texts that pivots are drawn from and their most characters, pivots of a level, and the least distance between two of them.
+SAMPLE, SAMPLE_CHARS, PIVOTS, APART = 4096, 8192, 256, 0.97
+#: A set within this distance of a pivot may leave the outside; windows reach as far as WINDOW at most, beyond which pivots are not looked at.
+WINDOW = 0.9
+#: Shingles of so many different sets of the sample are common; slices beyond those D can touch, as a share of these.
+COMMON, SPARE = 3, 0.5
+#: Rows up to which a table of three longs is broadcast (under 50 MB as a hash relation).
+SMALL = 300_000
+#: Bytes of text whose cells one bucket of the cell shuffle holds.
+BUCKET_BYTES = 6_000_000
+_ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
 def rings(num: int, den: int, most: int) -> list[int]:
-    """Lower bounds of the rings, up to beyond `most`: a set linked with one of a ring lies in that ring or a neighbouring one."""
+    """Lower bounds of the rings of set sizes, up to beyond `most`: a smaller partner lies in the same ring or the one below."""
     out = [1]
     while out[-1] <= most:
-        out.append(out[-1] * den // num + 1)
-    return [*out, out[-1] * den // num + 1, out[-1] * den // num * den // num + 2]
+        out.append(-(-out[-1] * den * den // (num * num)))
+    return [*out, -(-out[-1] * den * den // (num * num))]
 
 
 class Slicer:
-    def __init__(self, num: int = NUM, den: int = DEN, common: np.ndarray | None = None):
+    def __init__(self, num: int = NUM, den: int = DEN, common: np.ndarray | None = None, level: int = 0):
         """`common` are sorted shingles that many sets hold: they decide which cells are kept, never whether a link is found."""
-        self.num, self.den, self.bounds = num, den, rings(num, den, 1 << 10)
+        self.num, self.den, self.bounds, self.level = num, den, rings(num, den, 1 << 10), level
         self.common = common if common is not None and len(common) else np.zeros(1, np.uint64)
 
     def cells(self, hashes: np.ndarray) -> np.ndarray:
-        """The cells of a set (its sorted hashes): one for each slice kept of its own ring and of the next.
+        """The cells of a set (its sorted hashes): one for each slice kept of its ring, and of the one below if a partner may lie there.
 
-        With `spare` more slices than D can touch and one, linked sets agree in more than `spare` slices. Each set leaves out
-        its `spare` slices of least rank, and the rank is a matter of a slice's content alone; so of the slices in which two
-        linked sets agree both keep the one of highest rank. Slices with few shingles, common ones not counted, rank least.
+        The smaller of two linked sets, of size n, has D <= n * (1 - t) / t. With `spare` more slices than that and one,
+        linked sets agree in more than `spare` slices. Each set leaves out its `spare` slices of least rank, and the rank is a
+        matter of a slice's content alone; so of the slices in which two linked sets agree both keep the one of highest rank.
+        Slices with few shingles, common ones not counted, rank least.
         """
         n = len(hashes)
-        while self.bounds[-3] <= n:
+        while self.bounds[-2] <= n:
             self.bounds = rings(self.num, self.den, 2 * n)
         ring = int(np.searchsorted(self.bounds, n, "right")) - 1
         out = []
         with np.errstate(over="ignore"):
-            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix64(hashes ^ np.uint64(0x5851F42D4C957F2D)))])
+            turned = mix64(hashes + np.uint64((self.level * _ODD[1]) & (1 << 64) - 1)) if self.level else hashes
+            order = np.argsort(turned) if self.level else slice(None)
+            turned = turned[order]
+            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix64(turned ^ np.uint64(0x5851F42D4C957F2D)))])
             at = np.minimum(np.searchsorted(self.common, hashes), len(self.common) - 1)
-            own = np.concatenate([np.zeros(1, np.int64), np.cumsum(self.common[at] != hashes)])
-            for r in (ring, ring + 1):
-                differ = 2 * (self.den - self.num) * (self.bounds[r + 1] - 1) // (self.den + self.num)
+            own = np.concatenate([np.zeros(1, np.int64), np.cumsum((self.common[at] != hashes)[order])])
+            for r in (ring, ring - 1):
+                if r < 0 or (r < ring and (self.bounds[ring] - 1) * self.den < n * self.num):
+                    continue
+                differ = (self.den - self.num) * (self.bounds[r + 1] - 1) // self.num
                 if differ == 0:
                     continue  # linked sets of this ring are equal
                 spare = 1 + int(differ * SPARE)
                 k = differ + 1 + spare
-                slice_ = (hashes >> np.uint64(32)) * np.uint64(k) >> np.uint64(32)
+                slice_ = (turned >> np.uint64(32)) * np.uint64(k) >> np.uint64(32)
                 edge = np.searchsorted(slice_, np.arange(k + 1, dtype=np.uint64))
                 value = mix64((sums[edge[1:]] - sums[edge[:-1]]) * np.uint64(BASE) + mix64(np.arange(k, dtype=np.uint64) + np.uint64(r << 32 | 1 << 60)))
                 out.append(value[np.lexsort((value, np.diff(own[edge])))[spare:]])
@@ -89,43 +101,170 @@ def set_key(hashes: np.ndarray) -> int:
         return int(mix64(np.array([np.sum(mix64(hashes ^ np.uint64(0x2545F4914F6CDD1D))) + np.uint64(len(hashes))], np.uint64)).view(np.int64)[0])
 
 
-def _shingles(words: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for s in shingle_sets(batch.column("text").to_pylist(), words):
-                if len(s):
-                    yield pa.RecordBatch.from_arrays([pa.array(s.view(np.int64)), pa.array(np.full(len(s), set_key(s)), pa.int64())], ["shingle", "key"])
+@dataclass
+class Pivots:
+    """Pivot sets as an inverted index: which of them (ids) hold each shingle, their sizes and the keys of their sets."""
+
+    shingles: np.ndarray
+    offsets: np.ndarray
+    ids: np.ndarray
+    sizes: np.ndarray
+    keys: np.ndarray
+    num: int
+    den: int
+
+    @staticmethod
+    def of(sets: list[np.ndarray], num: int, den: int) -> Pivots:
+        flat = np.concatenate([np.zeros(0, np.uint64), *sets])
+        who = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        order = np.lexsort((who, flat))
+        shingles, first = np.unique(flat[order], return_index=True)
+        return Pivots(shingles, np.append(first, len(flat)), who[order].astype(np.int32), np.array([len(s) for s in sets], np.int64), np.array([set_key(s) for s in sets], np.int64), num, den)
+
+    def meet(self, hashes: np.ndarray) -> np.ndarray:
+        """Shingles that the set shares with each pivot."""
+        if not len(self.shingles):
+            return np.zeros(len(self.sizes), np.int64)
+        at = np.minimum(np.searchsorted(self.shingles, hashes), len(self.shingles) - 1)
+        at = at[self.shingles[at] == hashes]
+        many = self.offsets[at + 1] - self.offsets[at]
+        where = np.repeat(self.offsets[at] - np.cumsum(many) + many, many) + np.arange(many.sum())
+        return np.bincount(self.ids[where], minlength=len(self.sizes))
+
+    def regions(self, hashes: np.ndarray) -> tuple[np.ndarray, int | None]:
+        """Regions that the set goes to (0 is the outside, k + 1 that of pivot k), and the key of a pivot that it links with."""
+        if not len(self.sizes):
+            return np.zeros(1, np.int64), None
+        both = self.meet(hashes)
+        union = self.sizes + len(hashes) - both
+        far = np.concatenate([[WINDOW - 2 * (1 - self.num / self.den)], 1 - both / np.maximum(union, 1)])
+        linked = np.flatnonzero(self.den * both >= self.num * union)
+        core = int(self.keys[linked[np.argmin(far[1 + linked])]]) if len(linked) else None
+        return np.flatnonzero(far <= far.min() + 2 * (1 - self.num / self.den) + 1e-9), core
+
+
+def choose(sets: list[np.ndarray], num: int, den: int) -> tuple[Pivots, np.ndarray]:
+    """Pivots of a sample of sets, and the sample's common shingles.
+
+    Sets with many others near them come first; a pivot shares next to nothing with the pivots before it, so that a set
+    lies near few of them. Any choice is right; this one puts large groups of near copies into regions of their own.
+    """
+    sets = [s for s in sets if len(s)]
+    if not sets:
+        return Pivots.of([], num, den), np.zeros(0, np.uint64)
+    shingles, many = np.unique(np.concatenate(sets), return_counts=True)
+    everything = Pivots.of(sets, num, den)
+    near, meets = np.zeros(len(sets), np.int64), []
+    for i, s in enumerate(sets):
+        both = everything.meet(s)
+        who = np.flatnonzero(both)
+        near[i] = np.count_nonzero(2 * both[who] >= everything.sizes[who] + len(s) - both[who])
+        meets.append((who, both[who]))
+    chosen, barred = [], np.zeros(len(sets), bool)
+    for i in np.argsort(-near, kind="stable").tolist():
+        if not barred[i]:
+            chosen.append(i)
+            who, both = meets[i]
+            barred[who[both > (1 - APART) * (everything.sizes[who] + len(sets[i]) - both)]] = True
+            if len(chosen) == PIVOTS:
+                break
+    return Pivots.of([sets[i] for i in chosen], num, den), shingles[many >= COMMON]
+
+
+def _sampled(texts: DataFrame, rows: int, words: int, num: int, den: int) -> tuple[Pivots, np.ndarray]:
+    """choose() for about SAMPLE different texts, those first by hash, of bounded length: what the driver gets is bounded."""
+    some = texts.where((F.pmod(F.xxhash64("text"), F.lit(max(1, rows // SAMPLE))) == 0) & (F.length("text") <= SAMPLE_CHARS))
+    got = some.select("text").distinct().limit(2 * SAMPLE).toArrow()
+    return choose(sorted(shingle_sets(got.column("text").to_pylist(), words), key=lambda s: s[:1].tolist()), num, den)
+
+
+def places(key: int, region: int, regions: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the regions that lie in `region` at this level, and the nodes that stand for the set in them."""
+    with np.errstate(over="ignore"):
+        names = mix64(np.uint64(region & (1 << 64) - 1) + (regions.astype(np.uint64) + np.uint64(1)) * np.uint64(_ODD[0]) + np.uint64(level * _ODD[1] & (1 << 64) - 1))
+        return names, mix64(np.uint64(key & (1 << 64) - 1) ^ mix64(names)).view(np.int64)
 
-    return run
 
+SETS = "doc_id long, th long, region long, n_shingles long, key long, core long, nodes array<long>"
 
-def common_shingles(docs: DataFrame, words: int) -> np.ndarray:
-    """Shingles, sorted, that at least COMMON different sets of a sample of texts hold; the sample is of bounded size."""
-    some = docs.where(F.pmod(F.xxhash64("text"), F.lit(max(1, docs.count() // SAMPLE))) == 0).select("text")
-    pairs = some.mapInArrow(_shingles(words), "shingle long, key long").distinct()
-    got = pairs.groupBy("shingle").count().where(F.col("count") >= COMMON).select("shingle").toArrow()
-    return np.sort(got.column("shingle").to_numpy().view(np.uint64))
 
+def _describe(words: int, pivots: Pivots, level: int):
+    """Per row of (doc_id, th, region, text) its set's key and size, its nodes, and the pivot that it links with."""
 
-def _describe(words: int, num: int, den: int, common: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slicer = Slicer(num, den, common)
         for batch in batches:
-            sizes, keys, cells = [], [], []
-            for s in shingle_sets(batch.column("text").to_pylist(), words):
+            sizes, keys, cores, nodes = [], [], [], []
+            for region, s in zip(batch.column("region").to_pylist(), shingle_sets(batch.column("text").to_pylist(), words), strict=True):
                 sizes.append(len(s))
                 keys.append(set_key(s) if len(s) else None)
-                cells.append(slicer.cells(s).view(np.int64) if len(s) else np.zeros(0, np.int64))
-            offsets = np.cumsum([0, *map(len, cells)]).astype(np.int32)
-            flat = np.concatenate(cells) if cells else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-                ["doc_id", "n_shingles", "key", "cells"],
-            )
+                found, core = pivots.regions(s) if len(s) else (np.zeros(0, np.int64), None)
+                cores.append(core)
+                nodes.append(places(keys[-1], region, found, level)[1].tolist() if len(s) else [])
+            new = [pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), pa.array(cores, pa.int64()), pa.array(nodes, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "th", "region")), *new], [c.split()[0] for c in SETS.split(", ")])
 
     return run
 
 
+ENTRY = np.dtype([("cell", "<u4"), ("node", "<i8")])
+
+
+def _chains(cells: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which entries come first in their cell (by node), and the pairs (node, first node of its cell) of all others."""
+    order = np.lexsort((nodes, cells))
+    cells, nodes = cells[order], nodes[order]
+    new = np.concatenate([[True], cells[1:] != cells[:-1]]) if len(cells) else np.zeros(0, bool)
+    heads = nodes[np.flatnonzero(new)][np.cumsum(new) - 1] if len(cells) else nodes
+    other = nodes != heads
+    pairs = np.stack([nodes[other], heads[other]], 1)
+    return order[new], np.unique(pairs, axis=0) if len(pairs) else pairs
+
+
+def _cells(words: int, num: int, den: int, common: np.ndarray, pivots: Pivots, level: int, buckets: int):
+    """Entries (cell, node) by bucket, one per cell of a batch: what else shares it there is linked at once. Buckets under 0 hold such links."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slicer = Slicer(num, den, common, level)
+        for number, batch in enumerate(batches):
+            seen, cells, nodes = set(), [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+            for region, s in zip(batch.column("region").to_pylist(), shingle_sets(batch.column("text").to_pylist(), words), strict=True):
+                if not len(s) or (key := set_key(s), region) in seen:
+                    continue
+                seen.add((key, region))
+                own = slicer.cells(s)
+                for name, node in zip(*places(key, region, pivots.regions(s)[0], level), strict=True):
+                    cells.append(mix64(own ^ mix64(np.array([name], np.uint64))))
+                    nodes.append(np.full(len(own), node))
+            cells, nodes = np.concatenate(cells), np.concatenate(nodes)
+            first, links = _chains(cells, nodes)
+            cells, nodes = cells[first], nodes[first]  # by cell, hence by bucket
+            bucket = ((cells >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+            entries = np.empty(len(cells), ENTRY)
+            entries["cell"], entries["node"] = (cells & np.uint64(0xFFFFFFFF)).astype(np.uint32), nodes
+            begin = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.zeros(0, np.int64)
+            blobs = [entries[a:b].tobytes() for a, b in zip(begin, np.append(begin[1:], len(bucket)), strict=True)] if len(bucket) else []
+            names = bucket[begin].tolist()
+            if len(links):
+                names.append(-1 - int(mix64(links[:1, 0].view(np.uint64))[0] % np.uint64(buckets)))
+                blobs.append(links.astype("<i8").tobytes())
+            if blobs:
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(blobs, pa.binary())], ["bucket", "entries"])
+
+    return run
+
+
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) of nodes that share a cell, from rows sorted by bucket."""
+    for (bucket,), rows in _groups(batches, ["bucket"], ["entries"]):
+        if bucket < 0:
+            links = np.concatenate([np.frombuffer(x, "<i8") for (x,) in rows]).reshape(-1, 2)
+        else:
+            entries = np.concatenate([np.frombuffer(x, ENTRY) for (x,) in rows])
+            links = _chains(entries["cell"], entries["node"])[1]
+        if len(links):
+            yield pa.RecordBatch.from_arrays([pa.array(links[:, 0].copy()), pa.array(links[:, 1].copy())], ["a", "b"])
+
+
 def links_within(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
     """Links (i, j) that connect just what all links of these sets connect."""
     m = len(sets)
@@ -190,13 +329,13 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: list[str], columns: list[st
 
 def _join_tiles(words: int, num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in _groups(batches, ["region", "i", "j"], ["node", "text"]):
+        for _, rows in _groups(batches, ["region", "i", "j"], ["key", "text"]):
             sets = {}
-            for (node, _), s in zip(rows, shingle_sets([t for _, t in rows], words), strict=True):
-                if len(s) and set_key(s) == node:  # rows that repeat an id with another text aren't that node
-                    sets[node] = s
-            nodes = list(sets)
-            found = [(nodes[i], nodes[j]) for i, j in links_within(list(sets.values()), num, den)]
+            for (key, _), s in zip(rows, shingle_sets([t for _, t in rows], words), strict=True):
+                if len(s) and set_key(s) == key:
+                    sets[key] = s
+            keys = list(sets)
+            found = [(keys[i], keys[j]) for i, j in links_within(list(sets.values()), num, den)]
             if found:
                 a, b = zip(*found, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
@@ -204,91 +343,135 @@ def _join_tiles(words: int, num: int, den: int):
     return run
 
 
-def _nearest_pivots(words: int, num: int, den: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: tuple[int | None, list[np.ndarray]] = (None, [])
-        for batch in batches:
-            out = []
-            for region, node, mine, pivots in zip(batch.column("region").to_pylist(), batch.column("node").to_pylist(), shingle_sets(batch.column("text").to_pylist(), words), batch.column("pivots").to_pylist(), strict=False):
-                if known[0] != region:
-                    known = (region, list(shingle_sets(pivots, words)))
-                far = [max(0.0, FAR - 2 * (1 - num / den))]
-                for p in known[1]:
-                    both = len(np.intersect1d(mine, p, assume_unique=True))
-                    far.append(1 - both / max(1, len(mine) + len(p) - both))
-                limit = min(far) + 2 * (1 - num / den) + 1e-9
-                for k, d in enumerate(far):
-                    if d <= limit:
-                        out.append((int(mix64(np.array([region & (1 << 64) - 1], np.uint64) ^ np.uint64(k * 0x9E3779B1 + 1)).view(np.int64)[0]), node))
-            if out:
-                a, b = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["region", "node"])
-
-    return run
-
-
 def _maybe_broadcast(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= SMALL else df
 
 
-def _divide(members: DataFrame, texts: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """Divides regions of over SPLIT sets by pivots, again and again while that makes them smaller."""
+@dataclass
+class _Join:
+    words: int
+    num: int
+    den: int
+
+    def sets(self, rows: DataFrame, pivots: Pivots, level: int) -> DataFrame:
+        return materialise(rows.mapInArrow(_describe(self.words, pivots, level), SETS), "sets")
+
+    def divide(self, rows: DataFrame, sets: DataFrame, pivots: Pivots, common: np.ndarray, level: int, buckets: int) -> DataFrame:
+        """The finer regions of rows (region, text): region, key, core and size of each set that shares a cell with another."""
+        cells = rows.select("region", "text").mapInArrow(_cells(self.words, self.num, self.den, common, pivots, level, buckets), "bucket long, entries binary")
+        links = cells.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_meet, "a long, b long")
+        regions = components(links)
+        nodes = sets.where("key IS NOT NULL").select("key", "core", "n_shingles", F.explode("nodes").alias("node")).dropDuplicates(["node"])
+        return materialise(regions.join(nodes, "node").select(F.col("comp").alias("region"), "key", "core", "n_shingles"), "members")
+
+
+def _tiles(members: DataFrame) -> DataFrame:
+    """Deals the sets of each region to tiles (region, i, j) such that every two meet, but for two that link with the same pivot."""
+    by = members.groupBy("region", "core").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("weight"))
+    parts = F.greatest(F.ceil(F.col("n") / SIDE), F.ceil(F.col("weight") / SIDE_SHINGLES)).cast("int")
+    whole, before = W.partitionBy("region"), W.partitionBy("region").orderBy("core").rowsBetween(W.unboundedPreceding, -1)
+    by = by.withColumn("parts", parts).select(
+        "region", F.col("core").alias("own"), "parts", F.coalesce(F.sum("parts").over(before), F.lit(0)).cast("int").alias("low"), F.sum("parts").over(whole).cast("int").alias("all"),
+        F.sum("n").over(whole).alias("sets"), F.sum("weight").over(whole).alias("shingles"), F.count("*").over(whole).alias("groups"),
+    )
+    by = by.where("groups > 1 OR own IS NULL").withColumnRenamed("region", "of")
+    dealt = members.join(by, (F.col("region") == F.col("of")) & F.col("core").eqNullSafe(F.col("own")))
+    mine = F.col("low") + F.pmod(F.xxhash64("key"), F.col("parts")).cast("int")
+    one = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))
+    apart = lambda k: (k != mine) & (F.col("own").isNull() | (k < F.col("low")) | (k >= F.col("low") + F.col("parts")))
+    pairs = F.transform(F.filter(F.sequence(F.lit(0), F.col("all") - 1), apart), lambda k: F.struct(F.least(k, mine).alias("i"), F.greatest(k, mine).alias("j")))
+    small = (F.col("sets") <= 2 * SIDE) & (F.col("shingles") <= 2 * SIDE_SHINGLES)
+    tiles = F.when(small | (F.col("all") == 1), one).otherwise(pairs)
+    return dealt.select("region", "key", F.explode(tiles).alias("t")).select("region", "key", "t.i", "t.j")
+
+
+def component_keys(docs: DataFrame, words: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """Per row of (doc_id, th, text): doc_id, th, n_shingles and key; and the roots of all keys: key, comp, least doc_id and first (doc_id, th) of the key."""
+    join = _Join(words, num, den)
+    rows = docs.select("doc_id", "th", F.lit(0).cast("long").alias("region"), "text")
+    n, size = rows.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
+    buckets = lambda size: max(1, min(1 << 20, (size or 0) // BUCKET_BYTES))
+    pivots, common = _sampled(rows, n, words, num, den)
+    sets = join.sets(rows, pivots, 0)
+    members = join.divide(rows, sets, pivots, common, 0, buckets(size))
+    cores = [sets.where("core IS NOT NULL").select(F.col("key").alias("a"), F.col("core").alias("b"))]
+    first = materialise(sets.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "th")).alias("row")), "keys")
+
+    def texts_of(keys: DataFrame) -> DataFrame:
+        """key and text of each set; a set's text is that of one row that has it, whether the row has an id or not."""
+        wanted = materialise(keys.select("key").distinct().join(first, "key").select("key", F.col("row.doc_id").alias("of"), F.col("row.th").alias("hash")), "wanted")
+        some = _maybe_broadcast(wanted)
+        found = materialise(docs.join(some, (docs["th"] == some["hash"]) & docs["doc_id"].eqNullSafe(some["of"])).select("key", "text"), "texts")
+        return found.dropDuplicates(["key"]) if found.count() > wanted.count() else found
+
     done = None
-    for _ in range(LEVELS):
-        sizes = members.groupBy("region").agg(F.count("*").alias("size"))
-        big = materialise(sizes.where(F.col("size") > SPLIT), "big-regions")
-        if big.isEmpty():
+    for level in range(1, LEVELS):
+        big = materialise(members.groupBy("region").agg(F.count("*").alias("size"), F.sum("n_shingles").alias("shingles")).where(F.col("size") > SPLIT), "big-regions")
+        n, size = big.agg(F.sum("size"), F.sum("shingles")).first()
+        if not n:
             break
-        inside = members.join(F.broadcast(big) if big.count() <= SMALL else big, "region")
-        rest = members.join(big, "region", "left_anti")
-        nth = F.row_number().over(W.partitionBy("region").orderBy(F.xxhash64("node", "region")))
-        chosen = inside.withColumn("nth", nth).where(F.col("nth") <= PIVOTS).join(texts, "node").groupBy("region").agg(F.collect_list("text").alias("pivots"))
-        told = inside.join(texts, "node").join(chosen, "region").select("region", "node", "text", "pivots", "size")
-        divided = materialise(told.mapInArrow(_nearest_pivots(words, num, den), "region long, node long").distinct(), "divided")
-        before, after = inside.count(), divided.count()
+        inside = members.join(_maybe_broadcast(big.select("region")), "region", "left_semi")
+        rest = members.join(_maybe_broadcast(big.select("region")), "region", "left_anti")
+        none = F.lit(None).cast("long")
+        rows = materialise(inside.select("region", "key").join(texts_of(inside), "key").select(none.alias("doc_id"), none.alias("th"), "region", "text"), "inside")
+        pivots, common = _sampled(rows, n, words, num, den)
+        finer = join.sets(rows, pivots, level)
+        cores.append(finer.where("core IS NOT NULL").select(F.col("key").alias("a"), F.col("core").alias("b")))
         done = rest if done is None else done.unionByName(rest)
-        if after > 2 * before:  # all lies within the windows of all pivots: nothing is gained
-            members = inside.select("region", "node")
-            break
-        members = divided
-    return members if done is None else materialise(done.unionByName(members), "members")
+        members = join.divide(rows, finer, pivots, common, level, buckets(8 * size))
+    members = members if done is None else materialise(done.unionByName(members), "members")
+    dealt = materialise(_tiles(members), "tiles")
+    tiled = dealt.join(texts_of(dealt), "key").repartition("region", "i", "j").sortWithinPartitions("region", "i", "j", "key")
+    links = tiled.mapInArrow(_join_tiles(words, num, den), "a long, b long")
+    for core in cores:
+        links = links.unionByName(core.where("a <> b").distinct())
+    linked = components(links)
+    roots = materialise(first.join(linked.withColumnRenamed("node", "key"), "key", "left").withColumn("comp", F.coalesce("comp", "key")), "roots")
+    return sets.select("doc_id", "th", "n_shingles", "key"), roots
+
+
+def hashed(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("th", F.xxhash64("text"))
 
 
 def near_components(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
     """Per row of (doc_id, text, ...): doc_id, n_shingles and component_id, the smallest doc_id that links lead to.
 
     A text without words (null, empty, white space) has no shingles and is linked with nothing. Equal sets are one node, so
-    thousands of copies cost as much as one. Rows that repeat a doc_id keep a result each. A row without a doc_id is linked
-    through its exact copies only; its component_id is null if none has an id. An empty table gives an empty result.
+    thousands of copies cost as much as one. Rows that repeat a doc_id keep a result each. A row without a doc_id links like
+    any other, and others through it; component_id is null only if no row of the component has an id. An empty table gives an
+    empty result. Long texts are hashed in pieces, at some 40 bytes of memory a word. Other columns are not read.
+    Sets are compared by 64-bit hashes of their shingles and named by 64-bit hashes.
     """
-    docs = docs.select("doc_id", "text")
-    sets = materialise(docs.mapInArrow(_describe(words, num, den, common_shingles(docs, words)), "doc_id long, n_shingles long, key long, cells array<long>"), "sets")
-    cells = sets.select("key", F.explode("cells").alias("cell"))
-    shared = materialise(cells.groupBy("cell").agg(F.min("key").alias("pivot"), F.max("key").alias("other")).where("pivot < other"), "cells")
-    ends = shared.select(F.col("other").alias("a"), F.col("pivot").alias("b"))
-    touching = cells.join(_maybe_broadcast(shared.select("cell", "pivot")), "cell").select(F.col("key").alias("a"), F.col("pivot").alias("b"))
-    regions = components(touching.unionByName(ends).where("a <> b").distinct())
-    members = materialise(regions.select(F.col("comp").alias("region"), "node"), "members")
-    first = sets.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
-    wanted = materialise(first.join(members.select(F.col("node").alias("key")), "key", "left_semi").select(F.col("key").alias("node"), "doc_id"), "wanted")
-    texts = materialise(docs.join(_maybe_broadcast(wanted), "doc_id").select("node", "text"), "texts")
-    members = _divide(members, texts, words, num, den)
-    sizes = members.groupBy("region").agg(F.count("*").alias("size"))
-    parts = F.ceil(F.col("size") / SIDE).cast("int")
-    one = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))
-    mine = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    tiles = F.when(F.col("parts") <= 2, one).otherwise(
-        F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: F.struct(F.least(k, mine).alias("i"), F.greatest(k, mine).alias("j")))
-    )
-    dealt = members.join(sizes, "region").withColumn("parts", parts).select("region", "node", F.explode(tiles).alias("t")).select("region", "node", "t.i", "t.j")
-    tiled = dealt.join(texts, "node").repartition("region", "i", "j").sortWithinPartitions("region", "i", "j", "node")
-    linked = components(tiled.mapInArrow(_join_tiles(words, num, den), "a long, b long"))
-    roots = materialise(first.join(linked.withColumnRenamed("node", "key"), "key", "left").withColumn("comp", F.coalesce("comp", "key")), "roots")
-    smallest = roots.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
+    rows, roots = component_keys(hashed(docs.select("doc_id", "text")), words, num, den)
+    smallest = roots.groupBy("comp").agg(F.min("least_id").alias("component_id"))
     by_key = roots.select("key", "comp").join(smallest, "comp").select("key", "component_id")
     own = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return sets.select("doc_id", "n_shingles", "key").join(by_key, "key", "left").select("doc_id", "n_shingles", own.alias("component_id"))
+    return rows.join(by_key, "key", "left").select("doc_id", "n_shingles", own.alias("component_id"))
 
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_components(table(spark, sf_dir, "documents"))
+
+
+SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents
+), s AS MATERIALIZED (
+  SELECT r, doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(words) - 1), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2])) END AS shingles FROM w
+), u AS MATERIALIZED (
+  SELECT r, hash(s) AS h, s FROM (SELECT r, unnest(shingles) AS s FROM s)
+), shared AS (
+  SELECT a.r AS x, b.r AS y, count(*) AS n FROM u a JOIN u b ON a.h = b.h AND a.s = b.s AND a.r < b.r GROUP BY a.r, b.r
+), link AS MATERIALIZED (
+  SELECT x, y FROM shared JOIN s a ON a.r = x JOIN s b ON b.r = y WHERE 100 * n >= 90 * (len(a.shingles) + len(b.shingles) - n)
+), edge AS (
+  SELECT x, y FROM link UNION ALL SELECT y, x FROM link
+), reach AS (
+  SELECT r AS x, r AS y FROM s UNION SELECT reach.x, edge.y FROM reach JOIN edge ON edge.x = reach.y
+)
+SELECT s.doc_id, CAST(len(s.shingles) AS BIGINT) AS n_shingles, min(o.doc_id) AS component_id
+FROM s JOIN reach ON reach.x = s.r JOIN s o ON o.r = reach.y GROUP BY s.r, s.doc_id, s.shingles
+"""

@@ -15,6 +15,7 @@ QUERIES = {
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
 ORACLES = {
+    "op2_jaccard_join": jaccard_join.SQL,
     "op3_mixing": mixing.SQL,
     "op5_neighbours": neighbours.SQL,
     "op6_warc": warc.SQL,

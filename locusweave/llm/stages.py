@@ -23,18 +23,28 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest doc_id. Texts without words all stay; of rows that
-    repeat a doc_id one stays; rows without a doc_id stay. Texts are not shuffled while the ids that go are few."""
+    """Of each group of near duplicates the row with the smallest doc_id (one without an id only if none has one).
+
+    Texts without words all stay. Rows are told apart by doc_id and text: of rows that repeat a doc_id with unlike texts each
+    stands for itself, and of rows that repeat both one stays. Texts are not shuffled while the rows that go are few.
+    """
     docs = docs.select(*COLUMNS)
-    found = materialise(jaccard_join.near_components(docs, NEAR_WORDS, NEAR_NUM, NEAR_DEN).where("doc_id IS NOT NULL"), "near")
-    small = jaccard_join._maybe_broadcast
-    gone = materialise(found.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
-    twice = materialise(found.groupBy("doc_id").count().where("count > 1").select("doc_id"), "twice")
-    left = docs.join(small(gone), "doc_id", "left_anti")
+    hashed = jaccard_join.hashed(docs)
+    rows, roots = jaccard_join.component_keys(hashed.select("doc_id", "th", "text"), NEAR_WORDS, NEAR_NUM, NEAR_DEN)
+    rank = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "th")
+    rows = rows.where("key IS NOT NULL").groupBy("key", "doc_id", "th").agg(F.count("*").alias("times"))
+    grouped = rows.join(roots.select("key", "comp"), "key").withColumn("rank", rank)
+    best = grouped.groupBy("comp").agg(F.min("rank").alias("best"))
+    stays = F.col("rank").eqNullSafe(F.col("best"))
+    found = materialise(grouped.join(best, "comp").select(F.col("doc_id").alias("of"), F.col("th").alias("hash"), "times", stays.alias("stays")), "near")
+    same = lambda t: (hashed["th"] == t["hash"]) & hashed["doc_id"].eqNullSafe(t["of"])
+    gone = jaccard_join._maybe_broadcast(materialise(found.where("NOT stays OR times > 1").select("of", "hash"), "gone"))
+    left = hashed.join(gone, same(gone), "left_anti").select(*COLUMNS)
+    twice = materialise(found.where("stays AND times > 1").select("of", "hash"), "twice")
     if twice.isEmpty():
-        return left.select(*COLUMNS)
-    once = left.join(small(twice), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return left.join(small(twice), "doc_id", "left_anti").unionByName(once).select(*COLUMNS)
+        return left
+    twice = jaccard_join._maybe_broadcast(twice)
+    return left.unionByName(hashed.join(twice, same(twice), "left_semi").dropDuplicates(["doc_id", "th"]).select(*COLUMNS))
 
 
 def _redact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

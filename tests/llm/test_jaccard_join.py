@@ -51,10 +51,10 @@ def corpus(seed, n=160):
     return [(i, rng.choice([" ", "\n", "  "]).join(t).upper() if rng.random() < 0.2 else " ".join(t)) for i, t in enumerate(texts)]
 
 
-@pytest.mark.parametrize(("seed", "split", "side"), [(1, 4096, 512), (2, 5, 2)])
-def test_against_all_pairs(spark, monkeypatch, seed, split, side):
-    monkeypatch.setattr(jaccard_join, "SPLIT", split)
-    monkeypatch.setattr(jaccard_join, "SIDE", side)
+@pytest.mark.parametrize(("seed", "split", "side", "small"), [(1, 4096, 512, 300_000), (2, 5, 2, 0)])
+def test_against_all_pairs(spark, monkeypatch, seed, split, side, small):
+    for name, value in (("SPLIT", split), ("SIDE", side), ("SMALL", small), ("BUCKET_BYTES", 2000), ("SAMPLE", 4096 if seed == 1 else 40)):
+        monkeypatch.setattr(jaccard_join, name, value)
     rows = corpus(seed)
     got = jaccard_join.near_components(spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, component_id int"))
     assert sorted(tuple(r) for r in got.collect()) == brute(rows)
@@ -62,13 +62,67 @@ def test_against_all_pairs(spark, monkeypatch, seed, split, side):
 
 def test_odd_rows(spark):
     text = " ".join(f"w{i}" for i in range(50))
-    rows = [(7, None), (8, ""), (9, " \t\n"), (3, "a b"), (2, "A  b"), (5, text), (5, text), (4, text.upper()), (None, text), (None, "q r s t"), (6, "a b c" + " d")]
+    rows = [(7, None), (8, ""), (9, " \t\n"), (3, "a b"), (2, "A  b"), (5, text), (5, text), (4, text.upper()), (None, text), (None, "q r s t"), (5, "q r s t u v"), (6, "a b c" + " d")]
     schema = "doc_id long, text string"
     got = sorted((tuple(r) for r in jaccard_join.near_components(spark.createDataFrame(rows, schema)).collect()), key=str)
-    assert got == sorted([(7, 0, 7), (8, 0, 8), (9, 0, 9), (3, 1, 2), (2, 1, 2), (5, 48, 4), (5, 48, 4), (4, 48, 4), (None, 48, 4), (None, 2, None), (6, 1, 6)], key=str)
+    assert got == sorted([(7, 0, 7), (8, 0, 8), (9, 0, 9), (3, 1, 2), (2, 1, 2), (5, 48, 4), (5, 48, 4), (4, 48, 4), (None, 48, 4), (None, 2, None), (6, 1, 6), (5, 4, 5)], key=str)
     assert jaccard_join.near_components(spark.createDataFrame([], schema)).collect() == []
 
 
+def test_links_run_through_rows_without_an_id(spark):
+    words = [f"w{i}" for i in range(120)]
+    texts = [words[:100], words[3:103], words[6:106]]  # 95 / 101 between neighbours, 92 / 104 between the ends
+    rows = [(1, " ".join(texts[0])), (None, " ".join(texts[1])), (2, " ".join(texts[2]))]
+    got = jaccard_join.near_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {1: 1, None: 1, 2: 1}
+
+
+def test_very_long_texts(spark):
+    words = [f"word{i}" for i in range(300_000)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:280_000])), (3, " ".join(words[:200_000])), (4, "x" * 3_000_000)]
+    got = jaccard_join.near_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in got} == {(1, 299_998, 1), (2, 279_998, 1), (3, 199_998, 3), (4, 1, 4)}
+
+
+def test_partners_lie_in_a_common_region():
+    rng = np.random.default_rng(5)
+    for num in (80, 90):
+        sets = [np.unique(rng.integers(1, 400, int(rng.integers(3, 200)))).astype(np.uint64) for _ in range(80)]
+        pivots, _ = jaccard_join.choose(sets, num, 100)
+        some = jaccard_join.Pivots.of(sets[:12], num, 100)
+        for s in sets:
+            t = np.unique(np.concatenate([s[int(rng.integers(0, 1 + len(s) // 6)) :], rng.integers(400, 500, int(rng.integers(0, 1 + len(s) // 20))).astype(np.uint64)]))
+            both = len(np.intersect1d(s, t))
+            if 100 * both >= num * (len(s) + len(t) - both):
+                for p in (pivots, some):
+                    assert np.intersect1d(p.regions(s)[0], p.regions(t)[0]).size
+
+
+def test_sql_agrees(spark, tmp_path):
+    import duckdb
+
+    docs = spark.createDataFrame(corpus(6, 90), "doc_id long, text string")
+    docs.toPandas().to_parquet(tmp_path / "d.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/d.parquet'")
+    assert sorted(con.sql(jaccard_join.SQL).fetchall()) == sorted(tuple(r) for r in jaccard_join.near_components(docs).collect())
+
+
+def test_tiles_meet_all_but_sets_of_one_pivot(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "SIDE", 3)
+    rng = random.Random(9)
+    rows = [(r, 100 * r + k, rng.choice([None, None, 1, 2]) if r else 7, rng.randrange(1, 9)) for r in range(4) for k in range([20, 5, 30, 1][r])]
+    dealt = jaccard_join._tiles(spark.createDataFrame(rows, "region long, key long, core long, n_shingles long")).collect()
+    tiles = {}
+    for d in dealt:
+        tiles.setdefault((d["region"], d["i"], d["j"]), set()).add(d["key"])
+    assert all(r for r, _, _ in tiles) and max(map(len, tiles.values())) <= 30
+    for r, a, c, _ in rows:
+        for q, b, e, _ in rows:
+            if r == q and r and a < b and (c is None or c != e):
+                assert any(t[0] == r and {a, b} <= keys for t, keys in tiles.items())
+
+
 @pytest.mark.parametrize(("num", "den"), [(90, 100), (80, 100)])
 def test_linked_sets_share_a_cell(num, den):
     rng = np.random.default_rng(num)
@@ -99,10 +153,15 @@ def test_large_and_small_tiles_agree():
 
 
 def test_stage_keeps_one_of_each_group(spark):
-    rows = [(i, t, "en", "s", len(t)) for i, t in corpus(4, 80)] + [(0, corpus(4, 80)[0][1], "en", "s", 1), (None, "x y z", None, None, None)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
-    kept = sorted((r["doc_id"] for r in stages.keep_one_of_near(spark, docs, "").collect()), key=str)
-    assert kept == sorted([None, *{c for _, _, c in brute(corpus(4, 80))}], key=str)
+    texts = corpus(4, 80)
+    rows = [(i, t, "en", "s", len(t)) for i, t in texts]
+    other = " ".join(f"q{i}" for i in range(40))
+    extra = [(0, texts[0][1], "en", "s", 1), (None, "x y z", None, None, None), (None, "x Y z", None, None, None), (3, other, "en", "s", 1), (900, other + " r", "en", "s", 1)]
+    docs = spark.createDataFrame(rows + extra, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = [(r["doc_id"], r["text"]) for r in stages.keep_one_of_near(spark, docs, "").collect()]
+    want = {(c, dict(texts)[c]) for _, _, c in brute(texts, 5, 80, 100)} | {(3, other)}  # an unlike text with the same id stays
+    assert sorted(k for k in kept if k[0] is not None) == sorted(want)
+    assert len([k for k in kept if k[0] is None]) == 1
 
 
 def test_stage_drops_what_five_words_at_four_fifths_link(spark):
@@ -138,9 +197,8 @@ def test_common_passages_do_not_join_texts(spark):
     shared = [[f"c{k}_{i}" for i in range(12)] for k in range(6)]
     texts = [" ".join(sum([[f"t{d}_{p}_{i}" for i in range(14)] + rng.choice(shared) for p in range(4)], [])) for d in range(300)]
     sets = list(shingle_sets(texts, 5))
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    common = jaccard_join.common_shingles(docs, 5)
-    assert len(common) >= 48
+    pivots, common = jaccard_join._sampled(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 300, 5, 80, 100)
+    assert len(common) >= 48 and 1 <= len(pivots.sizes) <= jaccard_join.PIVOTS
     slicer = jaccard_join.Slicer(80, 100, common)
     _, n = np.unique(np.concatenate([np.unique(slicer.cells(s)) for s in sets]), return_counts=True)
     assert (n > 1).sum() < 5
