@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import exclusive_prefix, materialise, n_words, table
+from .common import exclusive_prefix, materialise, n_words, table, text_of
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -16,8 +16,14 @@ SEED = "mix-1"
 BUCKET_DIGITS = 3
 
 
-def shuffle_key(doc_id: str = "doc_id", seed: str = SEED) -> Column:
-    return F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))))
+def shuffle_key(seed: str = SEED) -> Column:
+    """A document's place in the shuffle, from its id and text: rows without an id do not share one."""
+    return F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.md5(text_of())))
+
+
+def slot(finish: Column) -> Column:
+    """A number that never falls along virtual time: 2048 to a unit up to time 2, then 64 to a doubling."""
+    return F.when(finish < 2, F.floor(finish * 2048)).otherwise(4096 + F.floor(F.log2(F.greatest(finish, F.lit(2.0))) * 64)).cast("int")
 
 
 def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: int = MOST_REPEATS) -> DataFrame:
@@ -46,55 +52,61 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: in
     )
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: int = MOST_REPEATS, seed: str = SEED) -> DataFrame:
-    """Adds source_size, target, taken and virtual_finish to rows of (doc_id, source, size, ...).
+def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: int = MOST_REPEATS) -> DataFrame:
+    """Adds source_size, target, finishes, parts and taken to rows of (doc_id, source, size, shuffle, ...), see sized().
 
-    Each source's documents stand in a seeded random order, `repeats` times over. A document's virtual start and finish are
-    the source's words before it, and with it, over the source's target. As all sources reach their targets at virtual time
-    1, the globally sorted stream has used up the total budget there: what starts before it is taken, the document under way
-    in part. virtual_finish is that of the first copy; `taken` adds the words of all copies.
+    Each source's documents stand in shuffled order, `repeats` times over. Every copy has a virtual finish time: the source's
+    words up to its end over the source's target. The stream of all copies, sorted by range of that time, is cut where its
+    words reach the total budget: copies before the cut are taken whole, the one that the cut goes through in part. A source
+    ends within a document of its target. `finishes` and `parts` are the times and the words taken of each copy.
 
-    Null sources are a source of their own, standing last. Null doc_ids and repeated rows are rows like any other: ties in
-    the order lie between rows with the same doc_id and fall by size, so that reruns agree. An empty table stays empty. Columns
-    of the input that bear the name of a result are replaced.
+    Only sums by stretches of virtual time and the one row at the cut are ever gathered, so neither the stream nor a source
+    passes through one task. Null sources are a source of their own, standing last. Null doc_ids and repeated rows are rows
+    like any other; rows that repeat the one at the cut get its part. Documents without words are taken with 0. An empty table
+    stays empty; texts of any length count by their words alone. Columns of the input that bear the name of a result are replaced.
     """
-    docs = docs.drop("source_size", "target", "taken", "virtual_finish")
-    keyed = (
-        docs.withColumn("__key", F.when(F.col("source").isNull(), "null").otherwise(F.concat(F.lit("="), "source")))
-        .withColumn("__shuffle", shuffle_key(seed=seed))
-        .withColumn("__bucket", F.conv(F.substring("__shuffle", 1, BUCKET_DIGITS), 16, 10).cast("int"))
+    docs = docs.drop("source_size", "target", "finishes", "parts", "taken", "virtual_finish")
+    keyed = docs.withColumn("__key", F.when(F.col("source").isNull(), "null").otherwise(F.concat(F.lit("="), "source"))).withColumn(
+        "__bucket", F.conv(F.substring("shuffle", 1, BUCKET_DIGITS), 16, 10).cast("int")
     )
     sources = keyed.groupBy("__key", "source").agg(F.sum("size").alias("source_size"))
-    placed = exclusive_prefix(keyed, ["__key"], "__bucket", ["__shuffle", "size"], {"__before": "size"})
-    goal = targets(sources, weights, share, repeats)
-    quota = F.floor("target")
-    parts = [F.greatest(F.lit(0), F.least(F.col("size"), quota - F.col("__before") - e * F.col("source_size"))) for e in range(repeats)]
-    return (
-        placed.join(goal, "__key")
-        .withColumn("taken", sum(parts[1:], parts[0]).cast("long"))
-        .withColumn("virtual_finish", F.when(F.col("target") > 0, (F.col("__before") + F.col("size")) / F.col("target")))
-        .drop("__key", "__shuffle", "__bucket", "__before")
+    placed = exclusive_prefix(keyed, ["__key"], "__bucket", ["shuffle", "size"], {"__before": "size"}).join(targets(sources, weights, share, repeats), "__key")
+    finish = [F.when(F.col("target") > 0, (F.col("__before") + e * F.col("source_size") + F.col("size")) / F.col("target")) for e in range(repeats)]
+    placed = placed.withColumn("finishes", F.array(*finish))
+    copies = placed.where("size > 0").select("size", "shuffle", "__key", F.explode("finishes").alias("finish")).withColumn("__slot", slot(F.col("finish")))
+    stream = exclusive_prefix(copies, [], "__slot", ["finish", "shuffle", "__key"], {"at": "size"})
+    budget = sources.agg(F.floor(F.sum("source_size") * share).alias("budget"))
+    here = F.struct("finish", "shuffle", F.col("__key").alias("key"), (F.col("budget") - F.col("at")).alias("part"))
+    cut = stream.join(F.broadcast(budget)).where("at < budget AND at + size >= budget").agg(F.min(here).alias("cut"))
+    part = lambda t: (
+        F.when(F.col("size") == 0, 0)
+        .when(F.col("cut").isNull() | (F.struct(t.alias("finish"), "shuffle", F.col("__key").alias("key")) < F.struct("cut.finish", "cut.shuffle", "cut.key")), F.col("size"))
+        .when((t == F.col("cut.finish")) & (F.col("shuffle") == F.col("cut.shuffle")) & (F.col("__key") == F.col("cut.key")), F.col("cut.part"))
+        .otherwise(0)
     )
+    out = placed.join(F.broadcast(cut)).withColumn("parts", F.transform("finishes", lambda t: part(t).cast("long")))
+    return out.withColumn("taken", F.aggregate("parts", F.lit(0).cast("long"), lambda a, b: a + b)).drop("__key", "__bucket", "__before", "cut")
 
 
 def mixed_stream(docs: DataFrame, **options) -> DataFrame:
     """mix(), sorted by range over the whole table: the order in which a trainer reads."""
-    return mix(docs, **options).orderBy("virtual_finish", "doc_id", "size")
+    return mix(docs, **options).withColumn("virtual_finish", F.get("finishes", F.lit(0))).orderBy("virtual_finish", "doc_id", "size")
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("size", n_words())
+def sized(docs: DataFrame, seed: str = SEED) -> DataFrame:
+    """doc_id, source, the number of words and the place in the shuffle: all that mixing needs of a document."""
+    return docs.select("doc_id", "source", n_words().alias("size"), shuffle_key(seed).alias("shuffle"))
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = sized(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).drop("text")
-    return mixed_stream(materialise(docs, "op3-sizes")).select("doc_id", "size", "source_size", "target", "taken", "virtual_finish")
+    docs = materialise(sized(table(spark, sf_dir, "documents")), "op3-sizes")
+    return mixed_stream(docs).select("doc_id", "size", "source_size", "target", "taken", "virtual_finish")
 
 
 SQL = rf"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS BIGINT) AS size,
-    md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS k
+    md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || md5(coalesce(text, ''))) AS k
   FROM documents
 ), s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
@@ -109,13 +121,21 @@ WITH d AS (
 ), t AS (
   SELECT source, source_size, least(cap, coalesce(max(CASE WHEN ratio > lev THEN lev END) OVER () * weight, cap)) AS target FROM l
 ), p AS (
-  SELECT d.doc_id, size, source_size, target,
+  SELECT d.doc_id, d.source, k, size, source_size, target,
     coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY k, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+), st AS (
+  SELECT v, k, size, coalesce(sum(size) OVER (ORDER BY v, k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos
+  FROM (SELECT k, size, CAST(before + e * source_size + size AS DOUBLE) / target AS v FROM p, (VALUES (0), (1)) c(e) WHERE size > 0)
+), cut AS (
+  SELECT v AS cv, k AS ck, b - pos AS part FROM st, (SELECT floor(1.5 * sum(source_size)) AS b FROM s) WHERE pos < b AND pos + size >= b ORDER BY v, k LIMIT 1
+), f AS (
+  SELECT doc_id, size, source_size, target, k, CASE WHEN target > 0 THEN CAST(before + size AS DOUBLE) / target END AS v0,
+    CASE WHEN target > 0 THEN CAST(before + source_size + size AS DOUBLE) / target END AS v1 FROM p
 )
-SELECT doc_id, size, source_size, target,
-  CAST(greatest(0, least(size, CAST(floor(target) AS BIGINT) - before))
-     + greatest(0, least(size, CAST(floor(target) AS BIGINT) - before - source_size)) AS BIGINT) AS taken,
-  CASE WHEN target > 0 THEN CAST(before + size AS DOUBLE) / target END AS virtual_finish
-FROM p
+SELECT doc_id, size, source_size, target, v0 AS virtual_finish,
+  CAST(CASE WHEN size = 0 THEN 0 ELSE
+    CASE WHEN cv IS NULL OR v0 < cv OR (v0 = cv AND k < ck) THEN size WHEN v0 = cv AND k = ck THEN part ELSE 0 END
+    + CASE WHEN cv IS NULL OR v1 < cv OR (v1 = cv AND k < ck) THEN size WHEN v1 = cv AND k = ck THEN part ELSE 0 END END AS BIGINT) AS taken
+FROM f LEFT JOIN cut ON true
 """
