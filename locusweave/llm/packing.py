@@ -16,8 +16,6 @@ from .common import exclusive_prefix, materialise, table
 
 WINDOW = 2048
 END_ID = 1
-#: Length combinations that a plan uses at most; what they leave goes to the residual packing.
-MOST_COMBINATIONS = 40_000
 BUCKETS = 256
 
 
@@ -51,9 +49,10 @@ def bits_of(n: int) -> list[int]:
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     tokens, end = Tokens(), np.asarray([END_ID], "<u4").tobytes()
     for batch in batches:
-        rows = []
+        keep, rows, every = "ids" in batch.schema.names, [], []
         for text in batch.column("text").to_pylist():
             ids = memoryview(tokens(text or "") + end)
+            every.append(bytes(ids) if keep else None)
             n = len(ids) // 4
             full, rest = divmod(n, WINDOW)
             at, bits = 4 * full * WINDOW, []
@@ -63,8 +62,8 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows.append((n, rest, [zlib.crc32(ids[4 * WINDOW * k : 4 * WINDOW * (k + 1)]) for k in range(full)], zlib.crc32(ids[4 * WINDOW * full :]), bits))
         n, rest, full, tail, bits = zip(*rows, strict=True) if rows else [()] * 5
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(rest, pa.int32()), pa.array(full, pa.list_(pa.int64())), pa.array(tail, pa.int64()), pa.array(bits, pa.list_(pa.int64()))],
-            ["doc_id", "doc_tokens", "rest", "full_crc", "rest_crc", "bit_crc"],
+            [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(rest, pa.int32()), pa.array(full, pa.list_(pa.int64())), pa.array(tail, pa.int64()), pa.array(bits, pa.list_(pa.int64())), *([pa.array(every, pa.binary())] if keep else [])],
+            ["doc_id", "doc_tokens", "rest", "full_crc", "rest_crc", "bit_crc", *(["ids"] if keep else [])],
         )
 
 
@@ -162,7 +161,7 @@ def plan(have: np.ndarray) -> Plan:
             if d:
                 n = left[a] // 3 if a == b == d else min(n, left[d] if d != b else left[b] // 2)
             n = n if most is None else min(n, most[c])
-            if n > 0 and (c in used or len(used) < MOST_COMBINATIONS):
+            if n > 0:
                 used[c] = used.get(c, 0) + n
                 for ell in (a, b, d):
                     left[ell] -= n
@@ -211,15 +210,20 @@ def _pieces(goal: Plan, most_full: int):
                 seq, off = goal.place_bit(rest[who[cut]], rank[who[cut]], bits[cut])
                 parts.append((who[cut], start[cut], size[cut], crc[cut], seq, off))
             who, start, length, crc, seq, off = (np.concatenate([p[k] for p in parts]) for k in range(6))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(pa.array(who)), *(pa.array(a.astype(np.int64)) for a in (start, length, crc, n[who], seq, off))],
-                ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
-            )
+            columns = [batch.column("doc_id").take(pa.array(who)), *(pa.array(a.astype(np.int64)) for a in (start, length, crc, n[who], seq, off))]
+            names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+            if "ids" in batch.schema.names:
+                flat, first = np.frombuffer(b"".join(batch.column("ids").to_pylist()), "<u4"), (np.cumsum(n) - n)[who] + start
+                ends = np.cumsum(length)
+                ids = flat[np.repeat(first - ends + length, length) + np.arange(ends[-1])].astype(np.int32)
+                columns.append(pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(ids)))
+                names.append("ids")
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     return run
 
 
-def pack(docs: DataFrame) -> DataFrame:
+def pack(docs: DataFrame, with_ids: bool = False) -> DataFrame:
     """Cuts the ids of each row of (doc_id, text, ...) into pieces and gives each its place in a sequence.
 
     Full windows of a document are sequences of their own. A remainder goes whole into a combination of two or three
@@ -228,10 +232,15 @@ def pack(docs: DataFrame) -> DataFrame:
     combination takes are cut into powers of two and laid out largest first, which fills windows without a gap; the tail of
     under one window is cut into sequences of powers of two. No sequence needs padding.
 
-    A null or empty text is its end id alone. Repeated rows are packed each on its own; null doc_ids are kept; an empty
+    With `with_ids` each piece carries its ids, of which a sequence is made up in the order of `offset`. Sequence numbers have
+    gaps: documents with full windows hold a run of numbers each, as long as the longest needs.
+
+    A null or empty text is its end id alone; texts of any length are encoded whole. Other columns are not read. Repeated rows are packed each on its own; null doc_ids are kept; an empty
     table has no pieces. Ranks follow (bucket of doc_id, doc_id), so that reruns agree.
     """
-    cut = materialise(docs.select("doc_id", "text").mapInArrow(_measure, "doc_id long, doc_tokens long, rest int, full_crc array<long>, rest_crc long, bit_crc array<long>"), "pieces")
+    more = ["ids"] if with_ids else []
+    texts = docs.select("doc_id", "text", *(F.lit(None).alias(c) for c in more))
+    cut = materialise(texts.mapInArrow(_measure, "doc_id long, doc_tokens long, rest int, full_crc array<long>, rest_crc long, bit_crc array<long>" + ", ids binary" * with_ids), "pieces")
     counts = cut.groupBy("rest").agg(F.count("*").alias("n"), F.max(F.size("full_crc")).alias("full")).collect()  # 2048 rows at most
     have = np.zeros(WINDOW, np.int64)
     for r in counts:
@@ -242,8 +251,8 @@ def pack(docs: DataFrame) -> DataFrame:
     goal.index[1:] += at_zero
     bucket = F.pmod(F.xxhash64("doc_id"), F.lit(BUCKETS)).cast("int")
     ranked = exclusive_prefix(cut.withColumn("bucket", bucket).withColumn("one", F.lit(1)), ["rest"], "bucket", ["doc_id", "doc_tokens", "rest_crc"], {"rank": "one"})
-    return ranked.select("doc_id", "doc_tokens", "rest", "full_crc", "rest_crc", "bit_crc", F.col("rank").cast("long").alias("rank")).mapInArrow(
-        _pieces(goal, max([1, *(r["full"] for r in counts)])), PIECES
+    return ranked.select("doc_id", "doc_tokens", "rest", "full_crc", "rest_crc", "bit_crc", F.col("rank").cast("long").alias("rank"), *more).mapInArrow(
+        _pieces(goal, max([1, *(r["full"] for r in counts)])), PIECES + ", ids array<int>" * with_ids
     )
 
 
