@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import table
-from .hashing import SHAPES, mix64, shingle_sets, slabs, word_hashes, word_shapes
+from .hashing import SHAPES, mix64, pieces, shingle_sets, slabs, word_hashes, word_shapes
 
 #: Rows of the word vectors (words share rows by hash), their dimensions, and the neighbours on each side that make a context.
 ROWS, DIM, REACH = 16384, 32, 2
@@ -22,6 +22,8 @@ MOST_LABELLED = 20_000
 HIDDEN, EPOCHS, BATCH, RATE, DECAY = 32, 60, 256, 3e-3, 1e-4
 ACCEPT = 0.7
 SEED = 20240801
+#: Words whose vectors are looked up at once.
+CHUNK = 1 << 18
 
 
 def index_vectors(n: int, seed: int) -> np.ndarray:
@@ -35,8 +37,9 @@ def word_rows(hashes: np.ndarray) -> np.ndarray:
 
 
 def contexts(docs: list[str | None], total: np.ndarray, index: np.ndarray) -> None:
-    """Adds to each word's row the index vectors of the words up to REACH before and after it in the same document."""
-    for _, run in slabs(docs):
+    """Adds to each word's row the index vectors of the words up to REACH before and after it in the same document. A long
+    text is taken in pieces, at whose ends contexts stop, so that memory is bounded."""
+    for run in (part for _, run in slabs(docs) for part in ([run] if len(run) > 1 else [[p] for p in pieces(run[0])])):
         hashes, counts = word_hashes(run)
         if not len(hashes):
             continue
@@ -73,6 +76,17 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
     return (out / np.where(norm > 0, norm, 1) + 0.3 * index_vectors(ROWS, SEED)).astype(np.float32)
 
 
+def pooled(vectors: np.ndarray, rows: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sums of the rows' vectors from each start to the next; a long stretch is summed in parts."""
+    if len(rows) <= CHUNK:
+        return np.add.reduceat(vectors[rows], starts, axis=0)
+    out = np.zeros((len(starts), vectors.shape[1]))
+    for i, (a, b) in enumerate(zip(starts, np.append(starts[1:], len(rows)), strict=True)):
+        for lo in range(a, b, CHUNK):
+            out[i] += vectors[rows[lo : min(b, lo + CHUNK)]].sum(0)
+    return out
+
+
 def features(texts: list[str | None], vectors: np.ndarray, shapes: np.ndarray) -> np.ndarray:
     """Per text: the means of its words' context vectors and shape vectors, and the shares that pooling loses: how many words and
     three-word runs are distinct, and the text's size. Texts without words have zeros."""
@@ -85,8 +99,8 @@ def features(texts: list[str | None], vectors: np.ndarray, shapes: np.ndarray) -
         starts = np.cumsum(counts)[full] - counts[full]
         rows = word_rows(hashes)
         n = counts[full][:, None]
-        out[first + full, :DIM] = np.add.reduceat(vectors[rows], starts, axis=0) / n
-        out[first + full, DIM : 2 * DIM] = np.add.reduceat(shapes[word_shapes(run)], starts, axis=0) / n
+        out[first + full, :DIM] = pooled(vectors, rows, starts) / n
+        out[first + full, DIM : 2 * DIM] = pooled(shapes, word_shapes(run), starts) / n
         doc = np.repeat(np.arange(len(counts)), counts)
         distinct = np.unique(mix64(hashes ^ mix64(doc.astype(np.uint64))) >> np.uint64(24) << np.uint64(24) | doc.astype(np.uint64))
         out[first + full, 2 * DIM] = (np.bincount((distinct & np.uint64((1 << 24) - 1)).astype(np.int64), minlength=len(counts)) / np.maximum(counts, 1))[full]
@@ -165,13 +179,15 @@ def _collect_features(vectors: np.ndarray):
 def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, Network]:
     """Word vectors of all documents, and the network fitted on at most MOST_LABELLED labelled rows that are not held out.
 
-    Labels other than 0 and 1 are not used. Without a usable label the network is all zeros: every score is 1/2.
+    Labels other than 0 and 1 are not used, nor those of an id that has both; of rows that repeat a labelled id the text that is
+    first by hash counts. Without a usable label the network is all zeros: every score is 1/2.
     """
     vectors = word_vectors(docs)
-    some = labels.where(~held_out() & F.col("quality").isin(0, 1)).select("doc_id", F.col("quality").cast("int").alias("quality")).dropDuplicates(["doc_id"])
-    some = some.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MOST_LABELLED)
-    rows = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").mapInArrow(_collect_features(vectors), "doc_id long, quality int, x array<double>")
-    got = rows.limit(2 * MOST_LABELLED).toPandas().sort_values("doc_id", kind="stable")
+    some = labels.where(~held_out() & F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id")
+    some = some.agg(F.min("quality").cast("int").alias("quality"), F.max("quality").cast("int").alias("other")).where("quality = other")
+    some = some.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MOST_LABELLED).select("doc_id", "quality")
+    rows = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").groupBy("doc_id", "quality").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    got = rows.mapInArrow(_collect_features(vectors), "doc_id long, quality int, x array<double>").toPandas().sort_values("doc_id", kind="stable")
     width = 2 * DIM + 5
     if not len(got):
         return vectors, Network(np.zeros(width), np.ones(width), np.zeros((width, HIDDEN)), np.zeros(HIDDEN), np.zeros(HIDDEN), 0.0)
