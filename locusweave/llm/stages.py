@@ -9,15 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import jaccard_join, mixing, packing, quality_classifier, secrets
-from .common import materialise, table
+from .common import materialise, n_words, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Near duplicates in the pipeline: shingles of five words, Jaccard similarity of 0.8.
 NEAR_WORDS, NEAR_NUM, NEAR_DEN = 5, 80, 100
+#: Sources up to which the table of them is broadcast (under 10 MB).
+MOST_SOURCES = 50_000
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier accepts; the others go."""
+    """Documents that the classifier accepts; the others go. Null and empty texts are judged like any other, repeated rows alike;
+    an empty table stays empty. Columns that are not of documents are left out, here and in the next stages."""
     scored = quality_classifier.score_quality(docs.select(*COLUMNS), table(spark, sf_dir, "labels"))
     return scored.where(F.col("score") >= quality_classifier.ACCEPT).select(*COLUMNS)
 
@@ -61,12 +64,24 @@ def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it, to the nearest whole copy: none, once or twice."""
-    mixed = mixing.mix(mixing.sized(docs.select(*COLUMNS)))
-    copies = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(0).cast("int")
-    return mixed.where(copies > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), copies))).select(*COLUMNS)
+    """Each document as often as the mix takes it, to the nearest whole copy: none, once or twice. Texts without words, which
+    a mix takes no word of, go.
+
+    What is taken of a source is a beginning of its shuffled order, for each time over; so a row per source, the ends of these,
+    decides for every document, and no text is shuffled while sources are few.
+    """
+    docs = docs.select(*COLUMNS)
+    mixed = mixing.mix(materialise(mixing.sized(docs), "mix-sizes"))
+    copies = range(mixing.MOST_REPEATS)
+    last = lambda e: F.max(F.when(2 * F.get("parts", F.lit(e)) >= F.col("size"), F.struct("shuffle", "size")))
+    ends = materialise(mixed.where("size > 0").groupBy(F.col("source").alias("of")).agg(*(last(e).alias(f"end{e}") for e in copies)), "mix-ends")
+    ends = F.broadcast(ends) if ends.count() <= MOST_SOURCES else ends
+    own = docs.withColumn("__size", n_words()).where("__size > 0").withColumn("__at", F.struct(mixing.shuffle_key().alias("shuffle"), F.col("__size").alias("size")))
+    taken = sum((F.coalesce((F.col("__at") <= F.col(f"end{e}")).cast("int"), F.lit(0)) for e in copies[1:]), F.coalesce((F.col("__at") <= F.col("end0")).cast("int"), F.lit(0)))
+    kept = own.join(ends, F.col("source").eqNullSafe(F.col("of"))).withColumn("__n", taken).where("__n > 0")
+    return kept.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("__n")))).select(*COLUMNS)
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents and their places in sequences."""
-    return packing.pack(docs)
+    """The pieces of all documents, their ids, and their places in sequences; the last stage, hence with columns of its own."""
+    return packing.pack(docs, with_ids=True)

@@ -1,4 +1,7 @@
 import collections
+import zlib
+
+import numpy as np
 
 import corpus_pipeline
 from locusweave.llm import packing, secrets, stages
@@ -42,5 +45,20 @@ def test_stages_one_after_the_other(spark, tmp_path):
     copies, tokens = collections.Counter(r["doc_id"] for r in mixed), packing.Tokens()
     total = sum(len(tokens(r["text"])) // 4 + 1 for r in mixed)
     assert sum(r["length"] for r in packed) == total and {r["doc_id"] for r in packed} == set(copies)
+    assert all(zlib.crc32(np.array(r["ids"], "<u4").tobytes()) == r["ids_crc32"] and len(r["ids"]) == r["length"] for r in packed)
     again = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert sorted(map(tuple, again)) == sorted(tuple(r.values()) for r in packed)
+
+
+def test_stages_take_null_texts_and_empty_tables(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, extra int"
+    spark.createDataFrame([(1, 1, 0), (2, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    odd = [(1, None, None, None, None, 1), (2, "", "en", None, 0, 1), (None, "a b c", "en", "s", 5, 1), (3, "a b c", "en", "s", 5, 1)]
+    for rows in (odd, []):
+        now = spark.createDataFrame(rows, schema)
+        assert stages.hide_secrets(spark, now, "").count() == len(rows)
+        single = stages.keep_one_of_near(spark, now, "")
+        assert single.columns == list(stages.COLUMNS) and sorted(r["doc_id"] for r in single.collect()) == ([1, 2, 3] if rows else [])
+        assert {r["doc_id"] for r in stages.mix_sources(spark, now, "").collect()} <= {None, 3}
+        assert stages.pack_windows(spark, now, "").agg({"length": "sum"}).first()[0] == (sum(1 if not r[1] else 4 for r in rows) or None)
+        assert stages.keep_good(spark, now, str(tmp_path)).count() <= len(rows)
