@@ -32,7 +32,7 @@ WORDS = 3
 #: Sets link when DEN * intersection >= NUM * union.
 NUM, DEN = 90, 100
 #: Sets and shingles of half a tile; regions over SPLIT sets are divided again, LEVELS times in all.
-SIDE, SIDE_SHINGLES, SPLIT, LEVELS = 512, 400_000, 4096, 3
+SIDE, SIDE_SHINGLES, SPLIT, LEVELS = 512, 400_000, 1024, 4
 #: Texts that pivots are drawn from and their most characters, pivots of a level, and the least distance between two of them.
 SAMPLE, SAMPLE_CHARS, PIVOTS, APART = 4096, 8192, 256, 0.97
 #: A set within this distance of a pivot may leave the outside; windows reach as far as WINDOW at most, beyond which pivots are not looked at.
