@@ -17,6 +17,8 @@ from .common import exclusive_prefix, materialise, table
 WINDOW = 2048
 END_ID = 1
 BUCKETS = 256
+#: How ids travel to their pieces: the vocabulary has under 65 536.
+ID = "<u2"
 
 
 class Tokens:
@@ -52,7 +54,7 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep, rows, every = "ids" in batch.schema.names, [], []
         for text in batch.column("text").to_pylist():
             ids = memoryview(tokens(text or "") + end)
-            every.append(bytes(ids) if keep else None)
+            every.append(np.frombuffer(ids, "<u4").astype(ID).tobytes() if keep else None)
             n = len(ids) // 4
             full, rest = divmod(n, WINDOW)
             at, bits = 4 * full * WINDOW, []
@@ -213,7 +215,7 @@ def _pieces(goal: Plan, most_full: int):
             columns = [batch.column("doc_id").take(pa.array(who)), *(pa.array(a.astype(np.int64)) for a in (start, length, crc, n[who], seq, off))]
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
             if "ids" in batch.schema.names:
-                flat, first = np.frombuffer(b"".join(batch.column("ids").to_pylist()), "<u4"), (np.cumsum(n) - n)[who] + start
+                flat, first = np.frombuffer(b"".join(batch.column("ids").to_pylist()), ID), (np.cumsum(n) - n)[who] + start
                 ends = np.cumsum(length)
                 ids = flat[np.repeat(first - ends + length, length) + np.arange(ends[-1])].astype(np.int32)
                 columns.append(pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(ids)))
