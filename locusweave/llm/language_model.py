@@ -17,20 +17,25 @@ from .hashing import slabs, word_hashes
 SMOOTH = 0.1
 #: Words whose counts every task gets (12 bytes each); rarer ones are looked up by a join.
 HEAD = 500_000
-#: Words of the recurrent model, with the end and one for all others; classes of equal size.
-VOCABULARY, CLASSES = 1024, 32
-PER_CLASS = VOCABULARY // CLASSES
+#: Words of the recurrent model, with the end and one for all others: bands of falling frequency, of (classes, words a class).
+BANDS = ((32, 32), (24, 128), (56, 512))
 END, OTHER = 0, 1
-HIDDEN = 24
-#: Training: least lanes that run side by side, steps that gradients go back, one of so many documents in the first round.
-LANES, STEPS, ONE_OF, RATE, CLIP = 32, 24, 16, 6e-3, 1.0
+EMBED, HIDDEN = 24, 24
+#: Training: least and most lanes that run side by side, steps that gradients go back, one of so many documents in the first
+#: round, rates of the tables (Adagrad) and of the rest (Adam), bounds of gradients and output weights; training tokens of a
+#: shard, and shards of a small corpus if each gets its least.
+LEAST_LANES, LANES, STEPS, ONE_OF, TABLE_RATE, RATE, CLIP, LARGEST = 32, 512, 16, 16, 0.12, 6e-3, 1.0, 2.5
+SHARD_TOKENS, SHARDS, SHARD_LEAST = 4_000_000, 8, 250_000
 #: Scoring: lanes, and steps whose softmax is taken at once.
 WIDE, WINDOW = 256, 64
 #: Rows of a batch that are worked on at once, which bounds a worker's memory.
 ROWS = 2500
 #: Models that one task averages.
-FAN_IN = 64
+FAN_IN = 16
 SEED = 90
+FIRST = np.cumsum([0, *(words for classes, words in BANDS for _ in range(classes))])  # where each class begins
+CLASSES, VOCABULARY = len(FIRST) - 1, int(FIRST[-1])
+CLASS_OF = np.repeat(np.arange(CLASSES), np.diff(FIRST))
 
 
 def portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,10 +81,10 @@ class Head:
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per token: its model id, its count (0 where not found), and whether it was found."""
         if not len(self.words):
-            return np.full(len(hashes), OTHER, np.int16), np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
+            return np.full(len(hashes), OTHER, np.int32), np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
         k = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
         found = self.words[k] == hashes
-        return np.where(found, self.ids[k], OTHER).astype(np.int16), np.where(found, self.counts[k], 0), found
+        return np.where(found, self.ids[k], OTHER).astype(np.int32), np.where(found, self.counts[k], 0), found
 
 
 def head_of(counts: DataFrame, ends: int) -> Head:
@@ -99,7 +104,7 @@ def head_of(counts: DataFrame, ends: int) -> Head:
     words, n = words[order], n[order]
     tokens, distinct = sum(s[2] for s in steps) + ends, sum(s[1] for s in steps) + (ends > 0)
     top = np.lexsort((words, -n))[: VOCABULARY - 2]
-    ids = np.full(len(words), OTHER, np.int16)
+    ids = np.full(len(words), OTHER, np.int32)
     ids[top] = np.arange(2, 2 + len(top))
     total = tokens + SMOOTH * (distinct + 1)
     unigram = np.zeros(VOCABULARY)
@@ -112,19 +117,22 @@ def head_of(counts: DataFrame, ends: int) -> Head:
 # ---- the network --------------------------------------------------------------------------------------------------
 
 SHAPES = {
-    "input": (VOCABULARY, 3 * HIDDEN),
+    "embed": (VOCABULARY, EMBED),
+    "input": (EMBED, 3 * HIDDEN),
     "state": (HIDDEN, 3 * HIDDEN),
     "bias": (3 * HIDDEN,),
     "class": (HIDDEN, CLASSES),
     "class_bias": (CLASSES,),
-    "word": (CLASSES, HIDDEN, PER_CLASS),
-    "word_bias": (CLASSES, PER_CLASS),
+    "word": (VOCABULARY, HIDDEN),
+    "word_bias": (VOCABULARY,),
 }
+#: Tables of which an update touches some rows only.
+TABLES = ("embed", "word", "word_bias")
 Weights = dict[str, np.ndarray]
 
 
 def place_of(unigram: np.ndarray) -> np.ndarray:
-    """Each model word's place: words by falling frequency, PER_CLASS of them to a class."""
+    """Each model word's place: words by falling frequency, class after class."""
     place = np.zeros(VOCABULARY, np.int64)
     place[np.argsort(-unigram, kind="stable")] = np.arange(VOCABULARY)
     return place
@@ -134,11 +142,12 @@ def start(unigram: np.ndarray) -> Weights:
     """Before training the softmax gives just the unigram distribution."""
     rng = np.random.default_rng(SEED)
     w = {k: np.zeros(s, np.float32) for k, s in SHAPES.items()}
-    w["input"] = rng.normal(0, 0.3, SHAPES["input"]).astype(np.float32)
-    w["state"] = rng.normal(0, HIDDEN**-0.5, SHAPES["state"]).astype(np.float32)
-    p = np.maximum(np.sort(unigram)[::-1], 1e-12).reshape(CLASSES, PER_CLASS)
-    w["class_bias"] = np.log(p.sum(1)).astype(np.float32)
-    w["word_bias"] = np.log(p / p.sum(1, keepdims=True)).astype(np.float32)
+    for k in ("embed", "input", "state"):
+        w[k] = rng.normal(0, SHAPES[k][1] ** -0.5 if k == "state" else EMBED**-0.5 if k == "input" else 0.5, SHAPES[k]).astype(np.float32)
+    p = np.maximum(np.sort(unigram)[::-1], 1e-12)
+    total = np.add.reduceat(p, FIRST[:-1])
+    w["class_bias"] = np.log(total).astype(np.float32)
+    w["word_bias"] = np.log(p / total[CLASS_OF]).astype(np.float32)
     return w
 
 
@@ -156,35 +165,37 @@ def unpack_weights(data: bytes) -> Weights:
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    return 0.5 * np.tanh(0.5 * x) + 0.5
 
 
 def step(w: Weights, x: np.ndarray, h: np.ndarray):
-    """One step of the gated unit: x are rows of the input table."""
+    """One step of the gated unit: x are embedded words times the input matrix, with the bias."""
     gate = h @ w["state"]
-    rz = sigmoid(x[:, : 2 * HIDDEN] + gate[:, : 2 * HIDDEN] + w["bias"][: 2 * HIDDEN])
+    rz = sigmoid(x[:, : 2 * HIDDEN] + gate[:, : 2 * HIDDEN])
     r, z = rz[:, :HIDDEN], rz[:, HIDDEN:]
-    inner = gate[:, 2 * HIDDEN :] + w["bias"][2 * HIDDEN :]
+    inner = gate[:, 2 * HIDDEN :]
     n = np.tanh(x[:, 2 * HIDDEN :] + r * inner)
     return n + z * (h - n), (r, z, n, inner)
 
 
-def _softmax(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    top = x.max(1, keepdims=True)
-    e = np.exp(x - top)
-    total = e.sum(1, keepdims=True)
-    return e / total, (top + np.log(total))[:, 0]
+def _exponentials(x: np.ndarray) -> np.ndarray:
+    """Turns logits into their exponentials; weights are held within LARGEST, so that none overflows. Returns the row sums."""
+    np.exp(x, out=x)
+    return x.sum(1)
 
 
 def log_probability(w: Weights, h: np.ndarray, place: np.ndarray, grads: Weights | None = None) -> tuple[np.ndarray, np.ndarray | None]:
     """Natural log probability of the words at `place` after the states h: that of the class times that within the class.
     With `grads`, adds the gradients of minus the sum and returns the one with respect to h."""
-    kind, within, rows = place // PER_CLASS, place % PER_CLASS, np.arange(len(h))
+    kind, rows = CLASS_OF[place], np.arange(len(h))
     logits = h @ w["class"] + w["class_bias"]
-    p, total = _softmax(logits)
-    out = logits[rows, kind] - total
+    own = logits[rows, kind]
+    total = _exponentials(logits)
+    out = own - np.log(total)
     back = None
     if grads is not None:
+        p = logits
+        p /= total[:, None]
         p[rows, kind] -= 1
         grads["class"] += h.T @ p
         grads["class_bias"] += p.sum(0)
@@ -192,100 +203,170 @@ def log_probability(w: Weights, h: np.ndarray, place: np.ndarray, grads: Weights
     order = np.argsort(kind, kind="stable")
     ends = np.searchsorted(kind[order], np.arange(CLASSES + 1))
     for c in np.flatnonzero(np.diff(ends)):
-        some = order[ends[c] : ends[c + 1]]
-        mine, at = h[some], within[some]
-        logits = mine @ w["word"][c] + w["word_bias"][c]
-        q, total = _softmax(logits)
-        inside = np.arange(len(some))
-        out[some] += logits[inside, at] - total
+        some, lo, hi = order[ends[c] : ends[c + 1]], FIRST[c], FIRST[c + 1]
+        mine, at, inside = h[some], place[some] - lo, np.arange(ends[c + 1] - ends[c])
+        logits = mine @ w["word"][lo:hi].T + w["word_bias"][lo:hi]
+        own = logits[inside, at]
+        total = _exponentials(logits)
+        out[some] += own - np.log(total)
         if grads is not None:
+            q = logits
+            q /= total[:, None]
             q[inside, at] -= 1
-            grads["word"][c] += mine.T @ q
-            grads["word_bias"][c] += q.sum(0)
-            back[some] += q @ w["word"][c].T
+            grads["word"][lo:hi] += q.T @ mine
+            grads["word_bias"][lo:hi] += q.sum(0)
+            back[some] += q @ w["word"][lo:hi]
     return out, back
 
 
-def train(w: Weights, docs: list[np.ndarray], place: np.ndarray, moments: tuple[Weights, Weights, int]) -> tuple[Weights, tuple[Weights, Weights, int], int]:
-    """Adam with backpropagation truncated at STEPS steps: the documents, each with its end, form streams of
-    64 * STEPS words, LANES of them at least and WIDE at most; states run on."""
-    stream = np.concatenate([np.append(d, END) for d in docs]) if docs else np.zeros(0, np.int64)
-    lanes = max(1, min(LANES, len(stream) // STEPS), min(WIDE, len(stream) // (64 * STEPS)))
-    length = len(stream) // lanes
-    if length < 2:
-        return w, moments, 0
-    lane = stream[: lanes * length].reshape(lanes, length)
-    before = np.concatenate([np.full((lanes, 1), END), lane[:, :-1]], 1)
-    h, (m, v, t) = np.zeros((lanes, HIDDEN), np.float32), moments
-    for lo in range(0, length, STEPS):
-        ids, want = before[:, lo : lo + STEPS], lane[:, lo : lo + STEPS]
-        kept, states = [], [h]
-        for k in range(ids.shape[1]):
-            h, inner = step(w, w["input"][ids[:, k]], h)
-            kept.append(inner)
-            states.append(h)
-        g = {k: np.zeros_like(x) for k, x in w.items()}
-        _, back = log_probability(w, np.concatenate(states[1:]), place[want.T.ravel()], g)
-        back, later = back.reshape(ids.shape[1], lanes, HIDDEN), np.zeros_like(h)
-        for k in range(ids.shape[1] - 1, -1, -1):
-            (r, z, n, inner), prev = kept[k], states[k]
-            dh = back[k] + later
-            dn = dh * (1 - z) * (1 - n * n)
-            dz = dh * (prev - n) * z * (1 - z)
-            dr = dn * inner * r * (1 - r)
-            dx = np.concatenate([dr, dz, dn], 1)
-            dgate = np.concatenate([dr, dz, dn * r], 1)
-            np.add.at(g["input"], ids[:, k], dx)
-            g["state"] += prev.T @ dgate
-            g["bias"] += dgate.sum(0)
-            later = dh * z + dgate @ w["state"].T
-        t += 1
-        size = float(want.size)
-        norm = math.sqrt(sum(float((x * x).sum()) for x in g.values())) / size
-        scale = (min(1.0, CLIP / norm) if norm > 0 else 1.0) / size
-        for k, x in g.items():
+class Trainer:
+    """Weights under training: Adagrad on the rows that an update touches, Adam on the rest."""
+
+    def __init__(self, w: Weights):
+        self.w, self.seen, self.t = w, 0, 0
+        self.squares = {k: np.full(x.shape, 1e-6, np.float32) if k in TABLES else np.zeros_like(x) for k, x in w.items()}
+        self.mean = {k: np.zeros_like(x) for k, x in w.items() if k not in TABLES}
+        self.grads = {k: np.zeros_like(x) for k, x in w.items()}
+
+    def update(self, size: int, embedded: np.ndarray) -> None:
+        w, g, self.t = self.w, self.grads, self.t + 1
+        norm = math.sqrt(sum(float((g[k] ** 2).sum()) for k in self.mean)) / size
+        scale = np.float32((min(1.0, CLIP / norm) if norm > 0 else 1.0) / size)
+        for k in TABLES:
+            rows = embedded if k == "embed" else slice(None)  # nearly all words' classes are touched
+            x = g[k][rows]
             x *= scale
-            m[k] = 0.9 * m[k] + 0.1 * x
-            v[k] = 0.999 * v[k] + 0.001 * x * x
-            w[k] = w[k] - RATE * (m[k] / (1 - 0.9**t)) / (np.sqrt(v[k] / (1 - 0.999**t)) + 1e-7)
-    return w, (m, v, t), lanes * length
+            square = self.squares[k][rows]
+            square += x * x
+            self.squares[k][rows] = square
+            x /= np.sqrt(square)
+            x *= np.float32(TABLE_RATE)
+            w[k][rows] -= x
+            g[k][rows] = 0
+        for k, m in self.mean.items():
+            x, v = g[k] * scale, self.squares[k]
+            m += 0.1 * (x - m)
+            v += 0.001 * (x * x - v)
+            w[k] -= RATE * (m / (1 - 0.9**self.t)) / (np.sqrt(v / (1 - 0.999**self.t)) + 1e-7)
+            g[k][:] = 0
+        for k in ("word", "class"):
+            np.clip(w[k], -LARGEST, LARGEST, out=w[k])
+
+    def train(self, docs: list[np.ndarray], place: np.ndarray) -> None:
+        """Backpropagation truncated at STEPS steps: the documents, each with its end, form one stream that is cut into up to
+        LANES lanes side by side; states run on. Lanes differ by a word at most, so every word is learned once."""
+        w = self.w
+        stream = np.concatenate([np.append(d, END) for d in docs]) if docs else np.zeros(0, np.int64)
+        if not len(stream):
+            return
+        lanes = max(1, min(LANES, len(stream) // (64 * STEPS)), min(LEAST_LANES, len(stream) // (2 * STEPS)))
+        bounds = np.arange(lanes + 1) * len(stream) // lanes
+        sizes = np.diff(bounds)
+        order = np.argsort(-sizes, kind="stable")
+        begin, sizes = bounds[:-1][order], sizes[order]
+        before = np.concatenate([[END], stream[:-1]])
+        h = np.zeros((lanes, HIDDEN), np.float32)
+        for lo in range(0, int(sizes[0]), STEPS):
+            width = min(STEPS, int(sizes[0]) - lo)
+            live = [int(np.count_nonzero(sizes > lo + k)) for k in range(width)]
+            at = [begin[:n] + lo + k for k, n in enumerate(live)]
+            flat = np.concatenate(at)
+            ids, want = before[flat], place[stream[flat]]
+            embedded = w["embed"][ids]
+            x = embedded @ w["input"] + w["bias"]
+            edge = np.cumsum([0, *live])
+            kept, states, after = [], [], []
+            for k, n in enumerate(live):
+                states.append(h[:n])
+                new, inner = step(w, x[edge[k] : edge[k + 1]], h[:n])
+                kept.append(inner)
+                after.append(new)
+                h = new
+            _, back = log_probability(w, np.concatenate(after), want, self.grads)
+            dx, later, g = np.empty_like(x), np.zeros((live[-1], HIDDEN), np.float32), self.grads
+            dgates = []
+            for k in range(width - 1, -1, -1):
+                (r, z, n, inner), prev = kept[k], states[k]
+                dh = back[edge[k] : edge[k + 1]]
+                dh[: len(later)] += later
+                dn = dh * (1 - z) * (1 - n * n)
+                part = dx[edge[k] : edge[k + 1]]
+                part[:, HIDDEN : 2 * HIDDEN] = dh * (prev - n) * z * (1 - z)
+                part[:, :HIDDEN] = dn * inner * r * (1 - r)
+                part[:, 2 * HIDDEN :] = dn
+                dgate = part.copy()
+                dgate[:, 2 * HIDDEN :] *= r
+                dgates.append(dgate)
+                later = dh * z + dgate @ w["state"].T
+            g["state"] += np.concatenate(states).T @ np.concatenate(dgates[::-1])
+            g["bias"] += dx.sum(0)
+            g["input"] += embedded.T @ dx
+            used, where = np.unique(ids, return_inverse=True)
+            turn = np.argsort(where, kind="stable")
+            first = np.flatnonzero(np.concatenate([[True], np.diff(where[turn]) > 0]))
+            g["embed"][used] = np.add.reduceat((dx @ w["input"].T)[turn], first, axis=0)
+            self.update(len(ids), used)
+            self.seen += len(ids)
+
+
+def _rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[str]]]:
+    """Texts of a shard, ROWS at a time, wherever batches end: (shard, texts)."""
+    now, texts = None, []
+    for batch in batches:
+        for shard, text in zip(batch.column("shard").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            if texts and (shard != now or len(texts) == ROWS):
+                yield now, texts
+                texts = []
+            now = shard
+            texts.append(text)
+    if texts:
+        yield now, texts
 
 
 def _train(head: Head, data: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, place, seen = unpack_weights(data), place_of(head.unigram), 0
-        moments = ({k: np.zeros_like(x) for k, x in w.items()}, {k: np.zeros_like(x) for k, x in w.items()}, 0)
-        for batch in portions(batches):
+        place, trainer, now = place_of(head.unigram), None, None
+        done = lambda: pa.RecordBatch.from_arrays([pa.array([now], pa.int64()), pa.array([trainer.seen], pa.int64()), pa.array([pack_weights(trainer.w)], pa.binary())], ["shard", "tokens", "weights"])
+        for shard, texts in _rows_of(batches):
+            if shard != now:
+                if trainer is not None:
+                    yield done()
+                trainer, now = Trainer(unpack_weights(data)), shard
             docs = []
-            for _, run_ in slabs(batch.column("text").to_pylist()):
+            for _, run_ in slabs(texts):
                 hashes, counts = word_hashes(run_)
                 docs += np.split(head.find(hashes)[0].astype(np.int64), np.cumsum(counts)[:-1])
-            w, moments, n = train(w, docs, place, moments)
-            seen += n
-        if seen:
-            yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([pack_weights(w)], pa.binary())], ["tokens", "weights"])
+            trainer.train(docs, place)
+        if trainer is not None:
+            yield done()
 
     return run
 
 
 def _average(t: pa.Table) -> pa.Table:
+    t = t.sort_by("shard")
     tokens = t.column("tokens").to_numpy().astype(np.float64)
-    total = sum(np.frombuffer(x.as_py(), np.float32).astype(np.float64) * n for x, n in zip(t.column("weights"), tokens, strict=True))
-    return pa.table({"tokens": pa.array([int(tokens.sum())], pa.int64()), "weights": pa.array([(total / tokens.sum()).astype(np.float32).tobytes()], pa.binary())})
+    total = sum(np.frombuffer(x.as_py(), np.float32) * (n / tokens.sum()) for x, n in zip(t.column("weights"), tokens, strict=True))
+    return pa.table({"shard": pa.array([t.column("shard")[0].as_py() // FAN_IN], pa.int64()), "tokens": pa.array([int(tokens.sum())], pa.int64()), "weights": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
 
 
 def fit(docs: DataFrame, head: Head) -> Weights:
-    """Every task trains on its own documents: first on a share of them, then, from the average, on all others, so that each is
-    used once. Weights are averaged by trained tokens, FAN_IN models at a time, until the driver gets a few."""
+    """Rows are dealt to shards by hash of id and text, and sorted within; a shard trains by itself, first on a share of its rows,
+    then, from the average of all shards, on all others, so that each row is used once. Weights are averaged by trained
+    tokens, neighbouring shards first. Neither partitions nor batches of the input change the outcome."""
     data = pack_weights(start(head.unigram))
-    first = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(ONE_OF)) == 0
+    shards = max(math.ceil(head.tokens / SHARD_TOKENS), min(SHARDS, head.tokens // SHARD_LEAST), 1)
+    place = F.xxhash64(F.lit(SEED), "doc_id", "text")
+    first = F.pmod(place, F.lit(ONE_OF)) == 0
     for part in (first, ~first):
-        share = docs.where(part).select("text")
-        models = materialise(share.mapInArrow(_train(head, data), "tokens long, weights binary"), "models")
-        while (n := models.count()) > FAN_IN:
-            models = materialise(models.groupBy(F.floor(F.rand(SEED) * math.ceil(n / FAN_IN)).alias("k")).applyInArrow(_average, "tokens long, weights binary"), "models")
-        if n:
-            data = _average(models.toArrow()).column("weights")[0].as_py()
+        rows = docs.where(part).select(F.pmod(F.shiftright(place, 8), F.lit(shards)).alias("shard"), place.alias("place"), "doc_id", "text")
+        share = rows.repartition("shard").sortWithinPartitions("shard", "place", "doc_id", "text").select("shard", "text")
+        models = materialise(share.mapInArrow(_train(head, data), "shard long, tokens long, weights binary").where("tokens > 0"), "models")
+        while models.count() > FAN_IN:
+            models = materialise(models.groupBy(F.floor(F.col("shard") / FAN_IN).alias("k")).applyInArrow(_average, "shard long, tokens long, weights binary"), "models")
+        got = models.toArrow()
+        if len(got):
+            data = _average(got).column("weights")[0].as_py()
     return unpack_weights(data)
 
 
@@ -296,6 +377,7 @@ def score_ids(w: Weights, docs: list[np.ndarray], place: np.ndarray) -> np.ndarr
     """Natural log probability of each whole document with its end. Documents of like length run side by side; states are
     carried from window to window, however long a document is."""
     out, order = np.zeros(len(docs)), np.argsort([-len(d) for d in docs], kind="stable")
+    table = w["embed"] @ w["input"] + w["bias"]
     for lo in range(0, len(order), WIDE):
         some = order[lo : lo + WIDE]
         sizes = np.array([len(docs[i]) + 1 for i in some])
@@ -309,7 +391,7 @@ def score_ids(w: Weights, docs: list[np.ndarray], place: np.ndarray) -> np.ndarr
             states, wants, who = [], [], []
             for k in range(width):
                 live = int(np.count_nonzero(sizes > at + k))
-                h = step(w, w["input"][ids[:live, k]], h[:live])[0]
+                h = step(w, table[ids[:live, k]], h[:live])[0]
                 states.append(h)
                 wants.append(ids[:live, k + 1])
                 who.append(np.arange(live))

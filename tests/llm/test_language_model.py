@@ -72,11 +72,11 @@ def test_probabilities_add_up_and_gradients_are_right():
     h = np.random.default_rng(1).normal(size=(1, lm.HIDDEN))
     every = lm.log_probability(w, np.repeat(h, lm.VOCABULARY, 0), np.arange(lm.VOCABULARY))[0]
     assert abs(np.exp(every).sum() - 1) < 1e-9
-    states, place = np.random.default_rng(2).normal(size=(6, lm.HIDDEN)), np.array([3, 40, 41, 999, 3, 500])
+    states, place = np.random.default_rng(2).normal(size=(6, lm.HIDDEN)), np.array([3, 40, 41, 999, 3, 5000])
     g = {k: np.zeros_like(x) for k, x in w.items()}
     _, back = lm.log_probability(w, states, place, g)
     loss = lambda: -lm.log_probability(w, states, place)[0].sum()
-    for name, at in (("class", (2, 1)), ("class_bias", (0,)), ("word", (1, 3, 8)), ("word_bias", (31, 7))):
+    for name, at in (("class", (2, 1)), ("class_bias", (0,)), ("word", (41, 8)), ("word_bias", (999,))):
         old = w[name][at]
         w[name][at] = old + 1e-5
         up = loss()
@@ -90,6 +90,25 @@ def test_probabilities_add_up_and_gradients_are_right():
     assert abs((up - loss()) / 2e-5 - back[2, 4]) < 1e-5
 
 
+def test_gradients_run_back_through_the_steps():
+    rng = np.random.default_rng(7)
+    w, place = weights(7), np.arange(lm.VOCABULARY)
+    doc = rng.integers(0, 300, lm.STEPS - 1)
+    kept = {}
+    trainer = lm.Trainer(w)
+    trainer.update = lambda size, used: kept.update({k: g.copy() for k, g in trainer.grads.items()})
+    trainer.train([doc], place)
+    loss = lambda: -lm.score_ids(w, [doc], place)[0]
+    for name, at in (("embed", (int(doc[3]), 2)), ("input", (1, 5)), ("input", (2, lm.HIDDEN + 3)), ("state", (4, 2 * lm.HIDDEN + 1)), ("state", (3, 2)), ("bias", (2 * lm.HIDDEN,))):
+        old = w[name][at]
+        w[name][at] = old + 1e-3
+        up = loss()
+        w[name][at] = old - 1e-3
+        down = loss()
+        w[name][at] = old
+        assert abs((up - down) / 2e-3 - kept[name][at]) < 1e-2 * max(1, abs(kept[name][at])), name
+
+
 def test_states_run_on_over_windows(monkeypatch):
     w, place = weights(), np.arange(lm.VOCABULARY)
     rng = np.random.default_rng(3)
@@ -101,7 +120,7 @@ def test_states_run_on_over_windows(monkeypatch):
     for d, total in zip(docs, got, strict=True):
         h, last, want = np.zeros((1, lm.HIDDEN)), lm.END, 0.0
         for x in [*d, lm.END]:
-            h, _ = lm.step(w, w["input"][[last]], h)
+            h, _ = lm.step(w, w["embed"][[last]] @ w["input"] + w["bias"], h)
             want += lm.log_probability(w, h, place[[x]])[0][0]
             last = x
         assert abs(want - total) < 1e-3 + 1e-4 * abs(want)
@@ -113,16 +132,27 @@ def test_training_lowers_the_loss():
     unigram = np.bincount(np.concatenate(docs), minlength=lm.VOCABULARY) + 0.1
     w, place = lm.start(unigram / unigram.sum()), lm.place_of(unigram)
     before = lm.score_ids(w, docs[:10], place).sum()
-    zeros = lambda: {k: np.zeros_like(x) for k, x in w.items()}
-    w, _, seen = lm.train(w, docs, place, (zeros(), zeros(), 0))
-    assert seen > 7000 and lm.score_ids(w, docs[:10], place).sum() > before + 100
+    trainer = lm.Trainer(w)
+    for _ in range(4):
+        trainer.train(docs, place)
+    assert trainer.seen == 4 * sum(len(d) + 1 for d in docs) and lm.score_ids(w, docs[:10], place).sum() > before + 100
     assert all(np.array_equal(a, b) for a, b in zip(lm.unpack_weights(lm.pack_weights(w)).values(), w.values(), strict=True))
 
 
-def test_every_training_document_reaches_the_network(spark, monkeypatch):
+def test_every_training_document_reaches_the_network_once(spark, monkeypatch):
+    monkeypatch.setattr(lm, "SHARD_TOKENS", 5000)
     rounds = []
     real = lm._average
     monkeypatch.setattr(lm, "_average", lambda t: rounds.append(sum(t.column("tokens").to_pylist())) or real(t))
-    docs = spark.createDataFrame([(i, "a b c " * 40) for i in range(400)], "doc_id long, text string").repartition(2)
-    lm.fit(docs, lm.Head(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int16), 1, 1, 1, np.full(lm.VOCABULARY, 1 / lm.VOCABULARY)))
-    assert len(rounds) == 2 and 400 * 121 * 0.98 <= sum(rounds) <= 400 * 121
+    monkeypatch.setattr(lm, "FAN_IN", 100)
+    docs = spark.createDataFrame([(i, f"a{i % 7} b c " * 40) for i in range(400)], "doc_id long, text string").repartition(2)
+    lm.fit(docs, lm.Head(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32), 400 * 121, 1, 1, np.full(lm.VOCABULARY, 1 / lm.VOCABULARY)))
+    assert len(rounds) == 2 and sum(rounds) == 400 * 121
+
+
+def test_scores_do_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(lm, "SHARD_TOKENS", 1500)
+    monkeypatch.setattr(lm, "FAN_IN", 2)
+    docs = spark.createDataFrame([(d, t, held(d), 1) for d, t in corpus()], SCHEMA)
+    one, two = (sorted((str(r["doc_id"]), r["n_tokens"], r["score"]) for r in lm.score_documents(docs.repartition(n)).collect()) for n in (2, 5))
+    assert len(one) == len(two) and all(a[:2] == b[:2] and abs(a[2] - b[2]) < 1e-6 * max(1, abs(a[2])) for a, b in zip(one, two, strict=True))
