@@ -5,7 +5,7 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,7 +17,7 @@ from .common import table
 TAG = re.compile(
     r"<!--.*?(?:-->|$)"
     r"|<(?P<raw>script|style|template|noscript|svg|iframe|textarea|select|title)\b[^>]*>.*?(?:</(?P=raw)\s*>|$)"
-    r"|<(?P<end>/?)(?P<name>[a-z][a-z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    r"|<(?P<end>/?)(?P<name>[a-z][a-z0-9:-]*)(?P<attrs>(?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)>"
     r"|<[a-z/!?][^>]*(?:>|$)",
     re.I | re.S,
 )
@@ -28,8 +28,9 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 ENDS = {"p": ("p",), "li": ("li", "p"), "dt": ("dt", "dd", "p"), "dd": ("dt", "dd", "p"), "tr": ("tr", "td", "th", "p"), "td": ("td", "th", "p"), "th": ("td", "th", "p"), "option": ("option",)}
 CLOSES_P = frozenset("address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol pre section table ul".split())
 
-#: The classifier: log-odds of content, added up from the elements around a block and from the block itself.
-CONTAINER = {"article": 5.0, "main": 4.0, "nav": -8.0, "footer": -8.0, "aside": -7.0, "header": -6.0, "form": -7.0, "menu": -8.0, "dialog": -7.0, "button": -8.0, "head": -12.0, "figure": -0.5}
+#: The classifier: log-odds of content, added up from the elements around a block and from the block itself, within bounds.
+CONTAINER = {"article": 3.0, "main": 2.5, "nav": -5.0, "footer": -5.0, "aside": -4.5, "header": -4.0, "form": -4.5, "menu": -5.0, "dialog": -4.5, "button": -5.0, "head": -8.0, "figure": -0.5} | dict.fromkeys(("h1", "h2", "h3", "h4", "h5", "h6"), 1.0)
+LEAST_PRIOR, MOST_PRIOR = -8.0, 4.0
 BAD_NAME = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|adbox|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alert|popup|modal|newsletter|subscribe|signup|login|"
     r"nav\w*|menu\w*|breadcrumbs?|pagination|pager|toolbar|sidebar\w*|side|widget\w*|footer\w*|header|masthead|copyright|legal|related|recommend\w*|trending|popular|"
@@ -37,30 +38,49 @@ BAD_NAME = re.compile(
     re.I,
 )
 GOOD_NAME = re.compile(r"(?:^|[\s_-])(?:article|content|entry|story|post|body|text|main)(?:$|[\s_-])", re.I)
-BAD, GOOD = -7.0, 1.5
+#: Of these, names of page furniture wherever it stands.
+FURNITURE = re.compile(
+    r"(?:^|[\s_-])(?:ads?|advert\w*|adbox|adsense|sponsor\w*|promo\w*|cookies?|consent|gdpr|popup|modal|newsletter|subscribe|signup|login|nav\w*|menu\w*|breadcrumbs?|pagination|pager|"
+    r"toolbar|sidebar\w*|widget\w*|footer\w*|related|recommend\w*|trending|share|sharing|social|comments?|commentlist|respond|replies|reply|disqus|hidden|sr-only|skip)(?:$|[\s_-])|display:\s*none",
+    re.I,
+)
+BAD, DOUBTFUL, GOOD, VETO = -5.0, -1.5, 1.0, -4.0
 BIAS, PER_LENGTH, PER_LINK, SENTENCE = -2.0, 1.1, -4.0, 0.8
 #: Smoothness between neighbouring blocks, and what nearness in the tree adds.
-ADJACENT, NEAR = 0.4, 1.6
+ADJACENT, NEAR = 0.5, 2.0
+
+
+@dataclass(slots=True)
+class Node:
+    """An element that is not inline, by its parent: a path of any depth costs a pointer."""
+
+    parent: Node | None
+    depth: int
 
 
 @dataclass
 class Block:
     text: str
     score: float
-    path: tuple[int, ...]
+    node: Node
 
 
 @dataclass(slots=True)
 class _Open:
     name: str
     prior: float
-    path: tuple[int, ...]
-    children: int = 0
+    node: Node
+    inside: bool  # of an article or main
 
 
-def _named(attrs: str) -> float:
+def _named(attrs: str, inside: bool) -> float:
     names = " ".join(next((x for x in m.groups() if x), m[0]) for m in NAMED.finditer(attrs)) if "=" in attrs or "hidden" in attrs.lower() else ""
-    return BAD if names and BAD_NAME.search(names) else GOOD if names and GOOD_NAME.search(names) else 0.0
+    if not names:
+        return 0.0
+    if BAD_NAME.search(names):
+        # within an article, names that may be its subject say less than names of page furniture
+        return DOUBTFUL if inside and not FURNITURE.search(names) else BAD
+    return GOOD if GOOD_NAME.search(names) else 0.0
 
 
 def _score(text: str, linked: int, prior: float) -> float:
@@ -71,22 +91,22 @@ def _score(text: str, linked: int, prior: float) -> float:
 def blocks(page: str) -> list[Block]:
     """The page's blocks of text: what stands between tags that are not inline, references decoded, white space made single."""
     out: list[Block] = []
-    stack = [_Open("", 0.0, ())]
+    stack = [_Open("", 0.0, Node(None, 0), False)]
+    opened: Counter[str] = Counter()
     parts: list[str] = []
-    linked, links, at = 0, 0, 0
+    linked, at = 0, 0
 
     def flush() -> None:
         nonlocal linked
         text = " ".join("".join(parts).split())
         if text:
-            top = next(x for x in reversed(stack) if x.name not in INLINE)
-            out.append(Block(text, _score(text, linked, top.prior), top.path))
+            # inline elements carry the prior and node of the block that they stand in
+            out.append(Block(text, _score(text, linked, stack[-1].prior), stack[-1].node))
         parts.clear()
         linked = 0
 
     def pop(n: int) -> None:
-        nonlocal links
-        links -= sum(x.name == "a" for x in stack[n:])
+        opened.subtract(x.name for x in stack[n:])
         del stack[n:]
 
     def take(raw: str) -> None:
@@ -94,7 +114,7 @@ def blocks(page: str) -> list[Block]:
         if raw:
             text = html.unescape(raw) if "&" in raw else raw
             parts.append(text)
-            if links:
+            if opened["a"]:
                 linked += len(text.strip())
 
     for m in TAG.finditer(page):
@@ -111,59 +131,65 @@ def blocks(page: str) -> list[Block]:
         if not inline:
             flush()
         if m["end"]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].name == name:
-                    pop(k)
-                    break
+            if opened[name] > 0:
+                for k in range(len(stack) - 1, 0, -1):
+                    if stack[k].name == name:
+                        pop(k)
+                        break
             continue
         if not inline:
             ended = ENDS.get(name) or (("p",) if name in CLOSES_P else ())
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].name in ended:
-                    pop(k)
-                    break
-                if stack[k].name in CONTAINER or stack[k].name in ("ul", "ol", "table", "div", "section"):
-                    break
+            if any(opened[x] > 0 for x in ended):
+                for k in range(len(stack) - 1, 0, -1):
+                    if stack[k].name in ended:
+                        pop(k)
+                        break
+                    if stack[k].name in CONTAINER or stack[k].name in ("ul", "ol", "table", "div", "section"):
+                        break
         if name in VOID or m["attrs"].endswith("/"):
             continue
         up = stack[-1]
-        up.children += 1
+        opened[name] += 1
         if inline:
-            stack.append(_Open(name, up.prior, up.path))
-            links += name == "a"
+            stack.append(_Open(name, up.prior, up.node, up.inside))
         else:
             own = CONTAINER.get(name, 0.0)
+            if name == "header" and up.inside:
+                own = 0.0  # the article's own heading
             attrs = m["attrs"]
             if attrs and not (own > 0 and up.prior >= 0 and name in ("article", "main")):
-                own += _named(attrs)
-            inside = any(x.name in ("article", "main") for x in stack)
-            if name == "header" and inside:
-                own = 0.0  # the article's own heading
-            stack.append(_Open(name, up.prior + own, (*up.path, up.children)))
+                own += _named(attrs, up.inside)
+            # page furniture within an article has nothing of the article's credit
+            prior = max(LEAST_PRIOR, min(MOST_PRIOR, own + (min(0.0, up.prior) if own <= VETO else up.prior)))
+            stack.append(_Open(name, prior, Node(up.node, up.node.depth + 1), up.inside or name in ("article", "main")))
     take(page[at:])
     flush()
     return out
 
 
-def edges(found: list[Block]) -> list[tuple[int, int, float]]:
-    """Smoothness: between neighbours in page order, stronger the nearer in the tree; and to the last block of the same parent."""
+def apart(a: Node, b: Node, most: int = 64) -> int:
+    """Steps from a to b through the tree, as far as `most`, beyond which nearness does not count."""
+    steps = 0
+    while a is not b and steps < most:
+        if a.depth >= b.depth:
+            a, steps = a.parent, steps + 1
+        else:
+            b, steps = b.parent, steps + 1
+    return steps
 
-    def near(a: tuple, b: tuple) -> float:
-        same = 0
-        for x, y in zip(a, b, strict=False):
-            if x != y:
-                break
-            same += 1
-        return NEAR / (1 + len(a) + len(b) - 2 * same)
 
+def edges(found: list[Block]) -> list[tuple[int, int, float]]:
+    """Smoothness: between neighbours in page order, stronger the nearer in the tree; and to the last block of the same parent."""
+    near = lambda a, b: NEAR / (1 + apart(a, b))
     out, last = [], {}
     for i, b in enumerate(found):
         if i:
-            out.append((i - 1, i, ADJACENT + near(found[i - 1].path, b.path)))
-        j = last.get(b.path[:-1])
+            out.append((i - 1, i, ADJACENT + near(found[i - 1].node, b.node)))
+        parent = id(b.node.parent)
+        j = last.get(parent)
         if j is not None and j != i - 1:
-            out.append((j, i, near(found[j].path, b.path)))
-        last[b.path[:-1]] = i
+            out.append((j, i, near(found[j].node, b.node)))
+        last[parent] = i
     return out
 
 
@@ -241,7 +267,11 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """page_id, url, text and n_chars of each row of (page_id, url, html, ...). Repeated rows and null ids stay; nothing is shuffled."""
+    """page_id, url, text and n_chars of each row of (page_id, url, html, ...). Repeated rows and null ids stay; nothing is shuffled.
+
+    Null and empty pages have an empty text, an empty table gives an empty result, and other columns are not read, whatever
+    their names. Pages of any length and depth take memory and time in proportion; a text is never cut.
+    """
     return pages.select("page_id", "url", "html").mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
 
 

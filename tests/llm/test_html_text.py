@@ -37,6 +37,31 @@ def test_neighbours_carry_a_short_block():
     assert html_text.main_text(page) == f"{P}\nOk\n{P}"
 
 
+def test_no_text_is_lost_to_odd_markup_or_names():
+    assert html_text.main_text(f"<article><p>{P}</p><p><a href=/it's-here>{P}</a> {P}</p><p>it's {P}</p></article>") == f"{P}\n{P} {P}\nit's {P}"
+    assert html_text.main_text(f"<main><section class='legal'><p>{P} {P}</p></section></main>") == f"{P} {P}"
+    assert html_text.main_text(f"<article><p>{P}</p><div class='reviews'><p>{P} {P}</p></div></article>") == f"{P}\n{P} {P}"
+
+
+def test_the_cut_overturns_the_sign_of_a_block():
+    page = f"<div><h2>Of words</h2><p>{P} {P}</p><p>Ok</p><p>{P} {P}</p></div><div class=menu><h2>Of menus</h2><ul><li><a href=x>One</a><li>A somewhat longer entry of the list.</ul></div>"
+    found = html_text.blocks(page)
+    keep = html_text.minimum_cut([b.score for b in found], html_text.edges(found))
+    assert sum((b.score > 0) != k for b, k in zip(found, keep, strict=True)) >= 2
+    assert html_text.main_text(page) == f"Of words\n{P} {P}\nOk\n{P} {P}"
+
+
+def test_deep_nesting_takes_memory_in_proportion():
+    import tracemalloc
+
+    page = "<div>" * 50_000 + f"<p>{P}</p><p>{P}</p>" + "</div>" * 50_000
+    tracemalloc.start()
+    html_text.blocks(page)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 60_000_000
+
+
 def test_table(spark):
     rows = [(1, "u", f"<article><p>{P}</article>", "x"), (1, "u", f"<article><p>{P}</article>", "x"), (None, None, None, None), (2, "v", "<p>" * 3000 + P, "y"), (3, "w", f"<article>{'<p>' + P * 40}" * 50, "z")]
     got = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()
