@@ -18,6 +18,8 @@ EVERY = 100
 #: Rows of a block of queries and of candidates, and candidates that one product tile takes.
 QUERY_BLOCK, CANDIDATE_BLOCK, TILE = 8192, 65536, 4096
 SPREAD = 12
+#: Dimensions over which sums of products of codes stay under 2 ** 24.
+EXACT = 1024
 #: Pairs whose exact distances are computed at once.
 PAIRS = 1 << 15
 FOUND = "query_id long, query_key long, vec_id long, score double"
@@ -39,6 +41,16 @@ def quantise(v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return code.astype(np.float32), scale, (meant**2).sum(1), np.sqrt(((v - meant) ** 2).sum(1))
 
 
+def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Exact products of int8 codes: float32 holds sums of up to EXACT of them, beyond which parts are added in double precision."""
+    if a.shape[1] <= EXACT:
+        return a @ b.T
+    total = np.zeros((len(a), len(b)))
+    for j in range(0, a.shape[1], EXACT):
+        total += a[:, j : j + EXACT] @ b[:, j : j + EXACT].T
+    return total
+
+
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Euclidean distances of rows of a to rows of b, components added in order."""
     total = np.zeros(len(a))
@@ -61,7 +73,7 @@ def search_block(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray
         code, scale, norm, error = quantise(part)
         for lo in range(0, len(queries), 1024):
             hi = min(lo + 1024, len(queries))
-            squared = qn[lo:hi, None] + norm[None, :] - 2 * (qs[lo:hi, None] * scale[None, :]) * (qc[lo:hi] @ code.T)
+            squared = qn[lo:hi, None] + norm[None, :] - 2 * (qs[lo:hi, None] * scale[None, :]) * products(qc[lo:hi], code)
             near = np.sqrt(np.maximum(squared, 0))
             slack = qe[lo:hi, None] + error[None, :] + 1e-6 * (1 + near)
             own = query_ids[lo:hi, None] == names[None, :]

@@ -47,3 +47,13 @@ def test_bounds_hold():
     near = np.sqrt(np.maximum(na[:, None] + nb[None] - 2 * sa[:, None] * sb[None] * (qa @ qb.T), 0))
     true = np.sqrt(((a[:, None] - b[None]) ** 2).sum(2))
     assert (np.abs(near - true) <= ea[:, None] + eb[None] + 1e-6 * (1 + near)).all()
+
+
+def test_products_of_many_dimensions_are_exact():
+    rng = np.random.default_rng(11)
+    v = rng.normal(size=(40, 2048)) + 3
+    code, scale, norm, error = neighbours.quantise(v)
+    assert np.array_equal(neighbours.products(code, code), code.astype(np.int64) @ code.astype(np.int64).T)
+    near = np.sqrt(np.maximum(norm[:, None] + norm[None, :] - 2 * scale[:, None] * scale[None, :] * neighbours.products(code, code), 0))
+    true = np.sqrt(((v[:, None] - v[None, :]) ** 2).sum(2))
+    assert (np.abs(true - near) <= error[:, None] + error[None, :] + 1e-6 * (1 + near)).all()
