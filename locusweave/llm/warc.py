@@ -23,8 +23,12 @@ HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Le
 #: A writer starts a new file after so many compressed bytes.
 ROLL = 64 << 20
 CHUNK = 1 << 16
+#: Bytes of a record still short of its stated end after which another one is looked for before that end.
+LOOK = 1 << 22
 MAGIC = b"\x1f\x8b\x08"
 MARK = re.compile(rb"\x1f\x8b\x08|WARC/1\.")
+#: Rows that refer back up to which their table is broadcast (under 50 MB).
+MOST_REFERENTS = 300_000
 URL_SAFE = "!#$%&'()*+,/:;=?@[]~"
 
 
@@ -71,7 +75,7 @@ class _Window:
     """The bytes of a stream from `base` on, as far as they have been asked for."""
 
     def __init__(self, read: Callable[[int], bytes]):
-        self.read, self.base, self.data, self.over = read, 0, b"", False
+        self.read, self.base, self.data, self.over = read, 0, bytearray(), False
 
     def more(self) -> bool:
         got = b"" if self.over else self.read(CHUNK)
@@ -80,7 +84,8 @@ class _Window:
         return bool(got)
 
     def drop(self, n: int) -> None:
-        self.data, self.base = self.data[n:], self.base + n
+        del self.data[:n]
+        self.base += n
 
 
 def parse(data: bytes, start: int, final: bool) -> tuple[dict, bytes, int] | None:
@@ -90,7 +95,7 @@ def parse(data: bytes, start: int, final: bool) -> tuple[dict, bytes, int] | Non
         if final or len(data) - start > CHUNK:
             raise Damaged("no end of the headers")
         return None
-    head = data[start:end].split(b"\r\n")
+    head = bytes(data[start:end]).split(b"\r\n")
     if not re.fullmatch(rb"WARC/1\.\d", head[0]):
         raise Damaged("no version line")
     fields = {k.strip().lower().decode("latin-1"): v.strip().decode("utf-8", "replace") for k, sep, v in (x.partition(b":") for x in head[1:]) if sep}
@@ -102,8 +107,10 @@ def parse(data: bytes, start: int, final: bool) -> tuple[dict, bytes, int] | Non
     if len(data) < stop + 4:
         if final:
             raise Damaged("cut short")
+        if len(data) >= end + LOOK and _begins(data, end + 4):
+            raise Damaged("a whole record begins before the stated end")
         return None
-    block = data[end + 4 : stop]
+    block = bytes(data[end + 4 : stop])
     if data[stop : stop + 4] != b"\r\n\r\n":
         raise Damaged("wrong length")
     want = fields.get("warc-block-digest", "")
@@ -112,19 +119,56 @@ def parse(data: bytes, start: int, final: bool) -> tuple[dict, bytes, int] | Non
     return fields, block, stop + 4
 
 
-def _inflate(window: _Window) -> tuple[bytes, int]:
-    """The content of the gzip member at the window's start, and how many bytes the member takes."""
+def _begins(data: bytearray, start: int) -> bool:
+    """Whether a record that passes all checks stands after a blank line, within LOOK bytes from `start`."""
+    at = data.find(b"\r\n\r\nWARC/1.", start, start + LOOK)
+    while at >= 0:
+        try:
+            if parse(data, at + 4, True):
+                return True
+        except Damaged:
+            pass
+        at = data.find(b"\r\n\r\nWARC/1.", at + 4, start + LOOK)
+    return False
+
+
+def _inflate(window: _Window) -> tuple[bytes, int | None, str]:
+    """The content of the gzip member at the window's start, how many bytes the member takes, and why it is damaged: then
+    the size is not known, and the content is what came out before."""
     engine, out, at = zlib.decompressobj(31), [], 0
     while True:
         try:
             out.append(engine.decompress(window.data[at:]))
         except zlib.error as e:
-            raise Damaged(str(e)) from None
+            # byte by byte up to the fault, for what the failed call had decoded
+            engine, out = zlib.decompressobj(31), []
+            for lo in range(0, len(window.data), 256):
+                try:
+                    out.append(engine.decompress(window.data[lo : lo + 256]))
+                except zlib.error:
+                    break
+            return b"".join(out), None, str(e)
         at = len(window.data)
         if engine.eof:
-            return b"".join(out), at - len(engine.unused_data)
+            return b"".join(out), at - len(engine.unused_data), ""
         if not window.more():
-            raise Damaged("cut short")
+            return b"".join(out), None, "cut short"
+
+
+def _within(content: bytes) -> tuple[list[tuple[dict, bytes]], int, str]:
+    """The records of a member's content that pass all checks: after a failed one the search goes on at the next version line.
+    Also how many bytes of it are lost, and why first."""
+    found, at, lost, why = [], 0, 0, ""
+    while at < len(content):
+        try:
+            fields, block, at = parse(content, at, True)
+            found.append((fields, block))
+        except Damaged as e:
+            why = why or str(e)
+            begin = content.find(b"WARC/1.", at + 1)
+            begin = len(content) if begin < 0 else begin
+            lost, at = lost + begin - at, begin
+    return found, lost, why
 
 
 def _seek(window: _Window) -> int:
@@ -153,16 +197,18 @@ def read_records(read: Callable[[int], bytes], log: Salvage) -> Iterator[tuple[d
         packed = window.data.startswith(MAGIC[:2])
         try:
             if packed:
-                content, size = _inflate(window)
-                found, at = [], 0
-                try:
-                    while at < len(content):
-                        fields, block, at = parse(content, at, True)
-                        found.append((fields, block))
-                except Damaged:
-                    if not found:
-                        raise
-                    log.gaps.append((window.base, size, "damaged after a record of its member"))
+                content, size, broken = _inflate(window)
+                found, bad, reason = _within(content)
+                if size is None:
+                    if found:  # where the member ends is for the search to find
+                        close()
+                        yield from found
+                    raise Damaged(broken)
+                if bad and not found:
+                    raise Damaged(reason)
+                if bad:
+                    close()
+                    log.gaps.append((window.base, size, f"{bad} bytes inside the member: {reason}"))
             else:
                 while (got := parse(window.data, 0, window.over)) is None:
                     window.more()
@@ -249,15 +295,16 @@ def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def with_referents(pages: DataFrame, least: int = 0) -> DataFrame:
     """Adds refers_to: for each page but the first (smallest page_id) of those with an equal payload of `least` bytes or more, that first one.
 
-    Payloads meet by digest and length. Only digests that occur twice or more are joined back; a digest that a third of all
-    pages share is counted map-side first and split by the skew join.
+    Payloads meet by digest and length, and only those go through a shuffle: rows that refer back are joined to the pages by
+    page and digest, by broadcast while they are few. A digest that a third of all pages share is counted map-side first.
     """
-    keyed = pages.withColumn("__bytes", F.encode(F.coalesce("html", F.lit("")), "UTF-8")).withColumn("__size", F.length("__bytes").cast("long"))
-    keyed = keyed.withColumn("__sha", F.sha1("__bytes")).drop("__bytes")
-    twice = (
-        keyed.where(F.col("__size") >= least).groupBy("__sha", "__size").agg(F.min("page_id").alias("__first"), F.count("*").alias("__n")).where("__n > 1").drop("__n")
-    )
-    return keyed.join(twice, ["__sha", "__size"], "left").withColumn("refers_to", F.when(F.col("page_id") > F.col("__first"), F.col("__first"))).drop("__sha", "__size", "__first")
+    size = F.octet_length(F.coalesce("html", F.lit(""))).cast("long")
+    keyed = pages.withColumn("__size", size).withColumn("__sha", F.sha1(F.encode(F.coalesce("html", F.lit("")), "UTF-8")))
+    slim = materialise(keyed.select("page_id", "__sha", "__size"), "warc-digests")
+    twice = slim.where(F.col("__size") >= least).groupBy("__sha", "__size").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("__n")).where("__n > 1").drop("__n")
+    back = materialise(slim.join(twice, ["__sha", "__size"]).where("page_id > refers_to").distinct(), "warc-referents")
+    back = F.broadcast(back) if back.count() <= MOST_REFERENTS else back
+    return keyed.join(back, ["page_id", "__sha", "__size"], "left").drop("__sha", "__size")
 
 
 def write_archives(pages: DataFrame, folder: str, least: int = 0) -> DataFrame:
@@ -278,7 +325,9 @@ def read_archives(paths: DataFrame) -> DataFrame:
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = write_archives(table(spark, sf_dir, "pages"), fresh_path(spark, "warc"))
     tasks = max(1, min(1000, spark.sparkContext.defaultParallelism * 4))
-    return read_archives(paths.repartition(tasks)).where("gap_reason IS NULL").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    lost = F.raise_error(F.concat(F.lit("quarantined bytes in an archive just written: "), F.coalesce("gap_reason", F.lit(""))))
+    rows = read_archives(paths.repartition(tasks)).withColumn("page_id", F.when(F.col("gap_reason").isNotNull(), lost.cast("long")).otherwise(F.col("page_id")))
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 SQL = """
