@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
 from collections.abc import Iterator
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +26,11 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 NEEDLES = ("password", "passwd", "secret", "token", "api_key", "apikey")
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-_WORDS = r"(?ai:pass(?:word|wd|phrase)?|secret|token|api|key|auth|bearer|credential|private|signature|salt)"
+#: Short words count only by themselves (not in monkey or rapid); a capital may follow, as in apiKey.
+_WORDS = (
+    r"(?:(?ai:pass(?:word|wd|phrase)|secret|token|bearer|credential|private|signature|authori[sz]ation)"
+    r"|(?<![A-Za-z])(?ai:keys?|api|salt|auth|pass)(?![a-z]))"
+)
 #: A sensitive word on the same line, or on the line above a candidate that begins its own.
 SENSITIVE = re.compile(_WORDS + r"[^\n]{0,24}$")
 ABOVE = re.compile(_WORDS + r"[^\n]{0,48}\n[\x20\t\"'>#*|+-]{0,24}$")
@@ -46,17 +52,43 @@ IDENTIFIERS = (
     "0123456789 abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ _ID= _KEY= _TOKEN= _SECRET= "
 )
 CONTEXT = 256
-#: Bytes a character that a short random string takes; a long one is entropy-coded and takes what its alphabet must (see needed).
-NOVELTY = 0.9
+LEVEL, DICTIONARY, SAMPLES = 12, 8192, 3000
+#: Bytes a character that a random string adds at least while short; a long one adds what its alphabet must (see needed).
+NOVELTY = 0.86
+#: Parts of it for strings of hex digits, and for those of digits and letters of one case: fewer signs, cheaper codes.
+HEX_PART, ONE_CASE_PART = 0.81, 0.91
+#: What a string of 64 characters needs less of a character than one of 32.
+LATER = 0.07
 ENTROPY, PER_SYMBOL = 0.97, 0.45
 
 
-def marginal_bytes(around: bytes, found: bytes) -> int:
-    """Bytes that `found` adds to what its surroundings compress to, identifiers being known to the compressor."""
+@cache
+def _primed():
+    """A compressor whose dictionary is trained on identifiers, names, paths and dates made up of IDENTIFIERS, by a fixed rule:
+    it knows the words, and how often letters, digits and signs occur in strings that are no secrets."""
     import zstandard as zstd
 
-    primed = zstd.ZstdCompressor(level=12, dict_data=zstd.ZstdCompressionDict(IDENTIFIERS.encode() + around, dict_type=zstd.DICT_TYPE_RAWCONTENT), write_content_size=False)
-    return len(primed.compress(found)) - len(primed.compress(b""))
+    rng, words, samples = random.Random(SAMPLES), [w for w in IDENTIFIERS.split() if w.islower() and len(w) < 20], []
+    for i in range(SAMPLES):
+        some = rng.choices(words, k=rng.randint(2, 8))
+        sep = rng.choice(["-", "_", ".", " ", "/", "=", ": ", ", "])
+        tail = ["", "", f"{sep}{rng.randint(1, 9999)}", f" 20{rng.randint(10, 39)}-{rng.randint(1, 12):02d}-{rng.randint(1, 28):02d}"][i % 4]
+        samples.append(((some[0] + "".join(map(str.capitalize, some[1:])) if i % 4 == 1 else sep.join(some)) + tail).encode())
+    known = zstd.train_dictionary(DICTIONARY, samples, k=256, d=8)
+    known.precompute_compress(level=LEVEL)
+    packer = zstd.ZstdCompressor(level=LEVEL, dict_data=known, write_content_size=False)
+    fixed = IDENTIFIERS[:700].encode()
+    return packer, fixed, len(packer.compress(fixed))
+
+
+def marginal_bytes(before: bytes, after: bytes, found: bytes) -> float:
+    """Bytes that `found` adds to what its surroundings compress to, identifiers being known to the compressor: the mean of what it
+    adds to the text before it, to the text after it and to plain identifiers, each long enough for the entropy stage to work;
+    not less than the last, as a key's other lines are no measure for it."""
+    packer, fixed, size = _primed()
+    adds = [len(packer.compress(x + found)) - len(packer.compress(x)) for x in (before, after)]
+    plain = len(packer.compress(fixed + found)) - size
+    return max(plain, (sum(adds) + plain) / 3)
 
 
 def alphabet(word: str) -> int:
@@ -69,10 +101,13 @@ def alphabet(word: str) -> int:
 
 
 def needed(word: str, novelty: float = NOVELTY) -> float:
-    """Bytes that a random string as long and of the same alphabet adds at least: stored as it is while short, then coded with
+    """Bytes that a random string as long and of the same alphabet adds at least: codes of the surroundings while short, then
     the alphabet's entropy a character and a table."""
-    n = alphabet(word)
-    return min(novelty * len(word), ENTROPY * len(word) * math.log2(max(2, n)) / 8 + PER_SYMBOL * n)
+    n, seen = alphabet(word), set(word.rstrip("="))
+    mixed = 10 * min(sum(map(str.islower, word)), sum(map(str.isupper, word))) >= len(word)
+    part = HEX_PART if n <= 16 else 1.0 if mixed or not all(map(str.isalnum, seen)) else ONE_CASE_PART
+    share = part * (novelty - LATER * min(1.0, max(0.0, len(word) / 32 - 1)))
+    return min(share * len(word), ENTROPY * len(word) * math.log2(max(2, n)) / 8 + PER_SYMBOL * n)
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -96,10 +131,10 @@ def novel_spans(text: str, base: list[tuple[int, int, str]], novelty: float = NO
         )
         if near:
             last = m.end()
-        if not inside and not (near and any(c.isdigit() for c in word) and any(c.isalpha() for c in word)):
+        if not inside and not near:
             continue
-        around = text[max(0, m.start() - CONTEXT) : m.start()] + text[m.end() : m.end() + CONTEXT]
-        adds = marginal_bytes(around.encode("utf-8", "replace"), word.encode())
+        before, after = text[max(0, m.start() - CONTEXT) : m.start()], text[m.end() : m.end() + CONTEXT]
+        adds = marginal_bytes(before.encode("utf-8", "replace"), after.encode("utf-8", "replace"), word.encode())
         most = max(most, adds / len(word))
         if not inside and adds >= needed(word, novelty):
             out.append((m.start(), m.end(), "novel"))
@@ -135,8 +170,8 @@ def _scan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def find_secrets(docs: DataFrame) -> DataFrame:
     """Per row of (doc_id, text, ...): how many base spans of each kind, their digest, and all spans.
 
-    One pass without a shuffle. Null and empty texts give zero counts and an empty list; repeated rows are scanned alike;
-    other columns are not read.
+    One pass without a shuffle. Null and empty texts give zero counts and an empty list, an empty table gives an empty result;
+    repeated rows are scanned alike; texts of any length are scanned whole; other columns are not read, whatever their names.
     """
     return docs.select("doc_id", "text").mapInArrow(
         _scan_batches, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_novel long, max_novelty double"

@@ -81,3 +81,28 @@ def test_context_reaches_the_line_above_and_earlier_segments():
     assert found("credentials:\r\n  - " + body[0]) == [body[0]]
     assert found("Authorization: Bearer " + ".".join(body[:3])) == body[:3]
     assert found("the keys are kept elsewhere\nand the build id is " + body[0] + " here") == []
+
+
+def test_novelty_tells_keys_from_words():
+    rng = random.Random(12)
+    words = "window market river island kitchen history machine winter summer garden mountain travel picture number letter village project release branch customer invoice daily report backup region cluster select weekly".split()
+    around = [("The auth header was ", " in the second request of the day.\n"), ("\nprivate key ", ", which the old server still knows\n"), ("set api key to ", " and restart the service\n")]
+    pick = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
+    mixed = string.ascii_letters + string.digits
+    keys = [pick(chars, n) for chars in (mixed, string.ascii_letters, mixed + "+/", "ABCDEF0123456789", string.ascii_uppercase + "234567") for n in (20, 24, 32, 43, 64) for _ in range(12)]
+    plain = ["-".join(rng.choices(words, k=4)) + f"-{rng.randint(1, 9999)}" for _ in range(60)] + ["_".join(rng.choices(words, k=4)) for _ in range(60)]
+    plain += ["".join(map(str.capitalize, rng.choices(words, k=4))) + str(rng.randint(1, 99)) for _ in range(60)] + [f"order-20{rng.randint(10, 30)}-{rng.randint(1, 12):02d}-{rng.randint(1, 28):02d}-{rng.randint(1, 9999):04d}" for _ in range(60)]
+    plain += ["/usr/local/share/" + "/".join(rng.choices(words, k=3)) for _ in range(60)]
+
+    def found(word):
+        before, after = rng.choice(around)
+        return bool(secrets.scan(before + word + after)[1])
+
+    right, wrong = sum(map(found, keys)), sum(map(found, plain))
+    assert right / len(keys) >= 0.9 and right / (right + wrong) >= 0.9, (right, len(keys), wrong, len(plain))
+
+
+def test_short_sensitive_words_stand_alone():
+    key = "q9X7vP2mZ8kL4nR6tB1w5Y"
+    for text, n in ((f"the monkey {key}", 0), (f"a rapid {key}", 0), (f"author {key}", 0), (f"keyboard {key}", 0), (f"apiKey {key}", 1), (f"API_KEY {key}", 1), (f"x-auth: {key}", 1), (f"salt {key}", 1)):
+        assert len(secrets.scan(text)[1]) == n, text
