@@ -25,9 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or (in tests, where it is unset) an own one."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or (in local mode, where it is unset) an own one."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="locusweave-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
