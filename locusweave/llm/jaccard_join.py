@@ -31,8 +31,8 @@ from .hashing import BASE, mix64, shingle_sets
 WORDS = 3
 #: Sets link when DEN * intersection >= NUM * union.
 NUM, DEN = 90, 100
-#: Sets and shingles of half a tile; regions over SPLIT sets are divided again, LEVELS times in all.
-SIDE, SIDE_SHINGLES, SPLIT, LEVELS = 512, 400_000, 1024, 4
+#: Sets and shingles of half a tile; regions over SPLIT sets (those of the largest pivot not counted) are divided again, LEVELS times in all.
+SIDE, SIDE_SHINGLES, SPLIT, LEVELS = 512, 400_000, 1024, 2
 #: Texts that pivots are drawn from and their most characters, pivots of a level, and the least distance between two of them.
 SAMPLE, SAMPLE_CHARS, PIVOTS, APART = 4096, 8192, 256, 0.97
 #: A set within this distance of a pivot may leave the outside; windows reach as far as WINDOW at most, beyond which pivots are not looked at.
@@ -406,7 +406,11 @@ def component_keys(docs: DataFrame, words: int, num: int, den: int) -> tuple[Dat
 
     done = None
     for level in range(1, LEVELS):
-        big = materialise(members.groupBy("region").agg(F.count("*").alias("size"), F.sum("n_shingles").alias("shingles")).where(F.col("size") > SPLIT), "big-regions")
+        # sets that link with the region's most common pivot need not meet each other, so they do not make a region too big
+        by = members.groupBy("region", "core").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("shingles"))
+        largest = F.coalesce(F.max(F.when(F.col("core").isNotNull(), F.col("n"))), F.lit(0))
+        by = by.groupBy("region").agg(F.sum("n").alias("size"), F.sum("shingles").alias("shingles"), largest.alias("largest"))
+        big = materialise(by.where(F.col("size") - F.col("largest") > SPLIT), "big-regions")
         n, size = big.agg(F.sum("size"), F.sum("shingles")).first()
         if not n:
             break
