@@ -362,7 +362,9 @@ class _Join:
         links = cells.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_meet, "a long, b long")
         regions = components(links)
         nodes = sets.where("key IS NOT NULL").select("key", "core", "n_shingles", F.explode("nodes").alias("node")).dropDuplicates(["node"])
-        return materialise(regions.join(nodes, "node").select(F.col("comp").alias("region"), "key", "core", "n_shingles"), "members")
+        # a set that several coarse regions hold has a node in each, and these often end in the same finer region
+        members = regions.join(nodes, "node").groupBy(F.col("comp").alias("region"), "key").agg(F.min("core").alias("core"), F.min("n_shingles").alias("n_shingles"))
+        return materialise(members, "members")
 
 
 def _tiles(members: DataFrame) -> DataFrame:
