@@ -1,6 +1,6 @@
 """The queries of this subpackage and their SQL, for __spark_entry__.py."""
 
-from . import html_text, jaccard_join, language_model, mixing, neighbours, packing, quality_classifier, quality_rules, secrets, warc
+from . import html_text, importance, jaccard_join, language_model, mixing, neighbours, packing, quality_classifier, quality_rules, secrets, url_filter, warc
 
 QUERIES = {
     "op1_secrets": secrets.op1_secrets,
@@ -13,6 +13,8 @@ QUERIES = {
     "op8_quality": quality_classifier.op8_quality,
     "op9_language_model": language_model.op9_language_model,
     "op10_quality_rules": quality_rules.op10_quality_rules,
+    "op11_url_filter": url_filter.op11_url_filter,
+    "op13_importance": importance.op13_importance,
 }
 ORACLES = {
     "op2_jaccard_join": jaccard_join.SQL,
@@ -20,4 +22,5 @@ ORACLES = {
     "op5_neighbours": neighbours.SQL,
     "op6_warc": warc.SQL,
     "op10_quality_rules": quality_rules.SQL,
+    "op11_url_filter": url_filter.SQL,
 }
