@@ -141,11 +141,10 @@ def bucket_counts(texts: DataFrame) -> DataFrame:
 
 def gains(docs: DataFrame, target: DataFrame) -> np.ndarray:
     """The gain of each bucket: BUCKETS numbers, whatever the input."""
-    spark = docs.sparkSession
-    s, t = (bucket_counts(x).withColumnRenamed("n", n) for x, n in ((docs, "s"), (target, "t")))
-    both = spark.range(BUCKETS).select(F.col("id").cast("int").alias("bucket")).join(s, "bucket", "left").join(t, "bucket", "left").fillna(0)
-    got = both.select("bucket", "s", "t").toPandas().sort_values("bucket")
-    s, t = got["s"].to_numpy(np.int64), got["t"].to_numpy(np.int64)
+    s, t = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+    for texts, counts in ((docs, s), (target, t)):
+        got = bucket_counts(texts).toArrow()
+        counts[got.column("bucket").to_numpy()] = got.column("n").to_numpy()
     ratio = ((t + 1) * float(s.sum() + BUCKETS)) / ((s + 1) * float(t.sum() + BUCKETS))
     return np.floor(1000 * np.log(ratio)).astype(np.int64)
 

@@ -1,6 +1,6 @@
 """The queries of this subpackage and their SQL, for __spark_entry__.py."""
 
-from . import html_text, importance, jaccard_join, language_model, mixing, neighbours, packing, quality_classifier, quality_rules, secrets, url_filter, warc
+from . import html_text, importance, jaccard_join, language_model, mixing, neighbours, packing, phrases, quality_classifier, quality_rules, secrets, url_filter, warc
 
 QUERIES = {
     "op1_secrets": secrets.op1_secrets,
@@ -14,6 +14,7 @@ QUERIES = {
     "op9_language_model": language_model.op9_language_model,
     "op10_quality_rules": quality_rules.op10_quality_rules,
     "op11_url_filter": url_filter.op11_url_filter,
+    "op12_phrases": phrases.op12_phrases,
     "op13_importance": importance.op13_importance,
 }
 ORACLES = {
@@ -23,4 +24,5 @@ ORACLES = {
     "op6_warc": warc.SQL,
     "op10_quality_rules": quality_rules.SQL,
     "op11_url_filter": url_filter.SQL,
+    "op12_phrases": phrases.SQL,
 }
