@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -61,9 +62,6 @@ class Words:
             key = mix64(total + size.astype(np.uint64) * np.uint64(0x632BE59BD9B4E019))
             self.key = mix64(key + langs[self.lang]) if n else key
 
-    def text(self, i: int) -> str:
-        return self.data[self.starts[i] : self.ends[i]].tobytes().decode("utf-8", "replace")
-
 
 def _slabs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Words, list[str]]]:
     """Whole texts, about SLAB bytes at a time, with each one's language. A longer text is a slab by itself: no phrase is cut."""
@@ -113,20 +111,35 @@ def _rows(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({k: v if isinstance(v, pa.Array) else pa.array(v.view(np.int64) if v.dtype == np.uint64 else v) for k, v in columns.items()})
 
 
+def _texts(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """data[start : start + size] of each, as one array of strings; whole words are valid UTF-8 if the text is."""
+    ends = np.cumsum(sizes)
+    flat = data[np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
+    return pa.StringArray.from_buffers(len(starts), pa.py_buffer(np.append(0, ends).astype(np.int32)), pa.py_buffer(flat))
+
+
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts, codes, names = _Counts(), {}, []
+    codes, names, parts, size = {}, [], [], 0
 
-    def rows(found):
-        for key, lang, n in found:
-            yield _rows(lang=pa.array(names).take(pa.array(lang)), key=key, n=n)
+    def flush():
+        data, keys, langs, starts, sizes = (np.concatenate(c) for c in zip(*parts, strict=True))
+        starts = starts + np.repeat(np.cumsum([0, *(len(p[0]) for p in parts[:-1])]), [len(p[1]) for p in parts])
+        key, first, n = np.unique(keys, return_index=True, return_counts=True)
+        yield _rows(lang=pa.array(names).take(pa.array(langs[first])), key=key, word=_texts(data, starts[first], sizes[first]), n=n)
 
     for words, langs in _slabs(batches):
         for name in langs:
             if name not in codes:
                 codes[name] = len(names)
                 names.append(name)
-        yield from rows(counts.add(words.key, np.array([codes[x] for x in langs], np.int64)[words.lang]))
-    yield from rows(counts.flush())
+        if len(words.key):
+            parts.append((words.data, words.key, np.array([codes[x] for x in langs], np.int64)[words.lang], words.starts, words.ends - words.starts))
+            size += len(words.key)
+        if size >= BLOCK:
+            yield from flush()
+            parts, size = [], 0
+    if size:
+        yield from flush()
 
 
 def _numbers(words: Words, known: np.ndarray) -> np.ndarray:
@@ -176,8 +189,10 @@ def _longer(names: dict[str, str], tries: list[dict[str, str]]):
     return run
 
 
-#: Marks the rows that bring a word's text: number, key and text instead of phrase and count.
+#: Stands for the second number of what is a single word.
 WORD = -1
+#: Phrases whose sums travel in one row, and rows of one phrase range that a task adds up at once.
+RANGE, FAN = 1 << 16, 64
 
 
 def _count(names: dict[str, str], tries: list[dict[str, str]]):
@@ -185,16 +200,8 @@ def _count(names: dict[str, str], tries: list[dict[str, str]]):
         known = opened(names)["known"]
         got, digits = [opened(t) for t in tries], trie.digits_of(len(known))
         totals = [np.zeros(len(t["p"]), np.int64) for t in got]
-        needed = np.zeros(len(known), bool)
-        for t in got:
-            needed[t["word"]] = True
         for words, _ in _slabs(batches):
             w = _numbers(words, known)
-            new, first = np.unique(np.where((w >= 0) & needed[w], w, -1), return_index=True) if len(known) else (w[:0], w[:0])
-            new, first = new[new >= 0], first[new >= 0]
-            if len(new):
-                needed[new] = False
-                yield _rows(p=new, q=np.full(len(new), WORD), n=known[new], word=pa.array([words.text(i) for i in first.tolist()]))
             begin = np.flatnonzero(w >= 0)
             for t, total in zip(got, totals, strict=True):
                 at, states = begin, w[begin]
@@ -207,11 +214,63 @@ def _count(names: dict[str, str], tries: list[dict[str, str]]):
                     at = at[alive]
                     ended = t["accept"][states]
                     total += np.bincount(ended[ended >= 0], minlength=len(total))
-        for t, total in zip(got, totals, strict=True):
-            met = np.flatnonzero(total)
-            for k in range(0, len(met), 100_000):
-                m = met[k : k + 100_000]
-                yield _rows(p=t["p"][m], q=t["q"][m], n=total[m], word=pa.nulls(len(m), pa.string()))
+        task = TaskContext.get().partitionId()
+        for k, total in enumerate(totals):
+            for r in range(-(-len(total) // RANGE)):
+                yield from _sums(task, k, r, total[r * RANGE : (r + 1) * RANGE])
+
+    return run
+
+
+def _sums(task: int, k: int, r: int, total: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The sums of one range of a trie's phrases as one row, without those that are 0."""
+    at = np.flatnonzero(total)
+    if len(at):
+        yield pa.RecordBatch.from_pydict({"task": pa.array([task], pa.int32()), "trie": pa.array([k], pa.int32()), "range": pa.array([r], pa.int32()), "at": [at.astype(np.uint16).tobytes()], "n": [total[at].tobytes()]})
+
+
+_SUMS = "task int, trie int, range int, at binary, n binary"
+
+
+def _added(key: tuple, rows: pa.Table) -> pa.Table:
+    total = np.zeros(RANGE, np.int64)
+    for at, n in zip(rows.column("at").to_pylist(), rows.column("n").to_pylist(), strict=True):
+        total[np.frombuffer(at, np.uint16)] += np.frombuffer(n, np.int64)
+    return pa.Table.from_batches(_sums(*(k.as_py() for k in key), total))
+
+
+def _add_up(counted: DataFrame) -> DataFrame:
+    """Sums of tasks to one row a range: FAN rows at a time, so that no task holds all of a range's however many tasks there were."""
+    tasks = (counted.agg(F.max("task")).first()[0] or 0) + 1
+    while True:
+        counted = counted.withColumn("task", F.floor(F.col("task") / FAN).cast("int")).groupBy("task", "trie", "range").applyInArrow(_added, _SUMS)
+        tasks = -(-tasks // FAN)
+        if tasks == 1:
+            return counted
+
+
+def _spell(tries: list[dict[str, str]]):
+    """Rows of sums to a row a phrase: its two numbers, its count, and its words' numbers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = [opened(t) for t in tries]
+        for batch in batches:
+            for k, r, at, n in zip(*(batch.column(c).to_pylist() for c in ("trie", "range", "at", "n")), strict=True):
+                at, n = np.frombuffer(at, np.uint16).astype(np.int64) + r * RANGE, np.frombuffer(n, np.int64)
+                p, q = got[k]["p"][at], got[k]["q"][at]
+                ids = _columns(p, q)
+                has, ends = ids >= 0, np.append(0, np.cumsum((ids >= 0).sum(1))).astype(np.int32)
+                yield _rows(p=p, q=q, a=n, ids=pa.ListArray.from_arrays(pa.array(ends), pa.array(ids[has])))
+
+    return run
+
+
+def _number(names: dict[str, str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = opened(names)["known"]
+        for batch in batches:
+            at = np.searchsorted(known, batch.column("key").to_numpy().view(np.uint64))
+            yield pa.RecordBatch.from_pydict({"id": pa.array(at)} | {c: batch.column(c) for c in ("lang", "word", "f")})
 
     return run
 
@@ -230,7 +289,7 @@ def _tries(phrases: DataFrame, words: int, what: str) -> list[dict[str, str]]:
         p, q = (got.column(c).to_numpy() for c in ("p", "q"))
         rows = _columns(p, q)
         arrays = trie.build(rows, words)
-        out.append(ship(phrases.sparkSession, f"{what}-{k}", arrays | {"p": p, "q": q, "word": np.unique(rows[rows >= 0])}))
+        out.append(ship(phrases.sparkSession, f"{what}-{k}", arrays | {"p": p, "q": q}))
     return out
 
 
@@ -244,7 +303,7 @@ def _part(ids: Column, first: Column | int, size: Column | int) -> tuple[Column,
 
 
 def count_phrases(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Totals (lang, n); words (id, lang, f, word) of at least `least` occurrences that candidates hold; candidates (p, q, a, ids).
+    """Totals (lang, n); frequent words (id, lang, word, f); candidates (p, q, a, ids).
 
     Four passes over the texts. The first counts words. The second counts pairs of words that are frequent both, the third runs of
     three and four all of whose pairs are: what occurs less than `least` times is no candidate, since a longer phrase is never more
@@ -254,22 +313,20 @@ def count_phrases(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataF
     """
     spark = docs.sparkSession
     texts = docs.select("text", F.coalesce("lang", F.lit(UNKNOWN_LANG)).alias("lang"))
-    words = materialise(texts.mapInArrow(_words, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("f")), "words")
+    words = texts.mapInArrow(_words, "lang string, key long, word string, n long").groupBy("lang", "key", "word").agg(F.sum("n").alias("f"))
+    words = materialise(words, "words")
     frequent = words.where(F.col("f") >= least)
-    known = np.sort(frequent.select("key").toArrow().column("key").to_numpy().view(np.uint64))
+    known = np.unique(frequent.select("key").toArrow().column("key").to_numpy().view(np.uint64))
     names = ship(spark, "words", {"known": known})
     pairs = texts.mapInArrow(_pairs(names), "p long, n long").groupBy("p").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     pairs = materialise(pairs.select("p", F.lit(0).cast("long").alias("q")), "pairs")
     longer = texts.mapInArrow(_longer(names, _tries(pairs, len(known), "pair-trie")), "p long, q long, n long")
     longer = longer.groupBy("p", "q").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("p", "q")
     candidates = materialise(pairs.unionByName(longer), "candidates")
-    counted = texts.mapInArrow(_count(names, _tries(candidates, len(known), "trie")), "p long, q long, n long, word string")
-    counted = materialise(counted, "counts")
-    sums = counted.where(F.col("q") != WORD).groupBy("p", "q").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
-    w = [F.shiftright("p", 32), F.col("p").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftright("q", 32) - 1, F.col("q").bitwiseAND(F.lit(0xFFFFFFFF)) - 1]
-    sums = materialise(sums.withColumn("ids", F.filter(F.array(*w), lambda x: x >= 0)), "sums")
-    named = counted.where(F.col("q") == WORD).select(F.col("p").alias("id"), F.col("n").alias("key"), "word").dropDuplicates(["id"])
-    vocabulary = materialise(named.join(frequent, "key").select("id", "lang", "f", "word"), "vocabulary")
+    tries = _tries(candidates, len(known), "trie")
+    counted = _add_up(materialise(texts.mapInArrow(_count(names, tries), _SUMS), "counts"))
+    sums = materialise(counted.mapInArrow(_spell(tries), "p long, q long, a long, ids array<long>").where(F.col("a") >= least), "sums")
+    vocabulary = materialise(frequent.select("lang", "key", "word", "f").mapInArrow(_number(names), "id long, lang string, word string, f long"), "vocabulary")
     return words.groupBy("lang").agg(F.sum("f").alias("n")), vocabulary, sums
 
 

@@ -46,10 +46,11 @@ def corpus(seed):
 
 @pytest.mark.parametrize("small", [False, True])
 def test_against_brute_force(spark, monkeypatch, small):
-    docs = corpus(small)
+    docs, frames = corpus(small), 1
     if small:  # many tries, slabs and blocks
         monkeypatch.setattr(phrases, "SLICE", 40)
-    frame = spark.createDataFrame([(i, lang, text, 1, "r") for i, (lang, text) in enumerate(docs)], "doc_id long, lang string, text string, n int, rank string")
+        frames = 7
+    frame = spark.createDataFrame([(i, lang, text, 1, "r") for i, (lang, text) in enumerate(docs)], "doc_id long, lang string, text string, n int, rank string").repartition(frames)
     for least, most in ((4, 2000), (9, 20)):
         got = phrases.mine(frame, least, most=most).collect()
         assert sorted((r["lang"], r["rank"], r["phrase"], r["a"], r["l"], r["r"], r["n"], r["score"]) for r in got) == brute(docs, least, most=most)
