@@ -23,7 +23,9 @@ UNKNOWN_LANG = "und"
 #: Phrases of one trie, which a task maps; more phrases make more tries, dealt by their first words.
 SLICE = 2_000_000
 #: Bytes of text that are worked on at once, and numbers that are sorted at once.
-SLAB, BLOCK = 1 << 21, 1 << 22
+SLAB, BLOCK = 1 << 20, 1 << 22
+#: Words that are told apart at once; their texts are held meanwhile.
+WORD_BLOCK = 1 << 20
 
 #: Small letters for capitals, a space for a tab, a line feed for each character that ends a piece.
 _PLAIN = bytearray(range(256))
@@ -133,9 +135,9 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 codes[name] = len(names)
                 names.append(name)
         if len(words.key):
-            parts.append((words.data, words.key, np.array([codes[x] for x in langs], np.int64)[words.lang], words.starts, words.ends - words.starts))
+            parts.append((words.data, words.key, np.array([codes[x] for x in langs], np.int32)[words.lang], words.starts, words.ends - words.starts))
             size += len(words.key)
-        if size >= BLOCK:
+        if size >= WORD_BLOCK:
             yield from flush()
             parts, size = [], 0
     if size:
