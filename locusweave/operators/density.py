@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from locusweave.operators.coverage import region_bases
 from locusweave.operators.rangejoin import overlap_join
-from locusweave.operators.regions import region_structs
+from locusweave.operators.regions import region_sql, structs
 from locusweave.schema import DOWNSTREAM, INTRA, LEFT, ORDER, RIGHT, SUPERFAMILY, UPSTREAM
 
 BOTH = (ORDER, SUPERFAMILY)
@@ -26,6 +26,22 @@ def overlaps(cells: DataFrame, revised: DataFrame) -> DataFrame:
     return overlap_join(cells, right, ["chrom"], ("r_start", "r_stop"), ("te_start", "te_stop"))
 
 
+def overlap_counts(genes: DataFrame, intervals: DataFrame, windows: Iterable[int], direction: str) -> DataFrame:
+    """(chrom, gene_name, window, n, bp): how many intervals a region meets and how many bases it shares with them, where there are any.
+
+    The regions of one direction are nested, so a gene meets an interval once, within the widest, and all windows are counted from
+    that pair.
+    """
+    cells = region_sql(windows, (direction,))
+    ends = lambda f, c: f"{f}(array({', '.join(x[c] for x in cells)}))"
+    rows = genes.dropna(subset=["chrom", "start", "stop"]).selectExpr("chrom", "gene_name", "start", "stop", "length", f"{ends('array_min', 'r_start')} AS r_start", f"{ends('array_max', 'r_stop')} AS r_stop")
+    met = overlaps(rows, intervals)
+    shared = lambda c: f"least({c['r_stop']}, te_stop) - greatest({c['r_start']}, te_start) + 1"
+    sums = [F.expr(e) for k, c in enumerate(cells) for e in (f"count_if({shared(c)} > 0) AS n_{k}", f"sum(greatest({shared(c)}, 0)) AS bp_{k}")]
+    spread_out = F.expr(structs([{"window": c["window"], "n": f"n_{k}", "bp": f"bp_{k}"} for k, c in enumerate(cells)]))
+    return met.groupBy("chrom", "gene_name").agg(*sums).select("chrom", "gene_name", F.explode(spread_out).alias("c")).select("chrom", "gene_name", "c.*").where("n > 0")
+
+
 def names_by_chromosome(rows: DataFrame, kinds: Sequence[str] = BOTH) -> DataFrame:
     """The category names that occur on each chromosome. Rows that a union drops for a null give none."""
     kept = rows.dropna(subset=["chrom", "start", "stop", "te_order", "superfamily"]).select("chrom", "te_order", "superfamily").distinct()
@@ -35,43 +51,62 @@ def names_by_chromosome(rows: DataFrame, kinds: Sequence[str] = BOTH) -> DataFra
 GENE = ["chrom", "gene_name", "strand", "start", "stop", "length"]
 
 
-def _cells(genes: DataFrame, revised: DataFrame, windows: Iterable[int], directions: Iterable[str], kinds: Sequence[str], names: DataFrame | None) -> DataFrame:
-    """Rows per gene and name with one sum per cell, spread to a row per cell after the one shuffle of the aggregate.
+#: Separates category and name in a label; neither holds it.
+_MARK = "\x1f"
 
-    The windows of a gene are nested, so a gene meets an interval once, within its widest region, and every cell's shared
-    bases follow from the two pairs of ends. With `names`, a row of no bases per gene and name goes into the same sum.
-    """
-    cells = region_structs(windows, directions)
-    low = reduce(F.least, (c["r_start"] for c in cells))
-    high = reduce(F.greatest, (c["r_stop"] for c in cells))
+
+def _labels(kinds: Sequence[str]) -> Column:
+    columns = {ORDER: "te_order", SUPERFAMILY: "superfamily"}
+    return F.array_compact(F.array(*(F.concat(F.lit(k + _MARK), F.col(columns[k])) for k in kinds)))
+
+
+def cell_sums(genes: DataFrame, revised: DataFrame, windows: Iterable[int], directions: Iterable[str], kinds: Sequence[str]) -> DataFrame:
+    """A row per gene and name of its chromosome with the shared bases of each region of region_sql as a column, bases_0 and on."""
+    cells = region_sql(windows, directions)
     genes = genes.select(*GENE).dropna(subset=["chrom", "start", "stop"])
-    met = overlaps(genes.withColumn("r_start", low).withColumn("r_stop", high), revised)
-    met = met.select(*GENE, "te_start", "te_stop", F.explode(categories(kinds)).alias("c")).select(*GENE, "te_start", "te_stop", "c.te_category", "c.te_name")
-    if names is not None:
-        none = F.lit(None).cast("bigint")
-        met = met.unionByName(genes.join(names, "chrom").select(*GENE, none.alias("te_start"), none.alias("te_stop"), "te_category", "te_name"))
-    shared = lambda c: F.least(c["r_stop"], F.col("te_stop")) - F.greatest(c["r_start"], F.col("te_start")) + 1
-    # least and greatest skip nulls, hence the test
-    sums = [F.sum(F.when(F.col("te_start").isNotNull(), F.greatest(shared(c), F.lit(0))).otherwise(0)).alias(f"__{k}") for k, c in enumerate(cells)]
-    summed = met.groupBy(*GENE, "te_category", "te_name").agg(*sums)
-    spread = F.array(*(F.struct(c["direction"].alias("direction"), c["window"].alias("window"), c["divisor"].alias("divisor"), F.col(f"__{k}").alias("overlap_bp")) for k, c in enumerate(cells)))
-    rows = summed.select(*GENE, "te_category", "te_name", F.explode(spread).alias("cell"))
+    summed = region_bases(genes, GENE, [(c["r_start"], c["r_stop"]) for c in cells], revised, _labels(kinds))
+    label = F.split("name", _MARK, 2)
+    return summed.select(*GENE, label[0].alias("te_category"), label[1].alias("te_name"), *(f"bases_{k}" for k in range(len(cells))))
+
+
+def spread(summed: DataFrame, windows: Iterable[int], directions: Iterable[str]) -> DataFrame:
+    """A row per cell of the rows of cell_sums, with its divisor and density."""
+    cells = region_sql(windows, directions)
+    parts = F.expr(structs([{n: c[n] for n in ("direction", "window", "divisor")} | {"overlap_bp": f"bases_{k}"} for k, c in enumerate(cells)]))
+    rows = summed.select(*GENE, "te_category", "te_name", F.explode(parts).alias("cell"))
     rows = rows.select("chrom", "gene_name", "cell.direction", "cell.window", "strand", "cell.divisor", "te_category", "te_name", "cell.overlap_bp")
     return rows.withColumn("density", F.col("overlap_bp").cast("double") / F.col("divisor"))
 
 
 def sparse_density(genes: DataFrame, revised: DataFrame, windows: Iterable[int], directions=(LEFT, INTRA, RIGHT), kinds: Sequence[str] = BOTH) -> DataFrame:
     """Cells with at least one base of overlap: the form to store."""
-    return _cells(genes, revised, windows, directions, kinds, None).where("overlap_bp > 0")
+    return dense_density(genes, revised, windows, directions, kinds).where("overlap_bp > 0")
 
 
-def dense_density(genes: DataFrame, revised: DataFrame, windows: Iterable[int], directions=(LEFT, INTRA, RIGHT), names: DataFrame | None = None, kinds: Sequence[str] = BOTH) -> DataFrame:
+def dense_density(genes: DataFrame, revised: DataFrame, windows: Iterable[int], directions=(LEFT, INTRA, RIGHT), kinds: Sequence[str] = BOTH) -> DataFrame:
     """The full cube: every gene, direction and window for every name of its chromosome, 0 where nothing overlaps.
 
-    `names` (chrom, te_category, te_name) are those of `revised`, taken from it if not given; a category label is one of a few
-    per chromosome. Given from the unmerged elements, they save a second revision.
+    One row per gene and name is computed and shuffled, by running sums of covered bases (see coverage.py); cells are spread
+    from it last. The cost hardly depends on windows and not at all on how many intervals they hold.
+    """
+    windows, directions = list(windows), list(directions)
+    return spread(cell_sums(genes, revised, windows, directions, kinds), windows, directions)
+
+
+def mean_densities(genes: DataFrame, revised: DataFrame, windows: Iterable[int], directions=(LEFT, INTRA, RIGHT), kinds: Sequence[str] = BOTH) -> DataFrame:
+    """The mean density of all genes per category, name, stranded direction and window.
+
+    Densities are added up per name and strand while a gene is still one row; only these sums are spread to cells, so the cube
+    itself is never made.
     """
-    return _cells(genes, revised, windows, directions, kinds, names_by_chromosome(revised, kinds) if names is None else names)
+    cells = region_sql(windows, directions)
+    summed = cell_sums(genes, revised, windows, directions, kinds)
+    parts = [p for k, c in enumerate(cells) for p in (f"sum(double(bases_{k}) / {c['divisor']}) AS sum_{k}", f"count({c['divisor']}) AS n_{k}")]
+    minus = F.coalesce(F.col("strand") == "-", F.lit(False)).alias("minus")
+    few = summed.groupBy(minus, "te_category", "te_name").agg(*map(F.expr, parts))
+    spread_out = F.expr(structs([{"direction": c["direction"], "window": c["window"], "total": f"sum_{k}", "n": f"n_{k}"} for k, c in enumerate(cells)]))
+    rows = few.select("minus", "te_category", "te_name", F.explode(spread_out).alias("c")).select(F.when(F.col("minus"), "-").otherwise("+").alias("strand"), "te_category", "te_name", "c.*")
+    return stranded(rows).groupBy("te_category", "te_name", "direction", "window").agg((F.sum("total") / F.nullif(F.sum("n"), F.lit(0))).alias("mean_density"))
 
 
 def stranded(cube: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 from functools import reduce
 
@@ -10,9 +11,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from locusweave.functions import checks
+from locusweave.operators import quantiles
+from locusweave.operators.union import STRETCH, stretch_number
 from locusweave.schema import DOWNSTREAM, INTRA, ORDER, SUPERFAMILY, UPSTREAM
 
 
+log = logging.getLogger(__name__)
+
+
 def check_slice(direction: str, te_category: str, window: int | None, windows: Sequence[int]) -> None:
     if direction not in (UPSTREAM, INTRA, DOWNSTREAM):
         raise ValueError(f"unknown direction {direction!r}")
@@ -24,9 +30,13 @@ def check_slice(direction: str, te_category: str, window: int | None, windows: S
         raise ValueError(f"window {window} is not one of {list(windows)}")
 
 
-def density_slice(cube: DataFrame, te_category: str, te_name: str, direction: str, window: int | None, windows: Sequence[int]) -> DataFrame:
-    """The rows of one (category, name, direction, window) of a stranded cube."""
+def density_slice(cube: DataFrame, te_category: str, te_name: str, direction: str, window: int | None, windows: Sequence[int], names: DataFrame | None = None) -> DataFrame:
+    """The rows of one (category, name, direction, window) of a stranded cube; ValueError for what it does not have.
+
+    `names` (te_category, te_name), such as names_by_chromosome gives them, spare a look for the name in the cube.
+    """
     check_slice(direction, te_category, window, windows)
+    require_name(cube if names is None else names, te_category, te_name)
     same = F.col("window").eqNullSafe(F.lit(window).cast("bigint"))
     return cube.where((F.col("te_category") == te_category) & (F.col("te_name") == te_name) & (F.col("direction") == direction) & same)
 
@@ -69,22 +79,35 @@ def register_views(genes: DataFrame, tes: DataFrame, cube: DataFrame) -> None:
         rows.createOrReplaceTempView(name)
 
 
-def gene_index(genes: DataFrame) -> DataFrame:
-    """Position of each gene among those of its chromosome, by (start, gene_name), from 0."""
-    order = W.partitionBy("chrom").orderBy("start", "gene_name")
-    return genes.withColumn("gene_index", (F.row_number().over(order) - 1).cast("bigint"))
+def gene_index(genes: DataFrame, stretch: int = STRETCH) -> DataFrame:
+    """Position of each gene among those of its chromosome, by (start, gene_name), from 0.
+
+    Genes are counted per stretch of the chromosome and the counts added up along it; a task only sorts a stretch.
+    """
+    rows = genes.withColumn("__stretch", F.coalesce(stretch_number("start", stretch), F.lit(-(1 << 62))))
+    along = W.partitionBy("chrom").orderBy("__stretch").rowsBetween(W.unboundedPreceding, -1)
+    counts = rows.groupBy("chrom", "__stretch").agg(F.count("*").alias("__n"))
+    counts = counts.select(F.col("chrom").alias("__chrom"), F.col("__stretch").alias("__s"), F.coalesce(F.sum("__n").over(along), F.lit(0)).alias("__before"))
+    inside = F.row_number().over(W.partitionBy("chrom", "__stretch").orderBy("start", "gene_name"))
+    placed = rows.withColumn("__place", inside).join(counts, F.col("chrom").eqNullSafe(F.col("__chrom")) & (F.col("__stretch") == F.col("__s")))
+    return placed.select(*genes.columns, (F.col("__before") + F.col("__place") - 1).cast("bigint").alias("gene_index"))
 
 
 def column_name(te_name: str, direction: str, window: int | None) -> str:
     return f"{te_name}_{INTRA}" if direction == INTRA else f"{te_name}_{window}_{direction}"
 
 
-def append_columns(genes: DataFrame, cube: DataFrame, wanted: Sequence[tuple[str, str, str, int | None]]) -> DataFrame:
+def append_columns(genes: DataFrame, cube: DataFrame, wanted: Sequence[tuple[str, str, str, int | None]], names: DataFrame | None = None) -> DataFrame:
     """Adds one column per (category, name, direction, window) to the gene table, 0 where the chromosome lacks the name.
 
-    One conditional aggregate makes them all, instead of a join per column. Names are not looked up beforehand: a column of a
-    name that occurs nowhere is 0 throughout (require_name tells).
+    One conditional aggregate makes them all, instead of a join per column. A column of a name that occurs nowhere is 0
+    throughout; if `names` (te_category, te_name) are given, such a name is logged.
     """
+    if names is not None:
+        there = {(r[0], r[1]) for r in names.where(F.col("te_name").isin([n for _, n, *_ in wanted])).select("te_category", "te_name").distinct().collect()}
+        for category, name, *_ in wanted:
+            if (category, name) not in there:
+                log.warning("there is no %s %r: its column is 0", category, name)
     picks = []
     for category, name, direction, window in wanted:
         here = (F.col("te_category") == category) & (F.col("te_name") == name) & (F.col("direction") == direction) & F.col("window").eqNullSafe(F.lit(window).cast("bigint"))
@@ -100,12 +123,35 @@ def all_slices(cube: DataFrame) -> DataFrame:
 
 
 def top_bottom(cube: DataFrame, window: int, n: int = 5) -> DataFrame:
-    """Per gene, category and direction the n densest and n least dense names; ties by name."""
+    """Per gene, category and direction the n densest and n least dense names; ties by name.
+
+    One pass: both places are found on one partitioning, and a row that stands in both lists is given twice.
+    """
     rows = cube.where((F.col("direction") == INTRA) | (F.col("window") == window))
     by = W.partitionBy("chrom", "gene_name", "te_category", "direction")
-    most = rows.withColumn("place", F.row_number().over(by.orderBy(F.desc("density"), "te_name"))).where(F.col("place") <= n).withColumn("end", F.lit("top"))
-    least = rows.withColumn("place", F.row_number().over(by.orderBy("density", "te_name"))).where(F.col("place") <= n).withColumn("end", F.lit("bottom"))
-    return most.unionByName(least)
+    rows = rows.withColumn("__top", F.row_number().over(by.orderBy(F.desc("density"), "te_name"))).withColumn("__bottom", F.row_number().over(by.orderBy("density", "te_name")))
+    end = lambda c, label: F.when(F.col(c) <= n, F.struct(F.col(c).alias("place"), F.lit(label).alias("end")))
+    ends = F.array_compact(F.array(end("__top", "top"), end("__bottom", "bottom")))
+    return rows.select(*cube.columns, F.explode(ends).alias("__e")).select(*cube.columns, "__e.place", "__e.end")
+
+
+def differences_within(pairs: DataFrame, cube: DataFrame) -> DataFrame:
+    """paired_differences where both genes are of one cube: the cube is made once.
+
+    Its rows are gathered to one per gene, with a map from (category, name, direction, window) to the density, and only for genes
+    that are in a pair; then two joins by gene name complete each pair.
+    """
+    wanted = pairs.select(F.explode(F.array("gene_a", "gene_b")).alias("gene_name")).distinct()
+    cell = F.struct("te_category", "te_name", "direction", "window")
+    rows = cube.join(wanted, "gene_name", "left_semi").groupBy("gene_name").agg(F.collect_list(F.struct(cell.alias("cell"), F.col("density").alias("density"))).alias("cells"))
+    sides = pairs.select("gene_a", "gene_b", F.monotonically_increasing_id().alias("__pair"))
+    both = sides.select("__pair", "gene_a", "gene_b", F.explode(F.array(F.struct(F.col("gene_a").alias("g"), F.lit("a").alias("side")), F.struct(F.col("gene_b").alias("g"), F.lit("b").alias("side")))).alias("x"))
+    met = both.select("__pair", "gene_a", "gene_b", F.col("x.side").alias("side"), F.col("x.g").alias("gene_name")).join(rows, "gene_name")
+    cells = met.select("__pair", "gene_a", "gene_b", "side", F.explode("cells").alias("c")).select("__pair", "gene_a", "gene_b", "side", "c.cell", "c.density")
+    side = lambda s: F.max(F.when(F.col("side") == s, F.col("density")))
+    has = lambda s: F.count_if(F.col("side") == s)
+    diff = cells.groupBy("__pair", "gene_a", "gene_b", "cell").agg((side("a") - side("b")).alias("difference"), has("a").alias("in_a"), has("b").alias("in_b")).where("in_a > 0 AND in_b > 0")
+    return diff.select("gene_a", "gene_b", "cell.*", "difference")
 
 
 def paired_differences(pairs: DataFrame, cube_a: DataFrame, cube_b: DataFrame, check: bool = False) -> DataFrame:
@@ -126,9 +172,9 @@ def paired_differences(pairs: DataFrame, cube_a: DataFrame, cube_b: DataFrame, c
 
 
 def outliers(rows: DataFrame, column: str, share: float = 0.99) -> DataFrame:
-    """Rows at or over the interpolated percentile."""
-    edge = rows.agg(F.percentile(column, F.lit(share)).alias("edge"))
-    return rows.crossJoin(F.broadcast(edge)).where(F.col(column) >= F.col("edge"))
+    """Rows at or over the interpolated percentile, which is exact; `rows` are read several times: give a stored table."""
+    (edge,) = quantiles.exact_quantiles(rows, column, [share])
+    return rows.where(F.col(column) >= F.lit(edge))
 
 
 def inside_boundaries(genes: DataFrame, boundaries: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -12,40 +12,46 @@ from locusweave.schema import O_REVISION, S_REVISION, TOTAL
 
 #: Base pairs of a stretch that one task sorts.
 STRETCH = 1 << 22
-#: Rows of a key that one task may sort.
-MOST = 5_000_000
 
 
-def interval_union(df: DataFrame, keys: Sequence[str], stretch: int | None = None, most: int = MOST) -> DataFrame:
+def interval_union(df: DataFrame, keys: Sequence[str], stretch: int = STRETCH) -> DataFrame:
     """Merges closed intervals [start, stop] that share a base, per `keys`; adjacent ones stay apart.
 
-    `strand` is the first interval's. Rows with a null key or coordinate are left out. Where no key has over `most` rows, which
-    one count tells, a key's rows are sorted in one task and shuffled once. Otherwise, or if `stretch` is given, no task sees a
-    whole key: rows are sorted within stretches of the coordinate, and what reaches from earlier stretches into a later one
-    comes from a table with one row per stretch.
+    `strand` is the first interval's. Rows with a null key or coordinate are left out. No task sees a whole key: intervals are
+    merged within the stretch where they start. Of the islands of a stretch only the last can reach into later ones, so a table
+    with one row per key and stretch tells what comes in from before: how far it reaches and where it began. Islands that it
+    touches join it. Rows are read once and shuffled once; then only islands move.
     """
-    rows = df.dropna(subset=[*keys, "start", "stop"])
-    if stretch is None:
-        largest = rows.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
-        stretch = STRETCH if (largest or 0) > most else None
-    at = list(keys) if stretch is None else [*keys, "__stretch"]
-    within = W.partitionBy(*at).orderBy("start", "stop").rowsBetween(W.unboundedPreceding, -1)
-    # of rows with the same start only the first can begin an island, and both windows use one sort
-    until = W.partitionBy(*at).orderBy("start", "stop").rowsBetween(W.unboundedPreceding, 0)
-    before, island = F.max("stop").over(within), F.max("__begin").over(until)
+    at = [*keys, "__stretch"]
+    rows = df.dropna(subset=[*keys, "start", "stop"]).select(*keys, "start", "stop", "strand")
+    rows = rows.withColumn("__stretch", stretch_number("start", stretch))
+    before = F.max("stop").over(W.partitionBy(*at).orderBy("start").rowsBetween(W.unboundedPreceding, -1))
     begin = F.when(F.col("__before").isNull() | (F.col("start") > F.col("__before")), F.col("start"))
-    if stretch is None:
-        rows = rows.withColumn("__before", before).withColumn("__begin", begin).withColumn("__island", island)
-    else:
-        along = W.partitionBy(*keys).orderBy("__stretch").rowsBetween(W.unboundedPreceding, -1)
-        carried = lambda df, c: df.groupBy(*at).agg(F.max(c).alias("__max")).select(*at, F.max("__max").over(along).alias("__carried"))
-        rows = rows.withColumn("__stretch", F.expr(f"start div {stretch}"))
-        rows = rows.join(carried(rows, "stop"), at).withColumn("__before", F.greatest("__carried", before)).drop("__carried").withColumn("__begin", begin)
-        rows = rows.join(carried(rows, "__begin"), at).withColumn("__island", F.greatest("__carried", island)).drop("__carried")
-    merged = rows.groupBy(*keys, "__island").agg(
-        F.min("start").alias("start"), F.max("stop").alias("stop"), F.min_by("strand", F.struct("start", "stop", "strand")).alias("strand")
-    )
-    return merged.drop("__island").withColumn("length", F.col("stop") - F.col("start") + 1)
+    # rows of one start may stand in any order, so each sees what all of them begin
+    island = F.max("__begin").over(W.partitionBy(*at).orderBy("start").rangeBetween(W.unboundedPreceding, 0))
+    marked = rows.withColumn("__before", before).withColumn("__begin", begin).withColumn("__island", island)
+    local = marked.groupBy(*at, "__island").agg(*_merged("start", "stop", F.struct("start", "stop", "strand")))
+    return _joined(local.drop("__island"), keys).select(*keys, "start", "stop", F.col("first.strand").alias("strand"), (F.col("stop") - F.col("start") + 1).alias("length"))
+
+
+def stretch_number(column: str, size: int) -> Column:
+    """Number of the stretch that holds a position, also a negative one, in whole numbers."""
+    return F.expr(f"({column} - pmod({column}, {size})) div {size}")
+
+
+def _merged(start: str, stop: str, first: Column) -> list[Column]:
+    return [F.min(start).alias("start"), F.max(stop).alias("stop"), F.min(first).alias("first")]
+
+
+def _joined(local: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Islands of stretches (keys, __stretch, start, stop, first) that reach over a border become one with what they touch there."""
+    along = W.partitionBy(*keys).orderBy("__stretch").rowsBetween(W.unboundedPreceding, -1)
+    ends = local.groupBy(*keys, "__stretch").agg(F.max("start").alias("__start"), F.max("stop").alias("__stop")).withColumn("__reach", F.max("__stop").over(along))
+    own = F.when(F.col("__reach").isNull() | (F.col("__start") > F.col("__reach")), F.col("__start"))
+    ends = ends.withColumn("__from", F.max(own).over(along)).where("__reach IS NOT NULL").select(*keys, "__stretch", "__reach", "__from")
+    islands = local.join(ends, [*keys, "__stretch"], "left")
+    touched = F.when(F.col("start") <= F.col("__reach"), F.col("__from")).otherwise(F.col("start"))
+    return islands.withColumn("__island", touched).groupBy(*keys, "__island").agg(*_merged("start", "stop", F.col("first")))
 
 
 def _revised(tes: DataFrame, genome: Sequence[str], te_order, superfamily) -> DataFrame:

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusweave.schema import TOTAL
+from locusweave.schema import PRODUCTION_WINDOWS, TOTAL
 
-WINDOWS = (500, 1000, 5000, 10000)
+WINDOWS = tuple(PRODUCTION_WINDOWS)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,7 +66,7 @@ REVISED_SQL = f"""keyed AS (
   FROM flagged GROUP BY chrom, te_order, superfamily, island
 )"""
 REGIONS_SQL = """windows(w) AS (
-  VALUES (CAST(500 AS BIGINT)), (1000), (5000), (10000)
+  SELECT unnest(range(500, 10001, 500))
 ), regions AS (
   SELECT chrom, gene_name, strand, 'Left' AS direction, w AS "window", greatest(start - 1 - w, 0) AS r_start, start - 1 AS r_stop,
     nullif(CASE WHEN start - 1 - w <= 0 THEN start ELSE w + 1 END, 0) AS divisor FROM genes, windows

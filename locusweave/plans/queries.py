@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from locusweave.functions import checks, names
-from locusweave.operators import density, query, stats
+from locusweave.operators import density, quantiles, query, stats
 from locusweave.operators.regions import regions
 from locusweave.operators.union import interval_union, order_rows, revise, revision_rows, superfamily_rows, total_rows
 from locusweave.plans.genome import WINDOWS, genes, raw_genes, sql, table, tes
 from locusweave.schema import INTRA, LEFT, ORDER, RIGHT, SUPERFAMILY, TOTAL
 from locusweave.sources import annotations, sinks
+from locusweave.sources.store import stored
 
 _KEYS = ["chrom", "te_order", "superfamily"]
 
@@ -40,11 +41,13 @@ BOTH = (ORDER, SUPERFAMILY)
 PARTS = {"all": revision_rows, "orders": order_rows, "total": total_rows}
 
 
+def _stored_revision(spark, d, part="all") -> DataFrame:
+    return stored(interval_union(PARTS[part](tes(spark, d)), _KEYS), "revised")
+
+
 def _cube(spark, d, directions=(LEFT, INTRA, RIGHT), windows=WINDOWS, part="all", kinds=BOTH) -> DataFrame:
-    """The cube over one part of the revision. The names of a chromosome are those of the elements before they are merged, so
-    that the revision stands in the plan once."""
-    rows = PARTS[part](tes(spark, d))
-    return density.dense_density(genes(spark, d), interval_union(rows, _KEYS), windows, directions, density.names_by_chromosome(rows, kinds), kinds)
+    """The cube over one part of the revision, which is stored first."""
+    return density.dense_density(genes(spark, d), _stored_revision(spark, d, part), windows, directions, kinds)
 
 
 def _stranded(spark, d, directions=(LEFT, INTRA, RIGHT), windows=WINDOWS, part="all", kinds=BOTH) -> DataFrame:
@@ -198,9 +201,9 @@ def syntelog_import(spark, d):
     return annotations.gene_pairs(lines)
 
 
-@query_of("SELECT p_name AS gene_name, p_partkey FROM part QUALIFY count(*) OVER (PARTITION BY p_name) = 1")
+@query_of("SELECT CASE WHEN p_partkey % 50 = 0 THEN NULL WHEN p_partkey % 3 = 0 THEN p_name ELSE concat(p_name, p_partkey) END AS gene_name, p_partkey FROM part QUALIFY count(*) OVER (PARTITION BY gene_name) = 1")
 def drop_all_duplicates(spark, d):
-    return checks.drop_all_duplicates(table(spark, d, "part").selectExpr("p_name AS gene_name", "p_partkey"))
+    return checks.drop_all_duplicates(table(spark, d, "part").selectExpr("CASE WHEN p_partkey % 50 = 0 THEN NULL WHEN p_partkey % 3 = 0 THEN p_name ELSE concat(p_name, p_partkey) END AS gene_name", "p_partkey"))
 
 
 @query_of(sql("SELECT gene_name, CASE WHEN length % 300 = 0 THEN NULL WHEN length % 500 = 0 THEN '?' ELSE strand END AS strand FROM raw_genes WHERE length % 300 = 0 OR length % 500 = 0", "genes"))
@@ -219,11 +222,11 @@ def null_column_counts(spark, d):
     return checks.null_counts(table(spark, d, "orders").selectExpr("CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_custkey END AS a", "CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderstatus END AS b"))
 
 
-@query_of("""SELECT chrom, 'genes' AS only_in FROM (SELECT DISTINCT 'Chr' || (p_partkey % 7) AS chrom FROM part EXCEPT SELECT DISTINCT 'Chr' || (l_suppkey % 5 + 2 * (l_suppkey % 2)) FROM lineitem)
-UNION ALL SELECT chrom, 'tes' FROM (SELECT DISTINCT 'Chr' || (l_suppkey % 5 + 2 * (l_suppkey % 2)) AS chrom FROM lineitem EXCEPT SELECT DISTINCT 'Chr' || (p_partkey % 7) FROM part)""")
+@query_of("""SELECT chrom, 'genes' AS only_in FROM (SELECT DISTINCT 'Chr' || (p_partkey % 9) AS chrom FROM part EXCEPT SELECT DISTINCT 'Chr' || (3 * (l_suppkey % 5)) FROM lineitem)
+UNION ALL SELECT chrom, 'tes' FROM (SELECT DISTINCT 'Chr' || (3 * (l_suppkey % 5)) AS chrom FROM lineitem EXCEPT SELECT DISTINCT 'Chr' || (p_partkey % 9) FROM part)""")
 def chrom_set_diff(spark, d):
-    a = table(spark, d, "part").selectExpr("concat('Chr', p_partkey % 7) AS chrom")
-    return checks.chromosome_difference(a, table(spark, d, "lineitem").selectExpr("concat('Chr', l_suppkey % 5 + 2 * (l_suppkey % 2)) AS chrom"))
+    a = table(spark, d, "part").selectExpr("concat('Chr', p_partkey % 9) AS chrom")
+    return checks.chromosome_difference(a, table(spark, d, "lineitem").selectExpr("concat('Chr', 3 * (l_suppkey % 5)) AS chrom"))
 
 
 # ---- revision -----------------------------------------------------------------------------------------------------
@@ -266,8 +269,7 @@ FROM regions r JOIN tes t ON r.chrom = t.chrom AND t.start <= r.r_stop AND t.sto
 
 
 def _overlap(spark, d, direction: str) -> DataFrame:
-    met = density.overlaps(regions(genes(spark, d), WINDOWS, [direction]).select("chrom", "gene_name", "window", "r_start", "r_stop"), tes(spark, d))
-    return met.groupBy("gene_name", "window").agg(F.count("*").alias("n"), F.sum("overlap_bp").alias("bp"))
+    return density.overlap_counts(genes(spark, d), tes(spark, d), WINDOWS, direction).select("gene_name", "window", "n", "bp")
 
 
 @query_of(_overlap_sql(LEFT))
@@ -306,7 +308,7 @@ def density_total(spark, d):
 
 @query_of(sql('SELECT chrom, gene_name, direction, "window", te_category, te_name, overlap_bp, divisor, density FROM cube WHERE overlap_bp > 0', "cube"))
 def density_sparse(spark, d):
-    return density.sparse_density(genes(spark, d), _revised(spark, d), WINDOWS).select("chrom", "gene_name", "direction", "window", "te_category", "te_name", "overlap_bp", "divisor", "density")
+    return density.sparse_density(genes(spark, d), _stored_revision(spark, d), WINDOWS).select("chrom", "gene_name", "direction", "window", "te_category", "te_name", "overlap_bp", "divisor", "density")
 
 
 @query_of(sql('SELECT chrom, gene_name, direction, "window", te_category, te_name, density FROM stranded', "cube"))
@@ -316,8 +318,10 @@ def stranded_density(spark, d):
 
 @query_of(sql("SELECT chrom, gene_name, density FROM stranded WHERE te_category = 'Order' AND te_name = 'LTR' AND direction = 'Upstream' AND \"window\" = 1000", "cube"))
 def density_slice(spark, d):
-    cube = _stranded(spark, d, (LEFT, RIGHT), (1000,), "orders", (ORDER,))
-    return query.density_slice(cube, ORDER, "LTR", "Upstream", 1000, WINDOWS).select("chrom", "gene_name", "density")
+    revised = _stored_revision(spark, d, "orders")
+    cube = density.stranded(density.dense_density(genes(spark, d), revised, (1000,), (LEFT, RIGHT), (ORDER,)))
+    names = density.names_by_chromosome(revised, (ORDER,))
+    return query.density_slice(cube, ORDER, "LTR", "Upstream", 1000, WINDOWS, names).select("chrom", "gene_name", "density")
 
 
 @query_of(sql("SELECT *, CAST(row_number() OVER (PARTITION BY chrom ORDER BY start, gene_name) - 1 AS BIGINT) AS gene_index FROM genes", "genes"))
@@ -337,8 +341,9 @@ FROM genes g LEFT JOIN stranded s ON s.chrom = g.chrom AND s.gene_name = g.gene_
 )
 def gene_te_columns(spark, d):
     wanted = [(ORDER, "LTR", "Upstream", 500), (ORDER, "TIR", "Downstream", 5000), (ORDER, "Helitron", "Intra", None), (ORDER, "Absent", "Intra", None)]
-    cube = _stranded(spark, d, windows=(500, 5000), part="orders", kinds=(ORDER,))
-    return query.append_columns(genes(spark, d).select("chrom", "gene_name"), cube, wanted)
+    revised = _stored_revision(spark, d, "orders")
+    cube = density.stranded(density.dense_density(genes(spark, d), revised, (500, 5000), kinds=(ORDER,)))
+    return query.append_columns(genes(spark, d).select("chrom", "gene_name"), cube, wanted, density.names_by_chromosome(revised, (ORDER,)))
 
 
 @query_of(
@@ -369,8 +374,8 @@ def gene_top_bottom(spark, d):
 
 @query_of(sql("""SELECT te_category, te_name, direction, "window", round(avg(density), 6) AS mean_density FROM stranded WHERE NOT contains(te_name, 'Revision') GROUP BY ALL""", "cube"))
 def mean_density_by_window(spark, d):
-    rows = density.without_revisions(_stranded(spark, d))
-    return rows.groupBy("te_category", "te_name", "direction", "window").agg(F.round(F.avg("density"), 6).alias("mean_density"))
+    rows = density.mean_densities(genes(spark, d), _stored_revision(spark, d), WINDOWS)
+    return density.without_revisions(rows).withColumn("mean_density", F.round("mean_density", 6))
 
 
 _UPDOWN = """means AS (
@@ -379,13 +384,13 @@ _UPDOWN = """means AS (
 )"""
 
 
-@query_of(sql("SELECT chrom, te_name, round(up, 6) AS up, round(down, 6) AS down, round((up + down) / 2, 6) AS mid, round((up - (up + down) / 2) ** 2 / ((up + down) / 2) + (down - (up + down) / 2) ** 2 / ((up + down) / 2), 6) AS chi_square FROM means", "cube", _UPDOWN))
+@query_of(sql("SELECT chrom, te_name, round(up, 6) AS up, round(down, 6) AS down, round((up + down) / 2, 6) AS mid, round(chi, 6) AS chi_square, round(1 - exp(-chi / 2) * sqrt(chi / 2) * list_sum(list_transform(range(60), lambda k: pow(chi / 2, k) / gamma(k + 1.5))), 6) AS p_value FROM (SELECT *, (up - (up + down) / 2) ** 2 / ((up + down) / 2) + (down - (up + down) / 2) ** 2 / ((up + down) / 2) AS chi FROM means)", "cube", _UPDOWN))
 def updown_midpoint_chisq(spark, d):
     cube = density.without_revisions(_stranded(spark, d, (LEFT, RIGHT), (1000,), kinds=(ORDER,)))
     side = lambda x: F.avg(F.when(F.col("direction") == x, F.col("density")))
     m = cube.groupBy("chrom", "te_name").agg(side("Upstream").alias("up"), side("Downstream").alias("down")).withColumn("mid", (F.col("up") + F.col("down")) / 2)
     chi = stats.chi_square([F.col("up"), F.col("down")], F.nullif(F.col("mid"), F.lit(0.0)))
-    return m.select("chrom", "te_name", F.round("up", 6).alias("up"), F.round("down", 6).alias("down"), F.round("mid", 6).alias("mid"), F.round(chi, 6).alias("chi_square"))
+    return m.select("chrom", "te_name", F.round("up", 6).alias("up"), F.round("down", 6).alias("down"), F.round("mid", 6).alias("mid"), F.round(chi, 6).alias("chi_square"), F.round(stats.chi_square_p(chi), 6).alias("p_value"))
 
 
 def _bin_sql(value: str) -> str:
@@ -425,8 +430,7 @@ def _total_up(spark, d) -> DataFrame:
 
 @query_of(sql("SELECT gene_name, density FROM total_up WHERE density >= (SELECT quantile_cont(density, 0.99) FROM total_up)", "cube", _TOTAL_UP))
 def outlier_genes_p99(spark, d):
-    cube = _total_up(spark, d)
-    return query.outliers(cube.select("gene_name", "density"), "density").select("gene_name", "density")
+    return query.outliers(stored(_total_up(spark, d), "densities"), "density").select("gene_name", "density")
 
 
 @query_of(
@@ -438,11 +442,11 @@ def outlier_genes_p99(spark, d):
 )
 def outlier_counterparts(spark, d):
     """As many ordinary genes as there are outliers, drawn in hash order: the sample is the operator."""
-    cube = _total_up(spark, d)
-    edges = cube.agg(F.percentile("density", F.lit(0.01)).alias("low"), F.percentile("density", F.lit(0.99)).alias("high"))
-    marked = cube.crossJoin(F.broadcast(edges))
-    n = marked.where("density >= high").count()
-    return marked.where("density >= low AND density < high").orderBy(F.md5("gene_name"), "gene_name").limit(n).select("gene_name", "density")
+    cube = stored(_total_up(spark, d), "densities")
+    low, high = quantiles.exact_quantiles(cube, "density", [0.01, 0.99])
+    n = cube.where(F.col("density") >= high).count()
+    ordinary = cube.where((F.col("density") >= low) & (F.col("density") < high))
+    return quantiles.hash_sample(ordinary, n, "gene_name").select("gene_name", "density")
 
 
 _DIFF = """pairs AS (
@@ -459,7 +463,7 @@ _DIFF = """pairs AS (
 def _differences(spark, d) -> DataFrame:
     pairs = table(spark, d, "part").where("p_partkey % 2 = 1").selectExpr("concat('gene_', p_partkey) AS gene_a", "concat('gene_', p_partkey + 5) AS gene_b")
     cube = density.without_revisions(_stranded(spark, d, (LEFT, RIGHT), (1000, 5000), kinds=(ORDER,)))
-    return query.paired_differences(pairs, cube, cube)
+    return query.differences_within(pairs, cube)
 
 
 @query_of(sql("SELECT * FROM diffs", "cube", _DIFF))
@@ -585,7 +589,7 @@ def te_length_mean(spark, d):
 
 @query_of(sql("SELECT superfamily, median(length) AS median FROM tes GROUP BY superfamily", "tes"))
 def te_length_median(spark, d):
-    return stats.lengths_by(tes(spark, d), "superfamily").select("superfamily", "median")
+    return quantiles.grouped_medians(tes(spark, d), "superfamily", "length")
 
 
 @query_of(sql("SELECT (SELECT CAST(count(*) AS BIGINT) FROM genes) AS n_genes, (SELECT CAST(sum(length) AS BIGINT) FROM genes) AS gene_bp, CAST(count(*) AS BIGINT) AS n_tes, CAST(sum(length) AS BIGINT) AS te_bp, CAST(sum(length) AS DOUBLE) / 119e6 AS te_share FROM tes", "genes", "tes"))

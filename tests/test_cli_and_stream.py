@@ -1,3 +1,7 @@
+import logging
+
+import pytest
+
 from locusweave import cli
 from locusweave.operators.density import dense_density
 from locusweave.operators.union import revise
@@ -65,3 +69,16 @@ def test_stream_of_genes(spark, tmp_path):
     assert got.count() == want.count()
     columns = ["gene_name", "direction", "window", "te_name", "te_category", "overlap_bp"]
     assert got.select(columns).exceptAll(want.select(columns)).isEmpty()
+
+
+def test_gene_list_and_absent_files(spark, tmp_path, caplog):
+    (tmp_path / "g.tsv").write_text(GENES)
+    (tmp_path / "t.tsv").write_text(TES)
+    (tmp_path / "names.txt").write_text("g2\nunknown\n")
+    argv = [str(tmp_path / "g.tsv"), str(tmp_path / "t.tsv"), "x", "-o", str(tmp_path / "out"), "--genes_list", str(tmp_path / "names.txt")]
+    with caplog.at_level(logging.ERROR):
+        got = annotations.read_density(spark, cli.main(argv))
+    assert [r[0] for r in got.select("gene_name").distinct().collect()] == ["g2"] and "unknown" in caplog.text
+    with pytest.raises(FileNotFoundError):
+        cli.main([str(tmp_path / "no.tsv"), *argv[1:]])
+    assert not cli.exists(spark, str(tmp_path)) and not cli.exists(spark, str(tmp_path / "nowhere"))

