@@ -42,6 +42,14 @@ def write_cleaned_tes(tes: DataFrame, path: str) -> None:
     write_tsv(tes.select(*(F.col(c).alias(n) for c, n in TE_HEADER.items())), path)
 
 
+def write_pairs(pairs: DataFrame, path: str) -> None:
+    """Gene pairs as a tab-separated table with a header, one row a pair: chrom, gene_a, gene_b, e_value as far as there are any, then the other columns."""
+    columns = [c for c in ("chrom", "gene_a", "gene_b", "e_value") if c in pairs.columns]
+    if not {"gene_a", "gene_b"} <= set(columns):
+        raise ValueError(f"pairs want gene_a and gene_b, not {pairs.columns}")
+    write_tsv(pairs.select(*columns, *(c for c in pairs.columns if c not in columns)), path)
+
+
 def append_checked(rows: DataFrame, path: str, axes: Sequence[str] = ("te_category", "te_name", "direction", "window")) -> None:
     """Adds rows to a stored table whose columns and axis values they must share: TypeError or ValueError otherwise."""
     there = rows.sparkSession.read.parquet(path)

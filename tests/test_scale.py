@@ -15,7 +15,7 @@ from locusweave.operators import density, increments, quantiles, query
 from locusweave.operators.coverage import region_bases
 from locusweave.operators.rangejoin import overlap_join
 from locusweave.operators.union import interval_union, revise
-from locusweave.sources import cubes
+from locusweave.sources import cubes, sinks
 
 TE = "chrom string, start long, stop long, strand string, te_order string, superfamily string"
 GENE = "chrom string, gene_name string, start long, stop long, strand string, length long"
@@ -253,3 +253,13 @@ def test_names_that_are_not_there(spark, caplog):
 def test_checks_find_something(spark):
     rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4), (None, 5)], "gene_name string, k int")
     assert [r["k"] for r in checks.drop_all_duplicates(rows).collect()] == [3]
+
+
+def test_pairs_round_trip(spark, tmp_path):
+    pairs = spark.createDataFrame([("y", "1", 0.5, "x"), (None, "2", 1e-9, "z")], "gene_b string, chrom string, e_value double, gene_a string")
+    sinks.write_pairs(pairs, str(tmp_path / "p"))
+    got = spark.read.csv(str(tmp_path / "p"), sep="\t", header=True)
+    assert got.columns == ["chrom", "gene_a", "gene_b", "e_value"]
+    assert sorted(tuple(r) for r in got.collect()) == [("1", "x", "y", "0.5"), ("2", "z", None, "1.0E-9")]
+    with pytest.raises(ValueError):
+        sinks.write_pairs(pairs.drop("gene_a"), str(tmp_path / "q"))
