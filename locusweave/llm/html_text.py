@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+import itertools
 import math
 import re
 from collections import Counter, deque
@@ -85,7 +86,11 @@ def _named(attrs: str, inside: bool) -> float:
 
 def _score(text: str, linked: int, prior: float) -> float:
     share = min(1.0, linked / len(text))
-    return BIAS + prior + PER_LENGTH * min(4.0, math.log2(1 + len(text) / 20)) + PER_LINK * share + (SENTENCE if text[-1] in ".!?…:;\"'" else 0.0)
+    return prior + _length(len(text)) + PER_LINK * share + (SENTENCE if text[-1] in ".!?…:;\"'" else 0.0)
+
+
+def _length(n: int) -> float:
+    return PER_LENGTH * min(4.0, math.log2(1 + n / 20))
 
 
 def blocks(page: str) -> list[Block]:
@@ -94,14 +99,16 @@ def blocks(page: str) -> list[Block]:
     stack = [_Open("", 0.0, Node(None, 0), False)]
     opened: Counter[str] = Counter()
     parts: list[str] = []
-    linked, at = 0, 0
+    linked, at, longest = 0, 0, 0
 
     def flush() -> None:
-        nonlocal linked
+        nonlocal linked, longest
         text = " ".join("".join(parts).split())
         if text:
             # inline elements carry the prior and node of the block that they stand in
             out.append(Block(text, _score(text, linked, stack[-1].prior), stack[-1].node))
+            if stack[-1].prior >= 0 and 2 * linked < len(text):
+                longest = max(longest, len(text))
         parts.clear()
         linked = 0
 
@@ -164,6 +171,10 @@ def blocks(page: str) -> list[Block]:
             stack.append(_Open(name, prior, Node(up.node, up.node.depth + 1), up.inside or name in ("article", "main")))
     take(page[at:])
     flush()
+    # a block is short only against the page's longest one that is neither furniture nor links
+    bias = max(BIAS, -_length(longest) / 2) if longest else BIAS
+    for b in out:
+        b.score += bias
     return out
 
 
@@ -197,7 +208,9 @@ def minimum_cut(score: list[float], links: list[tuple[int, int, float]]) -> list
     """Which nodes lie on the source's side of a minimum cut: positive scores are capacities from the source, negative ones to the sink.
 
     A node whose own capacity exceeds all its smoothness is decided at once, and hands its links to its neighbours as
-    capacities; augmenting paths decide the rest. Of several minimum cuts it is the one with the fewest on the source's side.
+    capacities. One with at most two neighbours is taken out: the least cost that it leaves to them is again a capacity of each
+    and a link between them, and its own side follows from theirs. Chains, ladders and whatever else these two steps use up take
+    time in proportion; the maximum flow through the rest decides it. Of several minimum cuts it is the one with the fewest on the source's side.
     """
     n = len(score)
     own, near = list(score), [{} for _ in range(n)]
@@ -205,49 +218,96 @@ def minimum_cut(score: list[float], links: list[tuple[int, int, float]]) -> list
         near[i][j] = near[i].get(j, 0.0) + w
         near[j][i] = near[j].get(i, 0.0) + w
     label: list[bool | None] = [None] * n
-    queue = deque(range(n))
+    gone: list[tuple[int, dict[int, float]]] = []
+    out, queue = [False] * n, deque(range(n))
     while queue:
         i = queue.popleft()
-        if label[i] is not None or abs(own[i]) <= sum(near[i].values()):
+        if label[i] is not None or out[i]:
+            continue
+        around = near[i]
+        if not around or abs(own[i]) > sum(around.values()):
+            label[i] = own[i] > 0
+            for j, w in around.items():
+                del near[j][i]
+                own[j] += w if label[i] else -w
+        elif len(around) <= 2:
+            out[i] = True
+            gone.append((i, around))
+            _take_out(i, own, near)
+        else:
             continue
-        label[i] = own[i] > 0
-        for j, w in near[i].items():
-            del near[j][i]
-            own[j] += w if label[i] else -w
-            queue.append(j)
+        queue.extend(around)
         near[i] = {}
-    left = [i for i in range(n) if label[i] is None]
+    left = [i for i in range(n) if label[i] is None and not out[i]]
     if left:
-        source, sink = n, n + 1
-        room: dict[int, dict[int, float]] = {i: dict(near[i]) for i in left} | {source: {}, sink: {}}
-        for i in left:
-            a, b, c = (source, i, own[i]) if own[i] > 0 else (i, sink, -own[i])
-            if c > 0:
-                room[a][b] = c
-                room[b].setdefault(a, 0.0)
-        while True:
-            came, line = {source: source}, deque([source])
-            while line and sink not in came:
-                i = line.popleft()
-                for j, c in room[i].items():
-                    if c > 1e-9 and j not in came:
-                        came[j] = i
-                        line.append(j)
-            if sink not in came:
-                break
-            path, j = [], sink
-            while j != source:
-                path.append((came[j], j))
-                j = came[j]
-            flow = min(room[a][b] for a, b in path)
-            for a, b in path:
-                room[a][b] -= flow
-                room[b][a] = room[b].get(a, 0.0) + flow
+        kept = _source_side(left, own, near)
         for i in left:
-            label[i] = i in came
+            label[i] = i in kept
+    for i, around in reversed(gone):
+        label[i] = own[i] + sum(w if label[j] else -w for j, w in around.items()) > 0
     return [bool(x) for x in label]
 
 
+def _take_out(i: int, own: list[float], near: list[dict[int, float]]) -> None:
+    """Hands the least cost of node i, as a function of its one or two neighbours' sides, to them."""
+    u = own[i]
+    if len(near[i]) == 1:
+        ((j, a),) = near[i].items()
+        del near[j][i]
+        own[j] += max(-a, min(a, u))
+        return
+    (j, a), (k, b) = near[i].items()
+    del near[j][i], near[k][i]
+    neither, both, one, other = min(0.0, a + b - u), min(a + b, -u), min(a, b - u), min(b, a - u)
+    link = max(0.0, (one + other - neither - both) / 2)
+    own[j] -= one - neither - link
+    own[k] -= other - neither - link
+    if link > 0:
+        near[j][k] = near[j].get(k, 0.0) + link
+        near[k][j] = near[k].get(j, 0.0) + link
+
+
+def _source_side(left: list[int], own: list[float], near: list[dict[int, float]]) -> set[int]:
+    """Nodes that the source still reaches after a maximum flow, found by blocking flows through levels of equal distance."""
+    source, sink = -1, -2
+    room: dict[int, dict[int, float]] = {i: dict(near[i]) for i in left} | {source: {}, sink: {}}
+    for i in left:
+        a, b = (source, i) if own[i] > 0 else (i, sink)
+        room[a][b] = abs(own[i])
+        room[b].setdefault(a, 0.0)
+    while True:
+        level, line = {source: 0}, deque([source])
+        while line:
+            i = line.popleft()
+            for j, c in room[i].items():
+                if c > 1e-9 and j not in level:
+                    level[j] = level[i] + 1
+                    line.append(j)
+        if sink not in level:
+            return set(level)
+        ahead, at = {i: [j for j in room[i] if level.get(j) == level[i] + 1] for i in level}, dict.fromkeys(level, 0)
+        path = [source]
+        while path:
+            i = path[-1]
+            if i == sink:
+                steps = list(itertools.pairwise(path))
+                flow = min(room[a][b] for a, b in steps)
+                for a, b in steps:
+                    room[a][b] -= flow
+                    room[b][a] += flow
+                # back to before the first edge that is full
+                del path[next(k for k, (a, b) in enumerate(steps) if room[a][b] <= 1e-9) + 1 :]
+                continue
+            while at[i] < len(ahead[i]) and room[i][ahead[i][at[i]]] <= 1e-9:
+                at[i] += 1
+            if at[i] < len(ahead[i]):
+                path.append(ahead[i][at[i]])
+            else:
+                path.pop()
+                if path:
+                    at[path[-1]] += 1
+
+
 def main_text(page: str | None) -> str:
     """The page's content blocks in page order, one a line. A null or empty page, and one without content, has an empty text."""
     if not page:
@@ -270,7 +330,8 @@ def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of each row of (page_id, url, html, ...). Repeated rows and null ids stay; nothing is shuffled.
 
     Null and empty pages have an empty text, an empty table gives an empty result, and other columns are not read, whatever
-    their names. Pages of any length and depth take memory and time in proportion; a text is never cut.
+    their names. Pages of any length and depth take memory in proportion, and time too where the cut needs no flow (see
+    minimum_cut); a text is never cut.
     """
     return pages.select("page_id", "url", "html").mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
 
