@@ -23,8 +23,8 @@ HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Le
 #: A writer starts a new file after so many compressed bytes.
 ROLL = 64 << 20
 CHUNK = 1 << 16
-#: Bytes of a record still short of its stated end after which another one is looked for before that end.
-LOOK = 1 << 22
+#: Bytes that a member gives at a time.
+BLOCK = 1 << 20
 MAGIC = b"\x1f\x8b\x08"
 MARK = re.compile(rb"\x1f\x8b\x08|WARC/1\.")
 #: Rows that refer back up to which their table is broadcast (under 50 MB).
@@ -88,13 +88,13 @@ class _Window:
         self.base += n
 
 
-def parse(data: bytes, start: int, final: bool) -> tuple[dict, bytes, int] | None:
-    """Headers, block and end of the record at `start`; None if more bytes are needed (never when `final`)."""
+def parse(data: bytes, start: int, final: bool) -> tuple[dict, bytes, int] | int:
+    """Headers, block and end of the record at `start`; if more bytes are needed (never when `final`), how many there must be."""
     end = data.find(b"\r\n\r\n", start)
     if end < 0:
         if final or len(data) - start > CHUNK:
             raise Damaged("no end of the headers")
-        return None
+        return len(data) + 1
     head = bytes(data[start:end]).split(b"\r\n")
     if not re.fullmatch(rb"WARC/1\.\d", head[0]):
         raise Damaged("no version line")
@@ -107,9 +107,7 @@ def parse(data: bytes, start: int, final: bool) -> tuple[dict, bytes, int] | Non
     if len(data) < stop + 4:
         if final:
             raise Damaged("cut short")
-        if len(data) >= end + LOOK and _begins(data, end + 4):
-            raise Damaged("a whole record begins before the stated end")
-        return None
+        return stop + 4
     block = bytes(data[end + 4 : stop])
     if data[stop : stop + 4] != b"\r\n\r\n":
         raise Damaged("wrong length")
@@ -119,56 +117,80 @@ def parse(data: bytes, start: int, final: bool) -> tuple[dict, bytes, int] | Non
     return fields, block, stop + 4
 
 
-def _begins(data: bytearray, start: int) -> bool:
-    """Whether a record that passes all checks stands after a blank line, within LOOK bytes from `start`."""
-    at = data.find(b"\r\n\r\nWARC/1.", start, start + LOOK)
-    while at >= 0:
-        try:
-            if parse(data, at + 4, True):
-                return True
-        except Damaged:
-            pass
-        at = data.find(b"\r\n\r\nWARC/1.", at + 4, start + LOOK)
-    return False
+class _Member:
+    """The gzip member at the window's start: its records that pass all checks, as they come out of the inflater.
 
+    After a failed check the search goes on at the next version line; `lost` counts the bytes of content between, `why` says what
+    failed first. `broken` says why the member itself is damaged. Raw bytes are dropped once a record behind them has passed
+    its checks: the search after a fault starts from there, or from the member's start if it gave none. Content is held up to the
+    end of one record; one that states too great a length holds what is left of its member.
+    """
 
-def _inflate(window: _Window) -> tuple[bytes, int | None, str]:
-    """The content of the gzip member at the window's start, how many bytes the member takes, and why it is damaged: then
-    the size is not known, and the content is what came out before."""
-    engine, out, at = zlib.decompressobj(31), [], 0
-    while True:
-        try:
-            out.append(engine.decompress(window.data[at:]))
-        except zlib.error as e:
-            # byte by byte up to the fault, for what the failed call had decoded
-            engine, out = zlib.decompressobj(31), []
-            for lo in range(0, len(window.data), 256):
+    def __init__(self, window: _Window):
+        self.window, self.start, self.engine = window, window.base, zlib.decompressobj(31)
+        self.content, self.need, self.found, self.lost = bytearray(), 0, 0, 0
+        self.why, self.broken, self.size = "", "", 0
+
+    def _parsed(self, final: bool) -> Iterator[tuple[dict, bytes]]:
+        at = self.need = 0
+        while at < len(self.content):
+            try:
+                got = parse(self.content, at, final)
+            except Damaged as e:
+                self.why = self.why or str(e)
+                begin = self.content.find(b"WARC/1.", at + 1)
+                if begin < 0:
+                    begin = len(self.content) if final else max(at + 1, len(self.content) - len(b"WARC/1"))
+                self.lost, at = self.lost + begin - at, begin
+                continue
+            if isinstance(got, int):
+                self.need = got - at
+                break
+            self.found, at = self.found + 1, got[2]
+            yield got[:2]
+        del self.content[:at]
+
+    def records(self) -> Iterator[tuple[dict, bytes]]:
+        fed, over = 0, False
+        while not self.engine.eof and not over:
+            piece = bytes(self.window.data[fed : fed + CHUNK])
+            if not piece:
+                if self.window.more():
+                    continue
+                over = True
+            before, rest = self.found, piece
+            while rest or over:
+                saved = self.engine.copy()
                 try:
-                    out.append(engine.decompress(window.data[lo : lo + 256]))
-                except zlib.error:
+                    self.content += self.engine.flush() if over else self.engine.decompress(rest, BLOCK)
+                except zlib.error as e:
+                    self.broken = str(e)
+                    self.content += _up_to_fault(saved, rest)
+                rest = self.engine.unconsumed_tail
+                done = over or self.engine.eof or bool(self.broken)
+                if done or len(self.content) >= self.need:
+                    yield from self._parsed(done)
+                if done:
                     break
-            return b"".join(out), None, str(e)
-        at = len(window.data)
-        if engine.eof:
-            return b"".join(out), at - len(engine.unused_data), ""
-        if not window.more():
-            return b"".join(out), None, "cut short"
-
-
-def _within(content: bytes) -> tuple[list[tuple[dict, bytes]], int, str]:
-    """The records of a member's content that pass all checks: after a failed one the search goes on at the next version line.
-    Also how many bytes of it are lost, and why first."""
-    found, at, lost, why = [], 0, 0, ""
-    while at < len(content):
+            if self.broken:
+                return
+            if self.found > before:
+                self.window.drop(fed)
+                fed = 0
+            fed += len(piece)
+        self.size = fed - len(self.engine.unused_data)
+        self.broken = "" if self.engine.eof else "cut short"
+
+
+def _up_to_fault(engine, data: bytes) -> bytes:
+    """What comes out of `data` before the fault that is known to be in it."""
+    out = []
+    for lo in range(0, len(data), 256):
         try:
-            fields, block, at = parse(content, at, True)
-            found.append((fields, block))
-        except Damaged as e:
-            why = why or str(e)
-            begin = content.find(b"WARC/1.", at + 1)
-            begin = len(content) if begin < 0 else begin
-            lost, at = lost + begin - at, begin
-    return found, lost, why
+            out.append(engine.decompress(data[lo : lo + 256]))
+        except zlib.error:
+            break
+    return b"".join(out)
 
 
 def _seek(window: _Window) -> int:
@@ -180,9 +202,14 @@ def _seek(window: _Window) -> int:
     return max(1, len(window.data) - CHUNK - len(b"WARC/1."))
 
 
-def read_records(read: Callable[[int], bytes], log: Salvage) -> Iterator[tuple[dict, bytes]]:
+def read_records(read: Callable[[int], bytes], log: Salvage, peek: Callable[[int, int], bytes] | None = None) -> Iterator[tuple[dict, bytes]]:
     """Records of an archive, compressed by members or plain. After a failed check the reader goes to the next member or
-    version line from which a record can be read, and logs the bytes between as one quarantined gap."""
+    version line from which a record can be read, and logs the bytes between as one quarantined gap.
+
+    A record that passes its checks stands, whatever its payload holds, be it records; only a failed check brings one inside it
+    forward. `peek(n, offset)` gives n bytes of a file that can be read at any place: with it a plain record whose stated end is
+    not followed by the record's closing lines fails at once. Without it the reader has to hold such a record up to that end.
+    """
     window, lost, why = _Window(read), 0, ""
 
     def close() -> None:
@@ -197,30 +224,31 @@ def read_records(read: Callable[[int], bytes], log: Salvage) -> Iterator[tuple[d
         packed = window.data.startswith(MAGIC[:2])
         try:
             if packed:
-                content, size, broken = _inflate(window)
-                found, bad, reason = _within(content)
-                if size is None:
-                    if found:  # where the member ends is for the search to find
-                        close()
-                        yield from found
-                    raise Damaged(broken)
-                if bad and not found:
-                    raise Damaged(reason)
-                if bad:
+                member = _Member(window)
+                for found in member.records():
                     close()
-                    log.gaps.append((window.base, size, f"{bad} bytes inside the member: {reason}"))
+                    yield found
+                if member.broken or (member.lost and not member.found):  # where a broken member ends is for the search to find
+                    raise Damaged(member.broken or member.why)
+                close()
+                if member.lost:
+                    log.gaps.append((member.start, window.base + member.size - member.start, f"{member.lost} bytes inside the member: {member.why}"))
+                size = member.size
             else:
-                while (got := parse(window.data, 0, window.over)) is None:
-                    window.more()
-                found, size = [got[:2]], got[2]
+                while isinstance(got := parse(window.data, 0, window.over), int):
+                    if peek and got > len(window.data) + CHUNK and peek(4, window.base + got - 4) != b"\r\n\r\n":
+                        raise Damaged("wrong length")
+                    while len(window.data) < got and window.more():
+                        pass
+                close()
+                yield got[:2]
+                size = got[2]
         except Damaged as e:
             why = why if lost else str(e)
             skip = _seek(window)
             lost += skip
             window.drop(skip)
             continue
-        close()
-        yield from found
         window.drop(size)
     close()
 
@@ -274,8 +302,10 @@ def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for path in batch.column("path").to_pylist():
             where, inner = _open(path)
             log, rows = Salvage(), []
-            with where.open_input_stream(inner, compression=None) as stream:
-                for fields, block in read_records(stream.read, log):
+            with where.open_input_file(inner) as stream:
+                end = stream.size()
+                peek = lambda n, at: stream.read_at(n, at) if at + n <= end else b""  # noqa: B023, E731
+                for fields, block in read_records(stream.read, log, peek):
                     head, _, payload = block.partition(b"\r\n\r\n")
                     digest = fields.get("warc-payload-digest", "").removeprefix("sha1:")
                     kind, page = fields.get("warc-type"), _number(fields.get("warc-record-id"))

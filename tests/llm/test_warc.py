@@ -66,12 +66,70 @@ def test_wrong_length_in_a_plain_archive_loses_one_record():
             most = max(most, self.tell())
             return super().read(n)
 
-    log = warc.Salvage()
-    first = [(f["warc-record-id"], most) for f, _ in warc.read_records(Stream(b"".join(parts)).read, log)]
+    log, whole = warc.Salvage(), b"".join(parts)
+    first = [(f["warc-record-id"], most) for f, _ in warc.read_records(Stream(whole).read, log, lambda n, at: whole[at : at + n])]
     assert [n for n, _ in first] == [f"<urn:page:{i}>" for i in range(60) if i != 1] and len(log.gaps) == 1
     assert first[1][1] < 8_000_000
 
 
+def test_a_record_stands_whatever_its_payload_holds():
+    inner = warc.record(7, "in", b"i" * 1000, warc.sha1_32(b"i" * 1000))
+    for size in (1000, 3_000_000, 6_000_000):
+        payload = inner + b"x" * size + inner
+        parts = [warc.record(i, "u", p, warc.sha1_32(p)) for i, p in ((1, payload), (2, b"two"))]
+        for data in (b"".join(parts), warc.member(b"".join(parts))):
+            for peek in (None, lambda n, at: data[at : at + n]):  # noqa: B023
+                log = warc.Salvage()
+                got = [(f["warc-record-id"], len(b)) for f, b in warc.read_records(io.BytesIO(data).read, log, peek)]
+                assert [n for n, _ in got] == ["<urn:page:1>", "<urn:page:2>"] and got[0][1] > 2000 + size and log.gaps == []
+        # where the outer one fails its check, those inside come forward
+        hurt = parts[0].replace(b"x" * 100, b"y" * 100, 1)
+        got, gaps = read(hurt + parts[1])
+        assert [n for n, _ in got] == ["<urn:page:7>", "<urn:page:7>", "<urn:page:2>"] and gaps
+
+
+def test_one_large_member_takes_memory_of_a_record():
+    import tracemalloc
+    import zlib
+
+    rng = random.Random(5)
+    payload = rng.randbytes(200_000)
+    packer, total = zlib.compressobj(1, zlib.DEFLATED, 31), 600
+
+    def chunks():
+        for i in range(total):
+            yield packer.compress(warc.record(i, "u", payload, warc.sha1_32(payload)))
+        yield packer.flush()
+
+    source, held = chunks(), bytearray()
+
+    def stream(n):
+        while len(held) < n and (c := next(source, None)) is not None:
+            held.extend(c)
+        out = bytes(held[:n])
+        del held[:n]
+        return out
+
+    log = warc.Salvage()
+    tracemalloc.start()
+    n = sum(1 for _ in warc.read_records(stream, log))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == total and log.gaps == [] and most < 10_000_000
+
+
+def test_a_cut_member_does_not_hide_the_next():
+    rng = random.Random(6)
+    payload = [rng.randbytes(rng.choice([10, 3000, 150_000])) for _ in range(40)]
+    parts = [warc.record(i, "u", p, warc.sha1_32(p)) for i, p in enumerate(payload)]
+    first, second = warc.member(b"".join(parts[:20])), warc.member(b"".join(parts[20:]))
+    for cut in [1, 9, *(rng.randrange(len(first)) for _ in range(25))]:
+        got, gaps = read(first[:cut] + second)
+        names = [n for n, _ in got]
+        assert names[-20:] == [f"<urn:page:{i}>" for i in range(20, 40)] and gaps
+        assert names[:-20] == [f"<urn:page:{i}>" for i in range(len(names) - 20)]
+
+
 def test_round_trip(spark):
     pages = [(1, "http://a", "<p>x</p>"), (2, None, "<p>x</p>"), (3, "u\nv", None), (0, "z", ""), (5, "é", "é" * 50_000), (5, "é", "é" * 50_000), (6, "é", "é" * 50_000), (None, "n", "<p>x</p>")]
     table = spark.createDataFrame([(*p, "y") for p in pages], "page_id long, url string, html string, record_type string")
