@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from locusweave.schema import O_REVISION, S_REVISION, TOTAL
+from locusweave.sources.store import stored
 
 #: Base pairs of a stretch that one task sorts.
 STRETCH = 1 << 22
@@ -20,7 +21,8 @@ def interval_union(df: DataFrame, keys: Sequence[str], stretch: int = STRETCH) -
     `strand` is the first interval's. Rows with a null key or coordinate are left out. No task sees a whole key: intervals are
     merged within the stretch where they start. Of the islands of a stretch only the last can reach into later ones, so a table
     with one row per key and stretch tells what comes in from before: how far it reaches and where it began. Islands that it
-    touches join it. Rows are read once and shuffled once; then only islands move.
+    touches join it. Rows are read once, shuffled once and sorted once, as the islands of stretches are stored in the shared
+    folder; then only these move.
     """
     at = [*keys, "__stretch"]
     rows = df.dropna(subset=[*keys, "start", "stop"]).select(*keys, "start", "stop", "strand")
@@ -31,7 +33,7 @@ def interval_union(df: DataFrame, keys: Sequence[str], stretch: int = STRETCH) -
     island = F.max("__begin").over(W.partitionBy(*at).orderBy("start").rangeBetween(W.unboundedPreceding, 0))
     marked = rows.withColumn("__before", before).withColumn("__begin", begin).withColumn("__island", island)
     local = marked.groupBy(*at, "__island").agg(*_merged("start", "stop", F.struct("start", "stop", "strand")))
-    return _joined(local.drop("__island"), keys).select(*keys, "start", "stop", F.col("first.strand").alias("strand"), (F.col("stop") - F.col("start") + 1).alias("length"))
+    return _joined(stored(local.drop("__island"), "islands"), keys).select(*keys, "start", "stop", F.col("first.strand").alias("strand"), (F.col("stop") - F.col("start") + 1).alias("length"))
 
 
 def stretch_number(column: str, size: int) -> Column:
