@@ -36,7 +36,8 @@ def overlap_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_en
     ordered = lambda df, lo, hi: df.dropna(subset=[*keys, lo, hi]).where(F.col(hi) >= F.col(lo))
     x = ordered(left, a, b).withColumn("__own_l", _level(a, b, smallest))
     y = ordered(right, c, d).withColumn("__own_r", _level(c, d, smallest))
-    has = [sorted(r[0] for r in s.select(n).distinct().collect()) for s, n in ((x, "__own_l"), (y, "__own_r"))]  # LEVELS + 1 numbers at most
+    seen = x.select(F.lit(0), "__own_l").union(y.select(F.lit(1), "__own_r")).distinct().collect()  # LEVELS + 1 numbers a side at most
+    has = [sorted(level for side, level in seen if side == s) for s in (0, 1)]
     levels = F.array(*(F.lit(k) for k in sorted({*has[0], *has[1]}))).cast("array<int>")
     # a row stands at its own level and at the higher levels that rows of the other side have as their own
     at = lambda own, other: F.explode(F.filter(levels, lambda k: (k == F.col(own)) | ((k > F.col(own)) & F.array_contains(F.array(*map(F.lit, other)).cast("array<int>"), k))))
