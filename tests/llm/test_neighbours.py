@@ -33,6 +33,17 @@ def test_exact_with_odd_vectors(spark, monkeypatch):
     assert sorted(tuple(r) for r in got) == brute(rows)
 
 
+def test_many_blocks_of_bounded_bytes(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK_BYTES", 1000)
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(0, 1, 8 if i % 3 else 24).tolist()) for i in range(700)]
+    table = spark.createDataFrame([(*r, 1) for r in rows], SCHEMA)
+    got = neighbours.nearest(table, table.where("vec_id % 100 = 0"))
+    assert sorted(tuple(r) for r in got.collect()) == brute(rows)
+    # candidates are dealt once: only the queries are spread over blocks
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Generate explode") == 1
+
+
 def test_few_and_none(spark):
     table = spark.createDataFrame([(0, [1.0, 0.0], 1), (3, [0.0, 1.0], 1)], SCHEMA)
     assert [tuple(r) for r in neighbours.nearest(table, table.where("vec_id = 0")).collect()] == [(0, 1, 3, math.sqrt(2))]
