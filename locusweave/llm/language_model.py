@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,6 +29,8 @@ LEAST_LANES, LANES, STEPS, ONE_OF, TABLE_RATE, RATE, CLIP, LARGEST = 32, 512, 16
 SHARD_TOKENS, SHARDS, SHARD_LEAST = 4_000_000, 8, 250_000
 #: Scoring: lanes, and steps whose softmax is taken at once.
 WIDE, WINDOW = 256, 64
+#: Rows whose softmax is taken at once, so that it stays in a core's cache.
+ROWS_AT_ONCE = 1024
 #: Rows of a batch that are worked on at once, which bounds a worker's memory.
 ROWS = 2500
 #: Models that one task averages.
@@ -35,7 +38,7 @@ FAN_IN = 16
 SEED = 90
 FIRST = np.cumsum([0, *(words for classes, words in BANDS for _ in range(classes))])  # where each class begins
 CLASSES, VOCABULARY = len(FIRST) - 1, int(FIRST[-1])
-CLASS_OF = np.repeat(np.arange(CLASSES), np.diff(FIRST))
+CLASS_OF = np.repeat(np.arange(CLASSES), np.diff(FIRST)).astype(np.int16)
 
 
 def portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,13 +124,11 @@ SHAPES = {
     "input": (EMBED, 3 * HIDDEN),
     "state": (HIDDEN, 3 * HIDDEN),
     "bias": (3 * HIDDEN,),
-    "class": (HIDDEN, CLASSES),
-    "class_bias": (CLASSES,),
-    "word": (VOCABULARY, HIDDEN),
-    "word_bias": (VOCABULARY,),
+    "class": (CLASSES, HIDDEN + 1),  # the last column is the bias
+    "word": (VOCABULARY, HIDDEN + 1),
 }
 #: Tables of which an update touches some rows only.
-TABLES = ("embed", "word", "word_bias")
+TABLES = ("embed", "word")
 Weights = dict[str, np.ndarray]
 
 
@@ -146,8 +147,8 @@ def start(unigram: np.ndarray) -> Weights:
         w[k] = rng.normal(0, SHAPES[k][1] ** -0.5 if k == "state" else EMBED**-0.5 if k == "input" else 0.5, SHAPES[k]).astype(np.float32)
     p = np.maximum(np.sort(unigram)[::-1], 1e-12)
     total = np.add.reduceat(p, FIRST[:-1])
-    w["class_bias"] = np.log(total).astype(np.float32)
-    w["word_bias"] = np.log(p / total[CLASS_OF]).astype(np.float32)
+    w["class"][:, -1] = np.log(total)
+    w["word"][:, -1] = np.log(p / total[CLASS_OF])
     return w
 
 
@@ -178,45 +179,47 @@ def step(w: Weights, x: np.ndarray, h: np.ndarray):
     return n + z * (h - n), (r, z, n, inner)
 
 
-def _exponentials(x: np.ndarray) -> np.ndarray:
-    """Turns logits into their exponentials; weights are held within LARGEST, so that none overflows. Returns the row sums."""
+def _softmax(h: np.ndarray, w: np.ndarray, at: np.ndarray, back: np.ndarray | None = None, grad: np.ndarray | None = None) -> np.ndarray:
+    """Natural log probability of column `at` of each row's softmax over h @ w.T; weights are held within LARGEST, so that no
+    exponential overflows. With `back` and `grad`, adds the gradients of minus the sum with respect to h and w. Sums of rows
+    are divided out on the narrow side: the wide array is passed over as seldom as can be."""
+    x = h @ w.T
+    rows = np.arange(len(h))
+    own = x[rows, at]
     np.exp(x, out=x)
-    return x.sum(1)
+    total = x @ np.ones(x.shape[1], x.dtype)
+    if back is not None:
+        x[rows, at] -= total
+        share = (1 / total)[:, None]
+        grad += x.T @ (h * share)
+        back += (x @ w) * share
+    return own - np.log(total)
 
 
 def log_probability(w: Weights, h: np.ndarray, place: np.ndarray, grads: Weights | None = None) -> tuple[np.ndarray, np.ndarray | None]:
     """Natural log probability of the words at `place` after the states h: that of the class times that within the class.
-    With `grads`, adds the gradients of minus the sum and returns the one with respect to h."""
-    kind, rows = CLASS_OF[place], np.arange(len(h))
-    logits = h @ w["class"] + w["class_bias"]
-    own = logits[rows, kind]
-    total = _exponentials(logits)
-    out = own - np.log(total)
-    back = None
-    if grads is not None:
-        p = logits
-        p /= total[:, None]
-        p[rows, kind] -= 1
-        grads["class"] += h.T @ p
-        grads["class_bias"] += p.sum(0)
-        back = p @ w["class"].T
+    With `grads`, adds the gradients of minus the sum and returns the one with respect to h. Rows are worked on by class."""
+    kind = CLASS_OF[place]
     order = np.argsort(kind, kind="stable")
-    ends = np.searchsorted(kind[order], np.arange(CLASSES + 1))
-    for c in np.flatnonzero(np.diff(ends)):
-        some, lo, hi = order[ends[c] : ends[c + 1]], FIRST[c], FIRST[c + 1]
-        mine, at, inside = h[some], place[some] - lo, np.arange(ends[c + 1] - ends[c])
-        logits = mine @ w["word"][lo:hi].T + w["word_bias"][lo:hi]
-        own = logits[inside, at]
-        total = _exponentials(logits)
-        out[some] += own - np.log(total)
-        if grads is not None:
-            q = logits
-            q /= total[:, None]
-            q[inside, at] -= 1
-            grads["word"][lo:hi] += q.T @ mine
-            grads["word_bias"][lo:hi] += q.sum(0)
-            back[some] += q @ w["word"][lo:hi]
-    return out, back
+    place, kind = place[order], kind[order]
+    states = np.ones((len(h), HIDDEN + 1), h.dtype)
+    states[:, :-1] = h[order]
+    ends = np.searchsorted(kind, np.arange(CLASSES + 1)).tolist()
+    logs, back = np.empty(len(h)), np.zeros_like(states)
+
+    def add(lo: int, hi: int, key: str, words: slice, at: np.ndarray) -> np.ndarray:
+        learn = (back[lo:hi], grads[key][words]) if grads is not None else ()
+        return _softmax(states[lo:hi], w[key][words], at, *learn)
+
+    for lo in range(0, len(h), ROWS_AT_ONCE):
+        hi = min(lo + ROWS_AT_ONCE, len(h))
+        logs[lo:hi] = add(lo, hi, "class", slice(None), kind[lo:hi])
+    for c, (begin, end) in enumerate(itertools.pairwise(ends)):
+        for lo in range(begin, end, ROWS_AT_ONCE):
+            hi = min(lo + ROWS_AT_ONCE, end)
+            logs[lo:hi] += add(lo, hi, "word", slice(FIRST[c], FIRST[c + 1]), place[lo:hi] - FIRST[c])
+    turn = np.argsort(order, kind="stable")
+    return logs[turn], back[turn, :-1] if grads is not None else None
 
 
 class Trainer:
@@ -250,7 +253,7 @@ class Trainer:
             w[k] -= RATE * (m / (1 - 0.9**self.t)) / (np.sqrt(v / (1 - 0.999**self.t)) + 1e-7)
             g[k][:] = 0
         for k in ("word", "class"):
-            np.clip(w[k], -LARGEST, LARGEST, out=w[k])
+            np.clip(w[k][:, :-1], -LARGEST, LARGEST, out=w[k][:, :-1])
 
     def train(self, docs: list[np.ndarray], place: np.ndarray) -> None:
         """Backpropagation truncated at STEPS steps: the documents, each with its end, form one stream that is cut into up to

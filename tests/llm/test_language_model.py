@@ -76,7 +76,7 @@ def test_probabilities_add_up_and_gradients_are_right():
     g = {k: np.zeros_like(x) for k, x in w.items()}
     _, back = lm.log_probability(w, states, place, g)
     loss = lambda: -lm.log_probability(w, states, place)[0].sum()
-    for name, at in (("class", (2, 1)), ("class_bias", (0,)), ("word", (41, 8)), ("word_bias", (999,))):
+    for name, at in (("class", (2, 1)), ("class", (0, lm.HIDDEN)), ("word", (41, 8)), ("word", (999, lm.HIDDEN))):
         old = w[name][at]
         w[name][at] = old + 1e-5
         up = loss()
