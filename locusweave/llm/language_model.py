@@ -9,6 +9,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,8 +32,8 @@ SHARD_TOKENS, SHARDS, SHARD_LEAST = 4_000_000, 8, 250_000
 WIDE, WINDOW = 256, 64
 #: Rows whose softmax is taken at once, so that it stays in a core's cache.
 ROWS_AT_ONCE = 1024
-#: Rows of a batch that are worked on at once, which bounds a worker's memory.
-ROWS = 2500
+#: Rows, and bytes or characters of text, that are worked on at once, which bounds a worker's memory; one longer text stands alone.
+ROWS, SIZE = 2500, 1 << 24
 #: Models that one task averages.
 FAN_IN = 16
 SEED = 90
@@ -43,8 +44,14 @@ CLASS_OF = np.repeat(np.arange(CLASSES), np.diff(FIRST)).astype(np.int16)
 
 def portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for at in range(0, batch.num_rows, ROWS):
-            yield batch.slice(at, ROWS)
+        at, size = 0, 0
+        for i, n in enumerate(pc.binary_length(batch.column("text")).to_pylist()):
+            if i > at and (i - at == ROWS or size + n > SIZE):
+                yield batch.slice(at, i - at)
+                at, size = i, 0
+            size += n
+        if at < batch.num_rows:
+            yield batch.slice(at)
 
 
 def held_out():
@@ -313,14 +320,14 @@ class Trainer:
 
 
 def _rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[str]]]:
-    """Texts of a shard, ROWS at a time, wherever batches end: (shard, texts)."""
-    now, texts = None, []
+    """Texts of a shard, up to ROWS or SIZE at a time, wherever batches end: (shard, texts)."""
+    now, texts, size = None, [], 0
     for batch in batches:
         for shard, text in zip(batch.column("shard").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            if texts and (shard != now or len(texts) == ROWS):
+            if texts and (shard != now or len(texts) == ROWS or size + len(text) > SIZE):
                 yield now, texts
-                texts = []
-            now = shard
+                texts, size = [], 0
+            now, size = shard, size + len(text)
             texts.append(text)
     if texts:
         yield now, texts
@@ -446,7 +453,8 @@ def score_documents(docs: DataFrame) -> DataFrame:
     Counts are taken from all rows that are not held out; words are known by 64-bit hashes. The counts of frequent words, a
     bounded table, go to every task; those of the rest are joined to the rows that have them, by word. A word outside the
     model's vocabulary has the model's probability of OTHER times its share in the base distribution of all such words.
-    Null and empty texts are an end alone. Repeated rows are counted and scored each. Without training rows every word is unknown.
+    Null and empty texts are an end alone. Repeated rows are counted and scored each. Without training rows every word is unknown;
+    an empty table gives none. Texts of any length are scored whole, in memory of their ids; other columns are left out.
     """
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "held_out")
     learn = docs.where(~F.col("held_out"))

@@ -156,3 +156,16 @@ def test_scores_do_not_depend_on_partitions(spark, monkeypatch):
     docs = spark.createDataFrame([(d, t, held(d), 1) for d, t in corpus()], SCHEMA)
     one, two = (sorted((str(r["doc_id"]), r["n_tokens"], r["score"]) for r in lm.score_documents(docs.repartition(n)).collect()) for n in (2, 5))
     assert len(one) == len(two) and all(a[:2] == b[:2] and abs(a[2] - b[2]) < 1e-6 * max(1, abs(a[2])) for a, b in zip(one, two, strict=True))
+
+
+def test_portions_are_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(lm, "ROWS", 3)
+    monkeypatch.setattr(lm, "SIZE", 10)
+    texts = ["a" * n for n in (1, 2, 3, 4, 50, 1, 9, 2, 0, 0, 0, 0)]
+    batch = lm.pa.RecordBatch.from_arrays([lm.pa.array(texts), lm.pa.array([0] * 7 + [1] * 5)], ["text", "shard"])
+    parts = [p.column("text").to_pylist() for p in lm.portions([batch])]
+    assert sum(parts, []) == texts
+    assert all(len(p) == 1 or len(p) <= 3 and sum(map(len, p)) <= 10 for p in parts)
+    runs = list(lm._rows_of([batch]))
+    assert sum((p for _, p in runs), []) == texts and [k for k, _ in runs] == sorted(k for k, _ in runs)
+    assert all(len(p) == 1 or len(p) <= 3 and sum(map(len, p)) <= 10 for _, p in runs)
