@@ -128,7 +128,8 @@ def apply_rules(docs: DataFrame, rules=RULES, text: str = "text") -> DataFrame:
     """Per row: its counts, base_failed, failed_rules and kept.
 
     Null and empty texts have no words and fail the length rule. Repeated rows are judged alike, each on its own; an empty
-    table gives an empty result. Columns of the input that bear the name of a measure are replaced by the measure.
+    table gives an empty result. Texts of any length are measured whole, in memory of a few times their own. Columns of the input
+    that bear the name of a measure are replaced by the measure.
     """
     return (
         measure(docs, text)

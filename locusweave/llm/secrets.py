@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import cache
 
@@ -121,9 +122,17 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 def novel_spans(text: str, base: list[tuple[int, int, str]], novelty: float = NOVELTY) -> tuple[list[tuple[int, int, str]], float]:
     """Strings in a sensitive context that hardly compress, outside the base spans; and the largest novelty of any candidate, base ones included."""
     out, most, last = [], 0.0, -1  # last: where the latest candidate in a sensitive context ends
+    begins, ends = [], []  # of the stretches that base spans cover
+    for s, e, _ in sorted(base):
+        if ends and s <= ends[-1]:
+            ends[-1] = max(ends[-1], e)
+        else:
+            begins.append(s)
+            ends.append(e)
     for m in CANDIDATE.finditer(text):
         word = m[0]
-        inside = any(s < m.end() and m.start() < e for s, e, _ in base)
+        k = bisect_left(begins, m.end())
+        inside = k > 0 and m.start() < ends[k - 1]
         near = (
             last >= 0 and m.start() - last <= 160 and GOES_ON.fullmatch(text, last, m.start())
             or SENSITIVE.search(text, max(0, m.start() - 48), m.start())

@@ -106,3 +106,14 @@ def test_short_sensitive_words_stand_alone():
     key = "q9X7vP2mZ8kL4nR6tB1w5Y"
     for text, n in ((f"the monkey {key}", 0), (f"a rapid {key}", 0), (f"author {key}", 0), (f"keyboard {key}", 0), (f"apiKey {key}", 1), (f"API_KEY {key}", 1), (f"x-auth: {key}", 1), (f"salt {key}", 1)):
         assert len(secrets.scan(text)[1]) == n, text
+
+
+def test_long_text_with_many_secrets_takes_time_in_proportion():
+    part = lambda i: f"row {i}: the password=Ab{i:06d}xYz9 and key Zq{i:05d}pLw8Vt3nRk5B is kept in auth store\n"
+    text = "".join(map(part, range(3000)))
+    base, more, _ = secrets.scan(text)
+    assert sorted(base, key=lambda x: (x[0], secrets.KINDS.index(x[2]))) == brute(text)
+    assert not any(s < e2 and s2 < e for s, e, _ in more[:50] for s2, e2, _ in base)
+    assert max(len(secrets.scan(part(i))[0]) for i in range(20)) * 3000 == len(base)
+    redacted = secrets.redact(text)
+    assert not brute(redacted) and redacted.count("[SECRET]") >= 3000
