@@ -20,6 +20,8 @@ ROWS, DIM, REACH = 16384, 32, 2
 #: Most labelled documents that the network is fitted on, those first by hash.
 MOST_LABELLED = 20_000
 HIDDEN, EPOCHS, BATCH, RATE, DECAY = 32, 60, 256, 3e-3, 1e-4
+#: Standard deviations beyond which a feature counts no further.
+OUTERMOST = 3.0
 ACCEPT = 0.7
 SEED = 20240801
 #: Words whose vectors are looked up at once.
@@ -113,6 +115,11 @@ def features(texts: list[str | None], vectors: np.ndarray, shapes: np.ndarray) -
     return out
 
 
+def within(z: np.ndarray) -> np.ndarray:
+    """Features no further out than OUTERMOST deviations: a text much longer than those labelled is not judged by its length."""
+    return np.clip(z, -OUTERMOST, OUTERMOST)
+
+
 @dataclass
 class Network:
     mean: np.ndarray
@@ -124,7 +131,7 @@ class Network:
     temperature: float = 1.0
 
     def logit(self, x: np.ndarray) -> np.ndarray:
-        h = np.maximum((x - self.mean) / self.scale @ self.w1 + self.b1, 0)
+        h = np.maximum(within((x - self.mean) / self.scale) @ self.w1 + self.b1, 0)
         return h @ self.w2 + self.b2
 
     def score(self, x: np.ndarray) -> np.ndarray:
@@ -137,7 +144,7 @@ def fit(x: np.ndarray, y: np.ndarray, seed: int = SEED) -> Network:
     order = rng.permutation(len(x))
     check, use = order[: len(x) // 10], order[len(x) // 10 :]
     mean, scale = x[use].mean(0), x[use].std(0) + 1e-3
-    z, t = (x[use] - mean) / scale, y[use].astype(float)
+    z, t = within((x[use] - mean) / scale), y[use].astype(float)
     p = [rng.normal(0, (2 / x.shape[1]) ** 0.5, (x.shape[1], HIDDEN)), np.zeros(HIDDEN), rng.normal(0, HIDDEN**-0.5, HIDDEN), np.zeros(1)]
     m, v, step = [np.zeros_like(a) for a in p], [np.zeros_like(a) for a in p], 0
     for epoch in range(EPOCHS):
@@ -208,7 +215,8 @@ def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of docs (doc_id, text, ...) with score, 0 to 1, higher where label 1 is likelier.
 
     One pass over the text for the word vectors, one for the labelled rows, one for the scores; no shuffle of texts. Null and
-    empty texts get the score of a text without words; repeated rows score alike. A column named score is replaced.
+    empty texts get the score of a text without words; repeated rows score alike; texts of any length are scored whole; an empty
+    table gives none. A column named score is replaced, others stay, whatever their names.
     """
     docs = docs.drop("score")
     vectors, net = train(docs, labels)

@@ -38,6 +38,14 @@ def test_labels_of_held_out_rows_do_not_matter(spark):
     assert score(labels) == score(changed)
 
 
+def test_long_text_is_scored_whole_and_columns_may_clash(spark):
+    docs, labels = tables(spark, 120)
+    good, bad = document(True), document(False)
+    extra = spark.createDataFrame([(9100, " ".join([bad] * 3000), 7), (9101, " ".join([good] * 20 + [bad] * 3000), 7), (9102, bad, 7)], "doc_id long, text string, quality int")
+    got = {r["doc_id"]: r["score"] for r in qc.score_quality(docs.select("doc_id", "text", qc.F.lit(5).alias("quality")).union(extra), labels).where("doc_id >= 9100").collect()}
+    assert abs(got[9100] - got[9101]) < 0.2 and max(got.values()) < 0.7
+
+
 def test_empty_tables(spark):
     docs, labels = tables(spark, 20)
     assert qc.score_quality(docs.limit(0), labels).collect() == []
