@@ -39,9 +39,20 @@ def fresh_path(spark: SparkSession, what: str) -> str:
     return f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, what: str) -> DataFrame:
-    """Writes df as a table in the shared folder and reads it back: the lineage ends there, a lost executor costs nothing."""
+#: Rows of a few longs in a file of a table whose size is known.
+ROWS_A_FILE = 20_000
+
+
+def materialise(df: DataFrame, what: str, rows: int | None = None) -> DataFrame:
+    """Writes df as a table in the shared folder and reads it back: the lineage ends there, a lost executor costs nothing.
+
+    `rows` bounds the rows of df and of what its last stage reads, all of a few numbers: a small table is then written as few
+    files, whatever the number of partitions. Each file that Hadoop creates in a local folder costs the executor a fork for
+    its permissions, in which the child counts with the executor's whole memory.
+    """
     spark = df.sparkSession
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // ROWS_A_FILE)))
     path = fresh_path(spark, what)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -364,7 +364,7 @@ class _Join:
         nodes = sets.where("key IS NOT NULL").select("key", "core", "n_shingles", F.explode("nodes").alias("node")).dropDuplicates(["node"])
         # a set that several coarse regions hold has a node in each, and these often end in the same finer region
         members = regions.join(nodes, "node").groupBy(F.col("comp").alias("region"), "key").agg(F.min("core").alias("core"), F.min("n_shingles").alias("n_shingles"))
-        return materialise(members, "members")
+        return materialise(members, "members", regions.count())
 
 
 def _tiles(members: DataFrame) -> DataFrame:
@@ -397,7 +397,7 @@ def component_keys(docs: DataFrame, words: int, num: int, den: int) -> tuple[Dat
     sets = join.sets(rows, pivots, 0)
     members = join.divide(rows, sets, pivots, common, 0, buckets(size))
     cores = [sets.where("core IS NOT NULL").select(F.col("key").alias("a"), F.col("core").alias("b"))]
-    first = materialise(sets.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "th")).alias("row")), "keys")
+    first = materialise(sets.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "th")).alias("row")), "keys", n)
 
     def texts_of(keys: DataFrame) -> DataFrame:
         """key and text of each set; a set's text is that of one row that has it, whether the row has an id or not."""

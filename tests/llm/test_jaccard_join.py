@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from locusweave.llm import jaccard_join, stages
+from locusweave.llm import common, graph, jaccard_join, stages
 from locusweave.llm.hashing import shingle_sets
 
 
@@ -202,3 +202,19 @@ def test_common_passages_do_not_join_texts(spark):
     slicer = jaccard_join.Slicer(80, 100, common)
     _, n = np.unique(np.concatenate([np.unique(slicer.cells(s)) for s in sets]), return_counts=True)
     assert (n > 1).sum() < 5
+
+
+def test_small_tables_are_few_files_whatever_the_partitions(spark, monkeypatch, tmp_path):
+    paths = []
+    monkeypatch.setattr(common, "fresh_path", lambda spark, what: paths.append(tmp_path / f"{what}-{len(paths)}") or f"file://{paths[-1]}")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        links = spark.createDataFrame([(100 * k + i, 100 * k + i + 1) for k in range(9) for i in range(30)], "a long, b long").repartition(40)
+        got = {r["node"]: r["comp"] for r in graph.components(links).collect()}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert len(got) == 9 * 31 and all(len({got[100 * k + i] for i in range(31)}) == 1 for k in range(9)) and len(set(got.values())) == 9
+    assert len(paths) > 4 and all(len(list(p.glob("*.parquet"))) == 1 for p in paths[1:])  # how many links there are is not known before the first
