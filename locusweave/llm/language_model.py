@@ -1,4 +1,4 @@
-"""Operator 9: a gated recurrent language model in numpy, with a class-factored softmax, beside a smoothed unigram base."""
+"""Operator 9: a gated recurrent language model in numpy, with a softmax factored by groups and classes, beside a smoothed unigram base."""
 
 from __future__ import annotations
 
@@ -20,7 +20,9 @@ SMOOTH = 0.1
 #: Words whose counts every task gets (12 bytes each); rarer ones are looked up by a join.
 HEAD = 500_000
 #: Words of the recurrent model, with the end and one for all others: bands of falling frequency, of (classes, words a class).
-BANDS = ((32, 32), (24, 128), (56, 512))
+BANDS = ((32, 32), (48, 64), (112, 256))
+#: Classes of a group: the softmax is one of groups, one of a group's classes and one of a class's words.
+GROUP = 16
 END, OTHER = 0, 1
 EMBED, HIDDEN = 24, 24
 #: Training: least and most lanes that run side by side, steps that gradients go back, one of so many documents in the first
@@ -28,8 +30,8 @@ EMBED, HIDDEN = 24, 24
 #: shard, and shards of a small corpus if each gets its least.
 LEAST_LANES, LANES, STEPS, ONE_OF, TABLE_RATE, RATE, CLIP, LARGEST = 32, 512, 16, 16, 0.12, 6e-3, 1.0, 2.5
 SHARD_TOKENS, SHARDS, SHARD_LEAST = 4_000_000, 8, 250_000
-#: Scoring: lanes, and steps whose softmax is taken at once.
-WIDE, WINDOW = 256, 64
+#: Scoring: lanes, steps whose ids are laid out at once, and rows whose softmax is taken together.
+WIDE, WINDOW, TOGETHER = 1024, 32, 1 << 16
 #: Rows whose softmax is taken at once, so that it stays in a core's cache.
 ROWS_AT_ONCE = 1024
 #: Rows, and bytes or characters of text, that are worked on at once, which bounds a worker's memory; one longer text stands alone.
@@ -40,12 +42,15 @@ SEED = 90
 FIRST = np.cumsum([0, *(words for classes, words in BANDS for _ in range(classes))])  # where each class begins
 CLASSES, VOCABULARY = len(FIRST) - 1, int(FIRST[-1])
 CLASS_OF = np.repeat(np.arange(CLASSES), np.diff(FIRST)).astype(np.int16)
+GROUP_FIRST = np.append(np.arange(0, CLASSES, GROUP), CLASSES)  # where each group's classes begin
+GROUPS = len(GROUP_FIRST) - 1
+ONES = np.ones(max(GROUPS, GROUP, *(words for _, words in BANDS)), np.float32)
 
 
-def portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def portions(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
     for batch in batches:
         at, size = 0, 0
-        for i, n in enumerate(pc.binary_length(batch.column("text")).to_pylist()):
+        for i, n in enumerate(pc.binary_length(batch.column(column)).to_pylist()):
             if i > at and (i - at == ROWS or size + n > SIZE):
                 yield batch.slice(at, i - at)
                 at, size = i, 0
@@ -124,6 +129,53 @@ def head_of(counts: DataFrame, ends: int) -> Head:
     return Head(words, n, ids, tokens, distinct, ends, unigram)
 
 
+# ---- ids ----------------------------------------------------------------------------------------------------------
+
+PARTS = "doc_id long, held_out boolean, place long, n_tokens long, head_known long, head_base double, other double, ids binary, tail array<struct<word:long,n:long>>"
+
+
+def ids_of(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, "<u2").astype(np.int64)
+
+
+def _encode(head: Head):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        end, log_mass = float(head.base(head.ends)), math.log10(head.mass)
+        for batch in portions(batches):
+            ids, tokens, known, base, other, tails = [], [], [], [], [], []
+            for _, run_ in slabs(batch.column("text").to_pylist()):
+                hashes, counts = word_hashes(run_)
+                model, n, found = head.find(hashes)
+                doc = np.repeat(np.arange(len(counts)), counts)
+                logs = np.where(found, head.base(n), 0.0)
+                flat, edges = model.astype("<u2").tobytes(), (2 * np.cumsum(np.append(0, counts))).tolist()
+                ids += [flat[a:b] for a, b in itertools.pairwise(edges)]
+                tokens += (counts + 1).tolist()
+                known += (np.bincount(doc, found & (n > 0), len(counts)).astype(np.int64) + (head.ends > 0)).tolist()
+                base += (np.bincount(doc, logs, len(counts)) + end).tolist()
+                # what a word of OTHER has besides the model's probability: its base probability over that of all of them
+                other += np.bincount(doc, np.where(model == OTHER, logs - log_mass, 0.0), len(counts)).tolist()
+                rare, whose = hashes[~found].view(np.int64), doc[~found]
+                order = np.lexsort((rare, whose))
+                rare, whose = rare[order], whose[order]
+                new = np.flatnonzero(np.concatenate([[True], (rare[1:] != rare[:-1]) | (whose[1:] != whose[:-1])])) if len(rare) else np.zeros(0, np.int64)
+                tails.append((np.bincount(whose[new], minlength=len(counts)), rare[new], np.diff(np.append(new, len(rare)))))
+            offsets = np.concatenate([[0], np.cumsum(np.concatenate([t[0] for t in tails]))]) if tails else np.zeros(1)
+            cat = lambda k: pa.array(np.concatenate([t[k] for t in tails]).astype(np.int64) if tails else np.zeros(0, np.int64))
+            tail = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.StructArray.from_arrays([cat(1), cat(2)], ["word", "n"]))
+            numbers = [pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(other, pa.float64()), pa.array(ids, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "held_out", "place")), *numbers, tail], [c.split()[0] for c in PARTS.split(", ")])
+
+    return run
+
+
+def encode(docs: DataFrame, head: Head) -> DataFrame:
+    """Per row of (doc_id, text, held_out) its words as the model's ids, two bytes each, what the head gives of its base, the words
+    that the head has not, and the hash of id and text by which it is dealt to a shard. Texts are read for this and not shuffled."""
+    place = F.xxhash64(F.lit(SEED), "doc_id", "text").alias("place")
+    return materialise(docs.select("doc_id", "text", "held_out", place).mapInArrow(_encode(head), PARTS).withColumn("row", F.monotonically_increasing_id()), "ids")
+
+
 # ---- the network --------------------------------------------------------------------------------------------------
 
 SHAPES = {
@@ -131,7 +183,8 @@ SHAPES = {
     "input": (EMBED, 3 * HIDDEN),
     "state": (HIDDEN, 3 * HIDDEN),
     "bias": (3 * HIDDEN,),
-    "class": (CLASSES, HIDDEN + 1),  # the last column is the bias
+    "group": (GROUPS, HIDDEN + 1),  # the last column is the bias, here and below
+    "class": (CLASSES, HIDDEN + 1),
     "word": (VOCABULARY, HIDDEN + 1),
 }
 #: Tables of which an update touches some rows only.
@@ -154,7 +207,9 @@ def start(unigram: np.ndarray) -> Weights:
         w[k] = rng.normal(0, SHAPES[k][1] ** -0.5 if k == "state" else EMBED**-0.5 if k == "input" else 0.5, SHAPES[k]).astype(np.float32)
     p = np.maximum(np.sort(unigram)[::-1], 1e-12)
     total = np.add.reduceat(p, FIRST[:-1])
-    w["class"][:, -1] = np.log(total)
+    groups = np.add.reduceat(total, GROUP_FIRST[:-1])
+    w["group"][:, -1] = np.log(groups)
+    w["class"][:, -1] = np.log(total / groups[np.arange(CLASSES) // GROUP])
     w["word"][:, -1] = np.log(p / total[CLASS_OF])
     return w
 
@@ -172,18 +227,23 @@ def unpack_weights(data: bytes) -> Weights:
     return out
 
 
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
-
-
 def step(w: Weights, x: np.ndarray, h: np.ndarray):
-    """One step of the gated unit: x are embedded words times the input matrix, with the bias."""
-    gate = h @ w["state"]
-    rz = sigmoid(x[:, : 2 * HIDDEN] + gate[:, : 2 * HIDDEN])
-    r, z = rz[:, :HIDDEN], rz[:, HIDDEN:]
-    inner = gate[:, 2 * HIDDEN :]
-    n = np.tanh(x[:, 2 * HIDDEN :] + r * inner)
-    return n + z * (h - n), (r, z, n, inner)
+    """One step of the gated unit: x are embedded words times the input matrix, with the bias. Rows are lanes, stored column
+    after column, so that gates are stretches of memory."""
+    gate = (w["state"].T @ h.T).T
+    rz = x[:, : 2 * HIDDEN] + gate[:, : 2 * HIDDEN]
+    rz *= 0.5
+    np.tanh(rz, out=rz)
+    rz *= 0.5
+    rz += 0.5
+    r, z, inner = rz[:, :HIDDEN], rz[:, HIDDEN:], gate[:, 2 * HIDDEN :]
+    n = r * inner
+    n += x[:, 2 * HIDDEN :]
+    np.tanh(n, out=n)
+    new = h - n
+    new *= z
+    new += n
+    return new, (r, z, n, inner)
 
 
 def _softmax(h: np.ndarray, w: np.ndarray, at: np.ndarray, back: np.ndarray | None = None, grad: np.ndarray | None = None) -> np.ndarray:
@@ -191,12 +251,13 @@ def _softmax(h: np.ndarray, w: np.ndarray, at: np.ndarray, back: np.ndarray | No
     exponential overflows. With `back` and `grad`, adds the gradients of minus the sum with respect to h and w. Sums of rows
     are divided out on the narrow side: the wide array is passed over as seldom as can be."""
     x = h @ w.T
-    rows = np.arange(len(h))
-    own = x[rows, at]
+    cells = x.ravel()
+    at = at + np.arange(0, x.size, x.shape[1])
+    own = cells[at]
     np.exp(x, out=x)
-    total = x @ np.ones(x.shape[1], x.dtype)
+    total = x @ ONES[: x.shape[1]].astype(x.dtype, copy=False)
     if back is not None:
-        x[rows, at] -= total
+        cells[at] -= total
         share = (1 / total)[:, None]
         grad += x.T @ (h * share)
         back += (x @ w) * share
@@ -204,28 +265,32 @@ def _softmax(h: np.ndarray, w: np.ndarray, at: np.ndarray, back: np.ndarray | No
 
 
 def log_probability(w: Weights, h: np.ndarray, place: np.ndarray, grads: Weights | None = None) -> tuple[np.ndarray, np.ndarray | None]:
-    """Natural log probability of the words at `place` after the states h: that of the class times that within the class.
-    With `grads`, adds the gradients of minus the sum and returns the one with respect to h. Rows are worked on by class."""
+    """Natural log probability of the words at `place` after the states h: that of the group, of the class within the group and
+    of the word within the class. With `grads`, adds the gradients of minus the sum and returns the one with respect to h.
+    Rows are worked on by class."""
     kind = CLASS_OF[place]
     order = np.argsort(kind, kind="stable")
     place, kind = place[order], kind[order]
     states = np.ones((len(h), HIDDEN + 1), h.dtype)
     states[:, :-1] = h[order]
     ends = np.searchsorted(kind, np.arange(CLASSES + 1)).tolist()
-    logs, back = np.empty(len(h)), np.zeros_like(states)
+    logs, back = np.zeros(len(h)), np.zeros_like(states)
 
     def add(lo: int, hi: int, key: str, words: slice, at: np.ndarray) -> np.ndarray:
         learn = (back[lo:hi], grads[key][words]) if grads is not None else ()
         return _softmax(states[lo:hi], w[key][words], at, *learn)
 
-    for lo in range(0, len(h), ROWS_AT_ONCE):
-        hi = min(lo + ROWS_AT_ONCE, len(h))
-        logs[lo:hi] = add(lo, hi, "class", slice(None), kind[lo:hi])
-    for c, (begin, end) in enumerate(itertools.pairwise(ends)):
-        for lo in range(begin, end, ROWS_AT_ONCE):
-            hi = min(lo + ROWS_AT_ONCE, end)
-            logs[lo:hi] += add(lo, hi, "word", slice(FIRST[c], FIRST[c + 1]), place[lo:hi] - FIRST[c])
-    turn = np.argsort(order, kind="stable")
+    def each(key: str, own: np.ndarray, edges: list[int], first: np.ndarray) -> None:
+        for k, (begin, end) in enumerate(itertools.pairwise(edges)):
+            for lo in range(begin, end, ROWS_AT_ONCE):
+                hi = min(lo + ROWS_AT_ONCE, end)
+                logs[lo:hi] += add(lo, hi, key, slice(first[k], first[k + 1]), own[lo:hi] - first[k])
+
+    each("group", kind // GROUP, [0, len(h)], np.array([0, GROUPS]))
+    each("class", kind, [ends[c] for c in GROUP_FIRST], GROUP_FIRST)
+    each("word", place, ends, FIRST)
+    turn = np.empty_like(order)
+    turn[order] = np.arange(len(order))
     return logs[turn], back[turn, :-1] if grads is not None else None
 
 
@@ -259,7 +324,7 @@ class Trainer:
             v += 0.001 * (x * x - v)
             w[k] -= RATE * (m / (1 - 0.9**self.t)) / (np.sqrt(v / (1 - 0.999**self.t)) + 1e-7)
             g[k][:] = 0
-        for k in ("word", "class"):
+        for k in ("word", "class", "group"):
             np.clip(w[k][:, :-1], -LARGEST, LARGEST, out=w[k][:, :-1])
 
     def train(self, docs: list[np.ndarray], place: np.ndarray) -> None:
@@ -275,7 +340,7 @@ class Trainer:
         order = np.argsort(-sizes, kind="stable")
         begin, sizes = bounds[:-1][order], sizes[order]
         before = np.concatenate([[END], stream[:-1]])
-        h = np.zeros((lanes, HIDDEN), np.float32)
+        h = np.zeros((lanes, HIDDEN), np.float32, "F")
         for lo in range(0, int(sizes[0]), STEPS):
             width = min(STEPS, int(sizes[0]) - lo)
             live = [int(np.count_nonzero(sizes > lo + k)) for k in range(width)]
@@ -283,7 +348,7 @@ class Trainer:
             flat = np.concatenate(at)
             ids, want = before[flat], place[stream[flat]]
             embedded = w["embed"][ids]
-            x = embedded @ w["input"] + w["bias"]
+            x = (w["input"].T @ embedded.T + w["bias"][:, None]).T
             edge = np.cumsum([0, *live])
             kept, states, after = [], [], []
             for k, n in enumerate(live):
@@ -292,8 +357,9 @@ class Trainer:
                 kept.append(inner)
                 after.append(new)
                 h = new
-            _, back = log_probability(w, np.concatenate(after), want, self.grads)
-            dx, later, g = np.empty_like(x), np.zeros((live[-1], HIDDEN), np.float32), self.grads
+            _, back = log_probability(w, np.ascontiguousarray(np.concatenate(after)), want, self.grads)
+            back = np.asfortranarray(back)
+            dx, later, g = np.empty_like(x, order="F"), np.zeros((live[-1], HIDDEN), np.float32, "F"), self.grads
             dgates = []
             for k in range(width - 1, -1, -1):
                 (r, z, n, inner), prev = kept[k], states[k]
@@ -304,10 +370,11 @@ class Trainer:
                 part[:, HIDDEN : 2 * HIDDEN] = dh * (prev - n) * z * (1 - z)
                 part[:, :HIDDEN] = dn * inner * r * (1 - r)
                 part[:, 2 * HIDDEN :] = dn
-                dgate = part.copy()
+                dgate = part.copy("F")
                 dgate[:, 2 * HIDDEN :] *= r
                 dgates.append(dgate)
-                later = dh * z + dgate @ w["state"].T
+                later = dh * z
+                later += (w["state"] @ dgate.T).T
             g["state"] += np.concatenate(states).T @ np.concatenate(dgates[::-1])
             g["bias"] += dx.sum(0)
             g["input"] += embedded.T @ dx
@@ -319,11 +386,11 @@ class Trainer:
             self.seen += len(ids)
 
 
-def _rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[str]]]:
-    """Texts of a shard, up to ROWS or SIZE at a time, wherever batches end: (shard, texts)."""
+def _rows_of(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[int, list]]:
+    """Texts (or ids) of a shard, up to ROWS or SIZE at a time, wherever batches end: (shard, texts)."""
     now, texts, size = None, [], 0
     for batch in batches:
-        for shard, text in zip(batch.column("shard").to_pylist(), batch.column("text").to_pylist(), strict=True):
+        for shard, text in zip(batch.column("shard").to_pylist(), batch.column(column).to_pylist(), strict=True):
             if texts and (shard != now or len(texts) == ROWS or size + len(text) > SIZE):
                 yield now, texts
                 texts, size = [], 0
@@ -337,16 +404,12 @@ def _train(head: Head, data: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, trainer, now = place_of(head.unigram), None, None
         done = lambda: pa.RecordBatch.from_arrays([pa.array([now], pa.int64()), pa.array([trainer.seen], pa.int64()), pa.array([pack_weights(trainer.w)], pa.binary())], ["shard", "tokens", "weights"])
-        for shard, texts in _rows_of(batches):
+        for shard, rows in _rows_of(batches, "ids"):
             if shard != now:
                 if trainer is not None:
                     yield done()
                 trainer, now = Trainer(unpack_weights(data)), shard
-            docs = []
-            for _, run_ in slabs(texts):
-                hashes, counts = word_hashes(run_)
-                docs += np.split(head.find(hashes)[0].astype(np.int64), np.cumsum(counts)[:-1])
-            trainer.train(docs, place)
+            trainer.train([ids_of(x) for x in rows], place)
         if trainer is not None:
             yield done()
 
@@ -361,16 +424,20 @@ def _average(t: pa.Table) -> pa.Table:
 
 
 def fit(docs: DataFrame, head: Head) -> Weights:
-    """Rows are dealt to shards by hash of id and text, and sorted within; a shard trains by itself, first on a share of its rows,
+    """The network, from rows of (doc_id, text)."""
+    return fit_ids(encode(docs.withColumn("held_out", F.lit(False)), head), head)
+
+
+def fit_ids(docs: DataFrame, head: Head) -> Weights:
+    """Rows are dealt to shards by their place, and sorted within; a shard trains by itself, first on a share of its rows,
     then, from the average of all shards, on all others, so that each row is used once. Weights are averaged by trained
     tokens, neighbouring shards first. Neither partitions nor batches of the input change the outcome."""
     data = pack_weights(start(head.unigram))
     shards = max(math.ceil(head.tokens / SHARD_TOKENS), min(SHARDS, head.tokens // SHARD_LEAST), 1)
-    place = F.xxhash64(F.lit(SEED), "doc_id", "text")
-    first = F.pmod(place, F.lit(ONE_OF)) == 0
+    first = F.pmod("place", F.lit(ONE_OF)) == 0
     for part in (first, ~first):
-        rows = docs.where(part).select(F.pmod(F.shiftright(place, 8), F.lit(shards)).alias("shard"), place.alias("place"), "doc_id", "text")
-        share = rows.repartition("shard").sortWithinPartitions("shard", "place", "doc_id", "text").select("shard", "text")
+        rows = docs.where(part).select(F.pmod(F.shiftright("place", 8), F.lit(shards)).alias("shard"), "place", "doc_id", "ids")
+        share = rows.repartition("shard").sortWithinPartitions("shard", "place", "doc_id", "ids").select("shard", "ids")
         models = materialise(share.mapInArrow(_train(head, data), "shard long, tokens long, weights binary").where("tokens > 0"), "models")
         while models.count() > FAN_IN:
             models = materialise(models.groupBy(F.floor(F.col("shard") / FAN_IN).alias("k")).applyInArrow(_average, "shard long, tokens long, weights binary"), "models")
@@ -387,62 +454,47 @@ def score_ids(w: Weights, docs: list[np.ndarray], place: np.ndarray) -> np.ndarr
     """Natural log probability of each whole document with its end. Documents of like length run side by side; states are
     carried from window to window, however long a document is."""
     out, order = np.zeros(len(docs)), np.argsort([-len(d) for d in docs], kind="stable")
-    table = w["embed"] @ w["input"] + w["bias"]
+    states, wants, who, rows = [], [], [], 0
+
+    def add_up() -> None:
+        logs, _ = log_probability(w, np.concatenate(states), place[np.concatenate(wants)])
+        out[:] += np.bincount(np.concatenate(who), logs, len(docs))
+        for x in (states, wants, who):
+            x.clear()
+
     for lo in range(0, len(order), WIDE):
         some = order[lo : lo + WIDE]
         sizes = np.array([len(docs[i]) + 1 for i in some])
-        h, total = np.zeros((len(some), HIDDEN), np.float32), np.zeros(len(some))
+        h = np.zeros((len(some), HIDDEN), np.float32, "F")
         for at in range(0, int(sizes[0]), WINDOW):
             width = min(WINDOW, int(sizes[0]) - at)
             ids = np.full((np.count_nonzero(sizes > at), width + 1), END, np.int64)
             for row in range(len(ids)):
                 part = docs[some[row]][max(0, at - 1) : at + width]
                 ids[row, int(at == 0) : int(at == 0) + len(part)] = part
-            states, wants, who = [], [], []
+            x = (w["input"].T @ w["embed"][ids[:, :-1].T.ravel()].T + w["bias"][:, None]).T
             for k in range(width):
                 live = int(np.count_nonzero(sizes > at + k))
-                h = step(w, table[ids[:live, k]], h[:live])[0]
-                states.append(h)
+                h = step(w, x[k * len(ids) : k * len(ids) + live], h[:live])[0]
+                states.append(np.ascontiguousarray(h))
                 wants.append(ids[:live, k + 1])
-                who.append(np.arange(live))
-            logs, _ = log_probability(w, np.concatenate(states), place[np.concatenate(wants)])
-            total += np.bincount(np.concatenate(who), logs.astype(np.float64), len(some))
-        out[some] = total
+                who.append(some[:live])
+                rows += live
+                if rows >= TOGETHER:
+                    add_up()
+                    rows = 0
+    if rows:
+        add_up()
     return out
 
 
-PARTS = "doc_id long, held_out boolean, n_tokens long, head_known long, head_base double, model double, tail array<struct<word:long,n:long>>"
-
-
-def _score(head: Head, data: bytes):
+def _score(unigram: np.ndarray, data: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, place = unpack_weights(data), place_of(head.unigram)
-        end, log_mass = float(head.base(head.ends)), math.log10(head.mass)
-        for batch in portions(batches):
-            ids, tokens, known, base, other, tails = [], [], [], [], [], []
-            for _, run_ in slabs(batch.column("text").to_pylist()):
-                hashes, counts = word_hashes(run_)
-                model, n, found = head.find(hashes)
-                doc = np.repeat(np.arange(len(counts)), counts)
-                logs = np.where(found, head.base(n), 0.0)
-                ids += np.split(model.astype(np.int64), np.cumsum(counts)[:-1])
-                tokens += (counts + 1).tolist()
-                known += (np.bincount(doc, found & (n > 0), len(counts)).astype(np.int64) + (head.ends > 0)).tolist()
-                base += (np.bincount(doc, logs, len(counts)) + end).tolist()
-                other += np.bincount(doc, np.where(model == OTHER, logs - log_mass, 0.0), len(counts)).tolist()
-                rare, whose = hashes[~found].view(np.int64), doc[~found]
-                order = np.lexsort((rare, whose))
-                rare, whose = rare[order], whose[order]
-                new = np.flatnonzero(np.concatenate([[True], (rare[1:] != rare[:-1]) | (whose[1:] != whose[:-1])])) if len(rare) else np.zeros(0, np.int64)
-                tails.append((np.bincount(whose[new], minlength=len(counts)), rare[new], np.diff(np.append(new, len(rare)))))
-            model = score_ids(w, ids, place) / math.log(10) + np.array(other) if ids else np.zeros(0)
-            offsets = np.concatenate([[0], np.cumsum(np.concatenate([t[0] for t in tails]))]) if tails else np.zeros(1)
-            cat = lambda k: pa.array(np.concatenate([t[k] for t in tails]).astype(np.int64) if tails else np.zeros(0, np.int64))
-            tail = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.StructArray.from_arrays([cat(1), cat(2)], ["word", "n"]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(model, pa.float64()), tail],
-                [c.split()[0] for c in PARTS.split(", ")],
-            )
+        w, place = unpack_weights(data), place_of(unigram)
+        for batch in portions(batches, "ids"):
+            model = score_ids(w, [ids_of(x) for x in batch.column("ids").to_pylist()], place) / math.log(10)
+            kept = [c for c in batch.schema.names if c != "ids"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(model, pa.float64())], [*kept, "model"])
 
     return run
 
@@ -453,32 +505,34 @@ def score_documents(docs: DataFrame) -> DataFrame:
     Counts are taken from all rows that are not held out; words are known by 64-bit hashes. The counts of frequent words, a
     bounded table, go to every task; those of the rest are joined to the rows that have them, by word. A word outside the
     model's vocabulary has the model's probability of OTHER times its share in the base distribution of all such words.
-    Null and empty texts are an end alone. Repeated rows are counted and scored each. Without training rows every word is unknown;
+    Words are looked up once: training and scoring read ids. Null and empty texts are an end alone. Repeated rows are counted and scored each. Without training rows every word is unknown;
     an empty table gives none. Texts of any length are scored whole, in memory of their ids; other columns are left out.
     """
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "held_out")
     learn = docs.where(~F.col("held_out"))
     counts = materialise(learn.select("text").mapInArrow(_count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "counts")
     head = head_of(counts, learn.count())
-    weights = pack_weights(fit(learn, head))
-    parts = materialise(docs.mapInArrow(_score(head, weights), PARTS).withColumn("row", F.monotonically_increasing_id()), "parts")
+    parts = encode(docs, head)
+    weights = pack_weights(fit_ids(parts.where(~F.col("held_out")), head))
+    kept = parts.select("row", "doc_id", "held_out", "n_tokens", "head_known", "head_base", "other", F.aggregate("tail", F.lit(0).cast("long"), lambda a, x: a + x["n"]).alias("tail_tokens"), "ids")
+    scored = kept.mapInArrow(_score(head.unigram, weights), "row long, doc_id long, held_out boolean, n_tokens long, head_known long, head_base double, other double, tail_tokens long, model double")
+    scored = materialise(scored, "scored")
     total, log_mass = head.tokens + SMOOTH * (head.distinct + 1), math.log10(head.mass)
     tail = parts.select("row", F.explode("tail").alias("t")).select("row", F.col("t.word").alias("word"), F.col("t.n").alias("times"))
     seen = F.coalesce("n", F.lit(0))
     tail = tail.join(counts, "word", "left").groupBy("row").agg(
         F.sum(F.col("times") * F.log10((seen + SMOOTH) / total)).alias("tail_base"),
         F.sum(F.when(seen > 0, F.col("times")).otherwise(0)).alias("tail_known"),
-        F.sum("times").alias("tail_tokens"),
     )
     rare = lambda c: F.coalesce(F.col(c), F.lit(0))
-    return parts.drop("tail").join(tail, "row", "left").select(
+    return scored.join(tail, "row", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("head_known") + rare("tail_known")).cast("long").alias("n_known"),
         F.lit(head.tokens).cast("long").alias("train_tokens"),
         (F.col("head_base") + rare("tail_base")).alias("base_score"),
-        (F.col("model") + rare("tail_base") - rare("tail_tokens") * log_mass).alias("score"),
+        (F.col("model") + F.col("other") + rare("tail_base") - F.col("tail_tokens") * log_mass).alias("score"),
     )
 
 

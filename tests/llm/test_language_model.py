@@ -169,3 +169,29 @@ def test_portions_are_bounded_by_bytes(monkeypatch):
     runs = list(lm._rows_of([batch]))
     assert sum((p for _, p in runs), []) == texts and [k for k, _ in runs] == sorted(k for k, _ in runs)
     assert all(len(p) == 1 or len(p) <= 3 and sum(map(len, p)) <= 10 for _, p in runs)
+
+
+def test_texts_are_looked_up_once_and_trained_from_ids(spark):
+    words = [f"w{k}" for k in range(50)]
+    hashes = np.sort(lm.word_hashes([" ".join(words).encode()])[0])
+    head = lm.Head(hashes, np.full(50, 7, np.int64), np.arange(2, 52, dtype=np.int32), 1000, 51, 3, np.full(lm.VOCABULARY, 1 / lm.VOCABULARY))
+    texts = ["w3 W4 never w3", "", None, "w9 " * 70_000, "x y x"]
+    docs = spark.createDataFrame([(i, t, i == 4) for i, t in enumerate(texts)], "doc_id long, text string, held_out boolean").repartition(3)
+    parts = {r["doc_id"]: r for r in lm.encode(docs.selectExpr("doc_id", "coalesce(text, '') AS text", "held_out"), head).collect()}
+    assert "text" not in parts[0].asDict() and len({r["row"] for r in parts.values()}) == 5
+    for i, t in enumerate(texts):
+        want = head.find(lm.word_hashes([(t or "").encode()])[0])[0]
+        assert lm.ids_of(bytes(parts[i]["ids"])).tolist() == want.tolist() and parts[i]["n_tokens"] == len(want) + 1
+        assert len(parts[i]["ids"]) == 2 * len(want)
+    assert [parts[i]["held_out"] for i in range(5)] == [False] * 4 + [True]
+    assert sorted(x["n"] for x in parts[4]["tail"]) == [1, 2] and [x["n"] for x in parts[0]["tail"]] == [1]
+
+
+def test_the_softmax_is_narrow_for_frequent_words():
+    p = 1 / np.arange(1, lm.VOCABULARY + 1)
+    p[0], width = 3.0, np.diff(lm.FIRST)[lm.CLASS_OF]
+    mean = float((p / p.sum() * width).sum())
+    levels = [len(lm.start(p / p.sum())[k]) for k in ("group", "class")]
+    assert levels == [lm.GROUPS, lm.CLASSES] and lm.GROUPS + lm.GROUP + mean < 125  # 231 with two levels
+    every = lm.log_probability({k: x.astype(np.float64) for k, x in lm.start(p / p.sum()).items()}, np.zeros((lm.VOCABULARY, lm.HIDDEN)), lm.place_of(p))[0]
+    assert np.allclose(np.exp(every), p / p.sum(), rtol=1e-4)
