@@ -65,7 +65,7 @@ def _word_hashes(texts: list[bytes], lower: bool) -> tuple[np.ndarray, np.ndarra
             power = _POWERS if lengths.max() < len(_POWERS) else _powers(int(lengths.max()))
             value = _TABLE[data]
             value[space] = 0
-            value *= power[np.minimum(where, len(power) - 1)]
+            value *= power.take(where, mode="clip")
             total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(value)])
             out = mix64(total[ends] - total[starts] + lengths.astype(np.uint64) * np.uint64(0x632BE59BD9B4E019))
     return out, counts

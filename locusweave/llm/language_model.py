@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 import itertools
 import math
 from collections.abc import Iterator
@@ -30,20 +31,25 @@ EMBED, HIDDEN = 24, 24
 #: shard, and shards of a small corpus if each gets its least.
 LEAST_LANES, LANES, STEPS, ONE_OF, TABLE_RATE, RATE, CLIP, LARGEST = 32, 512, 16, 16, 0.12, 6e-3, 1.0, 2.5
 SHARD_TOKENS, SHARDS, SHARD_LEAST = 4_000_000, 8, 250_000
-#: Scoring: lanes, steps whose ids are laid out at once, and rows whose softmax is taken together.
-WIDE, WINDOW, TOGETHER = 1024, 32, 1 << 16
-#: Rows whose softmax is taken at once, so that it stays in a core's cache.
-ROWS_AT_ONCE = 1024
+#: Scoring: most lanes, steps whose ids are laid out at once, rows whose softmax is taken together, and bytes of ids in the lanes,
+#: enough that other documents stand beside the longest ones.
+WIDE, WINDOW, TOGETHER, BESIDE = 1024, 32, 1 << 16, 1 << 24
+#: Rows whose softmax is taken at once, so that it stays in a core's cache; up to so many cells, classes of a group are one product.
+ROWS_AT_ONCE, CELLS_AT_ONCE = 1024, 1 << 17
+#: Rows of a table that are updated at once, for the same reason.
+TABLE_ROWS = 1024
 #: Rows, and bytes or characters of text, that are worked on at once, which bounds a worker's memory; one longer text stands alone.
 ROWS, SIZE = 2500, 1 << 24
-#: Models that one task averages.
-FAN_IN = 16
+#: Models that one task adds up, and the steps of one that weights are added up in: as whole numbers, in whatever order they come.
+FAN_IN, UNIT = 16, 1 << 20
 SEED = 90
 FIRST = np.cumsum([0, *(words for classes, words in BANDS for _ in range(classes))])  # where each class begins
 CLASSES, VOCABULARY = len(FIRST) - 1, int(FIRST[-1])
 CLASS_OF = np.repeat(np.arange(CLASSES), np.diff(FIRST)).astype(np.int16)
 GROUP_FIRST = np.append(np.arange(0, CLASSES, GROUP), CLASSES)  # where each group's classes begin
 GROUPS = len(GROUP_FIRST) - 1
+#: Runs of classes of a band, of equally many words, that can be worked on as one: (first class, end, words a class).
+RUNS = [(at, min(at + GROUP, end), words) for end, (classes, words) in zip(np.cumsum([c for c, _ in BANDS]).tolist(), BANDS, strict=True) for at in range(end - classes, end, GROUP)]
 ONES = np.ones(max(GROUPS, GROUP, *(words for _, words in BANDS)), np.float32)
 
 
@@ -93,13 +99,30 @@ class Head:
         """Base probability of all that the model calls OTHER."""
         return float(self.unigram[OTHER])
 
+    def __post_init__(self) -> None:
+        """Where the words of each stretch of hashes begin; stretches are so short that few hold two words."""
+        self.bits = max(1, len(self.words).bit_length() + 1)
+        self.begin = np.searchsorted(self.words, np.arange(1 << self.bits, dtype=np.uint64) << np.uint64(64 - self.bits)).astype(np.int32)
+        self.padded = np.append(self.words, np.zeros(1, np.uint64))
+
+    def index(self, hashes: np.ndarray) -> np.ndarray:
+        """Per token the number of its word, or of words in all where it is none of them."""
+        at, none = self.begin[hashes >> np.uint64(64 - self.bits)], len(self.words)
+        left = np.flatnonzero((self.padded[at] != hashes) & (at < none))
+        at[left[self.padded[at[left]] > hashes[left]]] = none
+        left = left[at[left] < none]
+        while len(left):  # the word at hand is smaller: go on to the next
+            at[left] += 1
+            left = left[(at[left] < none) & (self.padded[at[left]] != hashes[left])]
+            past = self.padded[at[left]] > hashes[left]
+            at[left[past]] = none
+            left = left[~past]
+        return at
+
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per token: its model id, its count (0 where not found), and whether it was found."""
-        if not len(self.words):
-            return np.full(len(hashes), OTHER, np.int32), np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
-        k = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-        found = self.words[k] == hashes
-        return np.where(found, self.ids[k], OTHER).astype(np.int32), np.where(found, self.counts[k], 0), found
+        k = self.index(hashes)
+        return np.append(self.ids, np.int32(OTHER))[k], np.append(self.counts, 0)[k], k < len(self.words)
 
 
 def head_of(counts: DataFrame, ends: int) -> Head:
@@ -141,20 +164,24 @@ def ids_of(data: bytes) -> np.ndarray:
 def _encode(head: Head):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end, log_mass = float(head.base(head.ends)), math.log10(head.mass)
+        # per word of the head, and last for all others: its id, its base and what follows from them
+        id_of, log_of = np.append(head.ids, OTHER).astype("<u2"), np.append(head.base(head.counts), 0.0)
+        other_of = np.where(id_of == OTHER, log_of - log_mass, 0.0)
+        known_of = np.append(head.counts > 0, False)
         for batch in portions(batches):
             ids, tokens, known, base, other, tails = [], [], [], [], [], []
             for _, run_ in slabs(batch.column("text").to_pylist()):
                 hashes, counts = word_hashes(run_)
-                model, n, found = head.find(hashes)
+                k = head.index(hashes)
+                found = k < len(head.words)
                 doc = np.repeat(np.arange(len(counts)), counts)
-                logs = np.where(found, head.base(n), 0.0)
-                flat, edges = model.astype("<u2").tobytes(), (2 * np.cumsum(np.append(0, counts))).tolist()
+                flat, edges = id_of[k].tobytes(), (2 * np.cumsum(np.append(0, counts))).tolist()
                 ids += [flat[a:b] for a, b in itertools.pairwise(edges)]
                 tokens += (counts + 1).tolist()
-                known += (np.bincount(doc, found & (n > 0), len(counts)).astype(np.int64) + (head.ends > 0)).tolist()
-                base += (np.bincount(doc, logs, len(counts)) + end).tolist()
+                known += (np.bincount(doc, known_of[k], len(counts)).astype(np.int64) + (head.ends > 0)).tolist()
+                base += (np.bincount(doc, log_of[k], len(counts)) + end).tolist()
                 # what a word of OTHER has besides the model's probability: its base probability over that of all of them
-                other += np.bincount(doc, np.where(model == OTHER, logs - log_mass, 0.0), len(counts)).tolist()
+                other += np.bincount(doc, other_of[k], len(counts)).tolist()
                 rare, whose = hashes[~found].view(np.int64), doc[~found]
                 order = np.lexsort((rare, whose))
                 rare, whose = rare[order], whose[order]
@@ -264,6 +291,28 @@ def _softmax(h: np.ndarray, w: np.ndarray, at: np.ndarray, back: np.ndarray | No
     return own - np.log(total)
 
 
+def _softmaxes(h: np.ndarray, w: np.ndarray, rows: np.ndarray, at: np.ndarray, back: np.ndarray | None = None, grad: np.ndarray | None = None) -> np.ndarray:
+    """_softmax of several classes of equally many words as one product of stacks: w is (classes, words, width), `rows` how many
+    rows of h each class has, one class after another. Shorter classes are filled up with rows of zeros, which add nothing."""
+    most = int(rows.max())
+    real = np.flatnonzero(np.arange(most) < rows[:, None])
+    stack = np.zeros((len(rows) * most, h.shape[1]), h.dtype)
+    stack[real] = h
+    x = stack.reshape(len(rows), most, -1) @ w.transpose(0, 2, 1)
+    cells = x.ravel()
+    at = at + real * x.shape[2]
+    own = cells[at]
+    np.exp(x, out=x)
+    total = x.reshape(len(stack), -1) @ ONES[: x.shape[2]].astype(x.dtype, copy=False)
+    sums = total[real]
+    if back is not None:
+        cells[at] -= sums
+        stack *= (1 / total)[:, None]
+        grad += x.transpose(0, 2, 1) @ stack.reshape(len(rows), most, -1)
+        back += (x @ w).reshape(stack.shape)[real] * (1 / sums)[:, None]
+    return own - np.log(sums)
+
+
 def log_probability(w: Weights, h: np.ndarray, place: np.ndarray, grads: Weights | None = None) -> tuple[np.ndarray, np.ndarray | None]:
     """Natural log probability of the words at `place` after the states h: that of the group, of the class within the group and
     of the word within the class. With `grads`, adds the gradients of minus the sum and returns the one with respect to h.
@@ -288,7 +337,20 @@ def log_probability(w: Weights, h: np.ndarray, place: np.ndarray, grads: Weights
 
     each("group", kind // GROUP, [0, len(h)], np.array([0, GROUPS]))
     each("class", kind, [ends[c] for c in GROUP_FIRST], GROUP_FIRST)
-    each("word", place, ends, FIRST)
+    for begin, end, words in RUNS:
+        rows = np.diff(ends[begin : end + 1])
+        few = rows <= 2 * rows.mean()
+        # classes that have like numbers of rows go together, runs of them between the others
+        edges = [begin, *(begin + np.flatnonzero(np.diff(few)) + 1).tolist(), end]
+        for a, b in itertools.pairwise(edges):
+            most = int(rows[a - begin : b - begin].max())
+            if b - a > 1 and 0 < most * (b - a) * words <= CELLS_AT_ONCE:
+                lo, hi, span = ends[a], ends[b], slice(FIRST[a], FIRST[b])
+                stack = lambda key: key[span].reshape(b - a, words, HIDDEN + 1)  # noqa: B023, E731
+                learn = (back[lo:hi], stack(grads["word"])) if grads is not None else ()
+                logs[lo:hi] += _softmaxes(states[lo:hi], stack(w["word"]), rows[a - begin : b - begin], place[lo:hi] - FIRST[kind[lo:hi]], *learn)
+            else:
+                each("word", place, ends[a : b + 1], FIRST[a : b + 1])
     turn = np.empty_like(order)
     turn[order] = np.arange(len(order))
     return logs[turn], back[turn, :-1] if grads is not None else None
@@ -308,23 +370,28 @@ class Trainer:
         norm = math.sqrt(sum(float((g[k] ** 2).sum()) for k in self.mean)) / size
         scale = np.float32((min(1.0, CLIP / norm) if norm > 0 else 1.0) / size)
         for k in TABLES:
-            rows = embedded if k == "embed" else slice(None)  # nearly all words' classes are touched
-            x = g[k][rows]
-            x *= scale
-            square = self.squares[k][rows]
-            square += x * x
-            self.squares[k][rows] = square
-            x /= np.sqrt(square)
-            x *= np.float32(TABLE_RATE)
-            w[k][rows] -= x
-            g[k][rows] = 0
+            for lo in range(0, len(embedded) if k == "embed" else VOCABULARY, TABLE_ROWS):
+                rows = embedded[lo : lo + TABLE_ROWS] if k == "embed" else slice(lo, lo + TABLE_ROWS)  # nearly all words' classes are touched
+                x, square, table = g[k][rows], self.squares[k][rows], w[k][rows]
+                x *= scale
+                square += x * x
+                x /= np.sqrt(square)
+                x *= np.float32(TABLE_RATE)
+                table -= x
+                if k == "word":  # views; the bias is not held within bounds
+                    bias = table[:, -1].copy()
+                    np.clip(table, -LARGEST, LARGEST, out=table)
+                    table[:, -1] = bias
+                else:
+                    self.squares[k][rows], w[k][rows] = square, table
+                g[k][rows] = 0
         for k, m in self.mean.items():
             x, v = g[k] * scale, self.squares[k]
             m += 0.1 * (x - m)
             v += 0.001 * (x * x - v)
             w[k] -= RATE * (m / (1 - 0.9**self.t)) / (np.sqrt(v / (1 - 0.999**self.t)) + 1e-7)
             g[k][:] = 0
-        for k in ("word", "class", "group"):
+        for k in ("class", "group"):
             np.clip(w[k][:, :-1], -LARGEST, LARGEST, out=w[k][:, :-1])
 
     def train(self, docs: list[np.ndarray], place: np.ndarray) -> None:
@@ -350,19 +417,18 @@ class Trainer:
             embedded = w["embed"][ids]
             x = (w["input"].T @ embedded.T + w["bias"][:, None]).T
             edge = np.cumsum([0, *live])
-            kept, states, after = [], [], []
+            kept, states, after = [], np.empty((len(ids), HIDDEN), np.float32, "F"), np.empty((len(ids), HIDDEN), np.float32)
             for k, n in enumerate(live):
-                states.append(h[:n])
-                new, inner = step(w, x[edge[k] : edge[k + 1]], h[:n])
+                states[edge[k] : edge[k + 1]] = h[:n]
+                h, inner = step(w, x[edge[k] : edge[k + 1]], h[:n])
                 kept.append(inner)
-                after.append(new)
-                h = new
-            _, back = log_probability(w, np.ascontiguousarray(np.concatenate(after)), want, self.grads)
+                after[edge[k] : edge[k + 1]] = h
+            _, back = log_probability(w, after, want, self.grads)
             back = np.asfortranarray(back)
             dx, later, g = np.empty_like(x, order="F"), np.zeros((live[-1], HIDDEN), np.float32, "F"), self.grads
-            dgates = []
+            dgates = np.empty_like(x, order="F")
             for k in range(width - 1, -1, -1):
-                (r, z, n, inner), prev = kept[k], states[k]
+                (r, z, n, inner), prev = kept[k], states[edge[k] : edge[k + 1]]
                 dh = back[edge[k] : edge[k + 1]]
                 dh[: len(later)] += later
                 dn = dh * (1 - z) * (1 - n * n)
@@ -370,17 +436,18 @@ class Trainer:
                 part[:, HIDDEN : 2 * HIDDEN] = dh * (prev - n) * z * (1 - z)
                 part[:, :HIDDEN] = dn * inner * r * (1 - r)
                 part[:, 2 * HIDDEN :] = dn
-                dgate = part.copy("F")
-                dgate[:, 2 * HIDDEN :] *= r
-                dgates.append(dgate)
+                dgate = dgates[edge[k] : edge[k + 1]]
+                dgate[:, : 2 * HIDDEN] = part[:, : 2 * HIDDEN]
+                np.multiply(dn, r, out=dgate[:, 2 * HIDDEN :])
                 later = dh * z
                 later += (w["state"] @ dgate.T).T
-            g["state"] += np.concatenate(states).T @ np.concatenate(dgates[::-1])
+            g["state"] += states.T @ dgates
             g["bias"] += dx.sum(0)
             g["input"] += embedded.T @ dx
-            used, where = np.unique(ids, return_inverse=True)
-            turn = np.argsort(where, kind="stable")
-            first = np.flatnonzero(np.concatenate([[True], np.diff(where[turn]) > 0]))
+            turn = np.argsort(ids.astype(np.uint16), kind="stable")
+            sorted_ids = ids[turn]
+            first = np.flatnonzero(np.concatenate([[True], np.diff(sorted_ids) > 0]))
+            used = sorted_ids[first]
             g["embed"][used] = np.add.reduceat((dx @ w["input"].T)[turn], first, axis=0)
             self.update(len(ids), used)
             self.seen += len(ids)
@@ -416,11 +483,21 @@ def _train(head: Head, data: bytes):
     return run
 
 
-def _average(t: pa.Table) -> pa.Table:
-    t = t.sort_by("shard")
-    tokens = t.column("tokens").to_numpy().astype(np.float64)
-    total = sum(np.frombuffer(x.as_py(), np.float32) * (n / tokens.sum()) for x, n in zip(t.column("weights"), tokens, strict=True))
-    return pa.table({"shard": pa.array([t.column("shard")[0].as_py() // FAN_IN], pa.int64()), "tokens": pa.array([int(tokens.sum())], pa.int64()), "weights": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
+def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row of a task's models: their weights by trained tokens, added up."""
+    tokens, sums = 0, None
+    for batch in batches:
+        for n, weights, added in zip(*(batch.column(c) for c in ("tokens", "weights", "sums")), strict=True):
+            x = np.frombuffer(added.as_buffer(), np.int64) if added.is_valid else np.rint(np.frombuffer(weights.as_buffer(), np.float32) * np.float64(UNIT)).astype(np.int64) * n.as_py()
+            tokens, sums = tokens + n.as_py(), x if sums is None else sums + x
+    if sums is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([tokens], pa.int64()), pa.array([None], pa.binary()), pa.array([sums.tobytes()], pa.binary())], ["tokens", "weights", "sums"])
+
+
+def _average(t: pa.Table) -> bytes:
+    """The mean of all models by trained tokens."""
+    got = next(_add_up(t.select(["tokens", "weights", "sums"]).to_batches()))
+    return (np.frombuffer(got.column("sums")[0].as_py(), np.int64) / (got.column("tokens")[0].as_py() * UNIT)).astype(np.float32).tobytes()
 
 
 def fit(docs: DataFrame, head: Head) -> Weights:
@@ -431,7 +508,7 @@ def fit(docs: DataFrame, head: Head) -> Weights:
 def fit_ids(docs: DataFrame, head: Head) -> Weights:
     """Rows are dealt to shards by their place, and sorted within; a shard trains by itself, first on a share of its rows,
     then, from the average of all shards, on all others, so that each row is used once. Weights are averaged by trained
-    tokens, neighbouring shards first. Neither partitions nor batches of the input change the outcome."""
+    tokens, in whole numbers, so that their order is of no matter. Neither partitions nor batches of the input change the outcome."""
     data = pack_weights(start(head.unigram))
     shards = max(math.ceil(head.tokens / SHARD_TOKENS), min(SHARDS, head.tokens // SHARD_LEAST), 1)
     first = F.pmod("place", F.lit(ONE_OF)) == 0
@@ -439,11 +516,13 @@ def fit_ids(docs: DataFrame, head: Head) -> Weights:
         rows = docs.where(part).select(F.pmod(F.shiftright("place", 8), F.lit(shards)).alias("shard"), "place", "doc_id", "ids")
         share = rows.repartition("shard").sortWithinPartitions("shard", "place", "doc_id", "ids").select("shard", "ids")
         models = materialise(share.mapInArrow(_train(head, data), "shard long, tokens long, weights binary").where("tokens > 0"), "models")
-        while models.count() > FAN_IN:
-            models = materialise(models.groupBy(F.floor(F.col("shard") / FAN_IN).alias("k")).applyInArrow(_average, "shard long, tokens long, weights binary"), "models")
+        models, n = models.select("tokens", "weights", F.lit(None).cast("binary").alias("sums")), models.count()
+        while n > FAN_IN:  # models are added up where they are read: weights are most of what training writes, and are not shuffled
+            models = materialise(models.coalesce(math.ceil(n / FAN_IN)).mapInArrow(_add_up, "tokens long, weights binary, sums binary"), "models")
+            n = models.count()
         got = models.toArrow()
         if len(got):
-            data = _average(got).column("weights")[0].as_py()
+            data = _average(got)
     return unpack_weights(data)
 
 
@@ -451,38 +530,60 @@ def fit_ids(docs: DataFrame, head: Head) -> Weights:
 
 
 def score_ids(w: Weights, docs: list[np.ndarray], place: np.ndarray) -> np.ndarray:
-    """Natural log probability of each whole document with its end. Documents of like length run side by side; states are
+    """Natural log probability of each whole document with its end. Documents stand one after another in up to WIDE lanes, of
+    which there are no more than keep busy beside the longest document; a lane's state starts anew with each document and is
     carried from window to window, however long a document is."""
-    out, order = np.zeros(len(docs)), np.argsort([-len(d) for d in docs], kind="stable")
-    states, wants, who, rows = [], [], [], 0
+    out, lengths = np.zeros(len(docs)), np.array([len(d) + 1 for d in docs], np.int64)
+    if not len(docs):
+        return out
+    lanes = int(min(WIDE, len(docs), -(-lengths.sum() // lengths.max())))
+    free, lane_of = [(0, k) for k in range(lanes)], np.zeros(len(docs), np.int64)
+    for i in np.argsort(-lengths, kind="stable").tolist():  # the longest first, each to the lane that ends first
+        size, lane_of[i] = free[0]
+        heapq.heapreplace(free, (size + int(lengths[i]), free[0][1]))
+    sizes = np.bincount(lane_of, lengths, lanes).astype(np.int64)
+    by_size = np.argsort(-sizes, kind="stable")
+    rank = np.empty_like(by_size)
+    rank[by_size] = np.arange(lanes)
+    sizes, order = sizes[by_size], np.argsort(rank[lane_of], kind="stable")
+    begin = np.cumsum(sizes) - sizes
+    stream = np.full(int(sizes.sum()), END, np.uint16)
+    starts = np.cumsum(lengths[order]) - lengths[order]
+    for i, at in zip(order.tolist(), starts.tolist(), strict=True):
+        stream[at : at + len(docs[i])] = docs[i]
+    before, new = np.concatenate([np.full(1, END, np.uint16), stream[:-1]]), np.zeros(len(stream), bool)
+    new[starts] = True
+    whose = np.repeat(order.astype(np.int32), lengths[order])
+    states, spots, rows = [], [], 0
 
     def add_up() -> None:
-        logs, _ = log_probability(w, np.concatenate(states), place[np.concatenate(wants)])
-        out[:] += np.bincount(np.concatenate(who), logs, len(docs))
-        for x in (states, wants, who):
+        at = np.concatenate(spots)
+        logs, _ = log_probability(w, np.concatenate(states), place[stream[at]])
+        out[:] += np.bincount(whose[at], logs, len(docs))
+        for x in (states, spots):
             x.clear()
 
-    for lo in range(0, len(order), WIDE):
-        some = order[lo : lo + WIDE]
-        sizes = np.array([len(docs[i]) + 1 for i in some])
-        h = np.zeros((len(some), HIDDEN), np.float32, "F")
-        for at in range(0, int(sizes[0]), WINDOW):
-            width = min(WINDOW, int(sizes[0]) - at)
-            ids = np.full((np.count_nonzero(sizes > at), width + 1), END, np.int64)
-            for row in range(len(ids)):
-                part = docs[some[row]][max(0, at - 1) : at + width]
-                ids[row, int(at == 0) : int(at == 0) + len(part)] = part
-            x = (w["input"].T @ w["embed"][ids[:, :-1].T.ravel()].T + w["bias"][:, None]).T
-            for k in range(width):
-                live = int(np.count_nonzero(sizes > at + k))
-                h = step(w, x[k * len(ids) : k * len(ids) + live], h[:live])[0]
-                states.append(np.ascontiguousarray(h))
-                wants.append(ids[:live, k + 1])
-                who.append(some[:live])
-                rows += live
-                if rows >= TOGETHER:
-                    add_up()
-                    rows = 0
+    h = np.zeros((lanes, HIDDEN), np.float32, "F")
+    for lo in range(0, int(sizes[0]), WINDOW):
+        width = min(WINDOW, int(sizes[0]) - lo)
+        live = np.count_nonzero(sizes > lo)
+        at = begin[:live] + np.arange(lo, lo + width)[:, None]  # beyond a lane's end stands what is not used
+        np.minimum(at, len(stream) - 1, out=at)
+        x = (w["input"].T @ w["embed"][before[at.ravel()]].T + w["bias"][:, None]).T
+        fresh = new[at]
+        any_fresh = fresh.any(1).tolist()
+        lives = (live - np.searchsorted(sizes[:live][::-1], np.arange(lo, lo + width), "right")).tolist()
+        for k, n in enumerate(lives):
+            h = h[:n]
+            if any_fresh[k]:
+                h[np.flatnonzero(fresh[k, :n])] = 0
+            h = step(w, x[k * live : k * live + n], h)[0]
+            states.append(h.copy("C"))
+            spots.append(at[k, :n])
+            rows += n
+            if rows >= TOGETHER:
+                add_up()
+                rows = 0
     if rows:
         add_up()
     return out
@@ -491,10 +592,25 @@ def score_ids(w: Weights, docs: list[np.ndarray], place: np.ndarray) -> np.ndarr
 def _score(unigram: np.ndarray, data: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, place = unpack_weights(data), place_of(unigram)
+
+        def scored(some: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            model = score_ids(w, [np.frombuffer(x.as_buffer(), "<u2") for b in some for x in b.column("ids")], place) / math.log(10)
+            at = 0
+            for b in some:
+                kept = [c for c in b.schema.names if c != "ids"]
+                yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(model[at : at + b.num_rows], pa.float64())], [*kept, "model"])
+                at += b.num_rows
+
+        some, size = [], 0
         for batch in portions(batches, "ids"):
-            model = score_ids(w, [ids_of(x) for x in batch.column("ids").to_pylist()], place) / math.log(10)
-            kept = [c for c in batch.schema.names if c != "ids"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(model, pa.float64())], [*kept, "model"])
+            n = pc.sum(pc.binary_length(batch.column("ids"))).as_py() or 0
+            if some and size + n > BESIDE:
+                yield from scored(some)
+                some, size = [], 0
+            some.append(batch)
+            size += n
+        if some:
+            yield from scored(some)
 
     return run
 

@@ -195,3 +195,63 @@ def test_the_softmax_is_narrow_for_frequent_words():
     assert levels == [lm.GROUPS, lm.CLASSES] and lm.GROUPS + lm.GROUP + mean < 125  # 231 with two levels
     every = lm.log_probability({k: x.astype(np.float64) for k, x in lm.start(p / p.sum()).items()}, np.zeros((lm.VOCABULARY, lm.HIDDEN)), lm.place_of(p))[0]
     assert np.allclose(np.exp(every), p / p.sum(), rtol=1e-4)
+
+
+def test_models_are_added_up_without_a_shuffle_in_any_order(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    models = [({k: rng.normal(0, 1, x).astype(np.float32) for k, x in lm.SHAPES.items()}, int(rng.integers(1, 1 << 22))) for _ in range(5)]
+    rows = [(n, lm.pack_weights(w), None) for w, n in models]
+    table = lambda rows: lm.pa.table({"tokens": [r[0] for r in rows], "weights": lm.pa.array([r[1] for r in rows], lm.pa.binary()), "sums": lm.pa.array([r[2] for r in rows], lm.pa.binary())})
+    want = sum(np.frombuffer(r[1], np.float32) * float(r[0]) for r in rows) / sum(r[0] for r in rows)
+    got = lm._average(table(rows))
+    assert np.abs(np.frombuffer(got, np.float32) - want).max() < 2e-6
+    parts = [next(lm._add_up(table(p).to_batches())) for p in (rows[3:], rows[:1], rows[1:3])]
+    assert lm._average(lm.pa.Table.from_batches(parts)) == got
+    monkeypatch.setattr(lm, "SHARD_TOKENS", 3000)
+    monkeypatch.setattr(lm, "FAN_IN", 2)
+    plans, real = [], lm.materialise
+    monkeypatch.setattr(lm, "materialise", lambda df, what: plans.append((what, df._jdf.queryExecution().toString())) or real(df, what))
+    docs = spark.createDataFrame([(i, f"a{i % 7} b c " * 40) for i in range(200)], "doc_id long, text string").repartition(2)
+    lm.fit(docs, lm.Head(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32), 200 * 121, 1, 1, np.full(lm.VOCABULARY, 1 / lm.VOCABULARY)))
+    sums = [p for what, p in plans if what == "models" and "_add_up" in p]
+    assert len(sums) >= 2 and not any("Exchange" in p for p in sums)
+
+
+def test_words_of_the_head_are_found_by_their_first_bits():
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 2, 3000):
+        every = np.unique(np.concatenate([rng.integers(0, 1 << 64, 2 * n, dtype=np.uint64), np.arange(40, dtype=np.uint64), ~np.arange(40, dtype=np.uint64)]))
+        words = np.sort(rng.permutation(every)[:n])
+        got = lm.Head(words, np.ones(n, int), np.full(n, 1, np.int32), 1, 1, 1, np.ones(1)).index(every)
+        assert np.array_equal(np.append(words, 0)[got] == every, np.isin(every, words) | (every == 0) & (got == n)) and np.array_equal(got < n, np.isin(every, words))
+
+
+def test_few_rows_of_many_classes_are_one_product(monkeypatch):
+    w, rng = weights(), np.random.default_rng(6)
+    place, h = rng.integers(0, lm.VOCABULARY, 5000), rng.normal(size=(5000, lm.HIDDEN))
+    place[:2000] = 3
+    calls, real = [], lm._softmax
+    monkeypatch.setattr(lm, "_softmax", lambda *a: calls.append(1) or real(*a))
+
+    def run():
+        g = {k: np.zeros_like(x) for k, x in w.items()}
+        return (*lm.log_probability(w, h, place, g), g)
+
+    got, calls_once = run(), len(calls)
+    monkeypatch.setattr(lm, "CELLS_AT_ONCE", 0)
+    want = run()
+    assert calls_once < 40 and len(calls) - calls_once > 200
+    assert np.allclose(got[0], want[0]) and np.allclose(got[1], want[1]) and all(np.allclose(got[2][k], want[2][k]) for k in w)
+
+
+def test_long_documents_share_their_steps(monkeypatch):
+    rng, calls, real = np.random.default_rng(9), [], lm.step
+    w = {k: x.astype(np.float32) for k, x in weights(9).items()}
+    unigram = np.arange(lm.VOCABULARY, 0, -1.0)
+    docs = [rng.integers(0, lm.VOCABULARY, n) for _ in range(4) for n in (1500, 0, 3, 200, 1)]
+    batches = [lm.pa.RecordBatch.from_arrays([lm.pa.array(range(k, k + 5)), lm.pa.array([d.astype("<u2").tobytes() for d in docs[k : k + 5]], lm.pa.binary())], ["row", "ids"]) for k in range(0, 20, 5)]
+    monkeypatch.setattr(lm, "step", lambda *a: calls.append(1) or real(*a))
+    got = [b.to_pydict() for b in lm._score(unigram, lm.pack_weights(w))(batches)]
+    assert sum((b["row"] for b in got), []) == list(range(20)) and 1501 <= len(calls) < 2000  # 6004 with each batch by itself
+    alone = [lm.score_ids(w, [d], lm.place_of(unigram))[0] / math.log(10) for d in docs]
+    assert np.allclose(sum((b["model"] for b in got), []), alone, rtol=1e-5)
