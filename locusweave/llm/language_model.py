@@ -517,9 +517,10 @@ def fit_ids(docs: DataFrame, head: Head) -> Weights:
         share = rows.repartition("shard").sortWithinPartitions("shard", "place", "doc_id", "ids").select("shard", "ids")
         models = materialise(share.mapInArrow(_train(head, data), "shard long, tokens long, weights binary").where("tokens > 0"), "models")
         models, n = models.select("tokens", "weights", F.lit(None).cast("binary").alias("sums")), models.count()
-        while n > FAN_IN:  # models are added up where they are read: weights are most of what training writes, and are not shuffled
+        most = FAN_IN
+        while n > most:  # models are added up where they are read: weights are most of what training writes, and are not shuffled
             models = materialise(models.coalesce(math.ceil(n / FAN_IN)).mapInArrow(_add_up, "tokens long, weights binary, sums binary"), "models")
-            n = models.count()
+            n, most = models.count(), max(1, FAN_IN // 2)  # a sum has twice the bytes of a model
         got = models.toArrow()
         if len(got):
             data = _average(got)
