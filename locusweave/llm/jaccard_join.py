@@ -6,10 +6,13 @@ ones, and loses no link on the way:
 1. Pivots, drawn from a bounded sample, create Voronoi regions, with an outside that lies at a constant distance from all. With d
    the least of a set's distances, the set goes to every region not further than d + 2 * (1 - t): by the triangle inequality
    one of them holds all its partners. Sets that link with a pivot itself are one component already and meet only others.
-2. Within a region, sets of like size meet in slices of the hash space, of which there are more than the D of linked sets can
-   touch: they agree in a whole slice, hence share a cell. Slices that hold little but common shingles make no cells, as
-   enough others agree (see Slicer). Sets whose cells overlap, directly or through others, form the finer regions.
-3. Finer regions over a bound are divided again by pivots drawn from them and by other slices.
+2. Within a region, sets meet in the rarest shingles that they share. How many sets hold a shingle is counted for a part of the
+   hash space; of two linked sets each lacks few of the other's, so with the rarest first both have one that they share among
+   their first few (see Counted). A set whose first few no other holds has no partner and goes no further. Sets
+   that meet, directly or through others, form the finer regions.
+3. Finer regions over a bound are divided again by pivots drawn from them and by slices of the hash space: there are more of these
+   than the D of linked sets can touch, so that they agree in a whole slice, hence share a cell. Slices that hold little but
+   common shingles make no cells, as enough others agree (see Slicer).
 4. What is left is joined exactly, in tiles of bounded size.
 """
 
@@ -39,6 +42,8 @@ SAMPLE, SAMPLE_CHARS, PIVOTS, APART = 4096, 8192, 256, 0.97
 WINDOW = 0.9
 #: Shingles of so many different sets of the sample are common; slices beyond those D can touch, as a share of these.
 COMMON, SPARE = 3, 0.5
+#: The part of the hash space whose shingles are counted, as a multiple of the share of its shingles that a set linked with another may hold alone.
+COUNTED = 2.0
 #: Rows up to which a table of three longs is broadcast (under 50 MB as a hash relation).
 SMALL = 300_000
 #: Bytes of text whose cells one bucket of the cell shuffle holds.
@@ -95,6 +100,30 @@ class Slicer:
         return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
+class Counted:
+    """The shingles by which sets meet: those of one part of the hash space, but for common ones, which are the same for all sets.
+
+    Of n shingles a linked set holds at most n * (1 - t) alone. So if it has more than these in the part, one of them is shared,
+    and in any order that is the same for all sets the first shared one stands among its first n * (1 - t) + 1. If two linked
+    sets share none in the part, both have too few there; sets that have too few meet in all their shingles as well.
+    """
+
+    def __init__(self, num: int, den: int, common: np.ndarray):
+        self.num, self.den = num, den
+        self.common = common if len(common) else np.zeros(1, np.uint64)
+        self.below = np.uint64(min((1 << 64) - 1, int(COUNTED * (den - num) / den * (1 << 64))))
+
+    def alone(self, n: int) -> int:
+        return n * (self.den - self.num) // self.den
+
+    def of(self, hashes: np.ndarray) -> list[np.ndarray]:
+        """The set's shingles in the part; if these are too few, also all."""
+        some = hashes[: np.searchsorted(hashes, self.below)]
+        at = np.minimum(np.searchsorted(self.common, some), len(self.common) - 1)
+        some = some[self.common[at] != some]
+        return [some] if len(some) > self.alone(len(hashes)) else [some, hashes]
+
+
 def set_key(hashes: np.ndarray) -> int:
     """64 bits that stand for a whole set. Two of 10**9 different sets share them with a chance of 3 in 100."""
     with np.errstate(over="ignore"):
@@ -179,10 +208,10 @@ def _sampled(texts: DataFrame, rows: int, words: int, num: int, den: int) -> tup
 
 
 def places(key: int, region: int, regions: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the regions that lie in `region` at this level, and the nodes that stand for the set in them."""
+    """Hashes of the regions that lie in `region` at this level, and the nodes that stand for the set in them; a node's last bit is 0."""
     with np.errstate(over="ignore"):
         names = mix64(np.uint64(region & (1 << 64) - 1) + (regions.astype(np.uint64) + np.uint64(1)) * np.uint64(_ODD[0]) + np.uint64(level * _ODD[1] & (1 << 64) - 1))
-        return names, mix64(np.uint64(key & (1 << 64) - 1) ^ mix64(names)).view(np.int64)
+        return names, (mix64(np.uint64(key & (1 << 64) - 1) ^ mix64(names)) & ~np.uint64(1)).view(np.int64)
 
 
 SETS = "doc_id long, th long, region long, n_shingles long, key long, core long, nodes array<long>"
@@ -253,6 +282,116 @@ def _cells(words: int, num: int, den: int, common: np.ndarray, pivots: Pivots, l
     return run
 
 
+def _by_bucket(buckets: np.ndarray, entries: np.ndarray) -> tuple[list[int], list[bytes]]:
+    """The buckets that occur, and the bytes of the entries of each."""
+    order = np.argsort(buckets, kind="stable")
+    buckets, entries = buckets[order], entries[order]
+    begin = np.flatnonzero(np.concatenate([[True], buckets[1:] != buckets[:-1]])) if len(buckets) else np.zeros(0, np.int64)
+    return buckets[begin].tolist(), [entries[a:b].tobytes() for a, b in zip(begin, np.append(begin[1:], len(buckets)), strict=True)] if len(buckets) else []
+
+
+def _rows(buckets: list[int], blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
+    if blobs:
+        yield pa.RecordBatch.from_arrays([pa.array(buckets, pa.int64()), pa.array(blobs, pa.binary())], ["bucket", "entries"])
+
+
+#: A token is a shingle in a region; of its 64 bits the upper half is its bucket. What a node holds of all its shingles is counted apart, with 1 as the
+#: node's last bit. `shift` is what its first few fall short of its tokens by.
+NODE = np.dtype([("node", "<i8"), ("shift", "<i8")])
+HELD = np.dtype([("node", "<i8"), ("token", "<u8"), ("sets", "<u4")])
+RARE = np.dtype([("cell", "<u8"), ("node", "<i8")])
+#: Buckets of tokens for one of nodes, or of tokens few enough to be dealt once more.
+WIDER = 8
+
+
+def _node_bucket(nodes: np.ndarray, buckets: int) -> np.ndarray:
+    return (mix64(nodes.view(np.uint64)) % np.uint64(max(1, buckets // WIDER))).astype(np.int64)
+
+
+def _tokens(words: int, counted: Counted, pivots: Pivots, level: int, buckets: int):
+    """Entries (token, node) by the token's bucket, and what is known of each node, under buckets less than 0."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen, tokens, owners, nodes, shifts = set(), [np.zeros(0, np.uint64)], [], [], []
+            for region, s in zip(batch.column("region").to_pylist(), shingle_sets(batch.column("text").to_pylist(), words), strict=True):
+                if not len(s) or (key := set_key(s), region) in seen:
+                    continue
+                seen.add((key, region))
+                where = list(zip(*places(key, region, pivots.regions(s)[0], level), strict=True))
+                for k, part in enumerate(counted.of(s)):
+                    for name, node in where:
+                        own = mix64(part ^ mix64(np.array([name ^ np.uint64(k)], np.uint64)))
+                        own = np.unique(((own >> np.uint64(32)) * np.uint64(buckets) & ~np.uint64(0xFFFFFFFF)) | (own & np.uint64(0xFFFFFFFF)))
+                        tokens.append(own)
+                        owners.append(len(own))
+                        nodes.append(node | k)
+                        shifts.append(len(own) - counted.alone(len(s)) - 1)
+            nodes, tokens = np.array(nodes, np.int64), np.concatenate(tokens)
+            entries = np.empty(len(tokens), ENTRY)
+            entries["cell"], entries["node"] = (tokens & np.uint64(0xFFFFFFFF)).astype(np.uint32), np.repeat(nodes, owners)
+            known = np.empty(len(nodes), NODE)
+            known["node"], known["shift"] = nodes, shifts
+            yield from _rows(*map(list.__add__, _by_bucket((tokens >> np.uint64(32)).astype(np.int64), entries), _by_bucket(-1 - _node_bucket(nodes, buckets), known)))
+
+    return run
+
+
+def _count(buckets: int):
+    """From rows sorted by bucket: the tokens that two nodes or more hold, with the number of these, by the node's bucket; what is known of nodes goes on."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (bucket,), rows in _groups(batches, ["bucket"], ["entries"]):
+            if bucket < 0:
+                yield from _rows([2 * (-1 - bucket)], [b"".join(x for (x,) in rows)])
+                continue
+            entries = np.concatenate([np.frombuffer(x, ENTRY) for (x,) in rows])
+            cells, nodes = entries["cell"], entries["node"]
+            order = np.lexsort((nodes, cells))
+            cells, nodes = cells[order], nodes[order]
+            new = np.concatenate([[True], (cells[1:] != cells[:-1]) | (nodes[1:] != nodes[:-1])])
+            cells, nodes = cells[new], nodes[new]
+            begin = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]]))
+            sets = np.diff(np.append(begin, len(cells)))
+            held = np.repeat(sets > 1, sets)
+            out = np.empty(int(held.sum()), HELD)
+            out["node"], out["token"], out["sets"] = nodes[held], np.uint64(bucket << 32) | cells[held].astype(np.uint64), np.repeat(sets, sets)[held]
+            yield from _rows(*_by_bucket(2 * _node_bucket(out["node"], buckets) + 1, out))
+
+    return run
+
+
+def _rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Entries (token, node) of the tokens among each node's first few that other nodes hold too, the rarest first, by wider buckets of tokens.
+
+    Rows come sorted by `half`, the bucket of nodes, with the two parts of a bucket one after the other: what is known of its nodes, and their tokens.
+    """
+    for _, rows in _groups(batches, ["half"], ["bucket", "entries"]):
+        known = np.concatenate([np.zeros(0, NODE), *(np.frombuffer(x, NODE) for b, x in rows if b % 2 == 0)])
+        held = np.concatenate([np.zeros(0, HELD), *(np.frombuffer(x, HELD) for b, x in rows if b % 2)])
+        if not len(held):
+            continue
+        known = known[np.argsort(known["node"])]
+        held = held[np.lexsort((held["token"], held["sets"], held["node"]))]
+        begin = np.flatnonzero(np.concatenate([[True], held["node"][1:] != held["node"][:-1]]))
+        many = np.diff(np.append(begin, len(held)))
+        # tokens that no other node holds come first
+        first = many - known["shift"][np.searchsorted(known["node"], held["node"][begin])]
+        held = held[np.arange(len(held)) - np.repeat(begin, many) < np.repeat(first, many)]
+        out = np.empty(len(held), RARE)
+        out["cell"], out["node"] = held["token"], held["node"] & ~np.int64(1)
+        yield from _rows(*_by_bucket((held["token"] >> np.uint64(32)).astype(np.int64) // WIDER, out))
+
+
+def _meet_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) of nodes that share a token, from rows sorted by bucket."""
+    for _, rows in _groups(batches, ["bucket"], ["entries"]):
+        entries = np.concatenate([np.frombuffer(x, RARE) for (x,) in rows])
+        links = _chains(entries["cell"], entries["node"])[1]
+        if len(links):
+            yield pa.RecordBatch.from_arrays([pa.array(links[:, 0].copy()), pa.array(links[:, 1].copy())], ["a", "b"])
+
+
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links (a, b) of nodes that share a cell, from rows sorted by bucket."""
     for (bucket,), rows in _groups(batches, ["bucket"], ["entries"]):
@@ -356,11 +495,20 @@ class _Join:
     def sets(self, rows: DataFrame, pivots: Pivots, level: int) -> DataFrame:
         return materialise(rows.mapInArrow(_describe(self.words, pivots, level), SETS), "sets")
 
+    def meetings(self, rows: DataFrame, pivots: Pivots, common: np.ndarray, level: int, buckets: int) -> DataFrame:
+        """Links (a, b) of nodes that connect all that share a cell or, at the first level, a rare shingle."""
+        entries, links = "bucket long, entries binary", "a long, b long"
+        if level:
+            cells = rows.mapInArrow(_cells(self.words, self.num, self.den, common, pivots, level, buckets), entries)
+            return cells.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_meet, links)
+        tokens = rows.mapInArrow(_tokens(self.words, Counted(self.num, self.den, common), pivots, level, buckets), entries)
+        held = tokens.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_count(buckets), entries).withColumn("half", F.shiftright("bucket", 1))
+        rare = held.repartition("half").sortWithinPartitions("half", "bucket").mapInArrow(_rarest, entries)
+        return rare.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_meet_in, links)
+
     def divide(self, rows: DataFrame, sets: DataFrame, pivots: Pivots, common: np.ndarray, level: int, buckets: int) -> DataFrame:
-        """The finer regions of rows (region, text): region, key, core and size of each set that shares a cell with another."""
-        cells = rows.select("region", "text").mapInArrow(_cells(self.words, self.num, self.den, common, pivots, level, buckets), "bucket long, entries binary")
-        links = cells.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_meet, "a long, b long")
-        regions = components(links)
+        """The finer regions of rows (region, text): region, key, core and size of each set that meets another."""
+        regions = components(self.meetings(rows.select("region", "text"), pivots, common, level, buckets))
         nodes = sets.where("key IS NOT NULL").select("key", "core", "n_shingles", F.explode("nodes").alias("node")).dropDuplicates(["node"])
         # a set that several coarse regions hold has a node in each, and these often end in the same finer region
         members = regions.join(nodes, "node").groupBy(F.col("comp").alias("region"), "key").agg(F.min("core").alias("core"), F.min("n_shingles").alias("n_shingles"))

@@ -218,3 +218,33 @@ def test_small_tables_are_few_files_whatever_the_partitions(spark, monkeypatch,
             spark.conf.set(k, v)
     assert len(got) == 9 * 31 and all(len({got[100 * k + i] for i in range(31)}) == 1 for k in range(9)) and len(set(got.values())) == 9
     assert len(paths) > 4 and all(len(list(p.glob("*.parquet"))) == 1 for p in paths[1:])  # how many links there are is not known before the first
+
+
+def test_passages_of_two_texts_do_not_join_all(spark):
+    passages = [[f"p{k}_{i}" for i in range(70)] for k in range(300)]
+    texts = [" ".join([f"t{d}_{i}" for i in range(180)] + passages[d] + [f"u{d}_{i}" for i in range(180)] + passages[(d + 1) % 300]) for d in range(300)]
+    join = jaccard_join._Join(5, 80, 100)
+    rows = spark.createDataFrame([(d, d, 0, t) for d, t in enumerate([*texts, texts[7] + " z"])], "doc_id long, th long, region long, text string")
+    pivots, common = jaccard_join.choose(list(shingle_sets(["some other text of a few words"], 5)), 80, 100)[0], np.zeros(0, np.uint64)
+    members = join.divide(rows, join.sets(rows, pivots, 0), pivots, common, 0, 4).collect()
+    assert len(members) == 2  # a text and its near copy; each passage stands in two texts, which lie in a ring
+
+
+@pytest.mark.parametrize("num", [80, 90])
+def test_linked_sets_meet_in_a_rare_shingle(num):
+    rng = np.random.default_rng(num)
+    weak = 0
+    for _ in range(600):
+        n = int(rng.integers(1, 300))
+        pool = np.unique(rng.integers(1, 1 << 64, 2 * n + 2, dtype=np.uint64))
+        counted = jaccard_join.Counted(num, 100, np.sort(rng.choice(pool, int(len(pool) * rng.random() * 0.7), replace=False)))
+        order = dict(zip(pool.tolist(), rng.permutation(len(pool)).tolist(), strict=True))
+        rng.shuffle(pool)
+        a = np.sort(pool[:n])
+        b = np.sort(np.concatenate([pool[int(rng.integers(0, 1 + n * (100 - num) // 100)) : n], pool[n : n + int(rng.integers(0, 1 + n * (100 - num) // 200))]]))
+        both = len(np.intersect1d(a, b))
+        if len(b) and 100 * both >= num * (len(a) + len(b) - both):
+            first = [[set(sorted(part.tolist(), key=order.get)[: counted.alone(len(s)) + 1]) for part in counted.of(s)] for s in (a, b)]
+            assert any(x & y for x, y in zip(*first, strict=False))
+            weak += len(first[0]) == len(first[1]) == 2
+    assert weak > 20
