@@ -2,7 +2,8 @@
 
 C(x) is the number of bases that intervals of a category have at or before x, an interval that lies over another counting again:
 starts at or before x give x + 1 - start each, stops before x take x - stop each back. The bases of a region [a, b] are
-C(b) - C(a - 1), whatever lies in it; so the cost follows the ends of regions and intervals, not how often these meet.
+C(b) - C(a - 1), whatever lies in it; so the cost follows the ends of regions and intervals, not how often these meet. The intervals
+that meet the region are those that start at or before b, less those that stop before a.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from locusweave.operators.union import stretch_number
+from locusweave.sources.store import stored
 
 #: Base pairs of a stretch, whose ends one task holds; and rows of regions that one task reads for a stretch before it is split.
 STRETCH, PART = 1 << 20, 50_000
@@ -43,13 +45,18 @@ def _reaching_in(ends: DataFrame, wanted: DataFrame, stretch: int) -> DataFrame:
     inside = lambda c: F.sum(F.col(c) - F.col("stretch") * F.lit(stretch))
     named = ends.select("chrom", F.explode("names").alias("name"), "stretch", "s", "e")
     sums = named.groupBy("chrom", "name", "stretch").agg(F.count("s").alias("n_s"), F.count("e").alias("n_e"), inside("s").alias("sum_s"), inside("e").alias("sum_e"))
+    return _along(sums, wanted, stretch)
+
+
+def _along(sums: DataFrame, wanted: DataFrame, stretch: int) -> DataFrame:
+    """Of the numbers and sums of ends per stretch and name: what _reaching_in gives, and as `started` the intervals that start before."""
     rows = sums.unionByName(wanted.select("chrom", "stretch"), allowMissingColumns=True)
 
     def along(table: pa.Table) -> pa.Table:
         chrom, names = table.column("chrom")[0].as_py(), np.array(table.column("name").to_pylist(), object)
         at, *sums = (table.column(c).fill_null(0).to_numpy() for c in ("stretch", "n_s", "n_e", "sum_s", "sum_e"))
         asked = names == None  # noqa: E711
-        to, out = np.unique(at[asked]), {"stretch": [], "name": [], "s": [], "e": []}
+        to, out = np.unique(at[asked]), {"stretch": [], "name": [], "s": [], "e": [], "started": []}
         with np.errstate(over="ignore"):  # sums may pass 64 bits and come back; the results do not
             for name in sorted(set(names[~asked])):
                 mine = np.flatnonzero(names == name)
@@ -62,10 +69,11 @@ def _reaching_in(ends: DataFrame, wanted: DataFrame, stretch: int) -> DataFrame:
                 out["name"] += [name] * len(to)
                 out["s"].append(n_s[k] - n_e[k])
                 out["e"].append(covered)
-        joined = {c: pa.array(np.concatenate(out[c]) if out[c] else np.zeros(0, np.int64), pa.int64()) for c in ("stretch", "s", "e")}
-        return pa.table({"chrom": pa.array([chrom] * len(out["name"]), pa.string()), "stretch": joined["stretch"], "name": pa.array(out["name"], pa.string()), "s": joined["s"], "e": joined["e"]})
+                out["started"].append(n_s[k])
+        joined = {c: pa.array(np.concatenate(out[c]) if out[c] else np.zeros(0, np.int64), pa.int64()) for c in ("stretch", "s", "e", "started")}
+        return pa.table({"chrom": pa.array([chrom] * len(out["name"]), pa.string()), "stretch": joined["stretch"], "name": pa.array(out["name"], pa.string()), **{c: joined[c] for c in ("s", "e", "started")}})
 
-    return rows.groupBy("chrom").applyInArrow(along, "chrom string, stretch bigint, name string, s bigint, e bigint")
+    return rows.groupBy("chrom").applyInArrow(along, "chrom string, stretch bigint, name string, s bigint, e bigint, started bigint")
 
 
 class _Stretch:
@@ -208,3 +216,179 @@ def region_bases(rows: DataFrame, keys: Sequence[str], regions: Sequence[tuple[s
     schema = ", ".join([*(f"`{k}` {kinds[k]}" for k in keys), "name string", "bases array<bigint>"])
     found = stream.mapInArrow(_scan(stretch, keys, len(regions)), schema)
     return found.groupBy(*keys, "name").agg(*(F.expr(f"greatest(sum(bases[{k}]), 0) AS bases_{k}") for k in range(len(regions))))
+
+
+#: Base pairs of a stretch for region_counts, as a power of two, and ends that are packed at once.
+BITS, PACKED = 18, 200_000
+
+
+def _packed(bits: int):
+    """Rows of (chrom, start, stop): per chromosome and stretch the starts and the stops in it, as sorted distances from its first base, and their sums."""
+
+    def grouped(codes: np.ndarray, at: np.ndarray) -> dict[tuple[int, int], np.ndarray]:
+        number = at >> bits
+        low = int(number.min())
+        wide, names = int(number.max()) - low + 1, None
+        if wide * (int(codes.max()) + 1) >= 1 << (62 - bits):
+            names, number = np.unique(number, return_inverse=True)
+            wide = len(names)
+        else:
+            number = number - low
+        keys = np.sort(((codes * wide + number) << bits) | (at & ((1 << bits) - 1)))
+        group, keys = keys >> bits, (keys & ((1 << bits) - 1)).astype("<i4")
+        begin = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+        of = lambda g: (g // wide, int(names[g % wide]) if names is not None else low + g % wide)
+        return {of(int(group[a])): keys[a:b] for a, b in zip(begin, np.append(begin[1:], len(group)), strict=True)}
+
+    def pack(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]], chroms: list[str]) -> pa.RecordBatch:
+        codes, starts, stops = map(np.concatenate, zip(*held, strict=True))
+        s, e = grouped(codes, starts), grouped(codes, stops)
+        places = list(s.keys() | e.keys())
+        none = np.zeros(0, "<i4")
+        columns = {"chrom": pa.array([chroms[c] for c, _ in places], pa.string()), "stretch": pa.array([k for _, k in places], pa.int64())}
+        for side, ends in (("s", s), ("e", e)):
+            ends = [ends.get(p, none) for p in places]
+            columns[f"n_{side}"] = pa.array([len(x) for x in ends], pa.int64())
+            columns[f"sum_{side}"] = pa.array([int(x.sum(dtype=np.int64)) for x in ends], pa.int64())
+            columns[side] = pa.array([x.tobytes() for x in ends], pa.binary())
+        return pa.RecordBatch.from_pydict(columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, chroms, held, size = {}, [], [], 0
+        for batch in batches:
+            names = _dictionary(batch.column("chrom"))
+            for x in names.dictionary.to_pylist():
+                if x not in number:
+                    number[x] = len(chroms)
+                    chroms.append(x)
+            code = np.array([number[x] for x in names.dictionary.to_pylist()], np.int64)[names.indices.to_numpy(zero_copy_only=False)]
+            held.append((code, batch.column("start").to_numpy(), batch.column("stop").to_numpy()))
+            size += batch.num_rows
+            if size >= PACKED:
+                yield pack(held, chroms)
+                number, chroms, held, size = {}, [], [], 0
+        if size:
+            yield pack(held, chroms)
+
+    return run
+
+
+class _Side:
+    """Distances of ends from the first base of a stretch, with the running numbers and sums of these."""
+
+    def __init__(self, bits: int):
+        self.bits, self.parts, self.size, self.counts = bits, [], 0, None
+
+    def add(self, blob: bytes) -> None:
+        self.parts.append(np.frombuffer(blob, "<i4"))
+        self.size += len(self.parts[-1])
+        if self.size > 1 << self.bits:  # more ends than positions: only how many lie at each is kept
+            self.counts = self._counted() + (0 if self.counts is None else self.counts)
+            self.parts, self.size = [], 0
+
+    def _counted(self) -> np.ndarray:
+        return np.bincount(np.concatenate([np.zeros(0, "<i4"), *self.parts]), minlength=1 << self.bits)
+
+    def ready(self) -> None:
+        if self.counts is not None:
+            self.at, many = None, self.counts + self._counted()
+            where = np.arange(1 << self.bits)
+        else:
+            self.at = where = np.sort(np.concatenate([np.zeros(0, "<i4"), *self.parts]))
+            many = np.ones(len(where), np.int64)
+        self.number, self.total = (np.append(0, np.cumsum(x)) for x in (many, many * where))
+        self.parts = []
+
+    def before(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Number and sum of the ends at or before each distance."""
+        k = x + 1 if self.at is None else np.searchsorted(self.at, x, "right")
+        return self.number[k], self.total[k]
+
+
+def _scan_counts(bits: int, keys: Sequence[str], cells: Sequence[tuple[int, int]]):
+    """As _scan, over ends packed by stretch: per region row what this stretch adds to the intervals (n) and the bases of each cell.
+
+    `cells` are the numbers of the points b and a - 1 of each.
+    """
+
+    def found(rows: pa.RecordBatch, number: int, reach: tuple[int, int, int], sides: tuple[_Side, _Side]) -> pa.RecordBatch:
+        points = rows.column("points").flatten()
+        known, x = points.is_valid().to_numpy(zero_copy_only=False), points.fill_null(0).to_numpy()
+        mine = known & ((x >> bits) == number)
+        rel = np.where(mine, x - (number << bits), 0)
+        is_open, covered, started = reach
+        (n_s, sum_s), (n_e, sum_e) = (side.before(rel) for side in sides)
+        starts, stops = started + n_s, started - is_open + n_e
+        covered = covered + is_open * (rel + 1) + n_s * (rel + 1) - sum_s - (n_e * rel - sum_e)
+        starts, stops, covered = (np.where(mine, y, 0).reshape(rows.num_rows, -1) for y in (starts, stops, covered))
+        known, x = known.reshape(starts.shape), x.reshape(starts.shape)
+        out = np.zeros((2, rows.num_rows, len(cells)), np.int64)
+        for k, (high, low) in enumerate(cells):
+            # a region that ends before it starts has nothing
+            ok = known[:, high] & known[:, low] & (x[:, high] > x[:, low])
+            out[0, ok, k] = starts[ok, high] - stops[ok, low]
+            out[1, ok, k] = covered[ok, high] - covered[ok, low]
+        offsets = pa.array(np.arange(rows.num_rows + 1, dtype=np.int32) * len(cells))
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(y.ravel())) for y in out]
+        return pa.RecordBatch.from_arrays([*(rows.column(c) for c in keys), *lists], [*keys, "n", "bases"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, reach, sides, ready = None, (0, 0, 0), None, False
+        for batch in batches:
+            chrom, number, part, kind = (batch.column(c) for c in ("chrom", "stretch", "part", "kind"))
+            number, part, kind = (c.to_numpy() for c in (number, part, kind))
+            code = _dictionary(chrom).indices.to_numpy(zero_copy_only=False)
+            cut = np.flatnonzero((np.diff(code) != 0) | (np.diff(number) != 0) | (np.diff(part) != 0) | (np.diff(kind) != 0)) + 1
+            for a, b in zip([0, *cut], [*cut, batch.num_rows], strict=True):
+                if a == b:
+                    continue
+                if (where := (chrom[a].as_py(), int(number[a]), int(part[a]))) != at:
+                    at, reach, sides, ready = where, (0, 0, 0), (_Side(bits), _Side(bits)), False
+                rows = batch.slice(a, b - a)
+                if kind[a] == _BEFORE:
+                    reach = tuple(rows.column(c)[0].as_py() for c in ("open", "covered", "started"))
+                elif kind[a] == _ENDS:
+                    for side, c in zip(sides, "se", strict=True):
+                        for blob in rows.column(c).to_pylist():
+                            side.add(blob)
+                else:
+                    if not ready:
+                        ready = True
+                        for side in sides:
+                            side.ready()
+                    for first in range(0, rows.num_rows, 4096):
+                        yield found(rows.slice(first, 4096), at[1], reach, sides)
+
+    return run
+
+
+def region_counts(rows: DataFrame, keys: Sequence[str], regions: Sequence[tuple[str, str]], intervals: DataFrame, bits: int = BITS, part: int = PART) -> DataFrame:
+    """Per `keys` of the rows (chrom is one of them) the intervals that each region meets, as n_0, n_1, ..., and the bases shared with them, as bases_0, ...
+
+    `regions` and what is left out are as in region_bases. Every interval is read once, packed into the few bytes of its two ends, and stored;
+    a stretch with more ends than positions is held as one number a position, so memory does not follow how many intervals lie over another.
+    """
+    stretch = 1 << bits
+    held = intervals.dropna(subset=["chrom", "start", "stop"]).where("stop >= start").select("chrom", F.col("start").cast("bigint"), F.col("stop").cast("bigint"))
+    blobs = "chrom string, stretch bigint, n_s bigint, sum_s bigint, s binary, n_e bigint, sum_e bigint, e binary"
+    packed = stored(held.mapInArrow(_packed(bits), blobs), "packed-ends")
+    # equal positions, such as the gene's own end, are one point
+    number: dict[str, int] = {}
+    cells = [tuple(number.setdefault(x, len(number)) for x in (high, f"{low} - 1")) for low, high in regions]
+    points = F.expr("array(" + ", ".join(f"bigint({x})" for x in number) + ")")
+    kept = rows.where(F.col("chrom").isNotNull()).select(*keys, points.alias("points"))
+    touched = F.array_distinct(F.transform(F.array_compact("points"), lambda x: F.shiftright(x, bits)))
+    dealt = kept.select(*keys, "points", F.explode(touched).alias("stretch"))
+    wanted = dealt.groupBy("chrom", "stretch").agg(F.ceil(F.count("*") / F.lit(part)).cast("int").alias("parts"))
+    sums = packed.groupBy("chrom", "stretch").agg(F.lit("").alias("name"), *(F.sum(c).alias(c) for c in ("n_s", "n_e", "sum_s", "sum_e")))
+    before = _along(sums, wanted, stretch).select("chrom", "stretch", F.lit(_BEFORE).alias("kind"), F.col("s").alias("open"), F.col("e").alias("covered"), "started")
+    side = before.unionByName(packed.select("chrom", "stretch", F.lit(_ENDS).alias("kind"), "s", "e"), allowMissingColumns=True)
+    dealt = dealt.withColumn("kind", F.lit(_POINTS))
+    full = F.broadcast(wanted.where("parts > 1"))  # one row for so many rows of regions
+    side = side.join(full, ["chrom", "stretch"], "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
+    dealt = dealt.join(full, ["chrom", "stretch"], "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64(*keys), F.col("parts")).cast("int"), F.lit(0))).drop("parts")
+    stream = side.unionByName(dealt, allowMissingColumns=True).repartition("chrom", "stretch", "part").sortWithinPartitions("chrom", "stretch", "part", "kind")
+    kinds = dict(rows.select(*keys).dtypes)
+    schema = ", ".join([*(f"`{k}` {kinds[k]}" for k in keys), "n array<bigint>", "bases array<bigint>"])
+    found = stream.mapInArrow(_scan_counts(bits, keys, cells), schema)
+    return found.groupBy(*keys).agg(*(F.expr(e) for k in range(len(regions)) for e in (f"sum(n[{k}]) AS n_{k}", f"sum(bases[{k}]) AS bases_{k}")))

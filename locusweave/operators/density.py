@@ -7,8 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from locusweave.operators.coverage import region_bases
-from locusweave.operators.rangejoin import overlap_join
+from locusweave.operators.coverage import region_bases, region_counts
 from locusweave.operators.regions import region_sql, structs
 from locusweave.schema import DOWNSTREAM, INTRA, LEFT, ORDER, RIGHT, SUPERFAMILY, UPSTREAM
 
@@ -20,26 +19,16 @@ def categories(kinds: Sequence[str] = BOTH) -> Column:
     return F.array(*(F.struct(F.lit(k).alias("te_category"), F.col(columns[k]).alias("te_name")) for k in kinds))
 
 
-def overlaps(cells: DataFrame, revised: DataFrame) -> DataFrame:
-    """Regions x revised intervals that overlap, with overlap_bp."""
-    right = revised.select("chrom", F.col("start").alias("te_start"), F.col("stop").alias("te_stop"), "te_order", "superfamily")
-    return overlap_join(cells, right, ["chrom"], ("r_start", "r_stop"), ("te_start", "te_stop"))
-
-
 def overlap_counts(genes: DataFrame, intervals: DataFrame, windows: Iterable[int], direction: str) -> DataFrame:
     """(chrom, gene_name, window, n, bp): how many intervals a region meets and how many bases it shares with them, where there are any.
 
-    The regions of one direction are nested, so a gene meets an interval once, within the widest, and all windows are counted from
-    that pair.
+    Both are differences of running sums (see coverage.py): no pair of a gene and an interval is made, as these grow with the product.
     """
     cells = region_sql(windows, (direction,))
-    ends = lambda f, c: f"{f}(array({', '.join(x[c] for x in cells)}))"
-    rows = genes.dropna(subset=["chrom", "start", "stop"]).selectExpr("chrom", "gene_name", "start", "stop", "length", f"{ends('array_min', 'r_start')} AS r_start", f"{ends('array_max', 'r_stop')} AS r_stop")
-    met = overlaps(rows, intervals)
-    shared = lambda c: f"least({c['r_stop']}, te_stop) - greatest({c['r_start']}, te_start) + 1"
-    sums = [F.expr(e) for k, c in enumerate(cells) for e in (f"count_if({shared(c)} > 0) AS n_{k}", f"sum(greatest({shared(c)}, 0)) AS bp_{k}")]
-    spread_out = F.expr(structs([{"window": c["window"], "n": f"n_{k}", "bp": f"bp_{k}"} for k, c in enumerate(cells)]))
-    return met.groupBy("chrom", "gene_name").agg(*sums).select("chrom", "gene_name", F.explode(spread_out).alias("c")).select("chrom", "gene_name", "c.*").where("n > 0")
+    rows = genes.dropna(subset=["chrom", "start", "stop"])
+    met = region_counts(rows, ["chrom", "gene_name"], [(c["r_start"], c["r_stop"]) for c in cells], intervals)
+    spread_out = F.expr(structs([{"window": c["window"], "n": f"n_{k}", "bp": f"bases_{k}"} for k, c in enumerate(cells)]))
+    return met.select("chrom", "gene_name", F.explode(spread_out).alias("c")).select("chrom", "gene_name", "c.*").where("n > 0")
 
 
 def names_by_chromosome(rows: DataFrame, kinds: Sequence[str] = BOTH) -> DataFrame:

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from locusweave.functions import checks
-from locusweave.operators import density, increments, quantiles, query
+from locusweave.operators import coverage, density, increments, quantiles, query
 from locusweave.operators.coverage import region_bases
 from locusweave.operators.rangejoin import overlap_join
 from locusweave.operators.union import interval_union, revise
@@ -263,3 +263,35 @@ def test_pairs_round_trip(spark, tmp_path):
     assert sorted(tuple(r) for r in got.collect()) == [("1", "x", "y", "0.5"), ("2", "z", None, "1.0E-9")]
     with pytest.raises(ValueError):
         sinks.write_pairs(pairs.drop("gene_a"), str(tmp_path / "q"))
+
+
+@pytest.mark.parametrize(("bits", "part"), [(4, 50_000), (6, 3), (18, 7)])
+@pytest.mark.parametrize("direction", ["Left", "Intra"])
+def test_overlap_counts_against_pairs(spark, monkeypatch, bits, part, direction):
+    monkeypatch.setattr(coverage.region_counts, "__defaults__", (bits, part))
+    monkeypatch.setattr(coverage, "PACKED", 50)
+    rng = random.Random(bits)
+    genes = [(rng.choice("abc"), f"g{k}", s := rng.randrange(0, 300), s + rng.choice([0, 3, 40]), "+", 1) for k in range(60)]
+    genes += [genes[5], ("a", None, 30, 60, "+", 1), (None, "x", 1, 9, "+", 1), ("b", "y", None, 9, "+", 1), ("a", "far", 1 << 40, (1 << 40) + 9, "+", 1)]
+    tes = [x[:3] + x[3:] for x in elements(rng, 150)] * 2 + [("b", 1, 1000, "+", "x", "f"), ("a", 50, 40, "+", "x", "f"), (None, 1, 9, "+", "x", "f"), ("a", 1 << 40, 1 << 41, "+", "x", "f"), ("d", 3, 9, "+", "x", "f")]
+    want = {}
+    for c, name, s, e, *_ in genes:
+        if None in (c, s, e):
+            continue
+        for w in (None,) if direction == "Intra" else (0, 5, 20, 100):
+            a, b = {"Left": lambda: (max(s - 1 - w, 0), s - 1), "Right": lambda: (e + 1, e + 1 + w), "Intra": lambda: (s, e)}[direction]()
+            for tc, ts, te, *_ in tes:
+                if tc == c and ts <= te and ts <= b and te >= a and a <= b:
+                    n, bp = want.get((c, name, w), (0, 0))
+                    want[c, name, w] = n + 1, bp + min(b, te) - max(a, ts) + 1
+    got = density.overlap_counts(spark.createDataFrame(genes, GENE), spark.createDataFrame(tes, TE), (0, 5, 20, 100), direction).collect()
+    assert len(got) == len(want) and {(r["chrom"], r["gene_name"], r["window"]): (r["n"], r["bp"]) for r in got} == want
+
+
+def test_overlap_counts_make_no_pairs(spark):
+    # 2000 genes that each meet 20 000 intervals: 40 million pairs
+    genes = spark.range(2000).selectExpr("'a' AS chrom", "concat('g', id) AS gene_name", "20000 + id AS start", "20100 + id AS stop", "'+' AS strand", "101L AS length")
+    tes = spark.range(20_000).selectExpr("'a' AS chrom", "id % 10 + 1 AS start", "40000 + id % 10 AS stop", "'+' AS strand", "'x' AS te_order", "'f' AS superfamily")
+    counts = density.overlap_counts(genes, tes, (10, 500), "Left")
+    assert not [x for x in str(counts._jdf.queryExecution().optimizedPlan()).splitlines() if "overlap_bp" in x or "te_start" in x]
+    assert counts.groupBy("window").agg(F.count("*"), F.min("n"), F.max("n"), F.min("bp"), F.max("bp")).orderBy("window").collect() == [(10, 2000, 20_000, 20_000, 220_000, 220_000), (500, 2000, 20_000, 20_000, 10_020_000, 10_020_000)]
