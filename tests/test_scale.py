@@ -266,7 +266,7 @@ def test_pairs_round_trip(spark, tmp_path):
 
 
 @pytest.mark.parametrize(("bits", "part"), [(4, 50_000), (6, 3), (18, 7)])
-@pytest.mark.parametrize("direction", ["Left", "Intra"])
+@pytest.mark.parametrize("direction", ["Left", "Intra", "Right"])
 def test_overlap_counts_against_pairs(spark, monkeypatch, bits, part, direction):
     monkeypatch.setattr(coverage.region_counts, "__defaults__", (bits, part))
     monkeypatch.setattr(coverage, "PACKED", 50)
