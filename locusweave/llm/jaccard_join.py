@@ -516,7 +516,15 @@ class _Join:
 
 
 def _tiles(members: DataFrame) -> DataFrame:
-    """Deals the sets of each region to tiles (region, i, j) such that every two meet, but for two that link with the same pivot."""
+    """Deals the sets of each region to tiles (region, i, j) such that every two meet, but for two that link with the same pivot.
+
+    In a region of many sets the few that link with one pivot are dealt like those that link with none: a part for each such group would
+    multiply the copies of all others.
+    """
+    by = members.groupBy("region", "core").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("weight"))
+    own = F.when((F.sum("n").over(W.partitionBy("region")) <= 2 * SIDE) | (F.col("n") >= SIDE), F.col("core"))
+    few = by.withColumn("own", own).where("core IS NOT NULL AND own IS NULL").select(F.col("region").alias("of"), F.col("core").alias("few"))
+    members = members.join(few, (F.col("region") == F.col("of")) & (F.col("core") == F.col("few")), "left").withColumn("core", F.when(F.col("few").isNull(), F.col("core"))).drop("of", "few")
     by = members.groupBy("region", "core").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("weight"))
     parts = F.greatest(F.ceil(F.col("n") / SIDE), F.ceil(F.col("weight") / SIDE_SHINGLES)).cast("int")
     whole, before = W.partitionBy("region"), W.partitionBy("region").orderBy("core").rowsBetween(W.unboundedPreceding, -1)

@@ -248,3 +248,14 @@ def test_linked_sets_meet_in_a_rare_shingle(num):
             assert any(x & y for x, y in zip(*first, strict=False))
             weak += len(first[0]) == len(first[1]) == 2
     assert weak > 20
+
+
+def test_small_groups_of_pivots_share_parts(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "SIDE", 10)
+    rows = [(1, k, k // 4 if k < 80 else 99 if k < 100 else None, 1) for k in range(140)]  # 20 groups of 4, one of 20, 40 of no pivot
+    dealt = jaccard_join._tiles(spark.createDataFrame(rows, "region long, key long, core long, n_shingles long")).collect()
+    tiles = {}
+    for d in dealt:
+        tiles.setdefault((d["i"], d["j"]), set()).add(d["key"])
+    assert len(dealt) <= 140 * 14  # 14 parts; 26 with a part for each group
+    assert all(any({a, b} <= t for t in tiles.values()) for a in range(140) for b in range(a) if not 80 <= b < a < 100)
